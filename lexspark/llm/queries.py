@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm import bpe, line_dedup, minhash
+from lexspark.llm import ann, bpe, fingerprint, line_dedup, minhash, packing, quality, sharding, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,10 +20,22 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derive(warc.responses(_table(spark, sf_dir, "pages").select("page_id", "url", "html")))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"), capacity=8192)
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), size=2)
 
@@ -33,6 +45,23 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return quality.classify(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), trusted)
+
+
+def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_with_edited(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"), shards=40)
+
+
 SQL_OP6 = r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -53,9 +82,16 @@ FROM marked GROUP BY doc_id
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_warc": op1_warc,
         "op2_bpe": op2_bpe,
+        "op3_ann": op3_ann,
+        "op4_packing": op4_packing,
         "op5_minhash": op5_minhash,
         "op6_line_dedup": op6_line_dedup,
+        "op7_url_filter": op7_url_filter,
+        "op8_quality": op8_quality,
+        "op9_fingerprint": op9_fingerprint,
+        "op10_sharding": op10_sharding,
     }
 
 

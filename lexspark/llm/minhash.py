@@ -24,6 +24,8 @@ from lexspark.llm._scratch import Scratch, small
 ROWS, BANDS = 5, 40
 #: Followers that are compared with one copy of their leader; a leader with more gets several copies.
 FOLLOWERS = 512
+#: Members of a leader's company that a task holds at a time.
+MEMBERS = 2048
 #: Rows of ids up to which a counted table is broadcast.
 BROADCAST_ROWS = 500_000
 #: Bytes of text that are hashed together.
@@ -167,6 +169,67 @@ def _verified(pairs: DataFrame, candidates: DataFrame, scratch: Scratch, size: i
     return links
 
 
+def _block_comparer(size: int, num: int, den: int):
+    """Rows come by (lead, block), its members before the queries. Exact intersections of a query with all members of a
+    block are counted over their joined, sorted elements. Yields for each query one link into each other component."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, index = None, [], None
+        for batch in batches:
+            rows = batch.to_pydict()
+            sets: list[np.ndarray] = []
+            for texts in _chunks(rows["text"]):
+                sets += shingle_sets(texts, size)
+            a, b = [], []
+            for lead, block, query, rep, comp, key, items in zip(rows["lead"], rows["block"], rows["query"], rows["rep"], rows["comp"], rows["set_key"], sets):
+                if set_key(items) != key:
+                    continue  # another row under the same id
+                if (lead, block) != at:
+                    at, held, index = (lead, block), [], None
+                if not query:
+                    held.append((rep, comp, items))
+                    continue
+                if not held:
+                    continue
+                if index is None:
+                    flat = np.concatenate([x for _, _, x in held])
+                    owner = np.repeat(np.arange(len(held)), [len(x) for _, _, x in held])
+                    order = np.argsort(flat, kind="stable")
+                    index = flat[order], owner[order], np.array([len(x) for _, _, x in held]), np.array([c for _, c, _ in held]), np.array([r for r, _, _ in held])
+                flat, owner, sizes, comps, reps = index
+                left, right = np.searchsorted(flat, items, "left"), np.searchsorted(flat, items, "right")
+                spans = right - left
+                places = np.repeat(left - np.concatenate([[0], np.cumsum(spans)[:-1]]), spans) + np.arange(spans.sum())
+                common = np.bincount(owner[places], minlength=len(held))
+                hits = np.flatnonzero((den * common >= num * (len(items) + sizes - common)) & (comps != comp))
+                for i in hits[np.unique(comps[hits], return_index=True)[1]]:
+                    a.append(rep)
+                    b.append(int(reps[i]))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
+
+
+def _across(company: DataFrame, candidates: DataFrame, scratch: Scratch, size: int, num: int, den: int) -> DataFrame:
+    """Links between different components within a leader's company; ``company`` is (rep, lead, comp).
+
+    The members outside the largest component are compared with all members, block by block: a query set against the
+    rows of its company, without a row for each pair.
+    """
+    counts = company.groupBy("lead", "comp").agg(F.count(F.lit(1)).alias("n"))
+    mixed = counts.groupBy("lead").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.sum("n").alias("members"), F.count(F.lit(1)).alias("comps")).where("comps > 1 and members > 2")
+    mixed = scratch.write(mixed.select("lead", "main", F.ceil(F.col("members") / MEMBERS).alias("blocks")), "mixed")
+    held = scratch.write(company.join(mixed, "lead"), "held")
+    members = held.select("lead", F.expr("pmod(xxhash64(rep), blocks)").alias("block"), F.lit(0).alias("query"), "rep", "comp")
+    queries = held.where("comp != main").select("lead", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"), F.lit(1).alias("query"), "rep", "comp")
+    told = scratch.write(members.unionByName(queries), "told")
+    dealt = candidates.select(F.col("doc_id").alias("rep"), "set_key", "text").join(small(told, BROADCAST_ROWS), "rep")
+    dealt = dealt.select("lead", "block", "query", "rep", "comp", "set_key", "text").repartition("lead", "block").sortWithinPartitions("lead", "block", "query")
+    links = scratch.write(dealt.mapInArrow(_block_comparer(size, num, den), "a long, b long"), "links")
+    scratch.drop(mixed, held, told)
+    return links
+
+
 def _labelled(frame: DataFrame, column: str, components: DataFrame, out: str) -> DataFrame:
     return frame.join(components.select(F.col("node").alias(column), F.col("component").alias(out)), column, "left").withColumn(out, F.coalesce(out, column))
 
@@ -178,9 +241,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     ``component_id`` is the smallest id reachable over links and ``kept`` marks the document of that id. With the
     default 40 bands of 5 coordinates a pair at similarity 0.8 misses all bands with probability 1.3e-7.
 
-    Equal sets are one class and are compared once. Within a bucket members are first compared with its smallest
-    one; only pairs of a bucket that lie in different components after that are compared too, so no candidate pair is
-    left out and no bucket is expanded into all its pairs.
+    Equal sets are one class and are compared once. Members of a bucket are compared with its leader first. Members
+    that this leaves in different components are then compared with all of the leader's company, in blocks, so no
+    candidate pair is left out and no bucket is expanded into pairs.
 
     Null or wordless texts have an empty set and no links. A null id takes no part in links: its component is null
     and it is kept. Repeated rows get a row each; rows of one id with different texts each go by their own text.
@@ -192,40 +255,40 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     classes = scratch.write(base.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
     reps = base.withColumnRenamed("doc_id", "rep").join(classes, ["set_key", "rep"], "left_semi")
 
-    hashed = reps.select("rep", "n_shingles", "set_key", F.explode("bands").alias("bucket"))
-    buckets = hashed.groupBy("bucket").agg(F.min("rep").alias("lead"), F.max("rep").alias("last"), F.count(F.lit(1)).alias("members")).where("lead != last").drop("last")
-    members = scratch.write(hashed.join(buckets, "bucket").select("bucket", "rep", "n_shingles", "set_key", "lead", "members"), "members")
+    hashed = reps.select("rep", "set_key", F.explode("bands").alias("bucket"))
+    buckets = hashed.groupBy("bucket").agg(F.min("rep").alias("least"), F.max("rep").alias("most"), F.count(F.lit(1)).alias("size")).where("least != most")
+    members = scratch.write(hashed.join(buckets.select("bucket", "size"), "bucket"), "members")
+    # the leader of a bucket is its member with most company in all buckets: an original rather than one of its copies
+    company = members.groupBy("rep").agg(F.sum(F.col("size") - 1).alias("company"))
+    leaders = members.join(company, "rep").groupBy("bucket").agg(F.max_by("rep", F.struct("company", -F.col("rep"))).alias("lead"))
+    spokes = scratch.write(members.join(leaders, "bucket").groupBy("rep", "lead").agg(F.count(F.lit(1)).alias("times")), "spokes")
     wanted = scratch.write(members.select(F.col("rep").alias("doc_id"), "set_key").distinct(), "wanted")
+    scratch.drop(members)
     candidates = scratch.write(docs.join(small(wanted, BROADCAST_ROWS), "doc_id").select("doc_id", "set_key", "text"), "candidates")
 
     def verified(pairs: DataFrame) -> DataFrame:
         return _verified(pairs, candidates, scratch, size, num, den)
 
-    spokes = members.where("rep != lead").select(F.col("rep").alias("a"), F.col("lead").alias("b"))
-    first = scratch.write(spokes.groupBy("a").agg(F.min("b").alias("b")), "pairs")
+    apart = spokes.where("rep != lead")
+    first = scratch.write(apart.groupBy(F.col("rep").alias("a")).agg(F.max_by("lead", F.struct("times", -F.col("lead"))).alias("b")), "pairs")
     links = verified(first)
     comps = scratch.write(connected_components(links, scratch), "components")
 
-    # the other leaders, where the two sides are still apart
-    more = _labelled(_labelled(spokes.distinct().join(first, ["a", "b"], "left_anti"), "a", comps, "ca"), "b", comps, "cb").where("ca != cb").select("a", "b")
-    second = scratch.write(more, "pairs")
-    if not second.isEmpty():
-        links = links.unionByName(verified(second))
+    # the other leaders, where the two sides are still in different components
+    more = apart.select(F.col("rep").alias("a"), F.col("lead").alias("b")).join(first, ["a", "b"], "left_anti")
+    more = scratch.write(_labelled(_labelled(more, "a", comps, "ca"), "b", comps, "cb").where("ca != cb").select("a", "b"), "pairs")
+    if not more.isEmpty():
+        links = links.unionByName(verified(more))
         comps = scratch.write(connected_components(links, scratch), "components")
 
-    # what is left of buckets that still hold several components: pairs across them, each once
-    held = _labelled(members.where("members > 2"), "rep", comps, "comp").select("bucket", "rep", "n_shingles", "lead", "comp")
-    apart = held.groupBy("bucket").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least != most").select("bucket")
-    held = scratch.write(held.join(apart, "bucket").where("rep != lead"), "held")
-    left, right = held.select("bucket", F.col("rep").alias("a"), F.col("n_shingles").alias("na"), F.col("comp").alias("ca")), held.select("bucket", F.col("rep").alias("b"), F.col("n_shingles").alias("nb"), F.col("comp").alias("cb"))
-    across = left.join(right, "bucket").where((F.col("b") < F.col("a")) & (F.col("ca") != F.col("cb")) & (den * F.least("na", "nb") >= num * F.greatest("na", "nb")))
-    third = scratch.write(across.select("a", "b").distinct().join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti"), "pairs")
-    if not third.isEmpty():
-        links = links.unionByName(verified(third))
+    # two members of a bucket share its leader: what a leader's company does not hold together is compared in full
+    rest = _across(_labelled(spokes.select("rep", "lead"), "rep", comps, "comp"), candidates, scratch, size, num, den)
+    if not rest.isEmpty():
+        links = links.unionByName(rest)
         comps = scratch.write(connected_components(links, scratch), "components")
 
     ends = _labelled(classes, "rep", comps, "component_id").select("set_key", "component_id")
-    scratch.drop(members, candidates)
+    scratch.drop(candidates, spokes)
     joined = base.select("doc_id", "n_shingles", "set_key").join(ends, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))

@@ -11,6 +11,7 @@ from urllib.parse import quote
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: The parts of speech that a query suffix may name.
 UD_TAGS = ("NOUN", "VERB", "ADJ", "ADV", "PROPN", "PRON", "DET", "ADP", "CONJ", "SCONJ", "CCONJ", "NUM", "PART", "INTJ", "AUX")
@@ -37,7 +38,7 @@ def parse_int(c: Column) -> Column:
     return F.when(s.rlike(r"^[+-]?[0-9]+(_[0-9]+)*$"), F.replace(s, F.lit("_"), F.lit("")).try_cast("bigint"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def html_unescape(s: pd.Series) -> pd.Series:
     """Entities of HTML; Spark has no function for the table of names."""
     return s.map(lambda x: html.unescape(x) if x and "&" in x else x, na_action="ignore")
@@ -69,13 +70,13 @@ def parsed_text(markup: str | None) -> str:
     return re.sub(r"\s+", " ", "".join(parser.parts)).strip()
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def strip_html_parsed(s: pd.Series) -> pd.Series:
     """``parsed_text`` by Arrow batches: tokenising HTML is beyond a regular expression."""
     return s.map(lambda x: parsed_text(x) if isinstance(x, str) else "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(s: pd.Series) -> pd.Series:
     """Canonical composition; Spark has no function for it."""
     return s.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")

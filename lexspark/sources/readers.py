@@ -8,6 +8,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from lexspark.functions import tagging
 from lexspark.functions import text as T
@@ -72,7 +73,7 @@ def validated_records(lines: DataFrame) -> DataFrame:
     return rows.select("word", number.alias("frequency"), F.coalesce("entries", F.array().cast(f"array<{tagging.ENTRY}>")).alias("entries"))
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def csv_fields(s: pd.Series) -> pd.Series:
     """The fields of a line by the usual rules of quotes; Spark's reader wants a fixed number of columns."""
     return s.map(lambda line: next(csv.reader([line]), []) if line is not None else [])

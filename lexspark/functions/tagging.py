@@ -60,8 +60,6 @@ CLEANSE_PLURALS = ["plural of", "plural form of", "plurals of", "pluriel de", "p
 #: A phrase of grammar words before a word for "of".
 DERIVATIVE = rf"(?iU)\b(?:{'|'.join(GRAMMAR_WORDS)})\b(?:\s+\b(?:{'|'.join(GRAMMAR_FOLLOWERS)})\b)*\s+(?:{'|'.join(OF_WORDS)})\s+"
 
-_NONE = F.lit(None)
-
 
 def _any(texts: Column, *needles: str) -> Column:
     """Some text contains some needle."""

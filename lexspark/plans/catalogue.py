@@ -135,20 +135,22 @@ def stop_after_m(spark, d):
 
 # ---- text functions
 
-_SUFFIXED = F.concat(F.col("word"), F.element_at(F.array(*map(F.lit, ("_NOUN", "_noun", "_XYZ", "_bar", "", "_ADJ"))), (F.col("frequency") % 6 + 1).cast("int")))
+def _suffixed():
+    return F.concat(F.col("word"), F.element_at(F.array(*map(F.lit, ("_NOUN", "_noun", "_XYZ", "_bar", "", "_ADJ"))), (F.col("frequency") % 6 + 1).cast("int")))
+
 _SQL_SUFFIXED = "word || ['_NOUN', '_noun', '_XYZ', '_bar', '', '_ADJ'][frequency % 6 + 1]"
 
 
 @query(f"WITH {V.SQL_LEX}, t AS (SELECT {_SQL_SUFFIXED} AS token FROM lex) SELECT token, regexp_replace(token, '(?i)_({'|'.join(T.UD_TAGS)})$', '') AS word FROM t")
 def pos_suffix_strip(spark, d):
     """F4 Q5"""
-    return V.lex(spark, d).select(_SUFFIXED.alias("token")).select("token", T.strip_query_suffix(F.col("token")).alias("word"))
+    return V.lex(spark, d).select(_suffixed().alias("token")).select("token", T.strip_query_suffix(F.col("token")).alias("word"))
 
 
 @query(f"WITH {V.SQL_LEX}, t AS (SELECT {_SQL_SUFFIXED} AS token FROM lex) SELECT token, regexp_replace(token, '_[A-Z]{{2,6}}$', '') AS word FROM t")
 def pos_suffix_strip_cleanse(spark, d):
     """F5 Q5"""
-    return V.lex(spark, d).select(_SUFFIXED.alias("token")).select("token", T.normalize_term(F.col("token")).alias("word"))
+    return V.lex(spark, d).select(_suffixed().alias("token")).select("token", T.normalize_term(F.col("token")).alias("word"))
 
 
 @query("SELECT p_partkey, lower(p_name) AS low, upper(p_name[1]) || p_name[2:] AS upper_first, upper(p_name[1]) || lower(p_name[2:]) AS capital FROM part")
@@ -186,7 +188,8 @@ def strip_html_parser(spark, d):
     return V.table(spark, d, "pages").select("page_id", T.strip_html_parsed(F.col("html")).alias("text"))
 
 
-_WIKI = F.concat(F.lit("<!-- "), F.col("lang"), F.lit(" -->[["), F.col("source"), F.lit("|"), F.col("lang"), F.lit("]] '''"), F.substr(F.col("text"), F.lit(1), F.lit(300)), F.lit("'''{{t|x}}<ref name=a>r</ref> [[w]] [http://x.y z] և"))
+def _wiki():
+    return F.concat(F.lit("<!-- "), F.col("lang"), F.lit(" -->[["), F.col("source"), F.lit("|"), F.col("lang"), F.lit("]] '''"), F.substr(F.col("text"), F.lit(1), F.lit(300)), F.lit("'''{{t|x}}<ref name=a>r</ref> [[w]] [http://x.y z] և"))
 
 
 @query(r"""WITH w AS (SELECT doc_id, '<!-- ' || lang || ' -->[[' || source || '|' || lang || ']] ''''''' || text[1:300] || '''''''{{t|x}}<ref name=a>r</ref> [[w]] [http://x.y z] և' AS t FROM documents),
@@ -195,7 +198,7 @@ _WIKI = F.concat(F.lit("<!-- "), F.col("lang"), F.lit(" -->[["), F.col("source")
   SELECT doc_id, replace(replace(replace(t, '''''''', ''), '''''', ''), 'և', 'եւ') AS text FROM b""")
 def wikitext_cleanup(spark, d):
     """F11"""
-    return V.table(spark, d, "documents").select("doc_id", T.clean_wikitext(_WIKI).alias("text"))
+    return V.table(spark, d, "documents").select("doc_id", T.clean_wikitext(_wiki()).alias("text"))
 
 
 @query(r"SELECT doc_id, list_filter(regexp_split_to_array(text, '[ \t\r\n\f\x0b!\"#$%&''()*+,\-./:;<=>?@\[\]^_`{|}~]+'), lambda w: w <> '') AS words FROM documents")
@@ -345,14 +348,15 @@ def answers_slice(spark, d):
     return lexicon.answers(lines, [F.desc("count"), "line"], 10, 25, ignored).select("line")
 
 
-_LEIPZIG = F.concat_ws(" ", F.col("row_idx").cast("string"), _ascii_capital(F.col("word")), F.col("frequency").cast("string"))
+def _leipzig():
+    return F.concat_ws(" ", F.col("row_idx").cast("string"), _ascii_capital(F.col("word")), F.col("frequency").cast("string"))
 
 
 @query(f"WITH {V.SQL_LEX} SELECT word, word || ',' || frequency AS line FROM lex WHERE length(word) > 4 AND length(word) <= 6")
 def leipzig_clean(spark, d):
     """S19 F31 P8 W2"""
     rows = V.lex(spark, d).withColumn("row_idx", F.crc32("word"))
-    return lexicon.leipzig_rows(rows.select(_LEIPZIG.alias("line"), "row_idx"), "row_idx", 4, 6).select("word", "line")
+    return lexicon.leipzig_rows(rows.select(_leipzig().alias("line"), "row_idx"), "row_idx", 4, 6).select("word", "line")
 
 
 # ---- lookups

@@ -80,6 +80,28 @@ FROM marked GROUP BY doc_id
 """
 
 
+SQL_OP7 = r"""
+WITH parts AS (
+  SELECT page_id,
+    CASE WHEN contains(url, '://') THEN translate(regexp_extract(substr(url, instr(url, '://') + 3), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+    CASE WHEN contains(url, '://') THEN regexp_extract(substr(url, instr(url, '://') + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+  FROM pages),
+rules(rhost, rpath, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+ruled AS (
+  SELECT p.*, r.rule, r.verdict FROM parts p LEFT JOIN LATERAL (
+    SELECT rhost || rpath AS rule, verdict FROM rules
+    WHERE (p.host = rhost OR ends_with(p.host, '.' || rhost)) AND starts_with(p.path, rpath)
+    ORDER BY length(rhost || rpath) DESC LIMIT 1) r ON true),
+-- the pages of these tables link to no other host, so that scores are those of the seeds
+hosts AS (SELECT host, count(*) AS n, count(*) FILTER (verdict = 'allow') AS good, count(*) FILTER (verdict = 'block') AS bad FROM ruled WHERE host <> '' GROUP BY host),
+scores AS (SELECT host, CASE WHEN good * 2 > n THEN good / n ELSE 0 END AS trust, CASE WHEN bad * 2 > n THEN bad / n ELSE 0 END AS distrust FROM hosts)
+SELECT page_id, r.host, path, rule,
+  CASE WHEN rule IS NOT NULL THEN verdict WHEN coalesce(distrust, 0) >= 1e-6 AND distrust > trust THEN 'block' ELSE 'allow' END AS verdict,
+  coalesce(trust, 0.0) AS trust, coalesce(distrust, 0.0) AS distrust, CASE WHEN rule IS NULL THEN 'links' ELSE 'rule' END AS "by"
+FROM ruled r LEFT JOIN scores s ON r.host = s.host
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
@@ -96,4 +118,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_line_dedup": SQL_OP6}
+    return {"op6_line_dedup": SQL_OP6, "op7_url_filter": SQL_OP7}

@@ -98,8 +98,9 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int =
     """(page_id, host, path, rule, verdict, trust, distrust, by) of each row of ``pages`` (page_id, url, html).
 
     A rule that fits decides; the longest does. Other urls are blocked if their host's distrust is at least
-    ``least_distrust`` of an average seed's and above its trust, and allowed otherwise. Seeds are the hosts with pages
-    that a rule allows (trust, by the share of such pages) or blocks (distrust). ``by`` tells rule or links.
+    ``least_distrust`` and above its trust, and allowed otherwise. Seeds are the hosts of whose pages rules allow more
+    than half (trust, by their share) or block more than half (distrust): a rule for a path alone does not condemn a
+    host. ``by`` tells rule or links.
 
     Null urls and urls without ``://`` have an empty host and path; no rule fits them and, as nothing links to an empty
     host, they are allowed. Null html has no links. Repeated rows are judged alike, null ids pass. Further columns are
@@ -113,7 +114,8 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int =
     fits = F.col("nth").isNotNull()  # element_at of a null place is not null for an array without nulls
     allows = F.when(fits, F.element_at(F.array(*[F.lit(r.allow) for r in rules]), F.col("nth") + 1)) if rules else F.lit(None).cast("boolean")
     hosts = scratch.write(seen.where("host != ''").groupBy("host").agg(F.count(F.lit(1)).alias("pages"), F.count_if(allows).alias("good"), F.count_if(~allows).alias("bad")), "hosts")
-    seeds = hosts.where("good + bad > 0").select("host", (F.col("good") / F.col("pages")).alias("trust"), (F.col("bad") / F.col("pages")).alias("distrust"))
+    share = lambda c: F.when(F.col(c) * 2 > F.col("pages"), F.col(c) / F.col("pages")).otherwise(0.0).alias({"good": "trust", "bad": "distrust"}[c])
+    seeds = hosts.where("2 * good > pages or 2 * bad > pages").select("host", share("good"), share("bad"))
     scores = propagate(edges, seeds, scratch, rounds, damping)
     judged = scores.select("host", "trust", "distrust", ((F.col("distrust") >= least_distrust) & (F.col("distrust") > F.col("trust"))).alias("suspect"))
     judged = scratch.write(judged.join(hosts, "host", "left_semi"), "judged")

@@ -62,6 +62,40 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"), shards=40)
 
 
+# The tables' pages have no other entities than these, and no quotes but double ones around links.
+_TEXT = "replace(replace(replace(replace(replace(replace({0}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+_UUID = "'<urn:uuid:' || {0}[1:8] || '-' || {0}[9:12] || '-8' || {0}[14:16] || '-' || '89ab'[(instr('0123456789abcdef', {0}[17:17]) - 1) % 4 + 1] || {0}[18:20] || '-' || {0}[21:32] || '>'"
+_BLOCKS = "|".join(sorted(warc.BLOCKS))
+SQL_OP1 = rf"""
+WITH source AS (
+  SELECT page_id, coalesce(url, '') AS target_uri, '2026-01-01T00:00:00Z' AS warc_date, coalesce(html, '') AS body,
+    'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html; charset=UTF-8' || chr(13) || chr(10) || 'Content-Length: ' || octet_length(encode(coalesce(html, ''))) || chr(13) || chr(10) AS source_headers
+  FROM pages),
+named AS (
+  SELECT *, 'sha256:' || sha256(body) AS payload_digest,
+    sha256('response' || chr(0) || target_uri || chr(0) || warc_date || chr(0) || source_headers || chr(0) || 'sha256:' || sha256(body)) AS h,
+    regexp_replace(regexp_replace(body, '(?s)<!--.*?-->', '', 'g'), '(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>', '', 'g') AS bare,
+    list_transform(regexp_extract_all(body, '(?is)<a\b[^>]*?\bhref\s*=\s*"([^"]*)"', 1), lambda x: {_TEXT.format('x')}) AS links
+  FROM source),
+marked AS (
+  SELECT *, {_UUID.format('h')} AS refers_to,
+    {_TEXT.format("regexp_replace(regexp_replace(bare, '(?i)</?(" + _BLOCKS + r")\b[^>]*>', chr(10), 'g'), '<[!?][^>]*>|</?[a-zA-Z][a-zA-Z0-9]*\b[^>]*>', '', 'g')")} AS plain,
+    trim(regexp_replace({_TEXT.format(r"regexp_replace(regexp_extract(body, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1), '<[^>]*>', '', 'g')")}, '\s+', ' ', 'g')) AS title
+  FROM named),
+records AS (
+  SELECT *, 'conversion' AS record_type, 'text/plain; charset=UTF-8' AS content_type,
+    array_to_string(list_filter(list_transform(string_split(plain, chr(10)), lambda x: trim(regexp_replace(x, '[ \t\r\f\x0b]+', ' ', 'g'), ' ')), lambda x: x <> ''), chr(10)) AS block
+  FROM marked
+  UNION ALL
+  SELECT *, 'metadata', 'application/warc-fields',
+    (CASE WHEN title <> '' THEN 'title: ' || title || chr(13) || chr(10) ELSE '' END) || 'http-content-type: text/html; charset=UTF-8' || chr(13) || chr(10) || 'http-content-length: ' || octet_length(encode(body)) || chr(13) || chr(10)
+      || array_to_string(list_transform(list_filter(links, lambda x, i: x <> '' AND list_position(links, x) = i), lambda x: 'outlink: ' || x || chr(13) || chr(10)), '')
+  FROM marked)
+SELECT page_id, record_type, {_UUID.format("sha256(record_type || chr(0) || refers_to)")} AS record_id, refers_to, target_uri, warc_date, content_type,
+  octet_length(encode(block)) AS content_length, 'sha256:' || sha256(block) AS block_digest, payload_digest, source_headers, block
+FROM records
+"""
+
 SQL_OP6 = r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -118,4 +152,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_line_dedup": SQL_OP6, "op7_url_filter": SQL_OP7}
+    return {"op1_warc": SQL_OP1, "op6_line_dedup": SQL_OP6, "op7_url_filter": SQL_OP7}

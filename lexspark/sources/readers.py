@@ -145,3 +145,29 @@ def morph_tokens(spark: SparkSession, path: str) -> DataFrame:
     token = "struct<id:bigint,form:string,lemma:string,POS:string,features:string>"
     rows = spark.read.schema(f"sentences array<struct<sentence_id:bigint,tokens:array<{token}>>>").json(path)
     return rows.where("sentences is not null").select(F.explode("sentences").alias("s")).select("s.sentence_id", F.explode("s.tokens").alias("t")).select("sentence_id", "t.*")
+
+
+def tagged_tables(spark: SparkSession, *paths: str) -> DataFrame:
+    """(word, tag, definition, source_ord, row_idx) of tables with a header, in the order they are named."""
+    frames = []
+    for path in paths:
+        rows = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+        wanted = [F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in ("word", "tag", "definition")]
+        frames.append(rows.select(*wanted, F.monotonically_increasing_id().alias("row_idx")))
+    return R.chained(*frames)
+
+
+def dictionary_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line, row_idx) without lines of white space."""
+    return indexed_lines(spark, path).where(T.strip(F.col("line")) != "")
+
+
+def word_forms(lines: DataFrame) -> DataFrame:
+    """``lines`` with the word that each begins with."""
+    return lines.withColumn("word", T.first_word_form(F.col("line")))
+
+
+def game_config(spark: SparkSession, path: str) -> DataFrame:
+    """A language's configuration: one row with the keyboard's layout, a map of actions, and messages."""
+    schema = "menu string, flag string, layout array<array<string>>, actions map<string,struct<label:string,position:string,row:int>>, winMessage string, helpTip string"
+    return spark.read.schema(schema).option("multiLine", True).json(path)

@@ -22,7 +22,7 @@ from lexspark.llm._scratch import Scratch, small
 
 ORDER = 4
 #: Rejected are documents above this quantile of held-out trusted documents of their language.
-QUANTILE = 0.995
+QUANTILE = 0.998
 #: One in so many trusted documents is held out of training.
 HELD_OUT = 5
 #: Bytes of text in a block, on average.

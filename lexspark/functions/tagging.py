@@ -178,6 +178,12 @@ def tag_words(frame: DataFrame, combined_case: bool = True) -> DataFrame:
     return ready.withColumn("tags", _tags(rules)).drop("_entries", "_raw", "_n", "_texts", "_defs", "_blobs")
 
 
+def has_transclusion(entries: str = "entries") -> Column:
+    """Some raw definition was transcluded; no rule uses it."""
+    raw = F.flatten(F.transform(entries, lambda e: F.transform(F.coalesce(e["definitions"], F.array().cast(f"array<{DEFINITION}>")), lambda d: d["definition"])))
+    return _any(raw, "mw:Transclusion")
+
+
 def by_part_of_speech(words: DataFrame) -> DataFrame:
     """(word, frequency, part_of_speech, entries): the entries of a word by part of speech, in capitals, in order.
 

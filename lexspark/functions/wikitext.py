@@ -145,6 +145,16 @@ def page_sections(text: str, rules: Rules) -> tuple[list[tuple[str, bool, str, s
     return sections, _TEMPLATE.findall(text)
 
 
+def trace(text: str, rules: Rules = Rules()) -> list[tuple[str, str]]:
+    """(step, text after it) of a page, for looking into one word."""
+    out = [("input", text)]
+    for name, step in STEPS.items():
+        if name not in rules.skip_steps:
+            text = "\n".join(step(text.splitlines(), rules))
+            out.append((name, text))
+    return out
+
+
 SECTIONS = "sections array<struct<ord:int,key:string,mapped:boolean,tag:string,desc:string>>, keys array<string>"
 
 

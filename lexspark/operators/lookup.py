@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lexspark.functions import text as T
@@ -91,6 +91,13 @@ def outcome_counts(classified: DataFrame) -> DataFrame:
     return classified.groupBy("outcome").agg(F.count(F.lit(1)).alias("words"))
 
 
+def observed(classified: DataFrame, name: str = "outcomes") -> tuple[DataFrame, Observation]:
+    """``classified``, and the counts of its outcomes that are there once an action has run over it."""
+    seen = Observation(name)
+    kinds = (VALIDATED, REJECTED, NONEXISTENT, RETRY)
+    return classified.observe(seen, F.count(F.lit(1)).alias("processed"), *[F.count_if(F.col("outcome") == k).alias(k.lower()) for k in kinds]), seen
+
+
 def checkpointed(frame: DataFrame, name: str) -> DataFrame:
     """``frame``, computed now and kept in the folder that ``spark.checkpoint.dir`` names; a local session gets one."""
     context = frame.sparkSession.sparkContext

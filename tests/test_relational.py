@@ -92,3 +92,9 @@ def test_conll(spark):
     assert [(r.sentence_id, r.form) for r in tokens.orderBy("row_idx").collect()] == [(0, "a"), (0, "b"), (1, "c"), (2, "d")]
     assert [(r.sentence_id, r.form) for r in morph.conll_tokens(lines, drop_open_end=True).orderBy("row_idx").collect()] == [(0, "a"), (0, "b"), (1, "c")]
     assert [[t.form for t in r.tokens] for r in morph.sentences(tokens).orderBy("sentence_id").collect()] == [["a", "b"], ["c"], ["d"]]
+
+
+def test_observed(spark):
+    frame, seen = lookup.observed(spark.createDataFrame([("RETRY",), ("VALIDATED",), ("RETRY",)], "outcome string"))
+    frame.collect()
+    assert seen.get == {"processed": 3, "validated": 1, "rejected": 0, "nonexistent": 0, "retry": 2}

@@ -90,3 +90,8 @@ def test_classification_order(spark):
     assert [(r.tag, r.definition) for r in W.extracted(out, single=True).collect()] == [("NOML", "բ")]
     assert W.rejected(out).count() == 7
     assert W.page_counters(out).first().asDict() == {"extracted": 2, "filtered": 7, "not_armenian": 1, "redirects": 1}
+
+
+def test_trace():
+    steps = W.trace("== Գոյական ==\n* ա")
+    assert [n for n, _ in steps] == ["input", "pp0", "pp1", "pp2", "pp3"] and steps[1][1] == "{{-hy-գո-}}\n* ա" and steps[3][1] == "{{-hy-գո-}}\n# ա"

@@ -67,7 +67,7 @@ def parsed_text(markup: str | None) -> str:
         return ""
     parser = _Text()
     parser.feed(markup)
-    return re.sub(r"\s+", " ", "".join(parser.parts)).strip()
+    return " ".join("".join(parser.parts).split())
 
 
 @F.pandas_udf(StringType())

@@ -123,9 +123,11 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_fi
         hits = hits.where("id is null or first_doc is null or id != first_doc")
     places = hits.groupBy("r1", "r2").agg(F.collect_set("pos").alias("gone"))
 
-    keyed = docs.select("*", *_row_key(id_col, text_col), _lines(text_col).alias("_lines"))
+    # the row is one column, so that no name of its own can clash with those of the join
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), *_row_key(id_col, text_col), _lines(text_col).alias("lines"))
     joined = keyed.join(places, ["r1", "r2"], "left")
     # array_except hashes, so that a text of very many lines takes linear time
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "gone")
-    text = F.when(F.col("gone").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda i: F.col("_lines")[i]), "\n"))
-    return joined.select(*[text.alias(text_col) if c == text_col else F.col(c) for c in docs.columns], F.size("_lines").cast("long").alias("n_lines"), F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_dropped"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
+    text = F.when(F.col("gone").isNull(), F.col("row")[text_col]).otherwise(F.array_join(F.transform(kept, lambda i: F.col("lines")[i]), "\n"))
+    columns = [(text if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns]
+    return joined.select(*columns, F.size("lines").cast("long").alias("n_lines"), F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_dropped"))

@@ -33,10 +33,10 @@ ROWS = [(i, f"  Home\tPage \nonly {i}\nÉtat {i % 2}\n\nLAST") for i in range(12
 
 
 def test_brute_force(spark):
-    docs = spark.createDataFrame([(*r, "a", 1) for r in ROWS], "doc_id long, text string, lang string, n_lines int").repartition(4)
+    docs = spark.createDataFrame([(*r, "a", 1, 2, 3, 4) for r in ROWS], "doc_id long, text string, lang string, n_lines int, r1 int, gone int, row int").repartition(4)
     for how in ({"min_docs": 10}, {"min_docs": 2}, {"min_docs": 3, "min_chars": 5}, {"min_docs": 3, "keep_first": True}, {"min_docs": 2, "batches": 7, "fanout": 3}):
         assert run(docs, **how) == brute(ROWS, how["min_docs"], how.get("min_chars", 1), how.get("keep_first", False))
-    assert set(line_dedup.dedup_lines(docs).columns) == {"doc_id", "text", "lang", "n_lines", "n_dropped"}
+    assert set(line_dedup.dedup_lines(docs).columns) == {"doc_id", "text", "lang", "r1", "gone", "row", "n_lines", "n_dropped"}
 
 
 def test_null_ids_and_empty(spark):

@@ -62,9 +62,12 @@ DERIVATIVE = rf"(?iU)\b(?:{'|'.join(GRAMMAR_WORDS)})\b(?:\s+\b(?:{'|'.join(GRAMM
 
 
 def _any(texts: Column, *needles: str) -> Column:
-    """Some text contains some needle."""
-    test = lambda t: F.coalesce(_contains(t, needles), F.lit(False))
-    return F.exists(texts, test)
+    """Some text contains some needle. ``texts`` is one string of all of them: a plain search, compiled by Spark."""
+    return F.coalesce(_contains(texts, needles), F.lit(False))
+
+
+#: Stands between texts that are searched together.
+MARK = "\x1e"
 
 
 def _contains(t: Column, needles: tuple[str, ...] | list[str]) -> Column:
@@ -84,7 +87,8 @@ def _forms(table: list, texts: Column, only: Column) -> list[tuple[str, Column]]
 
 
 def prepared(frame: DataFrame, entries: str = "entries") -> DataFrame:
-    """Adds ``_raw`` (definitions), ``_defs`` (texts of the definitions) and ``_blobs`` (all texts of the entries).
+    """Adds ``_raw`` (definitions), ``_defs`` (texts of the definitions, an array) and, each as one string with a mark
+    between texts that no needle has, ``_html`` (raw definitions), ``_def`` and ``_blob`` (all texts of the entries).
 
     Texts are stripped of HTML and lowered. Entities need Python only where a text has an ampersand; other strings go
     through the built-in path.
@@ -95,10 +99,11 @@ def prepared(frame: DataFrame, entries: str = "entries") -> DataFrame:
     frame = frame.withColumn("_entries", e).withColumn("_raw", F.filter(raw, lambda d: d.isNotNull()))
     joined = F.concat(F.transform("_raw", lambda d: d["definition"]), others, F.flatten(F.transform("_raw", lambda d: F.array(d["gloss"], d["text"]))))
     # one string for all texts of a row, so that entities are decoded by a single Arrow call
-    frame = frame.withColumn("_n", F.size("_raw")).withColumn("_all", T.html_unescape(F.array_join(F.transform(joined, lambda t: F.coalesce(t, F.lit(""))), "\x1e")))
-    cleaned = F.transform(F.split("_all", "\x1e", -1), lambda t: F.lower(F.regexp_replace(t, "<[^>]+>", "")))
+    frame = frame.withColumn("_n", F.size("_raw")).withColumn("_all", T.html_unescape(F.array_join(F.transform(joined, lambda t: F.translate(F.coalesce(t, F.lit("")), MARK, " ")), MARK)))
+    cleaned = F.transform(F.split("_all", MARK, -1), lambda t: F.lower(F.regexp_replace(t, "<[^>]+>", "")))
     frame = frame.withColumn("_texts", cleaned)
-    return frame.withColumn("_defs", F.slice("_texts", 1, F.col("_n"))).withColumn("_blobs", F.filter("_texts", lambda t: t != "")).drop("_all")
+    frame = frame.withColumn("_defs", F.slice("_texts", 1, F.col("_n"))).withColumn("_def", F.array_join("_defs", MARK)).withColumn("_blob", F.array_join("_texts", MARK))
+    return frame.withColumn("_html", F.array_join(F.transform("_raw", lambda d: F.coalesce(d["definition"], F.lit(""))), MARK)).drop("_all")
 
 
 def _examples(raw: str = "_raw") -> Column:
@@ -130,7 +135,7 @@ def _number(pos: Column) -> list[tuple[str, Column]]:
 
 
 def _origin() -> list[tuple[str, Column]]:
-    blobs = F.col("_blobs")
+    blobs = F.col("_blob")
     out = [("LOANWORD", _any(blobs, "borrowed from", "loanword from")), ("EPONYM", _any(blobs, "named after", "eponym"))]
     for lang in LANGUAGES:
         tag = lang.upper().replace(" ", "_").replace("-", "_")
@@ -140,30 +145,30 @@ def _origin() -> list[tuple[str, Column]]:
 
 def _register() -> list[tuple[str, Column]]:
     labels = F.flatten(F.transform("_raw", lambda d: F.transform(F.coalesce(d["labels"], F.array().cast("array<string>")), lambda x: F.lower(T.strip(x)))))
-    return [(r.upper(), F.coalesce(F.array_contains(labels, r), F.lit(False)) | _any(F.col("_defs"), r)) for r in REGISTERS]
+    return [(r.upper(), F.coalesce(F.array_contains(labels, r), F.lit(False)) | _any(F.col("_def"), r)) for r in REGISTERS]
 
 
 def _morphology() -> list[tuple[str, Column]]:
-    defs = F.col("_defs")
+    defs = F.col("_def")
     return [("COMPOUND", _any(defs, "compound of")), ("PREFIXED", _any(defs, "prefix")), ("SUFFIXED", _any(defs, "suffix"))]
 
 
 def _foreign() -> list[tuple[str, Column]]:
-    raw = F.transform("_raw", lambda d: d["definition"])
+    raw = F.col("_html")
     return [("TRANSLITERATED", F.exists("_entries", lambda e: F.coalesce(T.strip(e["romanization"]) != "", F.lit(False)))), ("FOREIGN_TERM", _any(raw, "<i>", "</i>"))]
 
 
 def _cyrillic(word: Column, pos: Column, combined: bool) -> list[tuple[str, Column]]:
     """Case, number, gender, degree and verb forms of Cyrillic words; ``combined`` joins case and number in one tag."""
-    defs, on = F.col("_defs"), F.coalesce(word.rlike("[Ѐ-ӿ]"), F.lit(False))
+    every, defs, on = F.col("_defs"), F.col("_def"), F.coalesce(word.rlike("[Ѐ-ӿ]"), F.lit(False))
     singular, plural = _any(defs, "singular of", "singular form of"), _any(defs, "plural of", "plural form of")
     nominative = _any(defs, "nominative singular of")
-    oblique = F.exists(defs, lambda t: t.contains(" of") & _contains(t, OBLIQUE))
+    oblique = F.exists(every, lambda t: t.contains(" of") & _contains(t, OBLIQUE))
     if combined:
         out = [("NOMINATIVE_SINGULAR", nominative), ("NON_NOMINATIVE_SINGULAR", ~nominative & oblique & singular), ("NON_NOMINATIVE_PLURAL", ~nominative & oblique & plural), ("SINGULAR", ~nominative & ~oblique & singular), ("PLURAL", ~nominative & ~oblique & plural)]
     else:
         out = [("SINGULAR", singular), ("PLURAL", plural), ("NON_NOMINATIVE", oblique)]
-    of = lambda *words: F.exists(defs, lambda t: t.contains(" of") & _contains(t, words))
+    of = lambda *words: F.exists(every, lambda t: t.contains(" of") & _contains(t, words))
     out += [(tag, of(f"{g} ")) for g, tag in GENDERS.items()]
     out += [("COMPARATIVE", pos.isin("ADJ", "ADV") & of("comparative")), ("SUPERLATIVE", pos.isin("ADJ", "ADV") & of("superlative")), ("SHORT_FORM", (pos == "ADJ") & _any(defs, "short form of", "short adjective form of"))]
     out += _forms(CYRILLIC_VERB_FORMS, defs, pos == "VERB")
@@ -174,14 +179,14 @@ def tag_words(frame: DataFrame, combined_case: bool = True) -> DataFrame:
     """``frame`` (word, part_of_speech, entries) with ``tags``: those of every rule family, sorted, each once."""
     ready = prepared(frame)
     word, pos = F.col("word"), F.col("part_of_speech")
-    rules = [("HAS_EXAMPLE", _examples()), *_coverage(), *_number(pos), *_forms(VERB_FORMS, F.col("_defs"), pos == "VERB"), *_origin(), *_register(), *_morphology(), *_foreign(), *_cyrillic(word, pos, combined_case)]
-    return ready.withColumn("tags", _tags(rules)).drop("_entries", "_raw", "_n", "_texts", "_defs", "_blobs")
+    rules = [("HAS_EXAMPLE", _examples()), *_coverage(), *_number(pos), *_forms(VERB_FORMS, F.col("_def"), pos == "VERB"), *_origin(), *_register(), *_morphology(), *_foreign(), *_cyrillic(word, pos, combined_case)]
+    return ready.withColumn("tags", _tags(rules)).drop("_entries", "_raw", "_n", "_texts", "_defs", "_def", "_blob", "_html")
 
 
 def has_transclusion(entries: str = "entries") -> Column:
     """Some raw definition was transcluded; no rule uses it."""
-    raw = F.flatten(F.transform(entries, lambda e: F.transform(F.coalesce(e["definitions"], F.array().cast(f"array<{DEFINITION}>")), lambda d: d["definition"])))
-    return _any(raw, "mw:Transclusion")
+    raw = F.flatten(F.transform(entries, lambda e: F.transform(F.coalesce(e["definitions"], F.array().cast(f"array<{DEFINITION}>")), lambda d: F.coalesce(d["definition"], F.lit("")))))
+    return _any(F.array_join(raw, MARK), "mw:Transclusion")
 
 
 def by_part_of_speech(words: DataFrame) -> DataFrame:
@@ -207,8 +212,8 @@ def cleanse_tags(frame: DataFrame) -> DataFrame:
     Nouns without a sign of the plural are SINGULAR; derivative coverage only counts entries in the language of the first.
     """
     ready = prepared(frame).withColumn("positions", distinct_upper(F.transform("_entries", lambda e: e["partOfSpeech"])))
-    defs, has = F.col("_defs"), lambda p: F.array_contains("positions", p)
+    defs, has = F.col("_def"), lambda p: F.array_contains("positions", p)
     language = T.strip(F.coalesce(F.try_element_at("_entries", F.lit(1))["language"], F.lit("")))
     plural = _any(defs, *CLEANSE_PLURALS)
     rules = [("HAS_EXAMPLE", _examples()), *_coverage(language), ("PLURAL", has("NOUN") & plural), ("SINGULAR", has("NOUN") & ~plural), *_forms(CLEANSE_VERB_FORMS, defs, has("VERB"))]
-    return ready.withColumn("tags", _tags(rules)).drop("_entries", "_raw", "_n", "_texts", "_defs", "_blobs")
+    return ready.withColumn("tags", _tags(rules)).drop("_entries", "_raw", "_n", "_texts", "_defs", "_def", "_blob", "_html")

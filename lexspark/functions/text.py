@@ -15,15 +15,15 @@ from pyspark.sql.types import StringType
 
 #: The parts of speech that a query suffix may name.
 UD_TAGS = ("NOUN", "VERB", "ADJ", "ADV", "PROPN", "PRON", "DET", "ADP", "CONJ", "SCONJ", "CCONJ", "NUM", "PART", "INTJ", "AUX")
-#: What Python's ``str.strip`` takes away, as a character class.
-BLANK = r"[\s\x1c-\x1f\x85\xa0  -     　]"
+#: What Python's ``str.strip`` takes away.
+WHITE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 #: Where Python's ``str.splitlines`` breaks.
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
 
 
 def strip(c: Column) -> Column:
     """White space of Unicode off both ends; Spark's ``trim`` only knows the space."""
-    return F.regexp_replace(c, f"^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def split_lines(c: Column) -> Column:

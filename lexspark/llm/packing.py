@@ -141,7 +141,7 @@ def _packer(capacity: int):
 PACKED = "doc_id long, source string, cluster string, shard long, bin long, piece long, piece_offset long, piece_bytes long, bin_start long, doc_bytes long"
 
 
-def best_fit(docs: DataFrame, capacity: int = 8192, cluster_col: str | None = None, shard_docs: int = SHARD_DOCS) -> DataFrame:
+def best_fit(docs: DataFrame, capacity: int = 8192, cluster_col: str | None = None, source_col: str | None = "source", shard_docs: int = SHARD_DOCS) -> DataFrame:
     """A row (``PACKED``) for each piece of each row of ``docs`` (doc_id, text, source, and others).
 
     ``shard`` and ``bin`` together name a bin; ``bin_start`` is the piece's place in it and ``piece_offset`` the place
@@ -149,6 +149,8 @@ def best_fit(docs: DataFrame, capacity: int = 8192, cluster_col: str | None = No
     ``cluster_col``, or else a digest of the whole text, so that equal texts never meet in a bin. Only ids, lengths and
     keys travel to the packers, not the texts.
 
+    ``source_col=None`` lets documents of a source meet.
+
     Null and empty texts are pieces of length 0. A null source conflicts with nothing; a null cluster neither. Repeated
     rows are packed one by one (into different bins, as their clusters are equal). Columns beyond the named ones are
     ignored, an empty table gives an empty result. The result depends on the rows only, not on their order.
@@ -158,5 +160,5 @@ def best_fit(docs: DataFrame, capacity: int = 8192, cluster_col: str | None = No
     text = F.coalesce("text", F.lit("")).cast("string")
     cluster = F.col(cluster_col).cast("string") if cluster_col else F.md5(text)
     shards = max(1, -(-docs.select(F.lit(1)).count() // shard_docs))
-    rows = docs.select(F.pmod(F.xxhash64("doc_id", text), F.lit(shards)).cast("long").alias("shard"), F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("doc_bytes"), F.col("source").cast("string").alias("source"), cluster.alias("cluster"))
+    rows = docs.select(F.pmod(F.xxhash64("doc_id", text), F.lit(shards)).cast("long").alias("shard"), F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("doc_bytes"), (F.col(source_col) if source_col else F.lit(None)).cast("string").alias("source"), cluster.alias("cluster"))
     return rows.repartition("shard").sortWithinPartitions("shard", "doc_id", "doc_bytes", "source", "cluster").mapInArrow(_packer(capacity), PACKED)

@@ -120,9 +120,14 @@ def balanced_labels(nodes: DataFrame, shards: int, rounds: int = 6, slack: float
     most = max(share, math.floor(share * (1 + slack)))
     large = F.coalesce(F.col("size") * 4 >= share, F.lit(False))
 
-    group = nodes.groupBy("g1", "g2").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    # at most 4 * shards groups are large, by their definition; their rows take no part in the shuffle of the others
+    group = scratch.write(nodes.groupBy("g1", "g2").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "groups")
     start = ranked(nodes.withColumn("all", F.lit(0)), ["all"], "spot", "place", total).withColumn("shard", F.pmod("place", F.lit(shards)).cast("int")).drop("all", "place")
-    state = scratch.write(start.join(group, ["g1", "g2"], "left").select(*columns, "size", "shard"), "labels")
+    crowds = F.broadcast(group.where(large).select("g1", "g2", F.col("size").alias("crowd")))
+    start = start.join(crowds, ["g1", "g2"], "left").withColumn("k1", F.when(F.col("crowd").isNull(), F.col("g1")).otherwise(F.col("spot")))
+    rest = group.where(~large).select(F.col("g1").alias("k1"), F.col("g2").alias("k2"), "size")
+    start = start.join(rest, (start["k1"] == rest["k1"]) & (start["g2"] == rest["k2"]), "left")
+    state = scratch.write(start.select(*columns, F.coalesce("crowd", "size").alias("size"), "shard"), "labels")
 
     for turn in range(rounds):
         gathers = large if turn < rounds // 2 else ~large & F.col("size").isNotNull()
@@ -138,6 +143,7 @@ def balanced_labels(nodes: DataFrame, shards: int, rounds: int = 6, slack: float
         best = Window.partitionBy("g1", "g2").orderBy(full, F.desc("n"), F.xxhash64("g1", "shard"))
         homes = votes.withColumn("k", F.row_number().over(best)).where(F.col("k") <= F.ceil(F.col("size") / share))
         homes = homes.groupBy("g1", "g2").agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "shard"))), lambda x: x["shard"]).alias("homes"))
+        homes = F.broadcast(homes) if turn < rounds // 2 else homes
         to = F.col("homes")[F.pmod("spot", F.size("homes")).cast("int")]
         movers = state.where(gathers).join(homes, ["g1", "g2"]).where(~F.array_contains("homes", F.col("shard"))).select(*columns, "shard", to.alias("to"))
         movers = scratch.write(movers, "movers")

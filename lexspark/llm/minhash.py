@@ -114,9 +114,16 @@ def _chunks(texts: list[str | None]) -> Iterator[list[str | None]]:
         yield texts[start:]
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches in parts, so that few texts are Python strings at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def _sketcher(size: int, rows: int, bands: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             counts, keys, found = [], [], []
             for texts in _chunks(batch.column(1).to_pylist()):
                 for items in shingle_sets(texts, size):
@@ -135,7 +142,7 @@ def _verifier(size: int, num: int, den: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lead, base = None, None
-        for batch in batches:
+        for batch in _slices(batches):
             leads, followers, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist()
             sets: list[np.ndarray] = []
             for texts in _chunks(batch.column(2).to_pylist()):
@@ -175,7 +182,7 @@ def _block_comparer(size: int, num: int, den: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held, index = None, [], None
-        for batch in batches:
+        for batch in _slices(batches):
             rows = batch.to_pydict()
             sets: list[np.ndarray] = []
             for texts in _chunks(rows["text"]):

@@ -31,6 +31,8 @@ BLOCK_BYTES = 32 << 20
 STEP = 1000
 _START, _END = "\x02", "\x03"
 _CHUNK = 1 << 20
+#: Documents of an Arrow batch that are Python strings at a time.
+_ROWS = 1000
 
 
 def _segments(text: str | None, order: int, step: int = _CHUNK) -> Iterator[str]:
@@ -136,8 +138,9 @@ def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.
         keys = np.stack([batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)], axis=1)
         cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1), len(keys)]
         for a, b in zip(cuts, cuts[1:]):
-            if b > a:
-                yield int(keys[a][0]), int(keys[a][1]), batch.slice(a, b - a)
+            step = _ROWS if b > a and keys[a][1] == 2 else max(1, b - a)  # documents a few at a time
+            for start in range(a, b, step):
+                yield int(keys[a][0]), int(keys[a][1]), batch.slice(start, min(step, b - start))
 
 
 def _counter(order: int):

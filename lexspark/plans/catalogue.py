@@ -189,10 +189,10 @@ def strip_html_parser(spark, d):
 
 
 def _wiki():
-    return F.concat(F.lit("<!-- "), F.col("lang"), F.lit(" -->[["), F.col("source"), F.lit("|"), F.col("lang"), F.lit("]] '''"), F.substr(F.col("text"), F.lit(1), F.lit(300)), F.lit("'''{{t|x}}<ref name=a>r</ref> [[w]] [http://x.y z] և"))
+    return F.concat(F.lit("<!-- "), F.col("lang"), F.lit(" -->[["), F.col("source"), F.lit("|"), F.col("lang"), F.lit("]] '''"), F.col("text"), F.lit("'''{{t|x}}<ref name=a>r</ref> [[w]] [http://x.y z] և"))
 
 
-@query(r"""WITH w AS (SELECT doc_id, '<!-- ' || lang || ' -->[[' || source || '|' || lang || ']] ''''''' || text[1:300] || '''''''{{t|x}}<ref name=a>r</ref> [[w]] [http://x.y z] և' AS t FROM documents),
+@query(r"""WITH w AS (SELECT doc_id, '<!-- ' || lang || ' -->[[' || source || '|' || lang || ']] ''''''' || text || '''''''{{t|x}}<ref name=a>r</ref> [[w]] [http://x.y z] և' AS t FROM documents),
   a AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(t, '(?s)<!--.*?-->', ' ', 'g'), '(?is)<ref[^>]*>.*?</ref>', ' ', 'g'), '<[^>]+>', ' ', 'g') AS t FROM w),
   b AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '(?s)\{\{.*?\}\}', ' ', 'g'), '\[\[([^|\]]+)\|([^\]]+)\]\]', '\2', 'g'), '\[\[([^\]]+)\]\]', '\1', 'g'), '\[https?://[^\s\]]+(?:\s+([^\]]+))?\]', '\1', 'g') AS t FROM a)
   SELECT doc_id, replace(replace(replace(t, '''''''', ''), '''''', ''), 'և', 'եւ') AS text FROM b""")
@@ -272,11 +272,12 @@ def suffix_split(spark, d):
     return rows.groupBy("suffix").agg(F.count(F.lit(1)).alias("words"))
 
 
-@query("SELECT doc_id, CASE lang WHEN 'en' THEN 0 ELSE 1 END AS source_ord FROM documents WHERE lang IN ('en', 'de')")
+@query("SELECT doc_id, CASE lang WHEN 'en' THEN 0 WHEN 'de' THEN 1 ELSE 2 END AS source_ord FROM documents")
 def union_sources(spark, d):
     """U2 U3"""
     docs = V.table(spark, d, "documents").select("doc_id", "lang")
-    return R.chained(docs.where("lang = 'en'"), docs.where("lang = 'de'")).select("doc_id", "source_ord")
+    rest = docs.where("lang is null or lang not in ('en', 'de')")
+    return R.chained(docs.where("lang = 'en'"), docs.where("lang = 'de'"), rest).select("doc_id", "source_ord")
 
 
 @query("""WITH r AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders), b AS (SELECT CAST(floor((i - 50) / 100.0) AS BIGINT) AS batch, i FROM r WHERE i >= 50),
@@ -306,7 +307,7 @@ def _tagged_rows(spark, d):
     rows = V.tagged(spark, d)
     upper = F.when(F.col("frequency") % 2 == 0, _ascii_capital(F.col("word"))).otherwise(F.col("word"))
     main = rows.select(F.concat(F.lit(" "), upper).alias("word"), F.col("part_of_speech").alias("tag"), F.concat(F.lit("d "), F.col("word")).alias("definition"), F.crc32("word").alias("row_idx"))
-    return R.chained(main, main.where("row_idx % 2 = 0").withColumn("definition", F.lit("more")))
+    return R.chained(main, main.withColumn("definition", F.lit("more")))
 
 
 SQL_COMBINE = V.SQL_TAGGED + """, main AS (SELECT CASE WHEN frequency % 2 = 0 THEN translate(word[1], 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') || word[2:] ELSE word END AS raw, word, part_of_speech AS tag, 'd ' || word AS definition, frequency FROM tagged),

@@ -6,7 +6,7 @@ import csv
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
@@ -15,13 +15,21 @@ from lexspark.functions import text as T
 from lexspark.operators import relational as R
 
 
+#: Splits of an input up to which their table is broadcast.
+SPLITS = 100_000
+
+
 def indexed_lines(spark: SparkSession, path: str) -> DataFrame:
     """(line, row_idx): numbers from 0 without gaps, by file name and place in the file.
 
-    Partitions keep the order of a file's blocks; counts by partition (one row each) carry over.
+    Rows of a split have consecutive ids, so a count by split gives every row its number: nothing is sorted.
     """
-    lines = spark.read.text(path).withColumnRenamed("value", "line").withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id())
-    return number_rows(lines, "_m").drop("_p", "_m")
+    lines = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_s"), F.monotonically_increasing_id().alias("_m"))
+    splits = lines.groupBy("_f", "_s").agg(F.min("_m").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_f", "_s").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = splits.select("_f", "_s", "_first", F.coalesce(before, F.lit(0)).alias("_before"))
+    offsets = F.broadcast(offsets) if lines.rdd.getNumPartitions() <= SPLITS else offsets
+    return lines.join(offsets, ["_f", "_s"]).select("line", (F.col("_before") + F.col("_m") - F.col("_first")).alias("row_idx"))
 
 
 def number_rows(rows: DataFrame, order: str, out: str = "row_idx") -> DataFrame:

@@ -19,6 +19,18 @@ def test_indexed_lines(spark, tmp_path):
     assert [(r.line, r.row_idx) for r in readers.indexed_lines(spark, path).orderBy("row_idx").collect()] == [(f"l{i}", i) for i in range(500)]
 
 
+def test_indexed_files(spark, tmp_path):
+    for name, n in (("a", 3), ("b", 400), ("c", 50)):
+        put(tmp_path / name, "".join(f"{name}{i:04d}\n" for i in range(n)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        got = [r.line for r in readers.indexed_lines(spark, str(tmp_path)).orderBy("row_idx").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == sorted(got) and len(got) == 453
+    assert readers.indexed_lines(spark, put(tmp_path / "none", "")).collect() == []
+
+
 def test_candidates(spark, tmp_path):
     path = put(tmp_path / "c.csv", "Word,freq\n a , 1_0 ,x\nb\n,5\nc,x\nterm_frequency,9\nd_NOUN,7\ne,3\nff,9\n")
     lines = readers.indexed_lines(spark, path)

@@ -1,8 +1,10 @@
 """Line deduplication over levelled sorted runs of line hashes, in DataFrame operations only.
 
-A run is a table of (h1, h2, n_docs, first_doc), sorted by hash in each of its files. Each batch of documents is
-anti-joined with the runs, which tells the lines that are new, and adds a run of its own at level 0; as soon as a
-level has ``fanout`` runs they are merged into one run of the next level, so n batches leave about log(n) runs.
+A run is a table of (h1, h2, n_docs, first_doc), sorted by hash in each of its files. Batches of documents come by
+ascending id. Each is anti-joined with the runs: what is left are the lines that no earlier batch has, whose first
+document is in this one. The batch then adds a run of its own at level 0, in which only those lines have a first
+document. As soon as a level has ``fanout`` runs they are merged into one run of the next level, so n batches leave
+about log(n) runs.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from lexspark.llm._scratch import Scratch
 
@@ -43,12 +46,14 @@ def hashed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 @dataclass
 class LineRuns:
-    """The runs, by level. Runs are written tables in the shared folder and are never changed, only replaced."""
+    """The runs, by level. Runs are written tables in the shared folder and are never changed, only replaced; ``written``
+    has all of them, for the one who drops them."""
 
     spark: SparkSession
     scratch: Scratch
     fanout: int = 2
     levels: list[list[DataFrame]] = field(default_factory=list)
+    written: list[DataFrame] = field(default_factory=list)
 
     def runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
@@ -60,7 +65,8 @@ class LineRuns:
         return lines
 
     def _sorted(self, run: DataFrame) -> DataFrame:
-        return self.scratch.write(run.select("h1", "h2", "n_docs", "first_doc").sortWithinPartitions("h1", "h2"), "run")
+        self.written.append(self.scratch.write(run.select("h1", "h2", "n_docs", "first_doc").sortWithinPartitions("h1", "h2"), "run"))
+        return self.written[-1]
 
     def merged(self, runs: list[DataFrame]) -> DataFrame:
         every = runs[0]
@@ -68,17 +74,18 @@ class LineRuns:
             every = every.unionByName(run)
         return every.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.min("first_doc").alias("first_doc"))
 
-    def add(self, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Adds a batch of (h1, h2, n_docs, first_doc), one row a hash; returns its run and the part that is new."""
-        new = self.unseen(batch)
-        run = self._sorted(batch)
+    def add(self, batch: DataFrame) -> DataFrame:
+        """Adds a batch of (h1, h2, n_docs, first_doc), one row a hash; returns its run. A first document stays with the
+        lines that no run has yet, so that in a merge the earliest batch's is the only one."""
+        new = self.unseen(batch).select("h1", "h2", F.lit(True).alias("new"))
+        run = self._sorted(batch.join(new, ["h1", "h2"], "left").withColumn("first_doc", F.when(F.col("new"), F.col("first_doc"))) if self.runs() else batch)
         level, carried = 0, run
         while True:
             if level == len(self.levels):
                 self.levels.append([])
             self.levels[level].append(carried)
             if len(self.levels[level]) < self.fanout:
-                return run, new
+                return run
             carried = self._sorted(self.merged(self.levels[level]))
             self.levels[level] = []
             level += 1
@@ -103,13 +110,20 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_fi
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "lines")
     docs = docs.drop("n_lines", "n_dropped")
+    batches = batches if isinstance(docs.schema[id_col].dataType, NumericType) else 1  # ids of other kinds have no ranges
     lines = scratch.write(hashed_lines(docs, id_col, text_col, min_chars), "lines")
-    batch = F.pmod(F.xxhash64("id"), F.lit(batches)).cast("int").alias("batch")
+    # batches are ranges of ids of about the same number of lines; where exactly they are cut has no effect on the result
+    cuts = lines.agg(F.percentile_approx("id", [i / batches for i in range(1, batches)])).first()[0] if batches > 1 else None
+    batch = F.lit(0)
+    for i, cut in enumerate(sorted({*(cuts or [])})):
+        batch = F.when(F.col("id") > cut, F.lit(i + 1)).otherwise(batch)
+    batch = batch.alias("batch")
     counted = scratch.write(_counted(lines.select("*", batch), "batch"), "batches", ("batch",))
     runs = LineRuns(spark, scratch, fanout)
     for i in range(batches):
         runs.add(counted.where(F.col("batch") == i).drop("batch"))
     found = scratch.write(runs.merged(runs.runs()).where(F.col("n_docs") >= min_docs), "frequent")
+    scratch.drop(counted, *runs.written)
 
     total = lines.count()
     cut = max(min_docs, total // HEAVY + 1)

@@ -43,13 +43,16 @@ def test_null_ids_and_empty(spark):
     docs = spark.createDataFrame([(None, "a\nb"), (None, "a\nb"), (1, "a\nc"), (2, "a")], "doc_id long, text string")
     assert run(docs, min_docs=3) == [("1", "c", 2, 1), ("2", "", 1, 1), ("None", "b", 2, 1), ("None", "b", 2, 1)]
     assert run(docs.limit(0)) == []
+    named = spark.createDataFrame([("b", "x\ny"), ("a", "x\nz")], "doc_id string, text string")
+    assert run(named, min_docs=2, keep_first=True) == [("a", "x\nz", 2, 0), ("b", "y", 2, 1)]
 
 
 def test_runs(spark):
     runs = line_dedup.LineRuns(spark, Scratch(spark, "test"), fanout=2)
     for i in range(5):
         batch = spark.createDataFrame([(k, k, 1, i) for k in range(i, i + 10)], "h1 long, h2 long, n_docs long, first_doc long")
-        _, new = runs.add(batch)
+        run = runs.add(batch)
+        assert {r.h1 for r in run.where('first_doc is not null').collect()} == ({*range(10)} if i == 0 else {i + 9})
     assert [len(x) for x in runs.levels] == [1, 0, 1]
     assert {r.h1 for r in runs.unseen(spark.createDataFrame([(3, 3), (13, 13), (14, 14)], "h1 long, h2 long")).collect()} == {14}
     got = {r.h1: (r.n_docs, r.first_doc) for r in runs.merged(runs.runs()).collect()}

@@ -264,7 +264,10 @@ def gram_logs(grams: DataFrame, order: int, scratch: Scratch) -> DataFrame:
         rows = rows.join(tables[n - 1], ["lang", "gram"], "left").join(contexts, ["lang", "context"], "left").join(discounts, "lang")
         own = F.when(F.col("c").isNull(), 0.0).otherwise(F.greatest(F.lit(0.0), F.col("c") - _discount(F.col("c"))))
         p = F.when(F.col("total").isNull(), F.col("below")).otherwise((own + F.col("mass") * F.col("below")) / F.col("total"))
-        lower = scratch.write(rows.select("lang", F.col("gram").alias("suffix"), p.alias("below")), "lower")
+        done, lower = lower, scratch.write(rows.select("lang", F.col("gram").alias("suffix"), p.alias("below")), "lower")
+        if n > 1:
+            scratch.drop(done)
+    scratch.drop(top, *tables[:-1])
     return lower.select("lang", F.col("suffix").alias("gram"), F.log("below").alias("log"))
 
 

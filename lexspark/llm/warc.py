@@ -8,6 +8,7 @@ target URI, date and digests; the metadata record also lists the HTTP headers, t
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import html
 import re
@@ -73,7 +74,9 @@ def serialize(record: dict, extra: tuple[tuple[str, str], ...] = ()) -> bytes:
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(named fields, block) of each record of an uncompressed WARC file. A cut-off record raises ValueError."""
+    """(named fields, block) of each record of a WARC file, plain or with a gzip member for each record. A cut-off
+    record raises ValueError."""
+    data = gzip.decompress(data) if data.startswith(b"\x1f\x8b") else data
     at = 0
     while at < len(data):
         end = data.find(b"\r\n\r\n", at)
@@ -127,14 +130,14 @@ def responses(pages: DataFrame, warc_date: str = "2026-01-01T00:00:00Z") -> Data
 
 
 def write_warc(records: DataFrame, path: str) -> None:
-    """Writes ``records`` as text-free binary rows (page_id, record) that ``parse`` reads back one after another.
+    """Writes the bytes of ``records`` as rows (page_id, record), a gzip member for each record.
 
-    Spark has no sink for raw bytes; Parquet keeps each record whole, and any task can stream the cells to a file.
+    Spark has no sink for raw bytes. The cells of a file, put one behind the other, are a WARC file.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.to_pylist()
-            yield pa.RecordBatch.from_arrays([pa.array([r["page_id"] for r in rows], pa.int64()), pa.array([serialize(r) for r in rows], pa.binary())], ["page_id", "record"])
+            yield pa.RecordBatch.from_arrays([pa.array([r["page_id"] for r in rows], pa.int64()), pa.array([gzip.compress(serialize(r), mtime=0) for r in rows], pa.binary())], ["page_id", "record"])
 
     records.mapInArrow(run, "page_id long, record binary").write.parquet(path)

@@ -1,5 +1,7 @@
 import hashlib
 
+import pytest
+
 from lexspark.llm import warc
 
 HTML = """<!DOCTYPE html><html><head><title>A &amp; <b>B</b></title><style>p{x:y}</style><script>var t="</p>";</script></head>
@@ -36,7 +38,10 @@ def test_records(spark, tmp_path):
     assert [(f["WARC-Record-ID"], b.decode()) for f, b in back] == [(r["record_id"], r["block"]) for r in out]
     assert all(int(f["Content-Length"]) == len(b) and f["WARC-Refers-To"] == r["refers_to"] for (f, b), r in zip(back, out))
     warc.write_warc(warc.derive(warc.responses(pages)), str(tmp_path / "w"))
-    assert spark.read.parquet(str(tmp_path / "w")).count() == 8
+    cells = [bytes(r.record) for r in spark.read.parquet(str(tmp_path / "w")).collect()]
+    assert sorted(f["WARC-Record-ID"] for f, _ in warc.parse(b"".join(cells))) == sorted(r["record_id"] for r in out)
+    with pytest.raises(ValueError):
+        list(warc.parse(data[:-30]))
 
 
 def test_digest_labels():

@@ -5,7 +5,8 @@ counts in trusted documents. Counts, continuation counts, discounts and back-off
 table, and the probability of each distinct n-gram comes from joins of count tables that are sharded by n-gram, order
 by order. The second pass sends each block the probabilities of its own n-grams, so no task holds the model; a block
 scores its documents and a document is rejected if its perplexity is above a quantile of the perplexities of trusted
-documents in its language that the model has not seen.
+documents in its language that the model has not seen. Text that repeats a few words is cheap to any such model, so the
+share of repeated word pairs is held against the same quantile of these documents.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from lexspark.llm._scratch import Scratch, small
 ORDER = 4
 #: Rejected are documents above this quantile of held-out trusted documents of their language.
 QUANTILE = 0.998
+#: A share of repeated word pairs up to this one never rejects: a few held-out documents say little about long texts.
+LEAST_REPEATS = 0.2
 #: One in so many trusted documents is held out of training.
 HELD_OUT = 5
 #: Bytes of text in a block, on average.
@@ -132,6 +135,12 @@ def _batched(texts: list[str | None], order: int) -> Iterator[tuple[list[int], l
         yield places, segments
 
 
+def repeated_pairs(text: str | None) -> float:
+    """The share of a text's pairs of neighbouring words that it had before; 0 without a pair."""
+    words = (text or "").split()
+    return 1 - len(set(zip(words, words[1:]))) / (len(words) - 1) if len(words) > 1 else 0.0
+
+
 def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.RecordBatch]]:
     """(block, kind, slice) of batches that come by block and kind."""
     for batch in batches:
@@ -212,7 +221,7 @@ def _scorer(order: int):
                 for places, segments in _batched([texts[i] for i in members], order):
                     np.add.at(total, np.array(members)[places], scorers[lang].totals(segments))
             mean = -total / size
-            yield pa.RecordBatch.from_arrays([rows.column(2), rows.column(3), pa.array(size - 1), pa.array([i in trusted for i in ids]), rows.column(4), pa.array(mean, pa.float64(), mask=np.isnan(mean))], ["doc_id", "lang", "n_chars", "trusted", "held", "log_perplexity"])
+            yield pa.RecordBatch.from_arrays([rows.column(2), rows.column(3), pa.array(size - 1), pa.array([i in trusted for i in ids]), rows.column(4), pa.array(mean, pa.float64(), mask=np.isnan(mean)), pa.array([repeated_pairs(t) for t in texts], pa.float64())], ["doc_id", "lang", "n_chars", "trusted", "held", "log_perplexity", "repeats"])
 
     return run
 
@@ -272,7 +281,7 @@ def gram_logs(grams: DataFrame, order: int, scratch: Scratch) -> DataFrame:
 
 
 def perplexities(docs: DataFrame, trusted: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, lang, n_chars, trusted, held, log_perplexity) of each row of ``docs`` (doc_id, text, lang).
+    """(doc_id, lang, n_chars, trusted, held, log_perplexity, repeats) of each row of ``docs`` (doc_id, text, lang).
 
     ``trusted`` has the ids of trusted documents. Those with ``held`` are not trained on. log_perplexity is the mean
     negative log-probability of a text's characters and its end; null for a language without training text.
@@ -295,25 +304,38 @@ def perplexities(docs: DataFrame, trusted: DataFrame, order: int = ORDER, block_
     grams = scratch.write(dealt(told.unionByName(rows)).mapInArrow(_counter(order), "block long, lang string, gram string, c long"), "block-grams")
     logs = gram_logs(grams.select("lang", "gram", "c"), order, scratch)
     answers = grams.select("block", "lang", "gram").join(logs, ["lang", "gram"]).select("block", F.lit(1).alias("kind"), none("long").alias("doc_id"), "lang", F.lit(False).alias("held"), F.col("gram").alias("text"), "log")
-    return scratch.write(dealt(told.unionByName(rows).unionByName(answers)).mapInArrow(_scorer(order), "doc_id long, lang string, n_chars long, trusted boolean, held boolean, log_perplexity double"), "scores")
+    return scratch.write(dealt(told.unionByName(rows).unionByName(answers)).mapInArrow(_scorer(order), "doc_id long, lang string, n_chars long, trusted boolean, held boolean, log_perplexity double, repeats double"), "scores")
+
 
+def thresholds(scores: DataFrame, quantile: float = QUANTILE, column: str = "log_perplexity") -> DataFrame:
+    """(lang, threshold): the ``quantile`` of ``column`` over held-out trusted documents, up to the next step.
 
-def thresholds(scores: DataFrame, quantile: float = QUANTILE) -> DataFrame:
-    """(lang, threshold): the ``quantile`` of log-perplexity over held-out trusted documents, up to the next step.
+    Where a language has too few of them for any to be above that quantile, its worst document does not decide alone:
+    the threshold is not above its median plus the quantile of all languages' distances from their medians.
 
     Values are counted in steps of 1 / STEP, so a task holds no language's documents and the result does not depend on
     the order of rows.
     """
-    counted = scores.where("trusted and held and log_perplexity is not null").groupBy("lang", F.ceil(F.col("log_perplexity") * STEP).alias("step")).agg(F.count(F.lit(1)).alias("n"))
-    below = F.sum("n").over(Window.partitionBy("lang").orderBy("step"))
-    of = F.sum("n").over(Window.partitionBy("lang"))
-    return counted.select("lang", "step", below.alias("below"), of.alias("of")).where(F.col("below") >= F.ceil(F.col("of") * quantile)).groupBy("lang").agg((F.min("step") / STEP).alias("threshold"))
+    counted = scores.where(f"trusted and held and {column} is not null").groupBy("lang", F.ceil(F.col(column) * STEP).alias("step")).agg(F.count(F.lit(1)).alias("n"))
+
+    def ranked(frame: DataFrame, by: str, order: str) -> DataFrame:
+        return frame.select("*", F.sum("n").over(Window.partitionBy(by).orderBy(order)).alias("below"), F.sum("n").over(Window.partitionBy(by)).alias("of"))
+
+    steps = ranked(counted, "lang", "step")
+    enough = F.col("below") >= F.ceil(F.col("of") * quantile)
+    own = steps.groupBy("lang").agg(F.min(F.when(enough, F.col("step"))).alias("own"), F.min(F.when(F.col("below") * 2 >= F.col("of"), F.col("step"))).alias("middle"), F.first("of").alias("of"))
+    # at most as many rows as there are steps between the least and the greatest distance
+    away = counted.join(own, "lang").groupBy((F.col("step") - F.col("middle")).alias("away")).agg(F.sum("n").alias("n")).withColumn("all", F.lit(0))
+    tail = ranked(away, "all", "away").where(enough).agg(F.min("away").alias("tail"))
+    out = F.when(F.ceil(F.col("of") * quantile) < F.col("of"), F.col("own")).otherwise(F.least("own", F.col("middle") + F.col("tail")))
+    return own.crossJoin(F.broadcast(tail)).select("lang", (out / STEP).alias("threshold"))
 
 
 def classify(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, order: int = ORDER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, lang, n_chars, perplexity, threshold, accepted) of each row of ``docs`` (doc_id, text, lang).
+    """(doc_id, lang, n_chars, perplexity, threshold, repeats, most_repeats, accepted) of each row of ``docs`` (doc_id, text, lang).
 
-    Accepted are rows whose perplexity is at most the threshold of their language; rows of a language without
+    Accepted are rows whose perplexity is at most the threshold of their language and whose share of repeated word pairs
+    is at most ``most_repeats``, the quantile over all languages (LEAST_REPEATS at least); rows of a language without
     trusted or held-out documents as well, as nothing speaks against them. A null language is the empty one, a null
     text is empty, and empty texts are accepted (there is nothing to judge). Rows that repeat get equal results.
     Labels for ids that are not there, or for the null id, have no effect. Further columns are ignored; an empty table
@@ -321,9 +343,11 @@ def classify(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, or
     """
     scores = perplexities(docs, trusted, order, block_bytes)
     limits = F.broadcast(thresholds(scores, quantile)) if scores.select("lang").distinct().count() <= 10_000 else thresholds(scores, quantile)
-    judged = scores.join(limits, "lang", "left")
-    accepted = F.coalesce(F.col("log_perplexity") <= F.col("threshold"), F.lit(True)) | (F.col("n_chars") == 0)
-    return judged.select("doc_id", "lang", "n_chars", F.exp("log_perplexity").alias("perplexity"), F.exp("threshold").alias("threshold"), accepted.alias("accepted"))
+    most = thresholds(scores.withColumn("lang", F.lit("")), quantile, "repeats").agg(F.greatest(F.lit(LEAST_REPEATS), F.max("threshold")).alias("most_repeats"))
+    judged = scores.join(limits, "lang", "left").crossJoin(F.broadcast(most))
+    fits = (F.col("log_perplexity") <= F.col("threshold")) & (F.col("repeats") <= F.col("most_repeats"))
+    accepted = F.when(F.col("log_perplexity").isNull() | F.col("threshold").isNull() | (F.col("n_chars") == 0), True).otherwise(fits)
+    return judged.select("doc_id", "lang", "n_chars", F.exp("log_perplexity").alias("perplexity"), F.exp("threshold").alias("threshold"), "repeats", "most_repeats", accepted.alias("accepted"))
 
 
 def keep_accepted(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE) -> DataFrame:

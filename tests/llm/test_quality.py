@@ -95,6 +95,32 @@ def test_thresholds(spark):
     assert {r.lang: r.threshold for r in quality.thresholds(scores, 0.9).collect()} == {"x": 0.89, "y": 1.0}
 
 
+def test_small_language_is_not_set_by_its_worst(spark):
+    rows = [("x", True, True, i / 1000) for i in range(1000)] + [("y", True, True, 1.0)] * 9 + [("y", True, True, 9.0)]
+    scores = spark.createDataFrame(rows, "lang string, trusted boolean, held boolean, log_perplexity double")
+    got = {r.lang: r.threshold for r in quality.thresholds(scores, 0.99).collect()}
+    assert got["x"] == 0.989 and 1.0 <= got["y"] < 2.0
+
+
+def test_repetition(spark):
+    assert [quality.repeated_pairs(t) for t in (None, "", "a", "a b", "a a a", "a b a b a")] == [0, 0, 0, 0, 0.5, 0.5]
+    rng = random.Random(4)
+    prose = lambda n: " ".join("".join(rng.choices("abcde", k=rng.randrange(2, 6))) for _ in range(n))
+    docs = [(i, prose(80), "x") for i in range(400)] + [(1000, "abcd " * 200, "x"), (1001, "ab cde " * 200, "x"), (1002, prose(80), "x"), (1003, "ab " * 200, "unseen")]
+    out = quality.classify(spark.createDataFrame(docs, "doc_id long, text string, lang string"), spark.range(400).toDF("doc_id"))
+    got = {r.doc_id: r.accepted for r in out.where("doc_id >= 1000").collect()}
+    assert got == {1000: False, 1001: False, 1002: True, 1003: True}
+
+
+def test_junk_of_repeated_words(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    out = quality.classify(docs, labels.where("quality = 1 and doc_id % 2 = 0").select("doc_id")).join(labels.where("quality = 0").select("doc_id"), "doc_id").join(docs.select("doc_id", "text"), "doc_id")
+    rows = [(r.text.split(), r.accepted) for r in out.select("text", "accepted").collect()]
+    repeated = [a for w, a in rows if len(w) > 20 and len(set(w)) < 0.15 * len(w)]
+    assert len(repeated) > 100 and sum(repeated) <= 0.05 * len(repeated)
+
+
 def test_labels(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")

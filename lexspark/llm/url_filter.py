@@ -32,6 +32,10 @@ RULES = (Rule("com", "/", True), Rule("example.com", "/en/", False), Rule("www.e
 BROADCAST_HOSTS = 100_000
 #: Links of a page, on the average of which the graph is cut: copies of a host's score that a round works on.
 SALTS = 16
+#: Scores have converged once no host's changes by more in a round: far below any threshold.
+CONVERGED = 1e-9
+#: Rounds after which scores that still change are an error. A round leaves 0.85 of a change, so that some 140 do.
+MOST_ROUNDS = 400
 
 
 def _ascii_lower(c: Column) -> Column:
@@ -66,12 +70,15 @@ def host_links(pages: DataFrame, host: Column) -> DataFrame:
     return found.where("src != '' and dst != '' and src != dst").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, scratch: Scratch, rounds: int = 10, damping: float = 0.85) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, scratch: Scratch, rounds: int | None = None, damping: float = 0.85) -> DataFrame:
     """(host, trust, distrust) of hosts that a seed reaches, seeds included.
 
     ``edges`` has (src, dst, n), ``seeds`` (host, trust, distrust). A round spreads trust over a host's outgoing links
     and distrust over its incoming ones, each link by its share of n; seeds get their own part back each time. Scores
     are rounded to 12 places, so that they do not depend on the order of sums.
+
+    Without ``rounds`` the seeds start with that part and rounds go on until no score changes by more than CONVERGED;
+    RuntimeError if MOST_ROUNDS do not suffice. With ``rounds`` there are so many, from the seeds' whole scores.
     """
     both = edges.select(F.col("src").alias("from"), F.col("dst").alias("to"), "n", F.lit(1).alias("forth")).unionByName(edges.select(F.col("dst").alias("from"), F.col("src").alias("to"), "n", F.lit(0).alias("forth")))
     # a hub's links are spread over SALTS parts; its score is copied to each of them
@@ -82,19 +89,30 @@ def propagate(edges: DataFrame, seeds: DataFrame, scratch: Scratch, rounds: int
     if flows.isEmpty():
         return state
     salts = F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)"))
-    for _ in range(rounds):
+    share = seeds.select("host", *((F.col(c) * (1 - damping)).alias(c) for c in ("trust", "distrust")))
+    if rounds is None:
+        whole, state = state, scratch.write(share, "scores")
+        scratch.drop(whole)
+    for _ in range(MOST_ROUNDS if rounds is None else rounds):
         sent = flows.join(state.withColumnRenamed("host", "from").withColumn("salt", salts), ["from", "salt"])
         got = sent.groupBy(F.col("to").alias("host")).agg(F.sum(F.when(F.col("forth") == 1, F.col("w") * F.col("trust")).otherwise(0.0)).alias("trust"), F.sum(F.when(F.col("forth") == 0, F.col("w") * F.col("distrust")).otherwise(0.0)).alias("distrust"))
-        share = seeds.select("host", *((F.col(c) * (1 - damping)).alias(c) for c in ("trust", "distrust")))
         moved = got.select("host", *((F.col(c) * damping).alias(c) for c in ("trust", "distrust")))
         after = share.unionByName(moved).groupBy("host").agg(*(F.round(F.sum(c), 12).alias(c) for c in ("trust", "distrust")))
         after = scratch.write(after, "scores")
+        if rounds is None:
+            old = state.select("host", *(F.col(c).alias(f"old_{c}") for c in ("trust", "distrust")))
+            change = lambda c: F.abs(F.coalesce(F.col(c), F.lit(0.0)) - F.coalesce(F.col(f"old_{c}"), F.lit(0.0)))
+            most = after.join(old, "host", "full").select(F.max(F.greatest(change("trust"), change("distrust")))).first()[0]
         scratch.drop(state)
         state = after
+        if rounds is None and (most or 0.0) <= CONVERGED:
+            return state
+    if rounds is None:
+        raise RuntimeError(f"scores of hosts still change by {most} after {MOST_ROUNDS} rounds")
     return state
 
 
-def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = 10, damping: float = 0.85, least_distrust: float = 1e-6) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int | None = None, damping: float = 0.85, least_distrust: float = 1e-6) -> DataFrame:
     """(page_id, host, path, rule, verdict, trust, distrust, by) of each row of ``pages`` (page_id, url, html).
 
     A rule that fits decides; the longest does. Other urls are blocked if their host's distrust is at least

@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from lexspark.llm import url_filter
 from lexspark.llm._scratch import Scratch
 from lexspark.llm.url_filter import Rule
@@ -84,5 +86,33 @@ def test_links_decide(spark, monkeypatch):
         assert got == {1: ("block", "rule"), 2: ("allow", "rule"), 3: ("block", "links"), 4: ("allow", "links"), 5: ("allow", "links"), 6: ("allow", "links"), 7: ("allow", "rule")}
 
 
+def test_converges(spark, monkeypatch):
+    # a chain of hosts: trust from t at its start, distrust from b at its end
+    names = ["t", *(f"h{i}" for i in range(1, 13)), "b"]
+    edges = [(a, b, 1) for a, b in zip(names, names[1:])] + [("p", "q", 1), ("q", "p", 2), ("q", "b", 1)]
+    seeds = {"t": (1.0, 0.0), "b": (0.0, 1.0)}
+    frames = spark.createDataFrame(edges, "src string, dst string, n long"), spark.createDataFrame([(h, *v) for h, v in seeds.items()], "host string, trust double, distrust double")
+    got = {r.host: (r.trust, r.distrust) for r in url_filter.propagate(*frames, Scratch(spark, "test")).collect()}
+    want = brute(edges, seeds, 400, 0.85)
+    assert got.keys() == want.keys()
+    assert all(abs(a - b) < 1e-7 for h in want for a, b in zip(got[h], want[h]))
+    assert abs(got["h12"][0] - 0.15 * 0.85**12) < 1e-9
+    monkeypatch.setattr(url_filter, "MOST_ROUNDS", 3)
+    with pytest.raises(RuntimeError):
+        url_filter.propagate(*frames, Scratch(spark, "test"))
+
+
+def test_far_links_decide(spark):
+    # a chain from a trusted host over ten links to x, and over three more to a blocked one; another chain of eleven
+    rules = (Rule("bad.example", "/", False), Rule("good.example", "/", True))
+    chain = ["good.example", *(f"a{i}.test" for i in range(1, 10)), "x.test", "y.test", "z.test", "bad.example"]
+    other = [*(f"b{i}.test" for i in range(11)), "bad.example"]
+    links = list(zip(chain, chain[1:])) + list(zip(other, other[1:]))
+    pages = spark.createDataFrame([(i, f"http://{a}/", f'<a href="http://{b}/">x</a>') for i, (a, b) in enumerate([*links, ("bad.example", "bad.example")])], "page_id long, url string, html string")
+    got = {r.host: r for r in url_filter.judge_urls(pages, rules).collect()}
+    assert got["b0.test"].distrust > 1e-3 and got["b0.test"].verdict == "block"
+    assert got["x.test"].trust < got["x.test"].distrust and got["x.test"].verdict == "block"
+
+
 def test_main_path_is_native():
     assert not re.search(r"pandas|mapIn|udf|\.rdd", open(url_filter.__file__).read())

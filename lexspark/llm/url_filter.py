@@ -1,8 +1,9 @@
 """URL filters: written rules first, and trust and distrust over the link graph of hosts for the rest.
 
 Trust is a personalised PageRank from hosts that rules allow, along links. Distrust starts at hosts that rules block and
-runs against the links: a host that links to a bad one is suspect. Both are damped; each host is then judged by
-thresholds. Everything is DataFrame operations; a round is two equi-joins and a grouped sum over host edges.
+runs against the links: a host that links to a bad one is suspect. Both are damped. Both are also divided among all links of
+the host that sends them, so that they shrink as others link to it as well; a host is therefore judged by its exposure and
+its backing, the same two scores by the shares of its own links. Everything is DataFrame operations; a round is two equi-joins and a grouped sum over host edges.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ SALTS = 16
 CONVERGED = 1e-9
 #: Rounds after which scores that still change are an error. A round leaves 0.85 of a change, so that some 140 do.
 MOST_ROUNDS = 400
+_SCORES = ("trust", "distrust", "backing", "exposure")
 
 
 def _ascii_lower(c: Column) -> Column:
@@ -71,38 +73,43 @@ def host_links(pages: DataFrame, host: Column) -> DataFrame:
 
 
 def propagate(edges: DataFrame, seeds: DataFrame, scratch: Scratch, rounds: int | None = None, damping: float = 0.85) -> DataFrame:
-    """(host, trust, distrust) of hosts that a seed reaches, seeds included.
+    """(host, trust, distrust, backing, exposure) of hosts that a seed reaches, seeds included.
 
     ``edges`` has (src, dst, n), ``seeds`` (host, trust, distrust). A round spreads trust over a host's outgoing links
-    and distrust over its incoming ones, each link by its share of n; seeds get their own part back each time. Scores
+    and distrust over its incoming ones, each link by its share of n; seeds get their own part back each time. Backing is
+    trust where a link counts by its share of all links to its target, exposure is distrust where it counts by its share
+    of all links from its source: neither depends on how many others have links with the same host. Scores
     are rounded to 12 places, so that they do not depend on the order of sums.
 
     Without ``rounds`` the seeds start with that part and rounds go on until no score changes by more than CONVERGED;
     RuntimeError if MOST_ROUNDS do not suffice. With ``rounds`` there are so many, from the seeds' whole scores.
     """
-    both = edges.select(F.col("src").alias("from"), F.col("dst").alias("to"), "n", F.lit(1).alias("forth")).unionByName(edges.select(F.col("dst").alias("from"), F.col("src").alias("to"), "n", F.lit(0).alias("forth")))
+    out, into = edges.groupBy("src").agg(F.sum("n").alias("out")), edges.groupBy("dst").agg(F.sum("n").alias("into"))
+    known = edges.join(out, "src").join(into, "dst").select("src", "dst", (F.col("n") / F.col("out")).alias("of_out"), (F.col("n") / F.col("into")).alias("of_in"))
+    both = known.select(F.col("src").alias("from"), F.col("dst").alias("to"), F.lit(1).alias("forth"), F.col("of_out").alias("sent"), F.col("of_in").alias("had")).unionByName(known.select(F.col("dst").alias("from"), F.col("src").alias("to"), F.lit(0).alias("forth"), F.col("of_in").alias("sent"), F.col("of_out").alias("had")))
     # a hub's links are spread over SALTS parts; its score is copied to each of them
-    of = both.groupBy("from", "forth").agg(F.sum("n").alias("of"))
-    flows = both.join(of, ["from", "forth"]).select("from", "to", "forth", (F.col("n") / F.col("of")).alias("w"), F.pmod(F.xxhash64("to"), F.lit(SALTS)).alias("salt"))
+    flows = both.withColumn("salt", F.pmod(F.xxhash64("to"), F.lit(SALTS)))
     flows = scratch.write(flows, "flows")
+    seeds = seeds.select("host", "trust", "distrust", F.col("trust").alias("backing"), F.col("distrust").alias("exposure"))
     state = scratch.write(seeds, "scores")
     if flows.isEmpty():
         return state
     salts = F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)"))
-    share = seeds.select("host", *((F.col(c) * (1 - damping)).alias(c) for c in ("trust", "distrust")))
+    share = seeds.select("host", *((F.col(c) * (1 - damping)).alias(c) for c in _SCORES))
     if rounds is None:
         whole, state = state, scratch.write(share, "scores")
         scratch.drop(whole)
     for _ in range(MOST_ROUNDS if rounds is None else rounds):
         sent = flows.join(state.withColumnRenamed("host", "from").withColumn("salt", salts), ["from", "salt"])
-        got = sent.groupBy(F.col("to").alias("host")).agg(F.sum(F.when(F.col("forth") == 1, F.col("w") * F.col("trust")).otherwise(0.0)).alias("trust"), F.sum(F.when(F.col("forth") == 0, F.col("w") * F.col("distrust")).otherwise(0.0)).alias("distrust"))
-        moved = got.select("host", *((F.col(c) * damping).alias(c) for c in ("trust", "distrust")))
-        after = share.unionByName(moved).groupBy("host").agg(*(F.round(F.sum(c), 12).alias(c) for c in ("trust", "distrust")))
+        flow = lambda c, forth, by: F.sum(F.when(F.col("forth") == forth, F.col(by) * F.col(c)).otherwise(0.0)).alias(c)
+        got = sent.groupBy(F.col("to").alias("host")).agg(flow("trust", 1, "sent"), flow("distrust", 0, "sent"), flow("backing", 1, "had"), flow("exposure", 0, "had"))
+        moved = got.select("host", *((F.col(c) * damping).alias(c) for c in _SCORES))
+        after = share.unionByName(moved).groupBy("host").agg(*(F.round(F.sum(c), 12).alias(c) for c in _SCORES))
         after = scratch.write(after, "scores")
         if rounds is None:
-            old = state.select("host", *(F.col(c).alias(f"old_{c}") for c in ("trust", "distrust")))
+            old = state.select("host", *(F.col(c).alias(f"old_{c}") for c in _SCORES))
             change = lambda c: F.abs(F.coalesce(F.col(c), F.lit(0.0)) - F.coalesce(F.col(f"old_{c}"), F.lit(0.0)))
-            most = after.join(old, "host", "full").select(F.max(F.greatest(change("trust"), change("distrust")))).first()[0]
+            most = after.join(old, "host", "full").select(F.max(F.greatest(*map(change, _SCORES)))).first()[0]
         scratch.drop(state)
         state = after
         if rounds is None and (most or 0.0) <= CONVERGED:
@@ -115,8 +122,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, scratch: Scratch, rounds: int
 def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int | None = None, damping: float = 0.85, least_distrust: float = 1e-6) -> DataFrame:
     """(page_id, host, path, rule, verdict, trust, distrust, by) of each row of ``pages`` (page_id, url, html).
 
-    A rule that fits decides; the longest does. Other urls are blocked if their host's distrust is at least
-    ``least_distrust`` and above its trust, and allowed otherwise. Seeds are the hosts of whose pages rules allow more
+    A rule that fits decides; the longest does. Other urls are blocked if their host's exposure is at least
+    ``least_distrust`` and above its backing, and allowed otherwise. Seeds are the hosts of whose pages rules allow more
     than half (trust, by their share) or block more than half (distrust): a rule for a path alone does not condemn a
     host. ``by`` tells rule or links.
 
@@ -135,7 +142,7 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int |
     share = lambda c: F.when(F.col(c) * 2 > F.col("pages"), F.col(c) / F.col("pages")).otherwise(0.0).alias({"good": "trust", "bad": "distrust"}[c])
     seeds = hosts.where("2 * good > pages or 2 * bad > pages").select("host", share("good"), share("bad"))
     scores = propagate(edges, seeds, scratch, rounds, damping)
-    judged = scores.select("host", "trust", "distrust", ((F.col("distrust") >= least_distrust) & (F.col("distrust") > F.col("trust"))).alias("suspect"))
+    judged = scores.select("host", "trust", "distrust", ((F.col("exposure") >= least_distrust) & (F.col("exposure") > F.col("backing"))).alias("suspect"))
     judged = scratch.write(judged.join(hosts, "host", "left_semi"), "judged")
     # a host may have a third of all pages: its row is copied, its pages are spread, unless the table is small
     if (table := small(judged, BROADCAST_HOSTS)) is judged:

@@ -114,5 +114,16 @@ def test_far_links_decide(spark):
     assert got["x.test"].trust < got["x.test"].distrust and got["x.test"].verdict == "block"
 
 
+def test_verdict_of_a_link_to_a_hot_host(spark):
+    # n hosts link to a blocked one; a trusted host with a thousand links has one to the first of them
+    rules = (Rule("bad.example", "/", False), Rule("good.example", "/", True))
+    link = lambda u: f'<a href="http://{u}/">x</a>'
+    few = spark.createDataFrame([(-1, "http://bad.example/", ""), (-2, "http://good.example/", link("l0.test") + "".join(link(f"o{i}.test") for i in range(999)))], "page_id long, url string, html string")
+    for n in (10, 140_000):
+        many = spark.range(n).selectExpr("id page_id", "concat('http://l', id, '.test/') url", f"'{link('bad.example')}' html")
+        out = url_filter.judge_urls(few.unionByName(many), rules).where("page_id >= 0")
+        assert {(r.first, r.verdict): r["count"] for r in out.groupBy((out.page_id == 0).alias("first"), "verdict").count().collect()} == {(True, "allow"): 1, (False, "block"): n - 1}
+
+
 def test_main_path_is_native():
     assert not re.search(r"pandas|mapIn|udf|\.rdd", open(url_filter.__file__).read())

@@ -20,8 +20,10 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that ten documents or more have stay in the first of them only; n_chars follows the new text."""
+    """Lines that ten documents or more have stay in the first of them only; n_chars follows the new text. Documents that
+    this leaves without any text go; those that came so stay."""
     out = line_dedup.dedup_lines(docs, min_docs=10, min_chars=1, keep_first=True)
+    out = out.where(F.coalesce((F.col("n_dropped") == 0) | F.col("text").rlike(r"\S"), F.lit(True)))
     return out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 

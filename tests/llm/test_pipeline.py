@@ -117,3 +117,10 @@ def test_run_and_odd_rows(spark, tmp_path):
     ids = {r.doc_id for r in out}
     assert None in ids and 10**9 in ids and 10**9 + 1 in ids
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_line_stage_drops_what_it_empties(spark):
+    rows = [(i, "one line\n\nand another", "en", "s", 21) for i in range(12)] + [(20, "", "en", "s", 0), (21, None, "en", "s", None), (22, "\n", "en", "s", 1), (23, "one line\nof its own", "en", "s", 19)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_stage(spark, docs, "").collect()}
+    assert got == {0: rows[0][1], 20: "", 21: got[21], 22: "\n", 23: "of its own"}

@@ -71,3 +71,25 @@ def small(df: DataFrame, most_rows: int) -> DataFrame:
     Above that the frame comes back as it is and Spark joins it by a shuffle.
     """
     return F.broadcast(df) if df.count() <= most_rows else df
+
+
+#: A key with a larger share of all rows than one in this many is heavy: at most this many keys can be.
+HEAVY = 4096
+#: Rows up to which no key is heavy.
+LIGHT = 10_000
+
+
+def hot_join(rows: DataFrame, table: DataFrame, on: list[str], size: str, least: int = LIGHT) -> DataFrame:
+    """The inner join of ``rows`` with ``table``, which has each key once and in ``size`` how many of the rows have it.
+
+    Rows of heavy keys stay where they are: the table's few rows for these are broadcast. All others are shuffled by
+    key, of which none has more than its share. Both frames are read twice where there are heavy keys, so they should
+    be written tables. Keys are not null.
+    """
+    total, most = table.agg(F.sum(size), F.max(size)).first()
+    cut = max(least, (total or 0) // HEAVY + 1)
+    if (most or 0) < cut:
+        return rows.join(table, on)
+    heavy = F.broadcast(table.where(F.col(size) >= cut))
+    rest = rows.join(heavy.select(*on), on, "left_anti")
+    return rows.join(heavy, on).unionByName(rest.join(table.where(F.col(size) < cut), on))

@@ -1,28 +1,37 @@
 """Approximate nearest neighbours over learned partitions.
 
-Fitting, on a bounded sample: the exact neighbour graph of the sample is cut into balanced parts, and a small network
-learns to tell a vector's part, with the parts of its neighbours as soft labels. Indexing, over every row: the network
-assigns each vector to its most probable part. Searching: the network routes each query to several most probable
-parts, whose vectors are ranked by the exact inner product in double precision. How many parts that takes for the
-wanted recall is read off held-out vectors of the sample.
+Fitting, on bounded samples: the exact neighbour graph of a sample is cut into balanced parts, and a small network
+learns to tell a vector's part, with the parts of its neighbours as soft labels. Where a part would hold many more
+vectors than wanted, a sample of it is cut again in the same way, by the executors, with a network of its own. So the
+number of leaves grows with the vectors. Indexing, over every row: each vector goes to its most probable leaf.
+Searching: the networks route each query to its most probable leaves, whose vectors are ranked by the exact inner
+product in double precision. A query probes leaves until these have a share of the probability that found the wanted
+recall for held-out vectors, whose true neighbours come from a scan of all rows.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexspark.llm._scratch import Scratch, small
-
-#: Vectors that the network is fitted on, and held-out ones that settle the number of probes. Only these reach the driver.
-SAMPLE, HELD_OUT = 8192, 1024
-#: Vectors that a task holds at a time; a larger part is split into blocks of about this size.
-BLOCK = 16_384
+from lexspark.llm._scratch import Scratch, hot_join, small
+
+#: Vectors that a network is fitted on (the first; those of its parts), and held-out ones that settle how much is probed.
+#: Of each length only the first and the last of these reach the driver.
+SAMPLE, PART_SAMPLE, HELD_OUT = 8192, 4096, 256
+#: Vectors wanted in a leaf, and the most parts that a network tells apart.
+LEAF, PARTS = 512, 128
+#: Lengths of vectors that get a network, the most frequent ones; vectors of another length are one leaf for each length.
+LENGTHS = 8
+#: Vectors, and their bytes, that a task holds at a time; a larger leaf is split into blocks.
+BLOCK, BLOCK_BYTES = 16_384, 1 << 26
 _QUERIES = 256
 
 
@@ -119,28 +128,85 @@ class Router:
         return Router(*ps)
 
 
-def fit(sample: np.ndarray, held: np.ndarray, parts: int, k: int, recall: float) -> tuple[Router, int]:
-    """The router, and the least number of probes that finds a ``recall`` share of the held-out vectors' k nearest."""
+def fit_router(sample: np.ndarray, parts: int) -> Router | None:
+    """A network that tells the parts of a balanced cut of the sample's neighbour graph; none for a single part."""
     parts = max(1, min(parts, len(sample) // 64))
     if parts == 1:
-        return Router(np.zeros((sample.shape[1], 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1)), 1
+        return None
     unit = sample / max(float(np.linalg.norm(sample, axis=1).mean()), 1e-30)
     graph = neighbour_graph(unit, 10)
     labels = balanced_cut(unit, graph, parts)
     target = np.zeros((len(unit), parts))
     np.add.at(target, (np.repeat(np.arange(len(unit)), graph.shape[1]), labels[graph].ravel()), 1)
     target[np.arange(len(unit)), labels] += 2
-    router = Router.fit(sample, target / target.sum(axis=1, keepdims=True))
-    if not len(held):
-        return router, parts
-    home = router.logits(sample).argmax(axis=1)
-    near = np.argpartition(-(held @ sample.T), k - 1, axis=1)[:, :k] if k < len(sample) else np.tile(np.arange(len(sample)), (len(held), 1))
-    rank = np.argsort(np.argsort(-router.logits(held), axis=1, kind="stable"), axis=1)
-    depth = np.take_along_axis(rank, home[near], axis=1)
-    for probes in range(1, parts + 1):
-        if (depth < probes).mean() >= recall:
-            return router, probes
-    return router, parts
+    return Router.fit(sample, target / target.sum(axis=1, keepdims=True))
+
+
+def _log_softmax(z: np.ndarray) -> np.ndarray:
+    z = z - z.max(axis=1, keepdims=True)
+    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+
+
+@dataclass
+class Tree:
+    """The networks for vectors of one length: one for parts, and one for the leaves of each part that is cut again.
+
+    Leaves are numbered from ``base``. A query probes its leaves, most probable first, as long as those before have no
+    more than ``mass`` of the probability.
+    """
+
+    first: Router | None
+    base: int = 0
+    below: dict[int, Router] = field(default_factory=dict)
+    mass: float = 1.0
+
+    def offsets(self) -> np.ndarray:
+        parts = 1 if self.first is None else len(self.first.b2)
+        return np.concatenate([[0], np.cumsum([len(self.below[p].b2) if p in self.below else 1 for p in range(parts)])])
+
+    def leaves(self) -> int:
+        return int(self.offsets()[-1])
+
+    def home(self, x: np.ndarray) -> np.ndarray:
+        """The leaf of each vector."""
+        if self.first is None:
+            return np.full(len(x), self.base, dtype=np.int32)
+        part = self.first.logits(x).argmax(axis=1)
+        out = self.offsets()[part]
+        for p in set(part.tolist()) & self.below.keys():
+            rows = np.flatnonzero(part == p)
+            out[rows] += self.below[p].logits(x[rows]).argmax(axis=1)
+        return (out + self.base).astype(np.int32)
+
+    def _ranked(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each vector its leaves, most probable first, and the probability of those before each."""
+        if self.first is None:
+            return np.zeros((len(x), 1), dtype=np.int64), np.zeros((len(x), 1))
+        z, at = _log_softmax(self.first.logits(x)), self.offsets()
+        if self.below:
+            z = np.concatenate([z[:, p : p + 1] + (_log_softmax(self.below[p].logits(x)) if p in self.below else 0) for p in range(len(at) - 1)], axis=1)
+        order = np.argsort(-z, axis=1, kind="stable")
+        share = np.exp(np.take_along_axis(z, order, axis=1))
+        return order, np.cumsum(share, axis=1) - share
+
+    def probes(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(leaves of all vectors, one vector's behind the other's; how many each has)."""
+        order, before = self._ranked(x)
+        asked = before <= self.mass
+        return (order[asked] + self.base).astype(np.int32), asked.sum(axis=1)
+
+    def before(self, x: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+        """The probability of the leaves that come before ``leaf`` (one for each vector)."""
+        order, before = self._ranked(x)
+        return np.where(order == (leaf - self.base)[:, None], before, 0).sum(axis=1)
+
+
+def _rows_of(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, places, matrix of vectors) for each length of the vectors in a batch."""
+    sizes = pc.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+    for dim in np.unique(sizes).tolist():
+        places = np.flatnonzero(sizes == dim)
+        yield dim, places, _matrix(column if len(places) == len(column) else column.take(pa.array(places)), dim)
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -148,102 +214,248 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return np.asarray(flat, dtype=np.float64).reshape(len(column), dim)
 
 
-def _assigner(router: Router, dim: int, probes: int):
-    """Adds the ``probes`` most probable parts of each vector, as an array."""
+def _assigner(trees: dict[int, Tree], probe: bool):
+    """Adds to (h1, h2, embedding, ...) the leaf of each vector or, with ``probe``, the leaves that a query asks. A length
+    without a tree has one leaf, whose number is the length, negative."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column(1), dim)
-            parts = np.argsort(-router.logits(x), axis=1, kind="stable")[:, :probes].astype(np.int32)
-            offsets = pa.array(np.arange(len(x) + 1, dtype=np.int32) * parts.shape[1])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(offsets, pa.array(parts.ravel()))], [*batch.schema.names, "parts"])
+            counts, flat = np.ones(batch.num_rows, dtype=np.int64), []
+            for dim, places, x in _rows_of(batch.column(2)):
+                if dim not in trees:
+                    leaves = np.full(len(x), -dim, dtype=np.int32)
+                elif probe:
+                    leaves, counts[places] = trees[dim].probes(x)
+                else:
+                    leaves = trees[dim].home(x)
+                flat.append((places, leaves))
+            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+            out = np.empty(offsets[-1], dtype=np.int32)
+            for places, leaves in flat:
+                n = counts[places]
+                out[np.repeat(offsets[places] - (np.cumsum(n) - n), n) + np.arange(n.sum())] = leaves
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(out))], [*batch.schema.names, "leaves"])
 
     return run
 
 
-def _searcher(dim: int, k: int):
-    """Rows come by (part, block), its vectors before the queries. Yields each query's k best of the block."""
+def _part_fitter(share: float, leaf: int):
+    """Rows (part, embedding) come by part, a sample of ``share`` of its vectors. Yields the network of each part that
+    has to be cut again; only the first 2 * PART_SAMPLE vectors are held."""
+
+    def fitted(part: int, held: list[np.ndarray], n: int) -> bytes | None:
+        router = fit_router(np.concatenate(held)[: 2 * PART_SAMPLE], min(PARTS, round(n / share / leaf)))
+        return router and pickle.dumps(router)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, matrix, ids = None, [], None, None
+        at, held, n, out = None, [], 0, []
+        for batch in batches:
+            parts = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(parts[1:] != parts[:-1]) + 1).tolist(), len(parts)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if parts[a] != at:
+                    if held:
+                        out.append((at, fitted(at, held, n)))
+                    at, held, n = int(parts[a]), [], 0
+                if n < 2 * PART_SAMPLE:
+                    column = batch.column(1).slice(a, b - a)
+                    held.append(_matrix(column, len(column.flatten()) // len(column)))
+                n += b - a
+        if held:
+            out.append((at, fitted(at, held, n)))
+        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in out], pa.int32()), pa.array([r for _, r in out], pa.binary())], ["part", "router"])
+
+    return run
+
+
+def _scanner(held: dict[int, tuple[np.ndarray, np.ndarray]], k: int):
+    """Rows are the index; yields each held-out vector's k nearest of the task, and their leaves. ``held`` has by length
+    (keys, vectors)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = {dim: (np.full((len(x), k), -np.inf), np.zeros((len(x), k), dtype=np.int32)) for dim, (_, x) in held.items()}
+        for batch in batches:
+            h1, leaf = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            for dim, places, x in _rows_of(batch.column(1)):
+                if dim not in held:
+                    continue
+                keys, asked = held[dim]
+                scores = np.where(keys[:, None] == h1[places][None, :], -np.inf, asked @ x.T)
+                both = np.concatenate([best[dim][0], scores], axis=1)
+                leaves = np.concatenate([best[dim][1], np.broadcast_to(leaf[places], scores.shape)], axis=1)
+                top = np.argpartition(-both, k - 1, axis=1)[:, :k]
+                best[dim] = np.take_along_axis(both, top, axis=1), np.take_along_axis(leaves, top, axis=1)
+        for dim, (scores, leaves) in best.items():
+            query, col = np.nonzero(scores > -np.inf)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(query), dim, dtype=np.int32)), pa.array(query.astype(np.int32)), pa.array(scores[query, col]), pa.array(leaves[query, col])], ["dim", "query", "score", "leaf"])
+
+    return run
+
+
+def _searcher(k: int):
+    """Rows come by (leaf, block), its vectors before the queries. Yields each query's k nearest rows of the block, ties to
+    the smaller id. Scores are summed in an order that depends on the two vectors alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, stored = None, [], None
         for batch in batches:
             keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)], axis=1)
-            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1), len(keys)]
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
             for a, b in zip(cuts, cuts[1:]):
                 if a == b:
                     continue
-                part, block, is_query = keys[a]
-                if (part, block) != at:
-                    at, held, matrix = (part, block), [], None
-                rep, vectors = batch.column(3).slice(a, b - a).to_numpy(zero_copy_only=False), _matrix(batch.column(4).slice(a, b - a), dim)
+                leaf, block, is_query = keys[a]
+                if (leaf, block) != at:
+                    at, held, stored = (leaf, block), [], None
+                h1, h2 = (batch.column(i).slice(a, b - a).to_numpy() for i in (3, 4))
+                column = batch.column(6).slice(a, b - a)
+                vectors = _matrix(column, len(column.flatten()) // len(column))
                 if not is_query:
-                    held.append((rep, vectors))
+                    held.append((h1, h2, batch.column(5).slice(a, b - a).to_pylist(), vectors))
+                    continue
+                if not held:
                     continue
-                if matrix is None:
-                    ids = np.concatenate([r for r, _ in held]) if held else np.empty(0, np.int64)
-                    matrix = np.concatenate([v for _, v in held]) if held else np.empty((0, dim))
-                out: list[tuple[np.ndarray, ...]] = []
-                for c in range(0, len(rep) if len(ids) else 0, _QUERIES):
-                    scores = vectors[c : c + _QUERIES] @ matrix.T
-                    least = np.partition(scores, max(0, scores.shape[1] - k), axis=1)[:, max(0, scores.shape[1] - k)]
-                    row, col = np.nonzero(scores >= least[:, None])  # with every tie at the edge
-                    out.append((rep[c : c + _QUERIES][row], ids[col], scores[row, col]))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], ["query", "rep", "score"])
+                if stored is None:
+                    ids = [x for part in held for x in part[2]]
+                    stored = *(np.concatenate([part[i] for part in held]) for i in (0, 1, 3)), ids, np.array([x[0] for x in ids])
+                s1, s2, matrix, ids, least_id = stored
+                out = []
+                for c in range(0, len(h1), _QUERIES):
+                    asked = vectors[c : c + _QUERIES]
+                    scores = asked @ matrix.T
+                    edge = np.partition(scores, max(0, scores.shape[1] - k), axis=1)[:, max(0, scores.shape[1] - k)]
+                    slack = 1e-12 * np.linalg.norm(asked, axis=1) * np.linalg.norm(matrix, axis=1).max()
+                    for i in range(len(asked)):
+                        near = np.flatnonzero(scores[i] >= edge[i] - slack[i])
+                        exact = (matrix[near] * asked[i]).sum(axis=1)
+                        order = np.lexsort((least_id[near], -exact))[:k]
+                        # a class further back has k smaller ids of the same score or better before it
+                        rows = [(-s, x, j) for s, j in zip(exact[order].tolist(), near[order].tolist()) for x in ids[j]]
+                        for s, x, j in sorted(rows)[:k]:
+                            out.append((h1[c + i], h2[c + i], x, -s, s1[j] == h1[c + i] and s2[j] == h2[c + i]))
+                    if len(out) > 100_000:
+                        yield _found(out)
+                        out = []
+                yield _found(out)
 
     return run
 
 
+def _found(rows: list[tuple]) -> pa.RecordBatch:
+    h1, h2, ids, scores, own = zip(*rows) if rows else ((),) * 5
+    return pa.RecordBatch.from_arrays([pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(ids, pa.int64()), pa.array(scores, pa.float64()), pa.array([bool(x) for x in own], pa.bool_())], ["h1", "h2", "vec_id", "score", "own"])
+
+
 def valid(column: str) -> Column:
     """Not null, not empty, every component finite, and not all of them zero."""
     finite = F.forall(column, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
     return F.col(column).isNotNull() & (F.size(column) > 0) & finite & F.exists(column, lambda x: x != 0)
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 20, parts: int = 32, recall: float = 0.97, sample: int = SAMPLE, block: int = BLOCK) -> DataFrame:
-    """(query_id, rank, vec_id, score): for each row of ``vectors`` (vec_id, embedding) where ``is_query`` holds, its
-    ``k`` nearest other rows found, nearest first by inner product, ties to the smaller id.
-
-    Every row is indexed. ``sample`` bounds what the network is fitted on; ``recall`` is the share of held-out
-    neighbours that the probed parts must cover. Equal vectors are one entry of the index that keeps its k + 1
-    smallest ids (a larger id of an equal vector can never be among the k nearest), so a vector that a third of the
-    rows share costs as much as any other. Large parts are split into blocks; a query meets each block once.
-
-    Vectors null, empty, zero, or with a null or non-finite component take no part, nor do vectors of another length
-    than the most frequent one, nor rows without an id. A row that repeats an id is the same vector or, if its vector
-    differs, a candidate of its own. Other columns are ignored. An empty table gives an empty result.
-    """
+def _first_trees(entries: DataFrame, lengths: list, sample: int, leaf: int) -> tuple[dict[int, Tree], dict[int, tuple[np.ndarray, np.ndarray]]]:
+    """The first network for each of the lengths, and its held-out vectors: (keys, vectors)."""
+    trees, held = {}, {}
+    for row in lengths:
+        some = entries.where(F.size("embedding") == row.dim).select("h1", "embedding").orderBy(F.xxhash64("h1"), "h1").limit(sample + HELD_OUT).collect()
+        x = np.array([r.embedding for r in some], dtype=np.float64).reshape(len(some), row.dim)
+        cut = len(x) - min(HELD_OUT, len(x) // 5)
+        trees[row.dim] = Tree(fit_router(x[:cut], min(PARTS, -(-row.n // leaf))))
+        if trees[row.dim].first is not None:
+            held[row.dim] = np.array([r.h1 for r in some[cut:]], dtype=np.int64), x[cut:]
+    return trees, held
+
+
+def _cut_again(entries: DataFrame, trees: dict[int, Tree], lengths: list, leaf: int) -> None:
+    """Adds the networks below, fitted by the executors, where parts are more than twice a leaf; numbers the leaves."""
+    for row in lengths:
+        tree = trees[row.dim]
+        parts = 1 if tree.first is None else tree.leaves()
+        if tree.first is not None and row.n > 2 * leaf * parts:
+            share = min(1.0, PART_SAMPLE * parts / row.n)
+            drawn = entries.where((F.size("embedding") == row.dim) & (F.pmod(F.xxhash64("h2"), F.lit(1 << 30)) < int(share * (1 << 30)))).select("h1", "h2", "embedding")
+            sent = drawn.mapInArrow(_assigner({row.dim: tree}, False), "h1 long, h2 long, embedding array<double>, leaves array<int>").select(F.col("leaves")[0].alias("part"), "embedding")
+            dealt = sent.repartition(parts, "part").sortWithinPartitions("part")
+            for r in dealt.mapInArrow(_part_fitter(share, leaf), "part int, router binary").collect():
+                if r.router is not None:
+                    tree.below[r.part] = pickle.loads(bytes(r.router))
+    base = 0
+    for tree in trees.values():
+        tree.base = base
+        base += tree.leaves()
+
+
+def _settle(index: DataFrame, trees: dict[int, Tree], held: dict[int, tuple[np.ndarray, np.ndarray]], k: int, recall: float) -> None:
+    """Sets what the queries of each length probe, from the true neighbours of the held-out vectors among all rows."""
+    if not held:
+        return
+    near = index.select("h1", "embedding", "leaf").mapInArrow(_scanner(held, k), "dim int, query int, score double, leaf int")
+    best = Window.partitionBy("dim", "query").orderBy(F.desc("score"))
+    near = near.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k).select("dim", "query", "leaf").collect()
+    for dim, (_, x) in held.items():
+        found = [(r["query"], r.leaf) for r in near if r.dim == dim]
+        if found:
+            query, leaf = np.array(found).T
+            before = np.sort(trees[dim].before(x[query], leaf))
+            trees[dim].mass = float(before[min(len(before), int(np.ceil(recall * len(before)))) - 1])
+
+
+def build(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.93, sample: int = SAMPLE, leaf: int = LEAF, block: int = BLOCK) -> tuple[Scratch, DataFrame, DataFrame, DataFrame, dict[int, Tree]]:
+    """(scratch, members, index, blocks, trees): the fitted index of ``nearest``."""
     scratch = Scratch(vectors.sparkSession, "ann")
-    rows = vectors.where(valid("embedding") & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
-    sizes = rows.groupBy(F.size("embedding").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(1).collect()
-    dim = sizes[0].dim if sizes else 1
-    rows = rows.where(F.size("embedding") == dim)
-    ranked = rows.select("vec_id", "embedding").withColumn("n", F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))).where(F.col("n") <= k + 1)
-    entries = ranked.groupBy("embedding").agg(F.sort_array(F.collect_set("vec_id")).alias("ids")).select(F.element_at("ids", 1).alias("rep"), "embedding", "ids")
-    entries = scratch.write(entries, "entries")
-
-    drawn = entries.select("rep", "embedding").orderBy(F.xxhash64("rep"), "rep").limit(sample + HELD_OUT).collect()
-    x = np.array([r.embedding for r in drawn], dtype=np.float64).reshape(len(drawn), dim)
-    cut = len(x) - min(HELD_OUT, len(x) // 9)
-    router, probes = fit(x[:cut], x[cut:], parts, k, recall)
-
-    index = scratch.write(entries.select("rep", "embedding").mapInArrow(_assigner(router, dim, 1), "rep long, embedding array<double>, parts array<int>").select(F.col("parts")[0].alias("part"), "rep", "embedding"), "index")
-    blocks = scratch.write(index.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")), "blocks")
-    sizes_of = F.broadcast(blocks)  # a row a part
-    asked = rows.where("is_query").select("embedding").distinct().join(entries.select("rep", "embedding"), "embedding").select("rep", "embedding")
-    routed = asked.mapInArrow(_assigner(router, dim, probes), "rep long, embedding array<double>, parts array<int>").select("rep", "embedding", F.explode("parts").alias("part"))
-    queries = routed.join(sizes_of, "part").select("part", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), F.lit(1).alias("is_query"), "rep", "embedding")
-    stored = index.join(sizes_of, "part").select("part", F.expr("cast(pmod(xxhash64(rep), blocks) as int)").alias("block"), F.lit(0).alias("is_query"), "rep", "embedding")
-    dealt = stored.unionByName(queries).repartition("part", "block").sortWithinPartitions("part", "block", "is_query")
-    found = dealt.mapInArrow(_searcher(dim, k + 1), "query long, rep long, score double")
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
-    found = scratch.write(found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).drop("n"), "found")
-
-    members = entries.select("rep", "ids")
-    listed = found.join(members, "rep").select("query", F.explode("ids").alias("vec_id"), "score")
-    listed = listed.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))).where(F.col("n") <= k + 1)
-    lists = listed.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("n", "vec_id", "score"))).alias("near"))
-    lists = scratch.write(lists.join(entries.select(F.col("rep").alias("query"), "embedding"), "query").select("embedding", "near"), "lists")
-    asking = rows.where("is_query").select(F.col("vec_id").alias("query_id"), "embedding").distinct()
-    own = asking.join(small(lists, 20_000), "embedding").select("query_id", F.slice(F.filter("near", lambda e: e["vec_id"] != F.col("query_id")), 1, k).alias("near"))
-    return own.select("query_id", F.posexplode("near").alias("i", "e")).select("query_id", (F.col("i") + 1).alias("rank"), F.col("e.vec_id").alias("vec_id"), F.col("e.score").alias("score"))
+    rows = vectors.where(valid("embedding") & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(F.col("embedding").cast("array<double>"), lambda x: x + 0.0).alias("embedding"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
+    rows = rows.withColumns({"h1": F.xxhash64("embedding"), "h2": F.xxhash64(F.lit(3), "embedding")})
+    members = scratch.write(rows.groupBy("h1", "h2", "vec_id").agg(F.max("is_query").alias("is_query")), "members")
+    nth = F.row_number().over(Window.partitionBy("h1", "h2").orderBy("vec_id"))
+    ids = members.select("h1", "h2", "vec_id", nth.alias("n")).where(F.col("n") <= k + 1).groupBy("h1", "h2").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    asked = members.groupBy("h1", "h2").agg(F.count_if("is_query").alias("asked"))
+    entries = rows.groupBy("h1", "h2").agg(F.first("embedding").alias("embedding")).join(ids, ["h1", "h2"]).join(asked, ["h1", "h2"])
+    entries = scratch.write(entries.select("h1", "h2", "embedding", "ids", "asked"), "entries")
+
+    lengths = entries.groupBy(F.size("embedding").alias("dim")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "dim").limit(LENGTHS).collect()
+    trees, held = _first_trees(entries, lengths, sample, leaf)
+    _cut_again(entries, trees, lengths, leaf)
+    homes = entries.mapInArrow(_assigner(trees, False), "h1 long, h2 long, embedding array<double>, ids array<long>, asked long, leaves array<int>")
+    index = scratch.write(homes.select(F.col("leaves")[0].alias("leaf"), "h1", "h2", "embedding", "ids", "asked"), "index")
+    scratch.drop(entries)
+    _settle(index, trees, held, k, recall)
+    size = F.least(F.lit(block), F.greatest(F.lit(1), F.lit(BLOCK_BYTES // 8) / F.max(F.size("embedding"))))
+    blocks = scratch.write(index.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("blocks")), "blocks")
+    return scratch, members, index, blocks, trees
+
+
+def nearest(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.93, sample: int = SAMPLE, leaf: int = LEAF, block: int = BLOCK) -> DataFrame:
+    """(query_id, rank, vec_id, score, query_class): for each row of ``vectors`` (vec_id, embedding) where ``is_query``
+    holds, its ``k`` nearest other rows found, nearest first by inner product, ties to the smaller id.
+
+    Every row is indexed. ``sample`` bounds what a network is fitted on; ``recall`` is the share of held-out vectors'
+    true neighbours that the probed leaves must have; a leaf has about ``leaf`` vectors up to some PARTS * PARTS * leaf
+    of them, and more beyond. Equal vectors are one entry of the index that keeps its k + 1 smallest ids (a larger id
+    of an equal vector can never be among the k nearest), so a vector that a third of the rows share costs as much as
+    any other. Large leaves are split into blocks; a query meets each block once.
+
+    A row is an id and a vector; rows that repeat both count once. An id that stands on several vectors is as many
+    rows: each is a query and a candidate of its own, also for the other, and ``query_class`` (a hash of the query's
+    vector) tells their lists apart. Vectors are compared with those of the same length. Vectors null, empty, zero, or
+    with a null or non-finite component take no part, nor do rows without an id. Other columns are ignored. An empty
+    table gives an empty result.
+    """
+    scratch, members, index, blocks, trees = build(vectors, is_query, k, recall, sample, leaf, block)
+    sizes = small(blocks, 1_000_000)  # a row a leaf
+    routed = index.where("asked > 0").select("h1", "h2", "embedding").mapInArrow(_assigner(trees, True), "h1 long, h2 long, embedding array<double>, leaves array<int>").select("h1", "h2", "embedding", F.explode("leaves").alias("leaf"))
+    columns = ["leaf", "block", "is_query", "h1", "h2", "ids", "embedding"]
+    queries = routed.join(sizes, "leaf").withColumns({"block": F.explode(F.expr("sequence(0, blocks - 1)")), "is_query": F.lit(1), "ids": F.lit(None).cast("array<long>")})
+    stored = index.join(sizes, "leaf").withColumns({"block": F.expr("cast(pmod(xxhash64(h2), blocks) as int)"), "is_query": F.lit(0)})
+    dealt = stored.select(*columns).unionByName(queries.select(*columns)).repartition("leaf", "block").sortWithinPartitions("leaf", "block", "is_query")
+    found = dealt.mapInArrow(_searcher(k + 1), "h1 long, h2 long, vec_id long, score double, own boolean")
+    best = Window.partitionBy("h1", "h2").orderBy(F.desc("score"), "vec_id")
+    found = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
+    lists = found.groupBy("h1", "h2").agg(F.sort_array(F.collect_list(F.struct("n", "vec_id", "score", "own"))).alias("near"))
+    lists = scratch.write(lists.join(index.where("asked > 0").select("h1", "h2", "asked"), ["h1", "h2"]), "lists")
+    scratch.drop(index, blocks)
+    # a vector may be that of very many queries
+    asking = members.where("is_query").select("h1", "h2", F.col("vec_id").alias("query_id"))
+    listed = hot_join(asking, lists, ["h1", "h2"], "asked")
+    own = listed.select("query_id", F.col("h1").alias("query_class"), F.slice(F.filter("near", lambda e: ~(e["own"] & (e["vec_id"] == F.col("query_id")))), 1, k).alias("near"))
+    return own.select("query_id", "query_class", F.posexplode("near").alias("i", "e")).select("query_id", (F.col("i") + 1).alias("rank"), F.col("e.vec_id").alias("vec_id"), F.col("e.score").alias("score"), "query_class")

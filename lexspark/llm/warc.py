@@ -12,7 +12,7 @@ import gzip
 import hashlib
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,12 +22,14 @@ VERSION = "WARC/1.1"
 #: Names of the columns of a record, in order, with Spark types.
 RECORD = "page_id long, record_type string, record_id string, refers_to string, target_uri string, warc_date string, content_type string, content_length long, block_digest string, payload_digest string, source_headers string, block string"
 
-# One token of markup: a comment, an element whose content is no text, or a tag.
-_MARKUP = re.compile(r"<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>|</?([a-zA-Z][a-zA-Z0-9]*)\b[^>]*>|<[!?][^>]*>", re.S | re.I)
+_TAG = re.compile(r"</?([a-zA-Z][a-zA-Z0-9]*)\b")
+#: Ends of elements whose content is no text.
+_CLOSERS = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "title")}
 #: Elements that end a line of text.
 BLOCKS = frozenset("address article aside blockquote body br dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main nav ol option p pre section table tbody td tfoot th thead title tr ul".split())
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-_LINK = re.compile(r"""<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.S | re.I)
+_TITLE = re.compile(r"<title\b", re.I)
+_LINK = re.compile(r"<a\b", re.I)
+_HREF = re.compile(r"""\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _SPACE = re.compile(r"[ \t\r\f\v]+")
 
 
@@ -43,22 +45,89 @@ def record_id(*parts: str) -> str:
     return f"<urn:uuid:{x[:8]}-{x[8:12]}-8{x[13:16]}-{'89ab'[int(x[16], 16) % 4]}{x[17:20]}-{x[20:32]}>"
 
 
+class _Finder:
+    """Searches for one thing at places that only go forward, so that all searches together take one pass."""
+
+    def __init__(self, search: Callable[[int], tuple[int, int] | None]):
+        self.search, self.found, self.asked = search, None, -1
+
+    def __call__(self, at: int) -> tuple[int, int] | None:
+        if self.asked < 0 or self.found is not None and self.found[0] < at:
+            self.found = self.search(at)
+        self.asked = at
+        return self.found
+
+
+def _ends(markup: str, what: str | re.Pattern) -> _Finder:
+    if isinstance(what, str):
+        return _Finder(lambda at: (x, x + len(what)) if (x := markup.find(what, at)) >= 0 else None)
+    return _Finder(lambda at: m.span() if (m := what.search(markup, at)) else None)
+
+
+def _tokens(markup: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, name of the tag or empty) of each token of markup: a comment, an element whose content is no text, a
+    tag or a declaration. What never ends is no token. One pass, whatever the page."""
+    bracket, comment = _ends(markup, ">"), _ends(markup, "-->")
+    closers = {name: _ends(markup, _CLOSERS[name]) for name in ("script", "style")}
+    at = markup.find("<")
+    while at >= 0:
+        end, name = None, ""
+        if markup.startswith("<!--", at):
+            end = comment(at + 4)
+        elif tag := _TAG.match(markup, at):
+            name = tag[1].lower()
+            end = bracket(tag.end())
+            if end and name in closers and markup[at + 1] != "/":
+                if whole := closers[name](end[1]):
+                    end, name = whole, ""
+        if end is None and markup.startswith(("<!", "<?"), at):
+            end = bracket(at + 2)
+        if end:
+            yield at, end[1], name
+        at = markup.find("<", end[1] if end else at + 1)
+
+
+def _without_markup(markup: str, breaks: frozenset[str] = frozenset()) -> str:
+    out, at = [], 0
+    for start, end, name in _tokens(markup):
+        out += [markup[at:start], "\n" if name in breaks else ""]
+        at = end
+    return "".join(out) + markup[at:]
+
+
 def plain_text(markup: str) -> str:
     """The text of a page: markup gone, block elements on lines of their own, entities decoded, blanks and empty lines
     folded. What a browser would not show (comments, scripts, styles) is left out."""
-    text = _MARKUP.sub(lambda m: "\n" if (m[2] or "").lower() in BLOCKS else "", markup)
-    lines = (_SPACE.sub(" ", line).strip(" ") for line in html.unescape(text).split("\n"))
+    lines = (_SPACE.sub(" ", line).strip(" ") for line in html.unescape(_without_markup(markup, BLOCKS)).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
 def page_title(markup: str) -> str:
-    found = _TITLE.search(markup)
-    return " ".join(html.unescape(_MARKUP.sub("", found[1])).split()) if found else ""
+    """The text of the first title; empty if that does not end, as then no later one does."""
+    opens = _TITLE.search(markup)
+    start = markup.find(">", opens.end()) + 1 if opens else 0
+    closes = _CLOSERS["title"].search(markup, start) if start else None
+    return " ".join(html.unescape(_without_markup(markup[start : closes.start()])).split()) if closes else ""
 
 
 def page_links(markup: str) -> list[str]:
     """The targets of links as written, entities decoded and line ends gone, each once and in order."""
-    return list(dict.fromkeys(x for m in _LINK.finditer(markup) if (x := " ".join(html.unescape(m[1] or m[2] or m[3] or "").split()))))
+    out, at, href = {}, 0, None
+    bracket = _ends(markup, ">")
+    while link := _LINK.search(markup, at):
+        at = link.end()
+        limit = (bracket(at) or (len(markup),))[0]
+        if href is None or href.start() < at:
+            href = _HREF.search(markup, at)
+            if href is None:
+                break
+        if href.start() < limit:
+            at = href.end()
+            if target := " ".join(html.unescape(href[1] or href[2] or href[3] or "").split()):
+                out[target] = None
+        else:
+            at = limit
+    return list(out)
 
 
 def _one_line(value: str) -> str:
@@ -82,7 +151,10 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         end = data.find(b"\r\n\r\n", at)
         if end < 0 or not data.startswith(b"WARC/", at):
             raise ValueError(f"no record at byte {at}")
-        fields = dict(line.split(": ", 1) for line in data[at:end].decode("utf-8").split("\r\n")[1:])
+        lines = data[at:end].decode("utf-8").split("\r\n")[1:]
+        fields = {name.strip(): value.strip() for name, colon, value in (line.partition(":") for line in lines) if colon}
+        if len(fields) < len(lines) or not fields.get("Content-Length", "").isdecimal():
+            raise ValueError(f"the header of the record at byte {at} is malformed")
         size = int(fields["Content-Length"])
         if data[end + 4 + size : end + 8 + size] != b"\r\n\r\n":
             raise ValueError(f"the record at byte {at} is cut off")

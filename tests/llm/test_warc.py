@@ -1,4 +1,7 @@
 import hashlib
+import random
+import re
+import time
 
 import pytest
 
@@ -15,6 +18,38 @@ def test_text_title_links():
     assert warc.plain_text("") == "" and warc.plain_text("a < b") == "a < b"
 
 
+# What the scanner means, as patterns; they take quadratic time on pages whose tags never end.
+MARKUP = re.compile(r"<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>|</?([a-zA-Z][a-zA-Z0-9]*)\b[^>]*>|<[!?][^>]*>", re.S | re.I)
+TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
+LINK = re.compile(r"""<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.S | re.I)
+PIECES = ["<!--", "-->", "<!", "<?", "<script", "<SCRIPT>", "</script>", "</script >", "<style>", "</style", "<title", "<title>", "</title>", "<a ", "<a", "<A\n", "href", "href=", ' href="', " href='", '"', "'", "x", "é", "_", "1", ">", "<", " ", "/", "<br>", "<p a=b>", "</p>", "ahref=q"]
+
+
+def test_scanner_is_the_patterns():
+    rng = random.Random(3)
+    for _ in range(20_000):
+        page = "".join(rng.choices(PIECES, k=rng.randrange(1, 14)))
+        assert warc._without_markup(page, warc.BLOCKS) == MARKUP.sub(lambda m: "\n" if (m[2] or "").lower() in warc.BLOCKS else "", page), page
+        title = TITLE.search(page)
+        assert warc.page_title(page) == (" ".join(MARKUP.sub("", title[1]).split()) if title else ""), page
+        assert warc.page_links(page) == list(dict.fromkeys(x for m in LINK.finditer(page) if (x := " ".join((m[1] or m[2] or m[3] or "").split())))), page
+
+
+@pytest.mark.parametrize("piece", ["<!--", "<script>", "<script", "<style>", "<title>", "<title", "<a ", "<a>", "<a href=", "<a href='", "<a href ", "</script ", "<!", "<", "&", "&#", "<p>x", "<a x>", "<a href=y>", "href=", "-->", "<a " + "a" * 50])
+def test_long_pages_take_linear_time(piece):
+    page, begun = piece * (5_000_000 // len(piece)), time.process_time()
+    warc.plain_text(page), warc.page_title(page), warc.page_links(page)
+    assert time.process_time() - begun < 20
+
+
+def test_malformed_headers():
+    good = b"WARC/1.1\r\nContent-Length: 1\r\n\r\nx\r\n\r\n"
+    assert list(warc.parse(good.replace(b": ", b":"))) == list(warc.parse(good)) == [({"Content-Length": "1"}, b"x")]
+    for head in (b"WARC/1.1\r\nContent-Length 1\r\n\r\nx\r\n\r\n", b"WARC/1.1\r\nContent-Length: -1\r\n\r\nx\r\n\r\n", b"WARC/1.1\r\nA: b\r\n\r\n\r\n\r\n"):
+        with pytest.raises(ValueError):
+            list(warc.parse(head))
+
+
 def test_records(spark, tmp_path):
     rows = [(1, "http://a.example/", HTML, "z"), (2, None, None, "z"), (None, "http://a.example/", HTML, "z"), (3, "http://l.example/", "<p>" + "long " * 200_000, "z")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, block string")

@@ -79,7 +79,13 @@ HEAVY = 4096
 LIGHT = 10_000
 
 
-def hot_join(rows: DataFrame, table: DataFrame, on: list[str], size: str, least: int = LIGHT) -> DataFrame:
+def key_counts(table: DataFrame, size: str) -> tuple[int, int]:
+    """(rows of all keys, most rows of a key) of a table for ``hot_join``."""
+    total, most = table.agg(F.sum(size), F.max(size)).first()
+    return total or 0, most or 0
+
+
+def hot_join(rows: DataFrame, table: DataFrame, on: list[str], size: str, least: int = LIGHT, counts: tuple[int, int] | None = None) -> DataFrame:
     """The inner join of ``rows`` with ``table``, which has each key once and in ``size`` how many of the rows have it.
 
     Rows of heavy keys stay where they are: the table's few rows for these are broadcast. All others are shuffled by

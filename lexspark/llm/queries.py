@@ -114,26 +114,66 @@ FROM marked GROUP BY doc_id
 """
 
 
-SQL_OP7 = r"""
-WITH parts AS (
-  SELECT page_id,
-    CASE WHEN contains(url, '://') THEN translate(regexp_extract(substr(url, instr(url, '://') + 3), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+_HOST = "translate(regexp_extract(substr({0}, instr({0}, '://') + 3), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: Pages come from a relation ``source`` (page_id, url, html). The rounds stop where no score has changed by more than 1e-9.
+#: D is the damping.
+_SQL_URLS = rf"""
+parts AS (
+  SELECT page_id, html,
+    CASE WHEN contains(url, '://') THEN {_HOST.format('url')} ELSE '' END AS host,
     CASE WHEN contains(url, '://') THEN regexp_extract(substr(url, instr(url, '://') + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
-  FROM pages),
+  FROM source),
 rules(rhost, rpath, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
 ruled AS (
   SELECT p.*, r.rule, r.verdict FROM parts p LEFT JOIN LATERAL (
     SELECT rhost || rpath AS rule, verdict FROM rules
     WHERE (p.host = rhost OR ends_with(p.host, '.' || rhost)) AND starts_with(p.path, rpath)
     ORDER BY length(rhost || rpath) DESC LIMIT 1) r ON true),
--- the pages of these tables link to no other host, so that scores are those of the seeds
+links AS (SELECT host AS src, unnest(regexp_extract_all(coalesce(html, ''), '(?is)<a\s[^<>]*?href\s*=\s*["'']?((?:[a-z][a-z0-9+.-]*:)?//[^\s"''<>]*)', 1)) AS link FROM parts),
+edges AS (SELECT src, dst, count(*) AS n FROM (SELECT src, {_HOST.format('link')} AS dst FROM links) WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst),
+flows AS (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS of_out, n / sum(n) OVER (PARTITION BY dst) AS of_in FROM edges),
 hosts AS (SELECT host, count(*) AS n, count(*) FILTER (verdict = 'allow') AS good, count(*) FILTER (verdict = 'block') AS bad FROM ruled WHERE host <> '' GROUP BY host),
-scores AS (SELECT host, CASE WHEN good * 2 > n THEN good / n ELSE 0 END AS trust, CASE WHEN bad * 2 > n THEN bad / n ELSE 0 END AS distrust FROM hosts)
+seeds AS (SELECT host, round((1 - D) * CASE WHEN good * 2 > n THEN good / n ELSE 0 END, 12) AS t, round((1 - D) * CASE WHEN bad * 2 > n THEN bad / n ELSE 0 END, 12) AS d FROM hosts WHERE good * 2 > n OR bad * 2 > n),
+rounds AS (
+  SELECT 0 AS nth, host, t AS trust, d AS distrust, t AS backing, d AS exposure, 1.0::DOUBLE AS change FROM seeds
+  UNION ALL
+  SELECT nth, host, trust, distrust, backing, exposure, max(moved) OVER () AS change FROM (
+    SELECT max(n.nth) AS nth, n.host, round(sum(n.t), 12) AS trust, round(sum(n.d), 12) AS distrust, round(sum(n.b), 12) AS backing, round(sum(n.e), 12) AS exposure,
+      greatest(abs(round(sum(n.t), 12) - sum(n.t0)), abs(round(sum(n.d), 12) - sum(n.d0)), abs(round(sum(n.b), 12) - sum(n.b0)), abs(round(sum(n.e), 12) - sum(n.e0))) AS moved
+    FROM (
+      SELECT r.nth + 1 AS nth, s.host, s.t, s.d, s.t AS b, s.d AS e, 0.0 AS t0, 0.0 AS d0, 0.0 AS b0, 0.0 AS e0 FROM seeds s, (SELECT DISTINCT nth FROM rounds WHERE change > 1e-9) r
+      UNION ALL SELECT nth + 1, dst, D * of_out * trust, 0, D * of_in * backing, 0, 0, 0, 0, 0 FROM rounds JOIN flows ON host = src WHERE change > 1e-9
+      UNION ALL SELECT nth + 1, src, 0, D * of_in * distrust, 0, D * of_out * exposure, 0, 0, 0, 0 FROM rounds JOIN flows ON host = dst WHERE change > 1e-9
+      UNION ALL SELECT nth + 1, host, 0, 0, 0, 0, trust, distrust, backing, exposure FROM rounds WHERE change > 1e-9) n
+    GROUP BY n.host)),
+scores AS (SELECT host, trust, distrust, backing, exposure FROM rounds WHERE nth = (SELECT max(nth) FROM rounds))
 SELECT page_id, r.host, path, rule,
-  CASE WHEN rule IS NOT NULL THEN verdict WHEN coalesce(distrust, 0) >= 1e-6 AND distrust > trust THEN 'block' ELSE 'allow' END AS verdict,
-  coalesce(trust, 0.0) AS trust, coalesce(distrust, 0.0) AS distrust, CASE WHEN rule IS NULL THEN 'links' ELSE 'rule' END AS "by"
+  CASE WHEN rule IS NOT NULL THEN verdict WHEN exposure >= 1e-6 AND exposure > backing THEN 'block' ELSE 'allow' END AS verdict,
+  round(coalesce(trust, 0.0), 9) AS trust, round(coalesce(distrust, 0.0), 9) AS distrust, CASE WHEN rule IS NULL THEN 'links' ELSE 'rule' END AS "by"
 FROM ruled r LEFT JOIN scores s ON r.host = s.host
 """
+SQL_OP7 = f"WITH RECURSIVE source AS (SELECT page_id, url, html FROM pages), {_SQL_URLS.replace('D * of_', '0.85 * of_').replace('(1 - D)', '0.15')}"
+
+
+def linked_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The URL filter over pages that link to other hosts, which those of the tables do not: a hundred hosts, of which
+    the one numbered 0 is in a third of all links."""
+    k = F.col("page_id")
+    name = lambda n: F.concat(F.lit("h"), n.cast("string"), F.element_at(F.array(*map(F.lit, (".org", ".com", ".net"))), (n % 3 + 1).cast("int")))
+    path = F.concat(F.element_at(F.array(*map(F.lit, ("/es/", "/fr/", "/en/", "/es/"))), (F.floor(k / 100) % 4 + 1).cast("int")), k.cast("string"))
+    own = k % 100
+    link = lambda n: F.concat(F.lit('<a class="x" HREF = "//'), name(n), F.lit("/a?b=1\">x</a>"))
+    html = F.concat(F.col("html"), link((own * 7 + F.floor(k / 100)) % 100), F.when(k % 3 == 0, link(F.lit(0))).otherwise(link((own * own + 1) % 100)))
+    pages = _table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("http://"), name(own), path).alias("url"), html.alias("html"))
+    return url_filter.judge_urls(pages, damping=0.5)
+
+
+_NAME = "('h' || {0} || ['.org', '.com', '.net'][({0}) % 3 + 1])"
+_LINK = "'<a class=\"x\" HREF = \"//' || " + _NAME + " || '/a?b=1\">x</a>'"
+SQL_LINKED_URLS = f"""WITH RECURSIVE source AS (
+  SELECT page_id, 'http://' || {_NAME.format('(page_id % 100)')} || ['/es/', '/fr/', '/en/', '/es/'][(page_id // 100) % 4 + 1] || page_id AS url,
+    html || {_LINK.format('((page_id % 100) * 7 + page_id // 100) % 100')} || CASE WHEN page_id % 3 = 0 THEN {_LINK.format('0')} ELSE {_LINK.format('((page_id % 100) * (page_id % 100) + 1) % 100')} END AS html
+  FROM pages), {_SQL_URLS.replace('D * of_', '0.5 * of_').replace('(1 - D)', '0.5')}"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -148,8 +188,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_fingerprint": op9_fingerprint,
         "op10_sharding": op10_sharding,
+        "linked_urls": linked_urls,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": SQL_OP1, "op6_line_dedup": SQL_OP6, "op7_url_filter": SQL_OP7}
+    return {"op1_warc": SQL_OP1, "op6_line_dedup": SQL_OP6, "op7_url_filter": SQL_OP7, "linked_urls": SQL_LINKED_URLS}

@@ -1,9 +1,12 @@
 import random
 import re
+import time
 
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
-from lexspark.llm import url_filter
+from lexspark.llm import queries, url_filter
 from lexspark.llm._scratch import Scratch
 from lexspark.llm.url_filter import Rule
 
@@ -68,21 +71,21 @@ def test_propagation(spark):
     rng = random.Random(8)
     edges = [(f"h{a}", f"h{b}", rng.randrange(1, 5)) for a in range(30) for b in rng.sample(range(30), 3) if a != b] + [("hub", f"h{b}", 1) for b in range(30)]
     seeds = {"h1": (1.0, 0.0), "h2": (0.0, 1.0), "hub": (0.5, 0.25)}
-    got = url_filter.propagate(spark.createDataFrame(edges, "src string, dst string, n long"), spark.createDataFrame([(h, *v) for h, v in seeds.items()], "host string, trust double, distrust double"), Scratch(spark, "test"), 5, 0.85)
+    frames = spark.createDataFrame(edges, "src string, dst string, n long"), spark.createDataFrame([(h, *v) for h, v in seeds.items()], "host string, trust double, distrust double")
     want = brute(edges, seeds, 5, 0.85)
-    got = {r.host: (r.trust, r.distrust) for r in got.collect()}
-    assert got.keys() == want.keys()
-    assert all(abs(a - b) < 1e-9 for h in want for a, b in zip(got[h], want[h]))
+    for least in (url_filter.LIGHT, 4):  # with 4 all but a few hosts are hubs
+        got = {r.host: (r.trust, r.distrust) for r in url_filter.propagate(*frames, Scratch(spark, "test"), 5, 0.85, least).collect()}
+        assert got.keys() == want.keys()
+        assert all(abs(a - b) < 1e-9 for h in want for a, b in zip(got[h], want[h]))
 
 
-def test_links_decide(spark, monkeypatch):
+def test_links_decide(spark):
     rules = (Rule("bad.example", "/", False), Rule("good.example", "/", True))
     link = lambda *u: "".join(f"<a href=\"{x}\">x</a>" for x in u)
     rows = [(1, "http://bad.example/", ""), (2, "http://good.example/", link("http://friend.test/", "//other.test/x")), (3, "http://farm.test/", link("HTTP://Bad.example/1", "/self", "http://bad.example/2")), (4, "http://friend.test/", link("http://friend.test/a")), (5, "http://alone.test/", ""), (6, "http://mixed.test/", link("http://bad.example/")), (7, "http://good.example/2", link(*["http://mixed.test/"] * 9))]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
-    for most in (url_filter.BROADCAST_HOSTS, 0):
-        monkeypatch.setattr(url_filter, "BROADCAST_HOSTS", most)
-        got = {r.page_id: (r.verdict, r.by) for r in url_filter.judge_urls(pages, rules).collect()}
+    for least in (url_filter.LIGHT, 1):
+        got = {r.page_id: (r.verdict, r.by) for r in url_filter.judge_urls(pages, rules, least=least).collect()}
         assert got == {1: ("block", "rule"), 2: ("allow", "rule"), 3: ("block", "links"), 4: ("allow", "links"), 5: ("allow", "links"), 6: ("allow", "links"), 7: ("allow", "rule")}
 
 
@@ -125,5 +128,26 @@ def test_verdict_of_a_link_to_a_hot_host(spark):
         assert {(r.first, r.verdict): r["count"] for r in out.groupBy((out.page_id == 0).alias("first"), "verdict").count().collect()} == {(True, "allow"): 1, (False, "block"): n - 1}
 
 
+def test_long_pages_take_linear_time(spark):
+    pieces = ["<a href=", "<a ", "<a href=\"", "<a href ", "<a " + "b" * 50, "href=", "<", "<a href=http:", "<a href=//x "]
+    pages = spark.createDataFrame([(i, f"http://h{i}.test/", p * (5_000_000 // len(p))) for i, p in enumerate(pieces)], "page_id long, url string, html string").repartition(8)
+    begun = time.time()
+    assert {r.page_id: r.verdict for r in url_filter.judge_urls(pages).collect()} == {i: "allow" for i in range(len(pieces))}
+    assert time.time() - begun < 60
+    assert [r.n for r in url_filter.host_links(pages.where("page_id = 8"), url_filter.url_host(F.col("url"))).collect()] == [5_000_000 // 12]
+
+
+def test_sql_over_linked_pages(spark):
+    folder = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{folder}/pages.parquet'")
+    want = con.execute(queries.SQL_LINKED_URLS).fetchdf().sort_values("page_id")
+    got = queries.linked_urls(spark, folder).toPandas().sort_values("page_id")
+    for c in want.columns:
+        assert [None if x != x else x for x in got[c]] == [None if x != x else x for x in want[c]], c
+    by_links = got[got["by"] == "links"]
+    assert {"allow", "block"} <= set(by_links["verdict"]) and (by_links["trust"] > 0).any()
+
+
 def test_main_path_is_native():
     assert not re.search(r"pandas|mapIn|udf|\.rdd", open(url_filter.__file__).read())

@@ -294,12 +294,46 @@ def _scanner(held: dict[int, tuple[np.ndarray, np.ndarray]], k: int):
     return run
 
 
+class _Nearest:
+    """The k best rows of each query among those of a task, in arrays; at most about ``most`` rows are held."""
+
+    names = ["h1", "h2", "vec_id", "score", "own"]
+
+    def __init__(self, k: int, most: int = 400_000):
+        self.k, self.most, self.held, self.size = k, most, [], 0
+
+    def add(self, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append(columns)
+        self.size += len(columns[0])
+        if self.size > self.most:
+            self._cut()
+            if 2 * self.size > self.most:  # so many queries: their best of all tasks are found later
+                yield from self.rest()
+
+    def _cut(self) -> None:
+        h1, h2, ids, scores, own = (np.concatenate(c) for c in zip(*self.held))
+        order = np.lexsort((ids, -scores, h2, h1))
+        h1, h2 = h1[order], h2[order]
+        first = np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
+        starts = np.flatnonzero(first)
+        rank = np.arange(len(h1)) - np.repeat(starts, np.diff(np.concatenate([starts, [len(h1)]])))
+        kept = rank < self.k
+        self.held = [(h1[kept], h2[kept], *(c[order][kept] for c in (ids, scores, own)))]
+        self.size = int(kept.sum())
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self.size:
+            self._cut()
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in self.held[0]], self.names)
+        self.held, self.size = [], 0
+
+
 def _searcher(k: int):
-    """Rows come by (leaf, block), its vectors before the queries. Yields each query's k nearest rows of the block, ties to
-    the smaller id. Scores are summed in an order that depends on the two vectors alone."""
+    """Rows come by (leaf, block), its vectors before the queries. Yields each query's k nearest rows of what the task has,
+    ties to the smaller id. Scores are summed in an order that depends on the two vectors alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, stored = None, [], None
+        at, held, stored, best = None, [], None, _Nearest(k)
         for batch in batches:
             keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)], axis=1)
             cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
@@ -313,15 +347,14 @@ def _searcher(k: int):
                 column = batch.column(6).slice(a, b - a)
                 vectors = _matrix(column, len(column.flatten()) // len(column))
                 if not is_query:
-                    held.append((h1, h2, batch.column(5).slice(a, b - a).to_pylist(), vectors))
+                    held.append((h1, h2, vectors, batch.column(5).slice(a, b - a)))
                     continue
                 if not held:
                     continue
                 if stored is None:
-                    ids = [x for part in held for x in part[2]]
-                    stored = *(np.concatenate([part[i] for part in held]) for i in (0, 1, 3)), ids, np.array([x[0] for x in ids])
-                s1, s2, matrix, ids, least_id = stored
-                out = []
+                    ids = pa.concat_arrays([part[3] for part in held])
+                    stored = *(np.concatenate([part[i] for part in held]) for i in (0, 1, 2)), ids.flatten().to_numpy(), np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy())])
+                s1, s2, matrix, ids, starts = stored
                 for c in range(0, len(h1), _QUERIES):
                     asked = vectors[c : c + _QUERIES]
                     scores = asked @ matrix.T
@@ -330,24 +363,18 @@ def _searcher(k: int):
                     for i in range(len(asked)):
                         near = np.flatnonzero(scores[i] >= edge[i] - slack[i])
                         exact = (matrix[near] * asked[i]).sum(axis=1)
-                        order = np.lexsort((least_id[near], -exact))[:k]
                         # a class further back has k smaller ids of the same score or better before it
-                        rows = [(-s, x, j) for s, j in zip(exact[order].tolist(), near[order].tolist()) for x in ids[j]]
-                        for s, x, j in sorted(rows)[:k]:
-                            out.append((h1[c + i], h2[c + i], x, -s, s1[j] == h1[c + i] and s2[j] == h2[c + i]))
-                    if len(out) > 100_000:
-                        yield _found(out)
-                        out = []
-                yield _found(out)
+                        near, exact = (x[np.lexsort((ids[starts[near]], -exact))[:k]] for x in (near, exact))
+                        sizes = starts[near + 1] - starts[near]
+                        places = np.repeat(starts[near] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+                        near, exact = np.repeat(near, sizes), np.repeat(exact, sizes)
+                        own = (s1[near] == h1[c + i]) & (s2[near] == h2[c + i])
+                        yield from best.add(np.full(len(near), h1[c + i]), np.full(len(near), h2[c + i]), ids[places], exact, own)
+        yield from best.rest()
 
     return run
 
 
-def _found(rows: list[tuple]) -> pa.RecordBatch:
-    h1, h2, ids, scores, own = zip(*rows) if rows else ((),) * 5
-    return pa.RecordBatch.from_arrays([pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(ids, pa.int64()), pa.array(scores, pa.float64()), pa.array([bool(x) for x in own], pa.bool_())], ["h1", "h2", "vec_id", "score", "own"])
-
-
 def valid(column: str) -> Column:
     """Not null, not empty, every component finite, and not all of them zero."""
     finite = F.forall(column, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))

@@ -6,13 +6,13 @@ unless the answer was an object; an empty array means that it had nothing in the
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lexspark.functions import text as T
+from lexspark.operators import relational as R
 
 VALIDATED, REJECTED, NONEXISTENT, RETRY = "VALIDATED", "REJECTED", "NONEXISTENT", "RETRY"
 
@@ -98,17 +98,7 @@ def observed(classified: DataFrame, name: str = "outcomes") -> tuple[DataFrame,
     return classified.observe(seen, F.count(F.lit(1)).alias("processed"), *[F.count_if(F.col("outcome") == k).alias(k.lower()) for k in kinds]), seen
 
 
-def checkpointed(frame: DataFrame, name: str) -> DataFrame:
-    """``frame``, computed now and kept in the folder that ``spark.checkpoint.dir`` names; a local session gets one."""
-    context = frame.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        if not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="lexspark-"))
-    return frame.checkpoint()
-
-
-def retry_until_stable(words: DataFrame, attempt: Callable[[DataFrame, int], DataFrame], write: Callable[[DataFrame, str], DataFrame] = checkpointed, most_rounds: int = 100) -> DataFrame:
+def retry_until_stable(words: DataFrame, attempt: Callable[[DataFrame, int], DataFrame], write: Callable[[DataFrame, str], DataFrame] = lambda frame, _: R.checkpointed(frame), most_rounds: int = 100) -> DataFrame:
     """Runs ``attempt`` (words, round) again over what it left for RETRY or NONEXISTENT, until nothing has to be retried
     or the nonexistent words are the same as the round before.
 

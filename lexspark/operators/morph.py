@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexspark.functions import text as T
@@ -22,16 +22,23 @@ def conll_tokens(lines: DataFrame, row_idx: str = "row_idx", header: bool = True
     """
     rows = lines.where(F.col(row_idx) > 0) if header else lines
     rows = rows.withColumn("f", F.filter(F.split("line", r"[ \t]+"), lambda x: x != "")).withColumn("token", F.size("f") >= 5)
-    rows = rows.withColumn("blank", F.size("f") == 0).where("token or blank")
-    # a break counts if a token is between it and the break before: tokens so far have risen
-    rows = R.running(rows, row_idx, F.col("token").cast("long"), "seen")
-    breaks = rows.where("blank").groupBy("seen").agg(F.min(row_idx).alias("at")).where("seen > 0")
-    starts = R.running(rows.withColumn("_at", F.col(row_idx)).join(breaks.withColumnRenamed("at", "_stop"), ["seen"], "left").withColumn("ends", F.coalesce(F.col("blank") & (F.col("_at") == F.col("_stop")), F.lit(False))), row_idx, F.col("ends").cast("long"), "sentence_id")
+    rows = R.in_pieces(rows.where("token or size(f) = 0").select(row_idx, "f", "token"), row_idx)
+    # a token opens a sentence if no token is right before it; what a piece's first token is, the piece before tells
+    inside = Window.partitionBy("_piece").orderBy(row_idx)
+    opens = (F.col("token") & ~F.coalesce(F.lag("token").over(inside), F.lit(False))).cast("long")
+    kept = R.checkpointed(rows.withColumn("_opens", opens).withColumn("_nth", F.sum("_opens").over(inside)))
+    row = F.struct(row_idx, "token")
+    pieces = kept.groupBy("_piece").agg(F.sum("_opens").alias("n"), F.min(row)["token"].alias("first"), F.max(row)["token"].alias("last"))
+    order = Window.orderBy("_piece")  # a row a piece
+    joins = (F.col("first") & F.coalesce(F.lag("last").over(order), F.lit(False))).cast("long")
+    carried = pieces.withColumn("joins", joins).withColumn("_before", F.sum(F.col("n") - F.col("joins")).over(order) - F.col("n")).select("_piece", "_before")
+    tokens = kept.where("token")
     if drop_open_end:
-        last = starts.where("ends").agg(F.max(row_idx).alias("_last"))
-        starts = starts.join(F.broadcast(last), F.lit(True)).where(F.col(row_idx) < F.col("_last"))
+        last = kept.where("not token").agg(F.max(row_idx).alias("_last"))
+        tokens = tokens.crossJoin(F.broadcast(last)).where(F.col(row_idx) < F.col("_last"))  # a single row
     names = ["id", "form", "lemma", "POS", "features"]
-    return starts.where("token").select(row_idx, "sentence_id", *[F.col("f")[i].alias(n) for i, n in enumerate(names)])
+    sentence = (F.col("_before") + F.col("_nth") - 1).alias("sentence_id")
+    return tokens.join(F.broadcast(carried), "_piece").select(row_idx, sentence, *[F.col("f")[i].alias(n) for i, n in enumerate(names)])
 
 
 def sentences(tokens: DataFrame, row_idx: str = "row_idx") -> DataFrame:

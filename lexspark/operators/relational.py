@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import math
+import tempfile
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of a chunk in ``running``, on average.
-CHUNK = 100_000
+#: Rows of a piece of an ordered table, on average, and the most pieces: a table of these has a row a piece.
+CHUNK, PIECES = 100_000, 4096
 
 
 def dedupe_first(rows: DataFrame, key: Column | str, order: Sequence[str], eligible: Column | None = None) -> DataFrame:
@@ -29,47 +32,94 @@ def max_per_key(rows: DataFrame, key: str, value: str, order: Sequence[str]) ->
     return best.select("_row.*")
 
 
-def running(rows: DataFrame, order: str, value: Column, out: str, how: str = "sum") -> DataFrame:
-    """``rows`` with ``out``: the sum (or maximum) of ``value`` over all rows before one in ``order``, a unique long.
-
-    Order is cut into ranges by value; ranges are windows of their own, and a small table of range totals carries over.
-    So no task sorts the whole table.
+def checkpointed(frame: DataFrame) -> DataFrame:
+    """``frame``, computed now and kept in the folder that ``spark.checkpoint.dir`` names; a local session gets one."""
+    context = frame.sparkSession.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="lexspark-"))
+    return frame.checkpoint()
+
+
+def in_pieces(rows: DataFrame, order: str) -> DataFrame:
+    """``rows`` with ``_piece``: numbers of ranges of ``order``, a long, that hold about as many rows, however its values
+    are spread. Reads that column once; quantiles reach the driver."""
+    grid = F.lit(np.arange(1, PIECES) / PIECES)
+    n, cuts = rows.agg(F.count(F.lit(1)), F.percentile_approx(order, grid, F.lit(2 * PIECES))).first()
+    pieces = min(PIECES, -(-(n or 0) // CHUNK))
+    at = sorted({cuts[i * PIECES // pieces - 1] for i in range(1, pieces)}) if pieces > 1 else []
+    if not at:
+        return rows.withColumn("_piece", F.lit(0))
+    # cuts in groups: a row is compared with one cut of each group, and with those of its own group
+    size = math.isqrt(len(at) - 1) + 1
+    groups = [at[i : i + size] for i in range(0, len(at), size)]
+    below = lambda values: F.size(F.filter(values, lambda c: c < F.col(order)))
+    group = below(F.lit(np.array([g[-1] for g in groups])))
+    inside = F.try_element_at(F.array(*[F.lit(np.array(g)) for g in groups]), group + 1)
+    return rows.withColumn("_piece", group * size + F.coalesce(below(inside), F.lit(0)))
+
+
+def running(rows: DataFrame, order: str, columns: dict[str, tuple[Column, str]]) -> DataFrame:
+    """``rows`` with, for each name of ``columns`` (value, "sum" or "max"), the sum or maximum of the value over all rows
+    before one in ``order``, a unique long.
+
+    Pieces of the order are windows of their own; they are computed in one pass, now, and kept in the shared folder. A
+    table of a row for each piece carries over what is before it. So no task sorts the whole table, and the input is
+    read twice: for the cuts, only its order, and for the pass.
     """
-    bounds = rows.agg(F.min(order).alias("a"), F.max(order).alias("b"), F.count(F.lit(1)).alias("n")).first()
-    pieces = max(1, -(-(bounds.n or 0) // CHUNK))
-    width = ((bounds.b - bounds.a) // pieces + 1) if bounds.n else 1
-    cut = rows.withColumn("_v", value).withColumn("_piece", F.floor((F.col(order) - F.lit(bounds.a or 0)) / F.lit(width)))
-    total = {"sum": F.sum, "max": F.max}[how]
-    merge = (lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))) if how == "sum" else (lambda a, b: F.coalesce(F.greatest(a, b), a, b, F.lit(0)))
-    before = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    carried = cut.groupBy("_piece").agg(total("_v").alias("_t")).withColumn("_c", total("_t").over(before)).select("_piece", "_c")
+    total = {"sum": F.sum, "max": F.max}
+    names = list(enumerate(columns.items()))
     inside = Window.partitionBy("_piece").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return cut.withColumn("_w", total("_v").over(inside)).join(carried, "_piece").withColumn(out, merge(F.col("_c"), F.col("_w"))).drop("_v", "_w", "_c", "_piece")
+    cut = in_pieces(rows, order).withColumns({f"_v{i}": value for i, (_, (value, _)) in names})
+    kept = checkpointed(cut.withColumns({f"_w{i}": total[how](f"_v{i}").over(inside) for i, (_, (_, how)) in names}))
+    before = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = kept.groupBy("_piece").agg(*(total[how](f"_v{i}").alias(f"_t{i}") for i, (_, (_, how)) in names))
+    carried = pieces.select("_piece", *(total[how](f"_t{i}").over(before).alias(f"_c{i}") for i, (_, (_, how)) in names))
+
+    def merged(i: int, how: str) -> Column:
+        a, b = F.col(f"_c{i}"), F.col(f"_w{i}")
+        return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)) if how == "sum" else F.coalesce(F.greatest(a, b), F.lit(0))
+
+    joined = kept.join(F.broadcast(carried), "_piece")  # PIECES rows at most
+    return joined.select(*rows.columns, *(merged(i, how).alias(name) for i, (name, (_, how)) in names))
+
+
+def numbered(rows: DataFrame, order: Sequence[Column | str], out: str = "row_idx") -> tuple[DataFrame, int]:
+    """(``rows`` with ``out``, their number): numbers from 0 without gaps, in ``order``; ties get some order.
+
+    Rows are sorted by ranges and kept in the shared folder with their place in the range; a table of a row for each
+    range has where it begins.
+    """
+    n = rows.select(F.lit(1)).count()
+    placed = rows.repartitionByRange(max(1, min(PIECES, -(-n // CHUNK))), *order).sortWithinPartitions(*order)
+    kept = checkpointed(placed.withColumns({"_piece": F.spark_partition_id(), "_at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}))
+    before = F.sum("_n").over(Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1))
+    starts = kept.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n")).select("_piece", F.coalesce(before, F.lit(0)).alias("_before"))
+    return kept.join(F.broadcast(starts), "_piece").select(*rows.columns, (F.col("_before") + F.col("_at")).alias(out)), n
 
 
 def prefix_until(rows: DataFrame, order: str, fails: Column) -> DataFrame:
-    """The rows before the first one (in ``order``) that fails."""
+    """The rows before the first one (in ``order``) that fails. The other side of the join is a single row."""
     first = rows.where(F.coalesce(fails, F.lit(False))).agg(F.min(order).alias("_stop"))
-    return rows.join(F.broadcast(first), F.lit(True)).where(F.col("_stop").isNull() | (F.col(order) < F.col("_stop"))).drop("_stop")
+    return rows.crossJoin(F.broadcast(first)).where(F.col("_stop").isNull() | (F.col(order) < F.col("_stop"))).drop("_stop")
 
 
 def until_enough(rows: DataFrame, order: str, success: Column, most: int) -> DataFrame:
     """Rows with fewer than ``most`` successes before them; all of them if ``most`` is 0."""
     if not most:
         return rows
-    counted = running(rows, order, F.coalesce(success, F.lit(False)).cast("long"), "_done")
+    counted = running(rows, order, {"_done": (F.coalesce(success, F.lit(False)).cast("long"), "sum")})
     return counted.where(F.col("_done") < most).drop("_done")
 
 
 def percentile_slice(rows: DataFrame, order: Sequence[Column | str], skip: float, keep: float) -> DataFrame:
-    """The rows from position int(n * skip / 100) on, int(n * keep / 100) of them, in ``order``.
-
-    A dictionary of one length is meant; for a limited slice Spark sorts by ranges and keeps what is needed.
-    """
-    n = rows.count()
+    """The rows from position int(n * skip / 100) on, int(n * keep / 100) of them, in ``order``: a filter on the numbers
+    of ``numbered``, so that no task takes the slice."""
+    placed, n = numbered(rows, order, "_at")
     start = min(n, int(n * skip / 100))
     count = max(0, min(n - start, int(n * keep / 100)))
-    return rows.orderBy(*order).offset(start).limit(count)
+    return placed.where((F.col("_at") >= start) & (F.col("_at") < start + count)).drop("_at")
 
 
 def threshold_split(rows: DataFrame, value: str, least: int) -> tuple[DataFrame, DataFrame]:
@@ -103,4 +153,4 @@ def batch_plan(rows: DataFrame, row_idx: str, size: int, start: int = 0) -> Data
     """(batch, words_start, words_end, words, total_processed) of the rows from ``start`` on, ``size`` to a batch."""
     cut = rows.where(F.col(row_idx) >= start).withColumn("batch", F.floor((F.col(row_idx) - start) / size))
     per = cut.groupBy("batch").agg(F.min(row_idx).alias("words_start"), F.max(row_idx).alias("words_end"), F.count(F.lit(1)).alias("words"))
-    return running(per, "batch", F.col("words"), "_before").withColumn("total_processed", F.col("_before") + F.col("words")).drop("_before")
+    return running(per, "batch", {"_before": (F.col("words"), "sum")}).withColumn("total_processed", F.col("_before") + F.col("words")).drop("_before")

@@ -33,7 +33,7 @@ def indexed_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def number_rows(rows: DataFrame, order: str, out: str = "row_idx") -> DataFrame:
-    return R.running(rows, order, F.lit(1).cast("long"), out)
+    return R.running(rows, order, {out: (F.lit(1).cast("long"), "sum")})
 
 
 def dump_candidates(lines: DataFrame) -> DataFrame:

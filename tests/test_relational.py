@@ -29,7 +29,7 @@ def test_order_dependent_tools(spark, parts, monkeypatch):
     for r in data:
         want[r[0]] = total
         total += r[2]
-    assert {r.i: r.s for r in R.running(frame, "i", F.col("v"), "s").collect()} == want
+    assert {r.i: r.s for r in R.running(frame, "i", {"s": (F.col("v"), "sum")}).collect()} == want
     stop = next(r[0] for r in data if r[2] == 0)
     assert sorted(r.i for r in R.prefix_until(frame, "i", F.col("v") == 0).collect()) == list(range(stop))
     done, kept = 0, []
@@ -44,10 +44,57 @@ def test_order_dependent_tools(spark, parts, monkeypatch):
         assert sorted(r.i for r in R.percentile_slice(frame, ["i"], skip, keep).collect()) == list(range(a, min(400, a + int(400 * keep / 100))))
 
 
+def test_running_reads_twice_and_cuts_evenly(spark, monkeypatch):
+    monkeypatch.setattr(R, "CHUNK", 100)
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            read.add(len(b))
+            yield b
+
+    # half of the ids are far away from the others
+    wide = spark.range(2000).selectExpr("id + (id div 1000) * (1L << 50) AS i", "id % 7 AS v").repartition(4)
+    got = R.running(wide.mapInPandas(seen, "i long, v long"), "i", {"n": (F.lit(1), "sum"), "s": (F.col("v"), "sum"), "m": (F.col("v"), "max")})
+    rows = sorted(tuple(r) for r in got.collect())
+    got.count()
+    assert read.value <= 4000
+    vs = [r[1] for r in rows]
+    assert [r[2:] for r in rows] == [(k, sum(vs[:k]), max(vs[:k], default=0)) for k in range(2000)]
+    sizes = [r["count"] for r in R.in_pieces(wide, "i").groupBy("_piece").count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 200
+
+
+def test_conll_reads_twice(spark, monkeypatch):
+    rng, read = random.Random(7), spark.sparkContext.accumulator(0)
+    lines = ["header"] + [rng.choice(["", " ", f"{i} f l P X", f"{i}\tf\tl\tP\tX", "a b"]) for i in range(600)]
+
+    def seen(batches):
+        for b in batches:
+            read.add(len(b))
+            yield b
+
+    want, sentence, tokens = [], 0, 0
+    for i, line in enumerate(lines):
+        if i and not line.strip():
+            sentence, tokens = sentence + (tokens > 0), 0
+        elif i and len(line.split()) >= 5:
+            want.append((i, sentence))
+            tokens += 1
+    frame = spark.createDataFrame(list(zip(lines, [i << 33 for i in range(601)])), "line string, row_idx long").repartition(3)
+    for chunk in (1, 13, 10_000):
+        monkeypatch.setattr(R, "CHUNK", chunk)
+        read.value = 0
+        got = sorted((r.row_idx >> 33, r.sentence_id) for r in morph.conll_tokens(frame.mapInPandas(seen, "line string, row_idx long")).collect())
+        assert got == want and read.value <= 1202
+        closed = sorted((r.row_idx >> 33, r.sentence_id) for r in morph.conll_tokens(frame, drop_open_end=True).collect())
+        assert closed == [x for x in want if x[1] < sentence]
+
+
 def test_empty(spark):
     _, frame = rows(spark)
     none = frame.limit(0)
-    assert R.dedupe_first(none, "k", ["i"]).collect() == R.running(none, "i", F.col("v"), "s").collect() == R.prefix_until(none, "i", F.lit(True)).collect() == R.percentile_slice(none, ["i"], 10, 50).collect() == []
+    assert R.dedupe_first(none, "k", ["i"]).collect() == R.running(none, "i", {"s": (F.col("v"), "sum")}).collect() == R.prefix_until(none, "i", F.lit(True)).collect() == R.percentile_slice(none, ["i"], 10, 50).collect() == []
 
 
 def test_suffix_and_sets(spark):

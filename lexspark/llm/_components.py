@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.llm._scratch import Scratch
+from lexspark.llm._scratch import LIGHT, Scratch, hot_join
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -13,7 +13,17 @@ def _signature(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def connected_components(edges: DataFrame, scratch: Scratch, most_rounds: int = 100) -> DataFrame:
+def _least_around(edges: DataFrame, of: str, value: str, scratch: Scratch, most: int, least: int) -> tuple[DataFrame, list[DataFrame]]:
+    """``edges`` with ``m``, the smallest ``value`` of the same ``of``, and the tables to drop later. A node may have a third
+    of all edges: such edges stay where they are. With fewer than ``least`` edges (``most``) no node has that many."""
+    found = edges.groupBy(of).agg(F.min(value).alias("m"), F.count(F.lit(1)).alias("n"))
+    if most < least:
+        return edges.join(found.drop("n"), of), []
+    found = scratch.write(found, "least")
+    return hot_join(edges, found, [of], "n", least).drop("n"), [found]
+
+
+def connected_components(edges: DataFrame, scratch: Scratch, most_rounds: int = 100, least: int = LIGHT) -> DataFrame:
     """(node, component) of every node that has an edge to another one; component is the smallest node reached.
 
     ``edges`` has two columns of longs, in any direction, with repeats and loops allowed. Each round is a few grouped
@@ -27,12 +37,16 @@ def connected_components(edges: DataFrame, scratch: Scratch, most_rounds: int =
             break
         # large star: each node hands its larger neighbours to the smallest node around it
         both = state.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(state.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        around, spent = _least_around(both, "u", "v", scratch, 2 * before[0], least)
+        large = around.where("v > u").select(F.col("v").alias("hi"), F.least("u", "m").alias("lo")).distinct()
         # small star: each node hands its smaller neighbours, and itself, to the smallest of them
-        low = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        rest = large.join(low, "hi").where("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        after = scratch.write(rest.unionByName(low.select("hi", F.col("m").alias("lo"))).distinct(), "edges")
+        if 2 * before[0] >= least:
+            large = scratch.write(large, "large")
+            spent.append(large)
+        low, more = _least_around(large, "hi", "lo", scratch, before[0], least)
+        given = low.where("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).unionByName(low.select("hi", F.col("m").alias("lo")))
+        after = scratch.write(given.distinct(), "edges")
+        scratch.drop(*spent, *more)
         scratch.drop(state)
         state, now = after, _signature(after)
         if now == before:

@@ -19,13 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexspark.llm._components import connected_components
-from lexspark.llm._scratch import Scratch, small
+from lexspark.llm._scratch import Scratch, hot_join, key_counts, small
 
 ROWS, BANDS = 5, 40
 #: Followers that are compared with one copy of their leader; a leader with more gets several copies.
 FOLLOWERS = 512
-#: Members of a leader's company that a task holds at a time.
-MEMBERS = 2048
+#: Members of a leader's company, and queries to them, that are compared in a group of rows.
+MEMBERS = 512
 #: Rows of ids up to which a counted table is broadcast.
 BROADCAST_ROWS = 500_000
 #: Bytes of text that are hashed together.
@@ -165,8 +165,8 @@ def _verifier(size: int, num: int, den: int):
 
 def _verified(pairs: DataFrame, candidates: DataFrame, scratch: Scratch, size: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough. b leads: a's text travels to b's, in groups of bounded size."""
-    fans = scratch.write(pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / FOLLOWERS).alias("copies")), "fans")
-    told = scratch.write(pairs.join(fans, "b").select("a", "b", F.expr("pmod(xxhash64(a), copies)").alias("copy")), "told")
+    fans = scratch.write(pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / FOLLOWERS).alias("copies"), F.count(F.lit(1)).alias("n")), "fans")
+    told = scratch.write(hot_join(pairs, fans, ["b"], "n").select("a", "b", F.expr("pmod(xxhash64(a), copies)").alias("copy")), "told")
     text = candidates.select("doc_id", "set_key", "text")
     followers = text.join(small(told, BROADCAST_ROWS), F.col("doc_id") == F.col("a")).select("b", "a", "text", "set_key", "copy")
     leaders = text.join(small(fans, BROADCAST_ROWS), F.col("doc_id") == F.col("b")).select("b", F.lit(None).cast("long").alias("a"), "text", "set_key", F.explode(F.expr("sequence(0L, copies - 1)")).alias("copy"))
@@ -218,18 +218,20 @@ def _block_comparer(size: int, num: int, den: int):
 
 
 def _across(company: DataFrame, candidates: DataFrame, scratch: Scratch, size: int, num: int, den: int) -> DataFrame:
-    """Links between different components within a leader's company; ``company`` is (rep, lead, comp).
+    """Links between different components within a leader's company; ``company`` is (rep, lead, comp), a written table.
 
     The members outside the largest component are compared with all members, block by block: a query set against the
-    rows of its company, without a row for each pair.
+    rows of its company, without a row for each pair. Blocks of members meet blocks of queries, so that no group of
+    rows grows with the company.
     """
     counts = company.groupBy("lead", "comp").agg(F.count(F.lit(1)).alias("n"))
-    mixed = counts.groupBy("lead").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.sum("n").alias("members"), F.count(F.lit(1)).alias("comps")).where("comps > 1 and members > 2")
-    mixed = scratch.write(mixed.select("lead", "main", F.ceil(F.col("members") / MEMBERS).alias("blocks")), "mixed")
-    held = scratch.write(company.join(mixed, "lead"), "held")
-    members = held.select("lead", F.expr("pmod(xxhash64(rep), blocks)").alias("block"), F.lit(0).alias("query"), "rep", "comp")
-    queries = held.where("comp != main").select("lead", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"), F.lit(1).alias("query"), "rep", "comp")
-    told = scratch.write(members.unionByName(queries), "told")
+    mixed = counts.groupBy("lead").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.sum("n").alias("members"), F.max("n").alias("largest"), F.count(F.lit(1)).alias("comps")).where("comps > 1 and members > 2")
+    mixed = scratch.write(mixed.select("lead", "main", "members", F.ceil(F.col("members") / MEMBERS).alias("blocks"), F.ceil((F.col("members") - F.col("largest")) / MEMBERS).alias("parts")), "mixed")
+    held = scratch.write(hot_join(company, mixed, ["lead"], "members"), "held")
+    other = lambda n: F.explode(F.expr(f"sequence(0L, {n} - 1)"))
+    members = held.select("lead", F.expr("pmod(xxhash64(rep), blocks)").alias("block"), other("parts").alias("part"), F.lit(0).alias("query"), "rep", "comp")
+    queries = held.where("comp != main").select("lead", other("blocks").alias("block"), F.expr("pmod(xxhash64(rep, 1), parts)").alias("part"), F.lit(1).alias("query"), "rep", "comp")
+    told = scratch.write(members.unionByName(queries).withColumn("block", F.col("block") * F.lit(1 << 24) + F.col("part")).drop("part"), "told")
     dealt = candidates.select(F.col("doc_id").alias("rep"), "set_key", "text").join(small(told, BROADCAST_ROWS), "rep")
     dealt = dealt.select("lead", "block", "query", "rep", "comp", "set_key", "text").repartition("lead", "block").sortWithinPartitions("lead", "block", "query")
     links = scratch.write(dealt.mapInArrow(_block_comparer(size, num, den), "a long, b long"), "links")
@@ -252,6 +254,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     that this leaves in different components are then compared with all of the leader's company, in blocks, so no
     candidate pair is left out and no bucket is expanded into pairs.
 
+    Sets are of 64-bit hashes of shingles; the check of a link compares these.
+
     Null or wordless texts have an empty set and no links. A null id takes no part in links: its component is null
     and it is kept. Repeated rows get a row each; rows of one id with different texts each go by their own text.
     Other columns of ``docs`` are ignored. An empty table gives an empty result.
@@ -259,18 +263,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     scratch = Scratch(docs.sparkSession, "minhash")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     base = scratch.write(docs.mapInArrow(_sketcher(size, rows, bands), "doc_id long, n_shingles long, set_key binary, bands array<long>"), "sketches")
-    classes = scratch.write(base.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = scratch.write(base.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
     reps = base.withColumnRenamed("doc_id", "rep").join(classes, ["set_key", "rep"], "left_semi")
 
     hashed = reps.select("rep", "set_key", F.explode("bands").alias("bucket"))
     buckets = hashed.groupBy("bucket").agg(F.min("rep").alias("least"), F.max("rep").alias("most"), F.count(F.lit(1)).alias("size")).where("least != most")
-    members = scratch.write(hashed.join(buckets.select("bucket", "size"), "bucket"), "members")
+    buckets = scratch.write(buckets.select("bucket", "size"), "buckets")
+    counts = key_counts(buckets, "size")  # a company of near copies may be in one bucket
+    members = scratch.write(hot_join(hashed, buckets, ["bucket"], "size", counts=counts), "members")
     # the leader of a bucket is its member with most company in all buckets: an original rather than one of its copies
     company = members.groupBy("rep").agg(F.sum(F.col("size") - 1).alias("company"))
-    leaders = members.join(company, "rep").groupBy("bucket").agg(F.max_by("rep", F.struct("company", -F.col("rep"))).alias("lead"))
-    spokes = scratch.write(members.join(leaders, "bucket").groupBy("rep", "lead").agg(F.count(F.lit(1)).alias("times")), "spokes")
+    leaders = members.join(company, "rep").groupBy("bucket").agg(F.max_by("rep", F.struct("company", -F.col("rep"))).alias("lead"), F.max("size").alias("size"))
+    leaders = scratch.write(leaders, "leaders")
+    spokes = scratch.write(hot_join(members.drop("size"), leaders, ["bucket"], "size", counts=counts).groupBy("rep", "lead").agg(F.count(F.lit(1)).alias("times")), "spokes")
     wanted = scratch.write(members.select(F.col("rep").alias("doc_id"), "set_key").distinct(), "wanted")
-    scratch.drop(members)
+    scratch.drop(members, buckets, leaders)
     candidates = scratch.write(docs.join(small(wanted, BROADCAST_ROWS), "doc_id").select("doc_id", "set_key", "text"), "candidates")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -289,14 +296,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
         comps = scratch.write(connected_components(links, scratch), "components")
 
     # two members of a bucket share its leader: what a leader's company does not hold together is compared in full
-    rest = _across(_labelled(spokes.select("rep", "lead"), "rep", comps, "comp"), candidates, scratch, size, num, den)
+    companies = scratch.write(_labelled(spokes.select("rep", "lead"), "rep", comps, "comp"), "companies")
+    rest = _across(companies, candidates, scratch, size, num, den)
     if not rest.isEmpty():
         links = links.unionByName(rest)
         comps = scratch.write(connected_components(links, scratch), "components")
 
-    ends = _labelled(classes, "rep", comps, "component_id").select("set_key", "component_id")
-    scratch.drop(candidates, spokes)
-    joined = base.select("doc_id", "n_shingles", "set_key").join(ends, "set_key", "left")
+    ends = scratch.write(_labelled(classes, "rep", comps, "component_id").select("set_key", "component_id", "copies"), "ends")
+    scratch.drop(candidates, spokes, companies)
+    # a third of all rows may have equal sets
+    rows, known = base.select("doc_id", "n_shingles", "set_key"), F.col("set_key").isNotNull()
+    joined = hot_join(rows.where(known & F.col("doc_id").isNotNull()), ends, ["set_key"], "copies").select("doc_id", "n_shingles", "component_id")
+    joined = joined.unionByName(rows.where(~known | F.col("doc_id").isNull()).select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id")))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 

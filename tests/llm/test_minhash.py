@@ -4,7 +4,7 @@ import numpy as np
 
 from lexspark.llm import minhash
 from lexspark.llm._components import connected_components
-from lexspark.llm._scratch import Scratch
+from lexspark.llm._scratch import Scratch, hot_join
 
 
 def words(text):
@@ -61,6 +61,20 @@ def test_chains_and_edges(spark):
     check(spark, rows, size=5)
 
 
+def test_hot_keys(spark, monkeypatch):
+    # all keys of more than three rows are split, companies are compared in blocks of four
+    monkeypatch.setattr(minhash, "hot_join", lambda *a, **b: hot_join(*a, **{**b, "least": 3}))
+    monkeypatch.setattr(minhash, "MEMBERS", 4)
+    rng, rows = random.Random(5), []
+    for group in range(3):
+        base = [f"g{group}w{rng.randrange(80)}" for _ in range(30)]
+        for i in range(25):
+            at = rng.sample(range(30), rng.randrange(5))
+            rows.append((group * 100 + i, " ".join(f"x{rng.randrange(9)}" if k in at else w for k, w in enumerate(base))))
+    rows += [(500 + i, "the same text again and again") for i in range(20)]
+    check(spark, rows)
+
+
 def test_repeats_nulls_empty(spark):
     docs = spark.createDataFrame([(2, "a b c"), (2, "a b c"), (None, "a b c"), (None, None), (7, "A b\tc")], "doc_id long, text string")
     got = sorted((str(r.doc_id), r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(docs, size=2).collect())
@@ -86,4 +100,6 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(60)] + [(200, 100 + i) for i in range(50)] + [(5, 5), (900, 901), (901, 900)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "test")).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{100 + i: 100 for i in range(50)}, 200: 100, 900: 900, 901: 900}
+    hot = connected_components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "test"), least=8)
+    assert {r.node: r.component for r in hot.collect()} == got
     assert connected_components(spark.createDataFrame([], "a long, b long"), Scratch(spark, "test")).collect() == []

@@ -235,9 +235,11 @@ def fingerprints(docs: DataFrame, ranks: np.ndarray | None = None, text_col: str
     base = docs.drop(out_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [(t or "").encode("utf-8") for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([to_text(d) for d in digests(texts, ranks)], pa.string())], [*batch.schema.names, out_col])
+        for whole in batches:
+            for start in range(0, whole.num_rows, 200):
+                batch = whole.slice(start, 200)
+                texts = [(t or "").encode("utf-8") for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([to_text(d) for d in digests(texts, ranks)], pa.string())], [*batch.schema.names, out_col])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
     return base.mapInArrow(run, f"{fields}, `{out_col}` string")
@@ -249,21 +251,27 @@ def spliced(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-#: Documents in a range of ids, on average, and the most ranges; a range streams through its task, however long.
-RANGE_DOCS, RANGES = 8_000, 4_096
+#: Bytes of text in a range of ids, on average: the first as long as there are at most RANGES, the second in any case. A range
+#: streams through its task.
+RANGE_BYTES, RANGES = (16 << 20, 512 << 20), 16_384
+
+
+def range_count(size: int, ranges: tuple[int, int] = RANGE_BYTES) -> int:
+    """How many ranges a table of ``size`` bytes of text is cut into."""
+    return max(1, min(RANGES, -(-size // ranges[0])), -(-size // ranges[1]))
 
 
-def _in_order(docs: DataFrame, range_docs: int) -> DataFrame:
-    """(part, doc_id, text, tail) so that, by part, descending id and text, each row but a tail has its next row behind
-    it. Parts are ranges of ids; each ends with a copy of the first row of the next one (``tail``).
+def _in_order(docs: DataFrame, ranges: tuple[int, int]) -> tuple[DataFrame, int]:
+    """(rows, parts): rows so that, by part, descending id and text, each row but a tail has its next row behind it. Parts
+    are ranges of ids; each ends with a copy of the first row of the next one (``tail``).
 
-    Ties of ids go by text. Rows without an id come last. Only one id for each of at most RANGES parts reaches the driver.
+    Ties of ids go by text. Rows without an id come last. Two ids for each part reach the driver and the tasks: some
+    200 000 parts at 100 TB.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     key = F.coalesce("doc_id", F.lit(-(2**63)))
-    total = rows.select(F.lit(1)).count()
-    n = max(1, min(RANGES, -(-total // range_docs)))
-    cuts = rows.select(key.alias("k")).agg(F.percentile_approx("k", [i / n for i in range(1, n)], 10_000)).first()[0] if n > 1 else []
+    n = range_count(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0, ranges)
+    cuts = rows.select(key.alias("k")).agg(F.percentile_approx("k", F.lit(np.arange(1, n) / n), F.lit(max(10_000, 2 * n)))).first()[0] if n > 1 else []
     bounds = np.array(sorted({int(c) for c in cuts or []}), dtype=np.int64)
 
     @F.pandas_udf("int")
@@ -279,7 +287,7 @@ def _in_order(docs: DataFrame, range_docs: int) -> DataFrame:
 
     own = rows.select(part(key).alias("part"), "doc_id", "text", F.lit(False).alias("tail"))
     tails = rows.select(tail_part(key).alias("part"), "doc_id", "text", F.lit(True).alias("tail")).where("part >= 0")
-    return own.unionByName(tails)
+    return own.unionByName(tails), len(bounds) + 1
 
 
 def _comparer(ranks: np.ndarray):
@@ -317,7 +325,7 @@ def _comparer(ranks: np.ndarray):
     return run
 
 
-def compare_with_edited(docs: DataFrame, ranks: np.ndarray | None = None, range_docs: int = RANGE_DOCS) -> DataFrame:
+def compare_with_edited(docs: DataFrame, ranks: np.ndarray | None = None, ranges: tuple[int, int] = RANGE_BYTES) -> DataFrame:
     """A row for each row of ``docs`` (doc_id, text): its fingerprint, that of its text spliced with the next document's,
     and the likeness to both. The next document is that of the next smaller id; the first follows the last.
 
@@ -325,6 +333,7 @@ def compare_with_edited(docs: DataFrame, ranks: np.ndarray | None = None, range_
     row is its own next. Other columns are ignored; an empty table gives an empty result.
     """
     ranks = corpus_ranks(docs) if ranks is None else ranks
-    rows = _in_order(docs, range_docs)
-    ordered = rows.repartition("part").sortWithinPartitions("part", "tail", F.col("doc_id").desc_nulls_last(), "text")
+    rows, parts = _in_order(docs, ranges)
+    # each part is a task of its own
+    ordered = rows.repartitionByRange(parts, "part").sortWithinPartitions("part", "tail", F.col("doc_id").desc_nulls_last(), "text")
     return ordered.select("part", "doc_id", "text", "tail").mapInArrow(_comparer(ranks), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")

@@ -1,4 +1,6 @@
+import collections
 import hashlib
+import math
 import random
 
 import numpy as np
@@ -83,8 +85,8 @@ def test_next_document(spark):
     rng = random.Random(4)
     rows = [(i * 7 % 501, sample(rng, rng.randrange(400)).decode("latin-1")) for i in range(500)] + [(9000, None), (-5, ""), (250, "again"), (250, "again"), (None, "x" * 90), (None, "yy"), (-(10**15), "é" * 71)]
     docs = spark.createDataFrame([(*r, 2) for r in rows], "doc_id long, text string, n_chars int").repartition(4)
-    for size in (40, 8000):
-        got = fp.compare_with_edited(docs, range_docs=size).collect()
+    for ranges in ((1 << 12, 1 << 30), fp.RANGE_BYTES):
+        got = fp.compare_with_edited(docs, ranges=ranges).collect()
         assert sorted((str(r.doc_id), r.n_chars, r.edited_sha256) for r in got) == expected(rows)
         assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
     one = fp.compare_with_edited(docs.where("doc_id = 9000")).collect()
@@ -92,6 +94,82 @@ def test_next_document(spark):
     assert fp.compare_with_edited(docs.limit(0)).collect() == []
 
 
+def test_range_counts():
+    assert [fp.range_count(n) for n in (0, 1, 16 << 20, (16 << 20) + 1, 10**11, 10**14)] == [1, 1, 1, 2, 5961, 186265]
+
+
+def plain_digest(text, ranks):
+    """The digest by definition: [(bits, items)] of the chain."""
+    gain = lambda m: round(((m + 1) * math.log2(m + 1) - (m * math.log2(m) if m else 0)) * 2**20)
+    sums = [0]
+    for m in range(64):
+        sums.append(sums[-1] + gain(m))
+    level = lambda w: min(1023, max(0, int((6 - sum(sums[n] for n in collections.Counter(w).values()) / (64 * 2**20)) * (1023 / 6))))
+    if not text:
+        return []
+    windows = [text[i : i + 64] for i in range(len(text) - 63)] or [text.ljust(64, b"\0")]
+    points = [0] * len(windows)
+    rank = [int(ranks[level(w)]) for w in windows]
+    for a in range(max(1, len(windows) - 63)):
+        points[a + min(range(len(rank[a : a + 64])), key=lambda j: (rank[a + j], j))] += 1 if len(windows) >= 64 else 16
+    chosen = [i for i, n in enumerate(points) if n >= 16] or [points.index(max(points))]
+    mask, features = 2**64 - 1, []
+    for i in chosen:
+        h = 0x243F6A8885A308D3
+        for j in range(0, 64, 8):
+            h = ((h ^ int.from_bytes(windows[i][j : j + 8], "little")) * 0x9E3779B97F4A7C15) & mask
+            h ^= h >> 29
+        h = ((h ^ (h >> 30)) * 0xBF58476D1CE4E5B9) & mask
+        h ^= h >> 31
+        h = h ^ len(text) if len(text) < 64 else h
+        if h not in features:
+            features.append(h)
+    chain = []
+    for a in range(0, len(features), 160):
+        part = features[a : a + 160]
+        chain.append(({(h >> (11 * j)) & 2047 for h in part for j in range(5)}, len(part)))
+    return chain
+
+
+def plain_likeness(a, b):
+    if not a or not b:
+        return float(len(a) == len(b))
+    if (len(a), sum(n for _, n in a)) > (len(b), sum(n for _, n in b)):
+        a, b = b, a
+    if len(a) == len(b) and [x for x, _ in a] == [y for y, _ in b]:
+        return 1.0
+    total = 0
+    for x, n in a:
+        best = 0
+        for y, _ in b:
+            chance, most = len(x) * len(y) / 2048, min(len(x), len(y))
+            best = max(best, min(1, max(0, (len(x & y) - chance) / max(most - chance, 1e-9))))
+        total += best * n
+    return min(1.0, total / sum(n for _, n in a))
+
+
+def test_query_by_definition(spark):
+    rng = random.Random(9)
+    pool = sample(rng, 9000).decode("latin-1")
+    rows = [(i, pool[(a := rng.randrange(6000)) : a + rng.choice([0, 5, 63, 64, 70, 127, 128, 400, 3000])]) for i in range(60)] + [(100, None), (101, "é" * 200), (102, pool)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = fp.level_counts([(t or "").encode() for _, t in rows])
+    ranks = fp.precedence(counts)
+    assert ranks.tolist() == [r for _, r in sorted((k, r) for r, k in enumerate(sorted(range(fp.LEVELS), key=lambda k: (counts[k], -k))))]
+    order = sorted(rows, key=lambda r: -r[0])
+    got = {r.doc_id: r for r in fp.compare_with_edited(docs, ranges=(1 << 12, 1 << 30)).collect()}
+    longest = 0
+    for k, (i, t) in enumerate(order):
+        t, following = t or "", order[(k + 1) % len(order)][1] or ""
+        own, edited, after = (plain_digest(x.encode(), ranks) for x in (t, t[: len(t) - len(t) // 2] + following[: len(t) // 2], following))
+        for text, chain in ((got[i].fingerprint, own), (got[i].edited_fingerprint, edited)):
+            bits, items = fp.from_text(text)
+            assert [set(np.flatnonzero(x).tolist()) for x in bits] == [x for x, _ in chain] and items.tolist() == [n for _, n in chain]
+        assert abs(got[i].near_edited - plain_likeness(own, edited)) < 1e-6 and abs(got[i].near_next - plain_likeness(own, after)) < 1e-6
+        longest = max(longest, len(own))
+    assert longest > 1
+
+
 def test_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     got = fp.compare_with_edited(docs).collect()

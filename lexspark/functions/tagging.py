@@ -15,9 +15,9 @@ DEFINITION = "struct<definition:string,examples:array<string>,parsedExamples:arr
 ENTRY = f"struct<partOfSpeech:string,language:string,etymology_text:string,etymology:string,description:string,romanization:string,definitions:array<{DEFINITION}>>"
 
 # Words that grammar tags, origins and registers are told by.
-GRAMMAR_WORDS = "form inflection inflected declension conjugation plural singular nominative genitive dative accusative instrumental prepositional locative vocative ablative partitive masculine feminine neuter common comparative superlative past present future imperfect perfect pluperfect participle gerund infinitive subjunctive imperative conditional first second third(?:-person)? person".split()
+GRAMMAR_WORDS = ("form", "inflection", "inflected", "declension", "conjugation", "plural", "singular", "nominative", "genitive", "dative", "accusative", "instrumental", "prepositional", "locative", "vocative", "ablative", "partitive", "masculine", "feminine", "neuter", "common", "comparative", "superlative", "past", "present", "future", "imperfect", "perfect", "pluperfect", "participle", "gerund", "infinitive", "subjunctive", "imperative", "conditional", "first", "second", "third(?:-person)?", "person")
 GRAMMAR_FOLLOWERS = [w for w in GRAMMAR_WORDS if w not in ("declension", "conjugation")]
-OF_WORDS = "of de del della di da du des dos das do von van".split()
+OF_WORDS = ("of", "de", "del", "della", "di", "da", "du", "des", "dos", "das", "do", "von", "van")
 LANGUAGES = ["latin", "greek", "french", "old french", "middle french", "german", "old english", "anglo-norman", "spanish", "italian", "portuguese", "arabic", "hebrew", "aramaic", "persian", "sanskrit", "russian", "ukrainian", "polish", "czech", "dutch", "swedish", "norwegian", "danish", "japanese", "chinese", "korean"]
 REGISTERS = ["archaic", "obsolete", "slang", "informal", "rare", "offensive", "dialectal", "poetic"]
 GENDERS = {"masculine": "MASC", "feminine": "FEM", "neuter": "NEUT", "common": "COMMON_GENDER"}

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows of a piece of an ordered table, on average, and the most pieces: a table of these has a row a piece.
@@ -32,13 +32,19 @@ def max_per_key(rows: DataFrame, key: str, value: str, order: Sequence[str]) ->
     return best.select("_row.*")
 
 
-def checkpointed(frame: DataFrame) -> DataFrame:
-    """``frame``, computed now and kept in the folder that ``spark.checkpoint.dir`` names; a local session gets one."""
-    context = frame.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; a local session without one gets one."""
+    context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
         if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="lexspark-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def checkpointed(frame: DataFrame) -> DataFrame:
+    """``frame``, computed now and kept in the shared folder."""
+    shared_folder(frame.sparkSession)
     return frame.checkpoint()
 
 

@@ -19,17 +19,30 @@ from lexspark.operators import relational as R
 SPLITS = 100_000
 
 
-def indexed_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line, row_idx): numbers from 0 without gaps, by file name and place in the file.
+def located(rows: DataFrame, *columns: Column | str) -> DataFrame:
+    """Columns of rows that come from files, and where each row stands: for ``in_file_order``."""
+    return rows.select(*columns, F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_s"), F.col("_metadata.file_modification_time").alias("_t"), F.monotonically_increasing_id().alias("_m"))
+
+
+def in_file_order(rows: DataFrame, by_time: bool = False) -> DataFrame:
+    """``located`` rows with ``row_idx``, numbers from 0 without gaps by file name and place in the file, and
+    ``source_ord``, the number of the file; with ``by_time`` the oldest file is the first.
 
-    Rows of a split have consecutive ids, so a count by split gives every row its number: nothing is sorted.
+    Rows of a split have consecutive ids, so a count by split gives every row its number, however splits are dealt to
+    tasks: nothing is sorted but a table of a row for each split.
     """
-    lines = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_s"), F.monotonically_increasing_id().alias("_m"))
-    splits = lines.groupBy("_f", "_s").agg(F.min("_m").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.orderBy("_f", "_s").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = splits.select("_f", "_s", "_first", F.coalesce(before, F.lit(0)).alias("_before"))
-    offsets = F.broadcast(offsets) if lines.rdd.getNumPartitions() <= SPLITS else offsets
-    return lines.join(offsets, ["_f", "_s"]).select("line", (F.col("_before") + F.col("_m") - F.col("_first")).alias("row_idx"))
+    file = ["_t", "_f"] if by_time else ["_f"]
+    splits = rows.groupBy("_t", "_f", "_s").agg(F.min("_m").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy(*file, "_s").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = splits.select("_f", "_s", "_first", F.coalesce(before, F.lit(0)).alias("_before"), (F.dense_rank().over(Window.orderBy(*file)) - 1).alias("source_ord"))
+    offsets = F.broadcast(offsets) if rows.rdd.getNumPartitions() <= SPLITS else offsets
+    own = [c for c in rows.columns if c not in ("_f", "_s", "_t", "_m")]
+    return rows.join(offsets, ["_f", "_s"]).select(*own, (F.col("_before") + F.col("_m") - F.col("_first")).alias("row_idx"), "source_ord")
+
+
+def indexed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line, row_idx): numbers from 0 without gaps, by file name and place in the file."""
+    return in_file_order(located(spark.read.text(path), F.col("value").alias("line"))).drop("source_ord")
 
 
 def number_rows(rows: DataFrame, order: str, out: str = "row_idx") -> DataFrame:
@@ -111,6 +124,19 @@ def wiki_pages(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("title", F.col("revision.text._VALUE").alias("text"))
 
 
+def element_texts(spark: SparkSession, path: str) -> DataFrame:
+    """(tag, text): the non-empty text of every element whose name ends with ``text``, whatever its prefix.
+
+    A first pass over the lines finds the names, of which a format has few; each is read as rows of its own.
+    """
+    names = spark.read.text(path).select(F.explode(F.regexp_extract_all("value", F.lit(r"<((?:[\\w.-]+:)?[\\w.-]*text)[\\s/>]"), F.lit(1))).alias("n")).distinct().collect()
+    out = spark.createDataFrame([], "tag string, text string")
+    for name in sorted(r.n for r in names):
+        rows = spark.read.format("xml").option("rowTag", name).option("ignoreNamespace", True).schema("_VALUE string, _none string").load(path)
+        out = out.unionByName(rows.select(F.lit(name).alias("tag"), F.col("_VALUE").alias("text")).where("text != ''"))
+    return out
+
+
 def key_values(lines: DataFrame, exact: bool = False) -> DataFrame:
     """(key, value): the first and last field of a line, comments out; with ``exact`` lines of two fields only."""
     f = F.filter(F.split(F.regexp_replace("line", "#.*$" if not exact else "^#.*$", ""), r"\s+"), lambda x: x != "")
@@ -142,10 +168,7 @@ def boost_words(spark: SparkSession, path: str) -> DataFrame:
 
 def union_by_time(spark: SparkSession, *paths: str) -> DataFrame:
     """(line, row_idx, source_ord): lines of several files, the oldest file first."""
-    rows = spark.read.text(list(paths)).select(F.col("value").alias("line"), F.col("_metadata.file_modification_time").alias("t"), F.col("_metadata.file_path").alias("p"), F.monotonically_increasing_id().alias("row_idx"))
-    files = rows.select("t", "p").distinct().orderBy("t", "p").collect()
-    order = F.create_map(*[F.lit(x) for i, r in enumerate(files) for x in (r.p, i)]) if files else F.create_map(F.lit(""), F.lit(0))
-    return rows.withColumn("source_ord", order[F.col("p")]).drop("t", "p")
+    return in_file_order(located(spark.read.text(list(paths)), F.col("value").alias("line")), by_time=True)
 
 
 def morph_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -155,13 +178,14 @@ def morph_tokens(spark: SparkSession, path: str) -> DataFrame:
     return rows.where("sentences is not null").select(F.explode("sentences").alias("s")).select("s.sentence_id", F.explode("s.tokens").alias("t")).select("sentence_id", "t.*")
 
 
-def tagged_tables(spark: SparkSession, *paths: str) -> DataFrame:
-    """(word, tag, definition, source_ord, row_idx) of tables with a header, in the order they are named."""
+def tagged_tables(spark: SparkSession, *paths: str, multi_line: bool = True) -> DataFrame:
+    """(word, tag, definition, source_ord, row_idx) of tables with a header, in the order they are named. Without
+    ``multi_line`` no field has a line break, and a file is split over tasks."""
     frames = []
     for path in paths:
-        rows = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+        rows = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
         wanted = [F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in ("word", "tag", "definition")]
-        frames.append(rows.select(*wanted, F.monotonically_increasing_id().alias("row_idx")))
+        frames.append(in_file_order(located(rows, *wanted)).drop("source_ord"))
     return R.chained(*frames)
 
 

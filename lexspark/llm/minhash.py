@@ -25,7 +25,7 @@ ROWS, BANDS = 5, 40
 #: Followers that are compared with one copy of their leader; a leader with more gets several copies.
 FOLLOWERS = 512
 #: Members of a leader's company, and queries to them, that are compared in a group of rows.
-MEMBERS = 512
+MEMBERS = 256
 #: Rows of ids up to which a counted table is broadcast.
 BROADCAST_ROWS = 500_000
 #: Bytes of text that are hashed together.

@@ -6,6 +6,7 @@ A rule is a tag, the part of speech it holds for (or any) and the condition. Tex
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -183,6 +184,39 @@ def tag_words(frame: DataFrame, combined_case: bool = True) -> DataFrame:
     return ready.withColumn("tags", _tags(rules)).drop("_entries", "_raw", "_n", "_texts", "_defs", "_def", "_blob", "_html")
 
 
+def _without_html(entry: dict | None) -> dict | None:
+    """An entry with the texts of its definitions stripped: the definition, examples (texts, or the texts of an object)
+    and the ``example`` of parsed examples. All other fields and items stay."""
+    text = lambda x: T.parsed_text(x) if isinstance(x, str) else x
+
+    def fields(x: dict, *names: str) -> dict:
+        return {k: text(v) if not names or k in names else v for k, v in x.items()}
+
+    def items(xs, *names: str):
+        return xs if xs is None else [fields(x, *names) if isinstance(x, dict) else text(x) for x in xs]
+
+    def definition(d):
+        if not isinstance(d, dict):
+            return d
+        out = fields(d, "definition")
+        return out | {k: items(out[k], *names) for k, names in (("examples", ()), ("parsedExamples", ("example",))) if k in out}
+
+    if not isinstance(entry, dict) or entry.get("definitions") is None:
+        return entry
+    return entry | {"definitions": [definition(d) for d in entry["definitions"]]}
+
+
+def strip_definitions(frame: DataFrame, column: str = "entries") -> DataFrame:
+    """``frame`` with the definitions of its entries free of HTML, in the structure that the column has. Arrow, as the
+    tokeniser of ``strip_html_parsed`` works on texts anywhere in it."""
+
+    @F.pandas_udf(frame.schema[column].dataType)
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda entries: None if entries is None else [_without_html(e) for e in entries])
+
+    return frame.withColumn(column, run(column))
+
+
 def has_transclusion(entries: str = "entries") -> Column:
     """Some raw definition was transcluded; no rule uses it."""
     raw = F.flatten(F.transform(entries, lambda e: F.transform(F.coalesce(e["definitions"], F.array().cast(f"array<{DEFINITION}>")), lambda d: F.coalesce(d["definition"], F.lit("")))))

@@ -42,7 +42,7 @@ def oracle_sql() -> dict[str, str]:
 
 @query(f"WITH {V.SQL_TAGGED} SELECT word, frequency, part_of_speech FROM tagged WHERE part_of_speech = 'NOUN' AND NOT word LIKE '%e' ORDER BY frequency DESC, word LIMIT 1000")
 def word_count_topn(spark, d):
-    """Counted words under a tag expression, the thousand most frequent (a top-k report)."""
+    """Counted words under a tag expression, the thousand most frequent (a top-k report)."""
     rows = V.tagged(spark, d)
     tags = tagexpr.tag_set(F.col("part_of_speech"), F.col("tags"))
     kept = rows.where(tagexpr.compile_expression("NOUN & ![e$]", tags, F.col("word")))
@@ -141,7 +141,7 @@ def _suffixed():
 _SQL_SUFFIXED = "word || ['_NOUN', '_noun', '_XYZ', '_bar', '', '_ADJ'][frequency % 6 + 1]"
 
 
-@query(f"WITH {V.SQL_LEX}, t AS (SELECT {_SQL_SUFFIXED} AS token FROM lex) SELECT token, regexp_replace(token, '(?i)_({'|'.join(T.UD_TAGS)})$', '') AS word FROM t")
+@query(f"WITH {V.SQL_LEX}, t AS (SELECT {_SQL_SUFFIXED} AS token FROM lex) SELECT token, regexp_replace(token, '(?i)_(NOUN|VERB|ADJ|ADV|PROPN|PRON|DET|ADP|CONJ|SCONJ|CCONJ|NUM|PART|INTJ|AUX)$', '') AS word FROM t")
 def pos_suffix_strip(spark, d):
     """F4 Q5"""
     return V.lex(spark, d).select(_suffixed().alias("token")).select("token", T.strip_query_suffix(F.col("token")).alias("word"))
@@ -167,12 +167,8 @@ def lang_tag(spark, d):
     return n.select("r_name", "n_name", T.lang_tag(F.col("n_name")).alias("tag"))
 
 
-@query("SELECT page_id, url AS back FROM pages")
-def url_title(spark, d):
-    """checked by the way back"""
-    return V.table(spark, d, "pages").select("page_id", F.url_decode(T.url_title(F.col("url"))).alias("back"))
-
-
+# the only markup within a script of the tables' pages is that text, which a tokenizer leaves
+_SQL_UNTAGGED = "regexp_replace(replace(html, 't=\"</p>\"', 't=\"' || chr(2) || '\"'), '(?s)<!--.*?-->|</?[a-zA-Z!][^>]*>', '', 'g')"
 _SQL_ENTITIES = "replace(replace(replace(replace(replace(replace(replace(replace(html, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&#39;', ''''), '&nbsp;', chr(160)), '&amp;', '&')"
 
 
@@ -182,9 +178,9 @@ def strip_html_simple(spark, d):
     return V.table(spark, d, "pages").select("page_id", T.strip_html(F.col("html")).alias("text"))
 
 
-@query()
+@query(rf"SELECT page_id, trim(regexp_replace(replace(replace({_SQL_ENTITIES.replace('html', _SQL_UNTAGGED)}, chr(2), '</p>'), chr(160), ' '), '\s+', ' ', 'g')) AS text FROM pages")
 def strip_html_parser(spark, d):
-    """A tokenizer's text; tested against the parser of the standard library"""
+    """F2 Q4: a tokenizer's text"""
     return V.table(spark, d, "pages").select("page_id", T.strip_html_parsed(F.col("html")).alias("text"))
 
 
@@ -220,10 +216,12 @@ def make_dictionary_line(spark, d):
     return rows.select(T.make_dictionary_line(F.concat_ws(",", "word", F.col("frequency").cast("string"), "part_of_speech")).alias("line"))
 
 
-@query(f"WITH {V.SQL_LEX} SELECT word, frequency AS count, word AS back FROM lex")
+@query(f"WITH {V.SQL_LEX} SELECT word, CASE frequency % 4 WHEN 0 THEN frequency WHEN 1 THEN 0 WHEN 2 THEN 0 ELSE 12 END AS count, CASE frequency % 4 WHEN 2 THEN '' ELSE word END AS back FROM lex")
 def parse_dictionary_line(spark, d):
-    """F29"""
-    line = F.concat(F.col("word"), F.lit(" "), F.col("frequency").cast("string"), F.lit(",TAG,a, b"))
+    """lines with a count, without a number, without a blank, and with an odd number"""
+    n = F.col("frequency")
+    rest = F.when(n % 4 == 0, F.concat(F.lit(" "), n.cast("string"), F.lit(",TAG,a, b"))).when(n % 4 == 1, " x,TAG").when(n % 4 == 2, ",5").otherwise("  1_2 ,T 7")
+    line = F.concat(F.col("word"), rest)
     return V.lex(spark, d).select("word", T.line_count(line).alias("count"), T.line_word(line).alias("back"))
 
 
@@ -260,21 +258,21 @@ def sort_freq(spark, d):
 
 @query(f"WITH {V.SQL_LEX} SELECT word, frequency, CASE WHEN frequency >= 10 THEN 'more' ELSE 'less' END AS side FROM lex")
 def threshold_split(spark, d):
-    """P12 K12"""
+    """P12"""
     more, less = R.threshold_split(V.lex(spark, d), "frequency", 10)
     return more.withColumn("side", F.lit("more")).unionByName(less.withColumn("side", F.lit("less")))
 
 
 @query(f"WITH {V.SQL_LEX}, s AS (SELECT CASE WHEN word LIKE '%ing' THEN 'ing' WHEN word LIKE '%er' THEN 'er' WHEN word LIKE '%s' THEN 's' END AS suffix FROM lex) SELECT coalesce(suffix, '') AS suffix, count(*) AS words FROM s GROUP BY 1")
 def suffix_split(spark, d):
-    """P13 A10 K9"""
+    """P13 A10"""
     rows = V.lex(spark, d).withColumn("suffix", F.coalesce(R.first_suffix(F.col("word"), ["ing", "er", "s"]), F.lit("")))
     return rows.groupBy("suffix").agg(F.count(F.lit(1)).alias("words"))
 
 
 @query("SELECT doc_id, CASE lang WHEN 'en' THEN 0 WHEN 'de' THEN 1 ELSE 2 END AS source_ord FROM documents")
 def union_sources(spark, d):
-    """U2 U3"""
+    """U3"""
     docs = V.table(spark, d, "documents").select("doc_id", "lang")
     rest = docs.where("lang is null or lang not in ('en', 'de')")
     return R.chained(docs.where("lang = 'en'"), docs.where("lang = 'de'"), rest).select("doc_id", "source_ord")
@@ -288,11 +286,12 @@ def batch_plan(spark, d):
     return R.batch_plan(rows, "row_idx", 100, 50)
 
 
-@query("SELECT true AS equal_to_itself, false AS equal_to_less")
+@query("WITH a AS (SELECT o_custkey % 50 AS x FROM orders WHERE o_orderkey % 2 = 0), b AS (SELECT o_custkey % 50 AS x FROM orders WHERE o_orderkey % 2 = 1) SELECT NOT EXISTS ((SELECT x FROM a EXCEPT ALL SELECT x FROM b) UNION ALL (SELECT x FROM b EXCEPT ALL SELECT x FROM a)) AS halves, NOT EXISTS ((SELECT DISTINCT x FROM a EXCEPT SELECT x FROM b) UNION ALL (SELECT DISTINCT x FROM b EXCEPT SELECT x FROM a)) AS kinds, count(*) = 2 * count(*) AS twice FROM a")
 def set_equality(spark, d):
-    """J11 U5"""
-    a = V.table(spark, d, "nation").select("n_name", "n_nationkey")
-    return spark.createDataFrame([(R.same_rows(a, a.repartition(3)), R.same_rows(a, a.where("n_nationkey > 0")))], "equal_to_itself boolean, equal_to_less boolean")
+    """Two halves of a table as bags, their distinct values, and one half with itself twice"""
+    o = V.table(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 50).alias("x"))
+    a, b = o.where("o_orderkey % 2 = 0").select("x"), o.where("o_orderkey % 2 = 1").select("x")
+    return spark.createDataFrame([(R.same_rows(a, b), R.same_rows(a.distinct(), b.distinct().repartition(3)), R.same_rows(a, a.unionByName(a)))], "halves boolean, kinds boolean, twice boolean")
 
 
 # ---- lexicon
@@ -329,7 +328,7 @@ def combine_lexicon(spark, d):
 
 @query(f"WITH {SQL_COMBINE} SELECT length(word) AS len, count, word || ' ' || count || ',' || tag || ',' || definition AS line FROM combined WHERE count >= 2")
 def dictionary_buckets(spark, d):
-    """A5 R3 K6"""
+    """A5"""
     return lexicon.dictionary_lines(_combined(spark, d), 2)
 
 
@@ -428,12 +427,15 @@ def retry_fixpoint(spark, d):
 
 _PHRASES = ("plural of x", "singular form of y", "past participle of z", "borrowed from Old French", "cognate with Greek", "an archaic word", "compound of a and b", "<i>foreign</i> term", "imperfective of q", "third-person singular form of v", "prefixed with un-", "form of <a href=\"#english\">w</a>", "named after A &amp; B", "genitive plural of k")
 _TAG_SQL = [("PLURAL", "pos = 'NOUN' AND (contains(t, 'plural of') OR contains(t, 'plural form of'))"), ("SINGULAR", "pos = 'NOUN' AND NOT (contains(t, 'plural of') OR contains(t, 'plural form of')) AND (contains(t, 'singular of') OR contains(t, 'singular form of'))")]
-_TAG_SQL += [(tag, "pos = 'VERB' AND (" + " OR ".join(f"contains(t, '{n}')" for n in needles) + ")") for needles, tags in tagging.VERB_FORMS for tag in tags]
+# the words are written out here as well, so that a fault in the tables of the rules shows
+_SQL_VERBS = [(["past participle"], "PAST_PART INFLECTED_FORM"), (["present participle"], "PRES_PART INFLECTED_FORM"), (["past tense", "preterite"], "PAST INFLECTED_FORM"), (["imperative"], "IMP INFLECTED_FORM"), (["third-person singular", "3rd-person singular", "3rd person singular"], "3PS INFLECTED_FORM"), (["subjunctive"], "SUBJ INFLECTED_FORM"), (["infinitive"], "INF"), (["form of", "inflection of", "conjugation of", "conjugated form of"], "FORM_OF INFLECTED_FORM")]
+_SQL_LANGUAGES = ["latin", "greek", "french", "old french", "middle french", "german", "old english", "anglo-norman", "spanish", "italian", "portuguese", "arabic", "hebrew", "aramaic", "persian", "sanskrit", "russian", "ukrainian", "polish", "czech", "dutch", "swedish", "norwegian", "danish", "japanese", "chinese", "korean"]
+_TAG_SQL += [(tag, "pos = 'VERB' AND (" + " OR ".join(f"contains(t, '{n}')" for n in needles) + ")") for needles, tags in _SQL_VERBS for tag in tags.split()]
 _TAG_SQL += [("LOANWORD", "contains(t, 'borrowed from') OR contains(t, 'loanword from')"), ("EPONYM", "contains(t, 'named after') OR contains(t, 'eponym')")]
-for _l in tagging.LANGUAGES:
+for _l in _SQL_LANGUAGES:
     _n = _l.upper().replace(" ", "_").replace("-", "_")
     _TAG_SQL += [(f"FROM_{_n}", f"contains(t, 'from {_l}')"), (f"VIA_{_n}", f"contains(t, 'via {_l}')"), (f"COGNATE_{_n}", f"contains(t, 'cognate with {_l}') OR contains(t, 'cognate to {_l}')")]
-_TAG_SQL += [(r.upper(), f"contains(t, '{r}')") for r in tagging.REGISTERS]
+_TAG_SQL += [(r.upper(), f"contains(t, '{r}')") for r in ("archaic", "obsolete", "slang", "informal", "rare", "offensive", "dialectal", "poetic")]
 _TAG_SQL += [("COMPOUND", "contains(t, 'compound of')"), ("PREFIXED", "contains(t, 'prefix')"), ("SUFFIXED", "contains(t, 'suffix')"), ("FOREIGN_TERM", "contains(raw, '<i>') OR contains(raw, '</i>')"), ("TRANSLITERATED", "k % 9 = 0"), ("HAS_EXAMPLE", "k % 4 = 0")]
 _TAG_SQL += [("LIKELY_DERIVATIVE", "contains(raw, '#english') AND regexp_matches(t, '\\bform of ')")]
 
@@ -462,8 +464,10 @@ def tag_inference(spark, d):
 
 
 _CLEANSE_SQL = [("HAS_EXAMPLE", "k % 4 = 0"), ("LIKELY_DERIVATIVE", "contains(raw, '#english') AND regexp_matches(t, '\\bform of ')")]
-_CLEANSE_SQL += [("PLURAL", "pos = 'NOUN' AND (" + " OR ".join(f"contains(t, '{n}')" for n in tagging.CLEANSE_PLURALS) + ")"), ("SINGULAR", "pos = 'NOUN' AND NOT (" + " OR ".join(f"contains(t, '{n}')" for n in tagging.CLEANSE_PLURALS) + ")")]
-_CLEANSE_SQL += [(tag, "pos = 'VERB' AND (" + " OR ".join(f"contains(t, '{n}')" for n in needles) + ")") for needles, tags in tagging.CLEANSE_VERB_FORMS for tag in tags]
+_SQL_PLURALS = " OR ".join(f"contains(t, '{n}')" for n in ("plural of", "plural form of", "plurals of", "pluriel de", "plural von", "plural de", "forma plural"))
+_SQL_CLEANSE_VERBS = [(["past participle", "participe passé", "partizip ii"], "PAST_PART INFLECTED_FORM"), (["present participle", "gerund", "participe présent", "partizip i"], "PRES_PART INFLECTED_FORM"), (["past tense", "preterite", "prétérit", "imparfait"], "PAST INFLECTED_FORM"), (["third-person singular", "3rd-person singular", "3rd person singular"], "3PS INFLECTED_FORM"), (["imperative"], "IMP INFLECTED_FORM"), (["infinitive"], "INF"), (["subjunctive"], "SUBJ INFLECTED_FORM"), (["form of", "inflection of", "conjugation of", "conjugated form of"], "FORM_OF INFLECTED_FORM")]
+_CLEANSE_SQL += [("PLURAL", f"pos = 'NOUN' AND ({_SQL_PLURALS})"), ("SINGULAR", f"pos = 'NOUN' AND NOT ({_SQL_PLURALS})")]
+_CLEANSE_SQL += [(tag, "pos = 'VERB' AND (" + " OR ".join(f"contains(t, '{n}')" for n in needles) + ")") for needles, tags in _SQL_CLEANSE_VERBS for tag in tags.split()]
 
 
 @query(f"WITH {SQL_ENTRIES} SELECT word, CASE WHEN pos = 'UNKNOWN' THEN [] ELSE [pos] END AS positions, list_sort(list_distinct(list_filter([{', '.join(f'CASE WHEN {c} THEN {chr(39)}{t}{chr(39)} END' for t, c in _CLEANSE_SQL)}], lambda x: x IS NOT NULL))) AS tags FROM f")
@@ -492,13 +496,13 @@ _SQL_TITLE = "translate(CAST(o_orderkey + 10000 AS VARCHAR), '0123456789', 'աբ
 @query(f"""WITH p AS (SELECT {_SQL_TITLE} || (CASE WHEN o_orderkey % 10 = 9 THEN 'x' ELSE '' END) AS title, o_orderkey % 10 AS m FROM orders)
   SELECT title, CASE WHEN m = 9 THEN 'other' WHEN m < 5 THEN 'filtered' ELSE 'extracted' END AS outcome, CASE m WHEN 2 THEN '-hy-ածխ-' WHEN 3 THEN 'NOUN' ELSE '' END AS tag, CASE m WHEN 9 THEN 'not Armenian' WHEN 0 THEN 'REDIRECT' WHEN 1 THEN 'no tag' WHEN 2 THEN '-hy-ածխ-' WHEN 3 THEN 'no desc' WHEN 4 THEN 'no tag' ELSE 'extracted' END AS reason FROM p""")
 def page_classify(spark, d):
-    """C4 P6 P7 J5 F9 F10 F17-F26 J6 J8 K13"""
+    """C4 P6 P7 F9 F10 F17 F20 F22-F25 F27 J6 J8"""
     return wikitext.classify_pages(_pages(spark, d)).select("title", "outcome", "tag", "reason")
 
 
 @query(f"WITH p AS (SELECT {_SQL_TITLE} AS word, o_orderkey AS k FROM orders WHERE o_orderkey % 10 BETWEEN 5 AND 8) SELECT word, 'NOUN' AS tag, 'տան մաս ' || k AS definition FROM p")
 def wiki_extract_single(spark, d):
-    """The section of the largest weight, phrases merged into it"""
+    """The section of the largest weight, phrases merged into it"""
     return wikitext.extracted(wikitext.classify_pages(_pages(spark, d)), single=True).select("word", "tag", "definition")
 
 
@@ -533,13 +537,13 @@ def conll_sentences(spark, d):
 
 @query(f"WITH {SQL_CONLL} SELECT DISTINCT \"POS\" AS word FROM t WHERE features IN ('NN', 'JJ', 'VB', 'BN')")
 def morph_extract(spark, d):
-    """P11 R5 F37"""
+    """P11 R5"""
     return morph.morph_words(morph.conll_tokens(_conll_lines(spark, d)))
 
 
 @query("SELECT o_orderkey, ['M', 'F', ''][o_orderkey % 3 + 1] AS gender, CASE WHEN o_orderkey % 2 = 0 THEN 'S' ELSE '' END AS number, CASE WHEN o_orderkey % 3 < 2 THEN '3' ELSE '' END AS person, CASE WHEN o_orderkey % 5 = 0 THEN 'PAST' ELSE '' END AS tense FROM orders")
 def morph_csv(spark, d):
-    """S21 F33 K11 Q16"""
+    """F33 Q16"""
     k = F.col("o_orderkey")
     features = F.concat_ws("|", F.when(k % 3 < 2, F.concat(F.lit("gen="), F.element_at(F.array(F.lit("M"), F.lit("F")), (k % 3 + 1).cast("int")), F.lit("|per=3"))), F.when(k % 2 == 0, "num=S"), F.when(k % 5 == 0, "tense=PAST"))
     return V.table(spark, d, "orders").select("o_orderkey", *morph.feature_columns(features))
@@ -554,12 +558,6 @@ def hebrew_length(spark, d):
     return morph.hebrew_words(V.table(spark, d, "orders").select(line.alias("line")), 5)
 
 
-@query("SELECT n_name AS title FROM nation WHERE length(n_name) BETWEEN 4 AND 6 AND NOT contains(n_name, ' ')")
-def lemma_filter(spark, d):
-    """P10 S22 K14"""
-    return morph.lemma_filter(V.table(spark, d, "nation").select(F.col("n_name").alias("title")))
-
-
 @query(f"WITH {V.SQL_TAGGED} SELECT word, frequency, part_of_speech, tags FROM tagged")
 def tagged_round_trip(spark, d):
     """Ragged lines written and read again"""
@@ -570,7 +568,7 @@ def tagged_round_trip(spark, d):
 
 @query(f"WITH {V.SQL_LEX} SELECT word, frequency, 1 AS n_entries, 'noun' AS pos FROM lex")
 def json_round_trip(spark, d):
-    """Validated records as JSON lines and back"""
+    """Validated records as JSON lines and back"""
     entry = F.struct(F.lit("noun").alias("partOfSpeech"), F.array(F.struct(F.lit("d").alias("definition"))).alias("definitions"))
     value = F.when(F.col("frequency") % 2 == 0, F.to_json(F.struct("word", "frequency", F.array(entry).alias("entries")))).otherwise(F.to_json(F.struct("word", F.col("frequency").cast("string").alias("frequency"), F.array(entry).alias("entries"))))
     rows = readers.validated_records(V.lex(spark, d).select(value.alias("line")))

@@ -129,7 +129,7 @@ def element_texts(spark: SparkSession, path: str) -> DataFrame:
 
     A first pass over the lines finds the names, of which a format has few; each is read as rows of its own.
     """
-    names = spark.read.text(path).select(F.explode(F.regexp_extract_all("value", F.lit(r"<((?:[\\w.-]+:)?[\\w.-]*text)[\\s/>]"), F.lit(1))).alias("n")).distinct().collect()
+    names = spark.read.text(path).select(F.explode(F.regexp_extract_all("value", F.lit(r"<((?:[\w.-]+:)?[\w.-]*text)[\s/>]"), F.lit(1))).alias("n")).distinct().collect()
     out = spark.createDataFrame([], "tag string, text string")
     for name in sorted(r.n for r in names):
         rows = spark.read.format("xml").option("rowTag", name).option("ignoreNamespace", True).schema("_VALUE string, _none string").load(path)

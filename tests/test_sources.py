@@ -138,3 +138,40 @@ def test_tags(spark):
     assert got == {w: t for w, _, t in CASES}
     old = {r.word: r.tags for r in tagging.tag_words(tagging.by_part_of_speech(readers.validated_records(rows)), combined_case=False).where("word = 'слова'").collect()}
     assert old == {"слова": ["NON_NOMINATIVE", "SINGULAR"]}
+
+
+def test_commands(spark, tmp_path, capsys):
+    from lexspark.__main__ import main
+
+    def lines(path):
+        return [r.line for r in readers.indexed_lines(spark, str(path)).orderBy("row_idx").collect()]
+
+    src = put(tmp_path / "l.txt", "1 Haus 5 x\n2 haus 3\n3 Ei 9\n4 wälder 2\n5 a1b2 3\n")
+    main(["clean_leipzig", src, str(tmp_path / "clean")])
+    assert lines(tmp_path / "clean") == ["haus,5,x", "wälder,2"]
+    counted = put(tmp_path / "c.csv", "a,5\nb, 3\nc\nd,x\n")
+    main(["split", counted, str(tmp_path / "c"), "4"])
+    assert lines(tmp_path / "c-more-4.csv") == ["a,5"] and lines(tmp_path / "c-less-4.csv") == ["b, 3", "c", "d,x"]
+    with pytest.raises(SystemExit):
+        main(["split", counted, str(tmp_path / "c"), "0"])
+    main(["freq", counted, str(tmp_path / "f"), "3"])
+    assert lines(tmp_path / "f") == ["a,5", "b, 3"]
+    put(tmp_path / "x-VALIDATED.csv", "new\n"), put(tmp_path / "y-VALIDATED.csv", "old\n")
+    import os
+
+    os.utime(tmp_path / "y-VALIDATED.csv", (100, 100))
+    main(["combine_valid", str(tmp_path / "*"), str(tmp_path / "all")])
+    assert lines(tmp_path / "all") == ["old", "new"]
+    dictionary = put(tmp_path / "dictionary-4.txt", "abcd 9,N,x\n\nbcde 8,N,y\ncdef 7,N,z\ndefg 6,N,\n")
+    main(["answers", dictionary, "25", "50", put(tmp_path / "ignore", "BCDE\n")])
+    assert lines(tmp_path / "answers-4.txt") == ["cdef 7,N,z"]
+    main(["split_wordforms", dictionary, str(tmp_path / "w"), "de, fg,q"])
+    assert capsys.readouterr().out.splitlines()[-4:] == ["de - 1 records", "fg - 1 records", "q - 0 records", "rest - 3 records"]
+    token = {"id": 2, "form": "f", "lemma": "l", "POS": "p", "features": "gen=M"}
+    tokens = put(tmp_path / "t.jsonl", json.dumps({"sentences": [{"sentence_id": 0, "tokens": [token, token | {"id": 1, "lemma": 'q"'}]}]}))
+    main(["morph_csv", tokens, str(tmp_path / "m")])
+    assert "".join(f.read_text(encoding="utf-8") for f in sorted((tmp_path / "m").glob("part-*"))) == '\ufefflemma,POS,gender,number,person,tense\n"q""","p","M","","",""\n"l","p","M","","",""\n'
+    put(tmp_path / "R2c.csv", ""), put(tmp_path / "c-VALIDATED.jsonl", "")
+    main(["clean", str(tmp_path), "c"])
+    assert not (tmp_path / "R2c.csv").exists() and not (tmp_path / "c-VALIDATED.jsonl").exists() and (tmp_path / "c.csv").exists()
+    assert main(["no such"]) == 2

@@ -78,9 +78,10 @@ def _contains(t: Column, needles: tuple[str, ...] | list[str]) -> Column:
     return out
 
 
-def _tags(rules: list[tuple[str, Column]]) -> Column:
-    """Sorted distinct tags whose condition holds."""
-    return F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(t)) for t, c in rules]))))
+def _tags(rules: list[tuple[str, Column]], *more: Column) -> Column:
+    """Sorted distinct tags whose condition holds, and those of the arrays ``more``."""
+    held = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(t)) for t, c in rules]))
+    return F.array_sort(F.array_distinct(F.concat(held, *more)))
 
 
 def _forms(table: list, texts: Column, only: Column) -> list[tuple[str, Column]]:
@@ -104,6 +105,7 @@ def prepared(frame: DataFrame, entries: str = "entries") -> DataFrame:
     cleaned = F.transform(F.split("_all", MARK, -1), lambda t: F.lower(F.regexp_replace(t, "<[^>]+>", "")))
     frame = frame.withColumn("_texts", cleaned)
     frame = frame.withColumn("_defs", F.slice("_texts", 1, F.col("_n"))).withColumn("_def", F.array_join("_defs", MARK)).withColumn("_blob", F.array_join("_texts", MARK))
+    frame = frame.withColumn("_labels", F.flatten(F.transform("_raw", lambda d: F.transform(F.coalesce(d["labels"], F.array().cast("array<string>")), lambda x: F.lower(T.strip(x))))))
     return frame.withColumn("_html", F.array_join(F.transform("_raw", lambda d: F.coalesce(d["definition"], F.lit(""))), MARK)).drop("_all")
 
 
@@ -111,8 +113,9 @@ def _examples(raw: str = "_raw") -> Column:
     return F.exists(raw, lambda d: (F.coalesce(F.size(d["examples"]), F.lit(0)) > 0) | (F.coalesce(F.size(d["parsedExamples"]), F.lit(0)) > 0))
 
 
-def _coverage(same_language: Column | None = None) -> list[tuple[str, Column]]:
-    """LIKELY_DERIVATIVE if every definition with a text is a grammatical form with a link to its language, MAYBE if some are."""
+def _with_marks(frame: DataFrame, same_language: Column | None = None) -> DataFrame:
+    """Adds ``_marks``: for each definition with a text 1 if it is a grammatical form with a link to its language, else 0;
+    with ``same_language`` only of entries in that language. A column of its own, as rules use it several times."""
 
     def hits(e: Column) -> Column:
         lang = F.lower(F.concat(F.lit("#"), T.strip(F.coalesce(e["language"], F.lit("")))))
@@ -122,31 +125,38 @@ def _coverage(same_language: Column | None = None) -> list[tuple[str, Column]]:
     entries = F.col("_entries")
     if same_language is not None:
         entries = F.filter(entries, lambda e: (T.strip(F.coalesce(e["language"], F.lit(""))) == same_language) & (same_language != ""))
-    marks = F.flatten(F.transform(entries, hits))
-    n = F.aggregate(marks, F.lit(0), lambda a, x: a + x)
-    return [("LIKELY_DERIVATIVE", (F.size(marks) > 0) & (n == F.size(marks))), ("MAYBE_DERIVATIVE", (n > 0) & (n < F.size(marks)))]
+    return frame.withColumn("_marks", F.flatten(F.transform(entries, hits)))
 
 
-def _number(pos: Column) -> list[tuple[str, Column]]:
+def _coverage() -> list[tuple[str, Column]]:
+    """LIKELY_DERIVATIVE if all marks are 1, MAYBE if some are."""
+    some = F.array_contains("_marks", 1)
+    return [("LIKELY_DERIVATIVE", some & ~F.array_contains("_marks", 0)), ("MAYBE_DERIVATIVE", some & F.array_contains("_marks", 0))]
+
+
+def _number(pos: Column) -> Column:
     """Plural or singular of nouns: the first definition that says either decides, plural first."""
     plural, singular = ("plural of", "plural form of"), ("singular of", "singular form of")
-    said = F.filter("_defs", lambda t: _contains(t, plural + singular))
-    first = F.try_element_at(said, F.lit(1))
-    return [("PLURAL", (pos == "NOUN") & _contains(first, plural)), ("SINGULAR", (pos == "NOUN") & ~_contains(first, plural))]
+    said = F.try_element_at(F.filter("_defs", lambda t: _contains(t, plural + singular)), F.lit(1))
+    which = F.when(pos == "NOUN", F.when(_contains(said, plural), "PLURAL").when(said.isNotNull(), "SINGULAR"))
+    return F.array_compact(F.array(which))
 
 
 def _origin() -> list[tuple[str, Column]]:
     blobs = F.col("_blob")
-    out = [("LOANWORD", _any(blobs, "borrowed from", "loanword from")), ("EPONYM", _any(blobs, "named after", "eponym"))]
-    for lang in LANGUAGES:
-        tag = lang.upper().replace(" ", "_").replace("-", "_")
-        out += [(f"FROM_{tag}", _any(blobs, f"from {lang}")), (f"VIA_{tag}", _any(blobs, f"via {lang}")), (f"COGNATE_{tag}", _any(blobs, f"cognate with {lang}", f"cognate to {lang}"))]
-    return out
+    return [("LOANWORD", _any(blobs, "borrowed from", "loanword from")), ("EPONYM", _any(blobs, "named after", "eponym"))]
+
+
+def _languages() -> Column:
+    """FROM_, VIA_ and COGNATE_ tags of the languages that are named behind such a word: one search for all of them, as
+    no language begins another one's name and no such word is within one."""
+    found = F.regexp_extract_all("_blob", F.lit(f"((?:from|via|cognate with|cognate to) (?:{'|'.join(LANGUAGES)}))"), F.lit(1))
+    kind = lambda x: F.when(x.startswith("from"), "FROM_").when(x.startswith("via"), "VIA_").otherwise("COGNATE_")
+    return F.transform(found, lambda x: F.concat(kind(x), F.translate(F.upper(F.regexp_replace(x, "^(from|via|cognate with|cognate to) ", "")), " -", "__")))
 
 
 def _register() -> list[tuple[str, Column]]:
-    labels = F.flatten(F.transform("_raw", lambda d: F.transform(F.coalesce(d["labels"], F.array().cast("array<string>")), lambda x: F.lower(T.strip(x)))))
-    return [(r.upper(), F.coalesce(F.array_contains(labels, r), F.lit(False)) | _any(F.col("_def"), r)) for r in REGISTERS]
+    return [(r.upper(), F.coalesce(F.array_contains("_labels", r), F.lit(False)) | _any(F.col("_def"), r)) for r in REGISTERS]
 
 
 def _morphology() -> list[tuple[str, Column]]:
@@ -159,7 +169,7 @@ def _foreign() -> list[tuple[str, Column]]:
     return [("TRANSLITERATED", F.exists("_entries", lambda e: F.coalesce(T.strip(e["romanization"]) != "", F.lit(False)))), ("FOREIGN_TERM", _any(raw, "<i>", "</i>"))]
 
 
-def _cyrillic(word: Column, pos: Column, combined: bool) -> list[tuple[str, Column]]:
+def _cyrillic(word: Column, pos: Column, combined: bool) -> Column:
     """Case, number, gender, degree and verb forms of Cyrillic words; ``combined`` joins case and number in one tag."""
     every, defs, on = F.col("_defs"), F.col("_def"), F.coalesce(word.rlike("[Ѐ-ӿ]"), F.lit(False))
     singular, plural = _any(defs, "singular of", "singular form of"), _any(defs, "plural of", "plural form of")
@@ -173,15 +183,16 @@ def _cyrillic(word: Column, pos: Column, combined: bool) -> list[tuple[str, Colu
     out += [(tag, of(f"{g} ")) for g, tag in GENDERS.items()]
     out += [("COMPARATIVE", pos.isin("ADJ", "ADV") & of("comparative")), ("SUPERLATIVE", pos.isin("ADJ", "ADV") & of("superlative")), ("SHORT_FORM", (pos == "ADJ") & _any(defs, "short form of", "short adjective form of"))]
     out += _forms(CYRILLIC_VERB_FORMS, defs, pos == "VERB")
-    return [(t, on & c) for t, c in out]
+    none = F.array().cast("array<string>")
+    return F.when(on, F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(t)) for t, c in out]))).otherwise(none)
 
 
 def tag_words(frame: DataFrame, combined_case: bool = True) -> DataFrame:
     """``frame`` (word, part_of_speech, entries) with ``tags``: those of every rule family, sorted, each once."""
-    ready = prepared(frame)
+    ready = _with_marks(prepared(frame))
     word, pos = F.col("word"), F.col("part_of_speech")
-    rules = [("HAS_EXAMPLE", _examples()), *_coverage(), *_number(pos), *_forms(VERB_FORMS, F.col("_def"), pos == "VERB"), *_origin(), *_register(), *_morphology(), *_foreign(), *_cyrillic(word, pos, combined_case)]
-    return ready.withColumn("tags", _tags(rules)).drop("_entries", "_raw", "_n", "_texts", "_defs", "_def", "_blob", "_html")
+    rules = [("HAS_EXAMPLE", _examples()), *_coverage(), *_forms(VERB_FORMS, F.col("_def"), pos == "VERB"), *_origin(), *_register(), *_morphology(), *_foreign()]
+    return ready.withColumn("tags", _tags(rules, _number(pos), _languages(), _cyrillic(word, pos, combined_case))).drop("_labels", "_marks", "_entries", "_raw", "_n", "_texts", "_defs", "_def", "_blob", "_html")
 
 
 def _without_html(entry: dict | None) -> dict | None:
@@ -248,6 +259,7 @@ def cleanse_tags(frame: DataFrame) -> DataFrame:
     ready = prepared(frame).withColumn("positions", distinct_upper(F.transform("_entries", lambda e: e["partOfSpeech"])))
     defs, has = F.col("_def"), lambda p: F.array_contains("positions", p)
     language = T.strip(F.coalesce(F.try_element_at("_entries", F.lit(1))["language"], F.lit("")))
+    ready = _with_marks(ready, language)
     plural = _any(defs, *CLEANSE_PLURALS)
-    rules = [("HAS_EXAMPLE", _examples()), *_coverage(language), ("PLURAL", has("NOUN") & plural), ("SINGULAR", has("NOUN") & ~plural), *_forms(CLEANSE_VERB_FORMS, defs, has("VERB"))]
-    return ready.withColumn("tags", _tags(rules)).drop("_entries", "_raw", "_n", "_texts", "_defs", "_def", "_blob", "_html")
+    rules = [("HAS_EXAMPLE", _examples()), *_coverage(), ("PLURAL", has("NOUN") & plural), ("SINGULAR", has("NOUN") & ~plural), *_forms(CLEANSE_VERB_FORMS, defs, has("VERB"))]
+    return ready.withColumn("tags", _tags(rules)).drop("_labels", "_marks", "_entries", "_raw", "_n", "_texts", "_defs", "_def", "_blob", "_html")

@@ -335,5 +335,5 @@ def compare_with_edited(docs: DataFrame, ranks: np.ndarray | None = None, ranges
     ranks = corpus_ranks(docs) if ranks is None else ranks
     rows, parts = _in_order(docs, ranges)
     # each part is a task of its own
-    ordered = rows.repartitionByRange(parts, "part").sortWithinPartitions("part", "tail", F.col("doc_id").desc_nulls_last(), "text")
+    ordered = rows.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "tail", F.col("doc_id").desc_nulls_last(), "text")
     return ordered.select("part", "doc_id", "text", "tail").mapInArrow(_comparer(ranks), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")

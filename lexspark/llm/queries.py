@@ -96,6 +96,21 @@ SELECT page_id, record_type, {_UUID.format("sha256(record_type || chr(0) || refe
 FROM records
 """
 
+SQL_OP5 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) < 2 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM words),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.x = b.x AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reached AS (SELECT doc_id, doc_id AS c FROM sets UNION SELECT links.b, reached.c FROM reached JOIN links ON links.a = reached.doc_id),
+least_of AS (SELECT doc_id, min(c) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least_of USING (doc_id)
+"""
+
 SQL_OP6 = r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -193,4 +208,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": SQL_OP1, "op6_line_dedup": SQL_OP6, "op7_url_filter": SQL_OP7, "linked_urls": SQL_LINKED_URLS}
+    return {"op1_warc": SQL_OP1, "op5_minhash": SQL_OP5, "op6_line_dedup": SQL_OP6, "op7_url_filter": SQL_OP7, "linked_urls": SQL_LINKED_URLS}

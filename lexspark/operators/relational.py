@@ -15,6 +15,16 @@ from pyspark.sql import functions as F
 CHUNK, PIECES = 100_000, 4096
 
 
+def spread(frame: DataFrame) -> DataFrame:
+    """``frame``, dealt out evenly if it is a plain scan of fewer splits than there are cores, as a table of one small file
+    is: for steps that take much longer for a row than its shuffle. Such an input is small; others stay as they are."""
+    execution = frame._jdf.queryExecution()
+    if frame.isStreaming or execution.executedPlan().nodeName().startswith("AdaptiveSparkPlan"):
+        return frame
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if execution.toRdd().getNumPartitions() < cores else frame
+
+
 def dedupe_first(rows: DataFrame, key: Column | str, order: Sequence[str], eligible: Column | None = None) -> DataFrame:
     """The first row of each key. Rows that are not ``eligible`` neither appear nor claim a key.
 

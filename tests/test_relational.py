@@ -91,6 +91,16 @@ def test_conll_reads_twice(spark, monkeypatch):
         assert closed == [x for x in want if x[1] < sentence]
 
 
+def test_spread(spark, tmp_path):
+    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
+    one = spark.read.parquet(str(tmp_path / "one"))
+    cores = spark.sparkContext.defaultParallelism
+    assert R.spread(one).rdd.getNumPartitions() == cores and R.spread(one).count() == 100
+    assert R.spread(spark.range(100, numPartitions=2 * cores)).rdd.getNumPartitions() == 2 * cores
+    shuffled = one.groupBy("id").count()
+    assert R.spread(shuffled) is shuffled
+
+
 def test_empty(spark):
     _, frame = rows(spark)
     none = frame.limit(0)

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexspark.operators.relational import spread
+
 WINDOW, POPULAR = 64, 16
 LEVELS = 1024
 FILTER_BITS, FILTER_ITEMS, HASHES = 2048, 160, 5
@@ -222,7 +224,7 @@ def corpus_ranks(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         there = np.flatnonzero(out)
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(out[there])], ["level", "n"])
 
-    rows = docs.select(F.col(text_col).cast("string")).mapInArrow(run, "level long, n long").groupBy("level").agg(F.sum("n").alias("n")).collect()
+    rows = spread(docs.select(F.col(text_col).cast("string"))).mapInArrow(run, "level long, n long").groupBy("level").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(LEVELS, dtype=np.int64)
     for r in rows:
         counts[r.level] = r.n

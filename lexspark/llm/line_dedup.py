@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from lexspark.llm._scratch import Scratch, hot_join, merging
+from lexspark.operators.relational import spread
 
 #: Code points that are stripped at both ends of a line (x20 and x09 to x0D).
 BLANK = " \t\n\x0b\x0c\r"
@@ -158,7 +159,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_fi
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "lines")
     docs = docs.drop("n_lines", "n_dropped")
-    lines = scratch.write(hashed_lines(docs, id_col, text_col, min_chars), "lines")
+    lines = scratch.write(hashed_lines(spread(docs.select(id_col, text_col)), id_col, text_col, min_chars), "lines")
     total = lines.count()
     batches = max(BATCHES, -(-total // BATCH_LINES)) if batches is None else batches
     dealt = _counted(lines.withColumn("batch", _batch(lines, batches))).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *_HASH)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from lexspark.llm._components import connected_components
 from lexspark.llm._scratch import Scratch, hot_join, key_counts, small
+from lexspark.operators.relational import spread
 
 ROWS, BANDS = 5, 40
 #: Followers that are compared with one copy of their leader; a leader with more gets several copies.
@@ -262,7 +263,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     """
     scratch = Scratch(docs.sparkSession, "minhash")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    base = scratch.write(docs.mapInArrow(_sketcher(size, rows, bands), "doc_id long, n_shingles long, set_key binary, bands array<long>"), "sketches")
+    base = scratch.write(spread(docs).mapInArrow(_sketcher(size, rows, bands), "doc_id long, n_shingles long, set_key binary, bands array<long>"), "sketches")
     classes = scratch.write(base.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
     reps = base.withColumnRenamed("doc_id", "rep").join(classes, ["set_key", "rep"], "left_semi")
 

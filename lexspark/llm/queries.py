@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark.llm import ann, bpe, fingerprint, line_dedup, minhash, packing, quality, sharding, url_filter, warc
+from lexspark.operators.relational import spread
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,11 +22,11 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.derive(warc.responses(_table(spark, sf_dir, "pages").select("page_id", "url", "html")))
+    return warc.derive(warc.responses(spread(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))))
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.round_trip_digests(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+    return bpe.round_trip_digests(spread(_table(spark, sf_dir, "documents").select("doc_id", "text")), tokenizer_path())
 
 
 def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:

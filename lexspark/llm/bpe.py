@@ -47,6 +47,9 @@ class BytePairCodec:
         model, before = spec["model"], spec.get("pre_tokenizer") or {}
         if model.get("type", "BPE") != "BPE" or before.get("type") != "ByteLevel" or spec.get("normalizer") or before.get("add_prefix_space"):
             raise ValueError("a byte-level BPE file without normaliser or prefix space is needed")
+        odd = [k for k in ("dropout", "ignore_merges", "byte_fallback", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "unk_token") if model.get(k)]
+        if odd or not before.get("use_regex", True) or (spec.get("decoder") or {"type": "ByteLevel"}).get("type") != "ByteLevel":
+            raise ValueError(f"options that change words or merges are not supported: {odd or 'word pattern or decoder'}")
         if any(x.get("single_word") or x.get("lstrip") or x.get("rstrip") for x in spec.get("added_tokens", [])):
             raise ValueError("added tokens with word or strip rules are not supported")
         symbols = byte_symbols()
@@ -123,16 +126,15 @@ class BytePairCodec:
         return joined.decode("utf-8", "replace")
 
 
-_codecs: dict[int, BytePairCodec] = {}
+_codecs: dict[bytes, BytePairCodec] = {}
 
 
 def _codec(packed: bytes) -> BytePairCodec:
     """A worker makes the codec once and keeps it, with its memo, from task to task."""
-    key = zlib.crc32(packed)
-    if key not in _codecs:
+    if packed not in _codecs:
         _codecs.clear()
-        _codecs[key] = BytePairCodec(zlib.decompress(packed).decode("utf-8"))
-    return _codecs[key]
+        _codecs[packed] = BytePairCodec(zlib.decompress(packed).decode("utf-8"))
+    return _codecs[packed]
 
 
 def _packed(tokenizer_path: str) -> bytes:
@@ -174,7 +176,8 @@ def decode(rows: DataFrame, tokenizer_path: str, ids_col: str = "ids", out_col:
 def round_trip_digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row: encoded and decoded in one pass over the texts.
 
-    The digests are over the decimal ids joined by commas and over the decoded text in UTF-8.
+    The digests are over the decimal ids joined by commas and over the decoded text in UTF-8. A null text is empty; a
+    null id and repeated rows pass. Other columns are ignored; an empty table gives an empty result.
     """
     packed = _packed(tokenizer_path)
 

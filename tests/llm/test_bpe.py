@@ -1,4 +1,5 @@
 import hashlib
+import json
 
 import pytest
 
@@ -58,3 +59,23 @@ def test_frames(spark):
     assert all(r.back == (r.text or "") for r in out)
     assert bpe.encode(docs.limit(0), tokenizer_path()).collect() == []
     assert bpe.decode(spark.createDataFrame([(None,)], "ids array<int>"), tokenizer_path()).first().decoded == ""
+
+
+def test_digests_of_odd_rows(spark, library):
+    rows = [(i, t, 5, "x") for i, t in enumerate(TEXTS)] + [(0, "", 5, "x"), (0, "", 5, "x"), (None, "hello", None, None), (99, "long word " * 60_000, 1, "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int, ids_sha256 string").repartition(3)
+    want = []
+    for i, t, *_ in rows:
+        ids = library.encode(t or "", add_special_tokens=False).ids
+        want.append((str(i), len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()))
+    assert sorted((str(r.doc_id), r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.round_trip_digests(docs, tokenizer_path()).collect()) == sorted(want)
+    assert bpe.round_trip_digests(docs.limit(0), tokenizer_path()).collect() == []
+
+
+def test_odd_files_are_refused():
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        spec = json.load(f)
+    changes = [("model", "dropout", 0.1), ("model", "ignore_merges", True), ("model", "byte_fallback", True), ("model", "end_of_word_suffix", "</w>"), ("pre_tokenizer", "use_regex", False), ("pre_tokenizer", "add_prefix_space", True), ("pre_tokenizer", "type", "Whitespace")]
+    for part, key, value in changes:
+        with pytest.raises(ValueError):
+            bpe.BytePairCodec(json.dumps(spec | {part: spec[part] | {key: value}}))

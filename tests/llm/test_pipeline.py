@@ -53,14 +53,31 @@ def quality_brute(rows, trusted, held):
     kept = []
     for r in rows:
         means[r["doc_id"]] = models[r["lang"]].mean(r["text"]) if models[r["lang"]] else None
+    judges = [r for r in rows if r["doc_id"] in trusted & held and means[r["doc_id"]] is not None]
+    limits = limits_brute({lang: [means[r["doc_id"]] for r in judges if r["lang"] == lang] for lang in {r["lang"] for r in judges}})
+    most = max(quality.LEAST_REPEATS, *limits_brute({"": [repeats(r["text"]) for r in judges]}).values())
     for r in rows:
-        steps = sorted(math.ceil(means[x["doc_id"]] * quality.STEP) for x in rows if x["lang"] == r["lang"] and x["doc_id"] in trusted & held and means[x["doc_id"]] is not None)
-        limit = steps[math.ceil(len(steps) * quality.QUANTILE) - 1] / quality.STEP if steps else None
-        if limit is None or means[r["doc_id"]] is None or means[r["doc_id"]] <= limit or not r["text"]:
+        mean, limit = means[r["doc_id"]], limits.get(r["lang"])
+        if limit is None or mean is None or not r["text"] or mean <= limit and repeats(r["text"]) <= most:
             kept.append(r)
     return kept
 
 
+def repeats(text):
+    words = (text or "").split()
+    pairs = [*zip(words, words[1:])]
+    return sum(p in pairs[:i] for i, p in enumerate(pairs)) / len(pairs) if pairs else 0.0
+
+
+def limits_brute(groups):
+    """The quantile of each group; not above its median plus the quantile of all distances, if it is its largest value."""
+    nth = lambda values, q: values[math.ceil(len(values) * q) - 1]
+    steps = {k: sorted(math.ceil(v * quality.STEP) for v in values) for k, values in groups.items()}
+    away = sorted(x - nth(s, 0.5) for s in steps.values() for x in s)
+    few = lambda s: math.ceil(len(s) * quality.QUANTILE) == len(s)
+    return {k: min(nth(s, quality.QUANTILE), nth(s, 0.5) + nth(away, quality.QUANTILE) if few(s) else math.inf) / quality.STEP for k, s in steps.items()}
+
+
 def lines_brute(rows):
     docs = defaultdict(set)
     for r in rows:
@@ -70,7 +87,10 @@ def lines_brute(rows):
     for r in rows:
         lines = (r["text"] or "").split("\n")
         kept = [x for x in lines if not (k := x.strip(STRIP).translate(LOWER)) or len(docs[k]) < 10 or min(docs[k]) == r["doc_id"]]
-        out.append(r if len(kept) == len(lines) else r | {"text": "\n".join(kept), "n_chars": len("\n".join(kept))})
+        if len(kept) == len(lines):
+            out.append(r)
+        elif "".join(kept).strip():
+            out.append(r | {"text": "\n".join(kept), "n_chars": len("\n".join(kept))})
     return out
 
 
@@ -119,6 +139,19 @@ def test_run_and_odd_rows(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).collect() == []
 
 
+def test_repeated_rows_and_clashing_columns(spark, tmp_path):
+    docs = spark.read.parquet(f"{DIR}/documents.parquet").limit(60)
+    wide = docs.unionByName(docs).selectExpr("*", "doc_id as h1", "text as gone", "1 as row", "2 as batch", "'k' as set_key", "3 as bucket", "true as kept", "4 as threshold", "5 as piece", "6 as bin", "7 as cluster")
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        out = stage(spark, wide, DIR)
+        assert out.columns == wide.columns, name
+        rows = [str(r) for r in out.collect()]
+        assert rows and all(n == 2 for n in Counter(rows).values()), name
+        wide = spark.createDataFrame(out.collect(), wide.schema)
+    packed = corpus_pipeline.STAGES[3][1](spark, wide, DIR).collect()
+    assert Counter(r.doc_id for r in packed if r.piece == 0) == Counter(r.doc_id for r in wide.collect())
+
+
 def test_line_stage_drops_what_it_empties(spark):
     rows = [(i, "one line\n\nand another", "en", "s", 21) for i in range(12)] + [(20, "", "en", "s", 0), (21, None, "en", "s", None), (22, "\n", "en", "s", 1), (23, "one line\nof its own", "en", "s", 19)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")

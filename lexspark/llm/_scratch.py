@@ -36,6 +36,19 @@ def merging(spark: SparkSession):
     return setting(spark, "spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
 
 
+_roots: list[str] = []
+
+
+def remove_all(spark: SparkSession) -> int:
+    """Deletes the folders of all operators that this program has run, and says how many: for when results are written, as
+    an operator's result may read them until then."""
+    gone, conf = 0, spark._jsc.hadoopConfiguration()
+    while _roots:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_roots.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone
+
+
 class Scratch:
     """Writes tables below one folder of its own and can drop them again."""
 
@@ -47,6 +60,7 @@ class Scratch:
             root = tempfile.mkdtemp(prefix="lexspark-")
         self.spark = spark
         self.root = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        _roots.append(self.root)
         self.count = 0
 
     def path(self, name: str) -> str:

@@ -30,6 +30,8 @@ LEAST_REPEATS = 0.2
 HELD_OUT = 5
 #: Bytes of text in a block, on average.
 BLOCK_BYTES = 32 << 20
+#: Languages up to which a table of them is broadcast, once it was counted.
+LANGUAGES = 100_000
 #: Steps of log-perplexity that quantiles are counted in.
 STEP = 1000
 _START, _END = "\x02", "\x03"
@@ -238,6 +240,11 @@ def _counts_of_order(top: DataFrame, order: int, scratch: Scratch) -> list[DataF
     return tables[::-1]
 
 
+def _by_language(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """A table of a row a language, to be joined where the n-grams are: a language may have most of them."""
+    return small(scratch.write(rows, "languages"), LANGUAGES)
+
+
 def _contexts(counts: DataFrame, n: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """The discounts of an order by language, and (lang, context, total, mass) of its contexts."""
     number = lambda k: F.count_if(F.col("c") == k).cast("double")
@@ -245,7 +252,7 @@ def _contexts(counts: DataFrame, n: int, scratch: Scratch) -> tuple[DataFrame, D
     y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
     # Chen and Goodman's estimates; where a count of counts is 0 they are undefined and the plain value stands in
     one = lambda k, d: F.greatest(F.lit(0.01), F.least(F.lit(float(k)), F.coalesce(F.when(F.col(f"n{k}") > 0, k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}")), F.lit(d))))
-    discounts = scratch.write(raw.where("n1 + n2 + n3 + n4 >= 0").select("lang", F.when(F.col("n1") > 0, one(1, 0.5)).otherwise(0.5).alias("d1"), F.when(F.col("n1") > 0, one(2, 1.0)).otherwise(1.0).alias("d2"), F.when(F.col("n1") > 0, one(3, 1.5)).otherwise(1.5).alias("d3")), "discounts")
+    discounts = _by_language(raw.where("n1 + n2 + n3 + n4 >= 0").select("lang", F.when(F.col("n1") > 0, one(1, 0.5)).otherwise(0.5).alias("d1"), F.when(F.col("n1") > 0, one(2, 1.0)).otherwise(1.0).alias("d2"), F.when(F.col("n1") > 0, one(3, 1.5)).otherwise(1.5).alias("d3")), scratch)
     sums = counts.groupBy("lang", F.expr(f"substring(gram, 1, {n - 1})").alias("context")).agg(F.sum("c").cast("double").alias("total"), F.count_if(F.col("c") == 1).alias("m1"), F.count_if(F.col("c") == 2).alias("m2"), F.count_if(F.col("c") >= 3).alias("m3"))
     contexts = sums.join(discounts, "lang").select("lang", "context", "total", (F.col("m1") * F.col("d1") + F.col("m2") * F.col("d2") + F.col("m3") * F.col("d3")).alias("mass"))
     return discounts, contexts
@@ -262,7 +269,7 @@ def gram_logs(grams: DataFrame, order: int, scratch: Scratch) -> DataFrame:
     for _ in range(order - 1):
         asked.append(asked[-1].select("lang", F.expr("substring(gram, 2)").alias("gram")).distinct())
     asked = asked[::-1]
-    lower = tables[0].groupBy("lang").agg((1.0 / (F.count(F.lit(1)) + 1)).alias("below"))  # even over the characters, and one more
+    lower = _by_language(tables[0].groupBy("lang").agg((1.0 / (F.count(F.lit(1)) + 1)).alias("below")), scratch)  # even over the characters, and one more
     for n in range(1, order + 1):
         discounts, contexts = _contexts(tables[n - 1], n, scratch)
         rows = asked[n - 1].withColumn("context", F.expr(f"substring(gram, 1, {n - 1})"))
@@ -342,7 +349,7 @@ def classify(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, or
     gives an empty result.
     """
     scores = perplexities(docs, trusted, order, block_bytes)
-    limits = F.broadcast(thresholds(scores, quantile)) if scores.select("lang").distinct().count() <= 10_000 else thresholds(scores, quantile)
+    limits = F.broadcast(thresholds(scores, quantile)) if scores.select("lang").distinct().count() <= LANGUAGES else thresholds(scores, quantile)
     most = thresholds(scores.withColumn("lang", F.lit("")), quantile, "repeats").agg(F.greatest(F.lit(LEAST_REPEATS), F.max("threshold")).alias("most_repeats"))
     judged = scores.join(limits, "lang", "left").crossJoin(F.broadcast(most))
     fits = (F.col("log_perplexity") <= F.col("threshold")) & (F.col("repeats") <= F.col("most_repeats"))

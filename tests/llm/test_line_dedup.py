@@ -1,6 +1,6 @@
 import re
 
-from lexspark.llm import line_dedup
+from lexspark.llm import _scratch, line_dedup
 from lexspark.llm._scratch import Scratch, hot_join, merging, setting
 
 STRIP = " \t\n\x0b\x0c\r"
@@ -95,3 +95,10 @@ def test_runs_merge_without_a_shuffle(spark):
 
 def test_main_path_is_native():
     assert not re.search("pandas|Arrow|udf|rdd", open(line_dedup.__file__).read().replace('"""', ""))
+
+
+def test_scratch_goes(spark):
+    scratch = Scratch(spark, "test")
+    table = scratch.write(spark.range(5), "t")
+    assert table.count() == 5 and _scratch.remove_all(spark) >= 1 and _scratch.remove_all(spark) == 0
+    assert not spark._jvm.java.io.File(scratch.root.removeprefix("file:")).exists()

@@ -306,7 +306,7 @@ def perplexities(docs: DataFrame, trusted: DataFrame, order: int = ORDER, block_
     rows = docs.select(block(F.coalesce(ids, F.xxhash64(text))), F.lit(2).alias("kind"), ids.alias("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), held.alias("held"), text.alias("text"), none("double").alias("log"))
 
     def dealt(frame: DataFrame) -> DataFrame:
-        return frame.repartition("block").sortWithinPartitions("block", "kind")
+        return frame.repartitionById(blocks, F.col("block").cast("int")).sortWithinPartitions("block", "kind")  # a task a block
 
     grams = scratch.write(dealt(told.unionByName(rows)).mapInArrow(_counter(order), "block long, lang string, gram string, c long"), "block-grams")
     logs = gram_logs(grams.select("lang", "gram", "c"), order, scratch)

@@ -20,6 +20,8 @@ from lexspark.llm._scratch import Scratch
 
 #: Rows that one task ranks together, on average.
 RANKED = 20_000
+#: Equal rows that one task numbers together.
+REPEATS = 1 << 16
 
 
 def ranked(rows: DataFrame, by: list[str], order: str, out: str, total: int) -> DataFrame:
@@ -38,7 +40,7 @@ def ranked(rows: DataFrame, by: list[str], order: str, out: str, total: int) ->
     return cut.withColumn("_at", within).join(offsets, [*by, "_bucket"]).withColumn(out, F.col("_before") + F.col("_at") - 1).drop("_at", "_before", "_bucket")
 
 
-def _even(total: int, shards: int, first: int = 0) -> list[int]:
+def _even(total: int, shards: int) -> list[int]:
     """Sizes at most one apart; the larger ones come first."""
     return [total // shards + (i < total % shards) for i in range(shards)]
 
@@ -169,6 +171,19 @@ def cut_share(labelled: DataFrame) -> float:
     return 1 - inside / every if every else 0.0
 
 
+def numbered(counted: DataFrame, most: int = REPEATS) -> DataFrame:
+    """A row, with a number ``nth`` from 0, for each of the ``n`` equal rows that a row of ``counted`` (a written table) stands
+    for. A row that repeats more than ``most`` times is dealt to several tasks."""
+    span = lambda a, b: F.explode(F.expr(f"sequence({a}, {b})"))
+    few = counted.where(F.col("n") <= most).withColumn("nth", span("0L", "n - 1")).drop("n")
+    many = counted.where(F.col("n") > most)
+    if many.isEmpty():
+        return few
+    keys = [c for c in counted.columns if c != "n"]
+    dealt = many.withColumn("part", span("0L", f"(n - 1) div {most}")).repartition(*keys, "part")
+    return few.unionByName(dealt.select(*keys, span(f"part * {most}", f"least(n, (part + 1) * {most}) - 1").alias("nth")))
+
+
 def shard_documents(docs: DataFrame, shards: int = 40, rounds: int = 6) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of each row of ``docs`` (doc_id, text).
 
@@ -184,10 +199,11 @@ def shard_documents(docs: DataFrame, shards: int = 40, rounds: int = 6) -> DataF
     scratch = Scratch(docs.sparkSession, "sharding")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 16).cast("long").alias("size_bytes"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("g1"), F.xxhash64(F.lit(5), text).alias("g2"))
-    # rows that repeat get numbers, so that each row is a node of its own
-    nth = F.row_number().over(Window.partitionBy("doc_id", "g1", "g2").orderBy("text_crc32"))
-    nodes = rows.withColumn("nth", nth).withColumn("spot", F.xxhash64("doc_id", "g1", "nth")).drop("nth")
-    nodes = scratch.write(nodes, "nodes")
+    # rows that repeat get numbers, so that each row is a node of its own; a third of all rows may be equal
+    counted = scratch.write(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n")), "counted")
+    spot = F.when(F.col("nth") == 0, F.xxhash64("doc_id", "g1", F.lit(1))).otherwise(F.xxhash64("doc_id", "g1", "nth"))
+    nodes = scratch.write(numbered(counted).withColumn("spot", spot).drop("nth"), "nodes")
+    scratch.drop(counted)
     placed = balanced_labels(nodes, shards, rounds, scratch=scratch)
     slotted = ranked(placed, ["shard"], "spot", "slot", nodes.count())
     return slotted.select("doc_id", F.col("size_bytes").alias("size"), "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))

@@ -124,6 +124,14 @@ def test_propagation_by_definition(spark):
             assert [r.doc_id for r in sorted((r for r in got if r.shard == j), key=lambda r: r.slot)] == sorted((i for i, x in want.items() if x == j), key=spots.get)
 
 
+def test_equal_rows_are_numbered_in_parts(spark):
+    sent = [(1, None, 1), (None, "a", 7), (2, "b", 3), (2, "c", 8)]
+    counted = spark.createDataFrame(sent, "doc_id long, g1 string, n long")
+    for most in (3, 7, 100):
+        got = sharding.numbered(counted, most).collect()
+        assert sorted((str(r.doc_id), str(r.g1), r.nth) for r in got) == sorted((str(i), str(g), k) for i, g, n in sent for k in range(n))
+
+
 def test_few_and_empty(spark):
     for sent, shards in (([(1, "a")], 40), ([(i, "a") for i in range(7)], 3), ([(i, str(i)) for i in range(10)], 1)):
         check(run(spark, sent, shards), sent, shards)

@@ -128,11 +128,11 @@ def hot_join(rows: DataFrame, table: DataFrame, on: list[str], size: str, least:
 
     Rows of heavy keys stay where they are: the table's few rows for these are broadcast. All others are shuffled by
     key, of which none has more than its share. Both frames are read twice where there are heavy keys, so they should
-    be written tables. Keys are not null.
+    be written tables. Keys are not null. ``counts`` are the table's ``key_counts``, where the caller has them.
     """
-    total, most = table.agg(F.sum(size), F.max(size)).first()
-    cut = max(least, (total or 0) // HEAVY + 1)
-    if (most or 0) < cut:
+    total, most = counts or key_counts(table, size)
+    cut = max(least, total // HEAVY + 1)
+    if most < cut:
         return rows.join(table, on)
     heavy = F.broadcast(table.where(F.col(size) >= cut))
     rest = rows.join(heavy.select(*on), on, "left_anti")

@@ -291,7 +291,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
 
     # the other leaders, where the two sides are still in different components
     more = apart.select(F.col("rep").alias("a"), F.col("lead").alias("b")).join(first, ["a", "b"], "left_anti")
-    more = scratch.write(_labelled(_labelled(more, "a", comps, "ca"), "b", comps, "cb").where("ca != cb").select("a", "b"), "pairs")
+    more = scratch.write(_labelled(more, "a", comps, "ca"), "pairs")
+    leads = scratch.write(_labelled(more.groupBy("b").agg(F.count(F.lit(1)).alias("n")), "b", comps, "cb"), "leads")  # one may lead a third of all
+    more = scratch.write(hot_join(more, leads, ["b"], "n").where("ca != cb").select("a", "b"), "pairs")
     if not more.isEmpty():
         links = links.unionByName(verified(more))
         comps = scratch.write(connected_components(links, scratch), "components")

@@ -76,16 +76,16 @@ class Scratch:
         out._scratch_path = path
         return out
 
-    def write_sorted(self, df: DataFrame, name: str, by: list[str], partition_by: tuple[str, ...] = ()) -> DataFrame:
+    def write_sorted(self, df: DataFrame, name: str, by: list[str], partition_by: tuple[str, ...] = (), buckets: int | None = None) -> DataFrame:
         """Like ``write``, but in buckets by hash of the columns ``by``, each bucket (of each value of ``partition_by``) one
         file that is sorted by them. Joins of such tables on ``by`` merge them without a shuffle, and in a block of
         ``merging`` without a sort.
 
         ``df`` should come from a shuffle by these columns, so that each bucket is in one task. Buckets are those of the
-        session's shuffle. Spark knows buckets of tables of its catalog only; ``drop`` removes the name too.
+        session's shuffle, if no number is given. Spark knows buckets of tables of its catalog only; ``drop`` removes the name too.
         """
         path, table = self.path(name), f"{name}_{uuid.uuid4().hex}"
-        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         writer = df.write.option("compression", "zstd").option("path", path).bucketBy(buckets, *by).sortBy(*by)
         with setting(self.spark, CLEANUP, "true"), merging(self.spark):
             (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)

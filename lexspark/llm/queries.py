@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm import ann, bpe, fingerprint, line_dedup, minhash, packing, quality, sharding, url_filter, warc
+from lexspark.llm import alignment, ann, bpe, fingerprint, line_dedup, minhash, packing, quality, sharding, url_filter, warc
 from lexspark.operators.relational import spread
 
 
@@ -63,6 +63,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"), shards=40)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_digests(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 # The tables' pages have no other entities than these, and no quotes but double ones around links.
 _TEXT = "replace(replace(replace(replace(replace(replace({0}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
 _UUID = "'<urn:uuid:' || {0}[1:8] || '-' || {0}[9:12] || '-8' || {0}[14:16] || '-' || '89ab'[(instr('0123456789abcdef', {0}[17:17]) - 1) % 4 + 1] || {0}[18:20] || '-' || {0}[21:32] || '>'"
@@ -204,6 +208,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_fingerprint": op9_fingerprint,
         "op10_sharding": op10_sharding,
+        "op11_alignment": op11_alignment,
         "linked_urls": linked_urls,
     }
 

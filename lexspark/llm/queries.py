@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm import alignment, ann, bpe, fingerprint, line_dedup, minhash, mixing, packing, quality, sharding, url_filter, warc
+from lexspark.llm import alignment, ann, bpe, fingerprint, line_dedup, minhash, mixing, packing, quality, sharding, url_filter, warc, whitening
 from lexspark.operators.relational import spread
 
 
@@ -71,6 +71,10 @@ def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.Mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source")).taken()
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), k=16)
+
+
 # The tables' pages have no other entities than these, and no quotes but double ones around links.
 _TEXT = "replace(replace(replace(replace(replace(replace({0}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
 _UUID = "'<urn:uuid:' || {0}[1:8] || '-' || {0}[9:12] || '-8' || {0}[14:16] || '-' || '89ab'[(instr('0123456789abcdef', {0}[17:17]) - 1) % 4 + 1] || {0}[18:20] || '-' || {0}[21:32] || '>'"
@@ -214,6 +218,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_sharding": op10_sharding,
         "op11_alignment": op11_alignment,
         "op12_mixing": op12_mixing,
+        "op13_whitening": op13_whitening,
         "linked_urls": linked_urls,
     }
 

@@ -127,27 +127,6 @@ def normalized_length(c: Column) -> Column:
     return F.char_length(F.replace(c, F.lit("և"), F.lit("եւ")))
 
 
-#: What is cleaned from wiki text, in order.
-WIKITEXT = (
-    (r"(?s)<!--.*?-->", " "),
-    (r"(?is)<ref[^>]*>.*?</ref>", " "),
-    (r"(?s)<[^>]+>", " "),
-    (r"(?s)\{\{.*?\}\}", " "),
-    (r"\[\[([^|\]]+)\|([^\]]+)\]\]", "$2"),
-    (r"\[\[([^\]]+)\]\]", "$1"),
-    (r"\[https?://[^\s\]]+(?:\s+([^\]]+))?\]", "$1"),
-    ("'''", ""),
-    ("''", ""),
-)
-
-
-def clean_wikitext(c: Column) -> Column:
-    """Comments, references, tags, templates, links and quotes out of wiki text; the ligature ew is spelt out."""
-    for pattern, by in WIKITEXT:
-        c = F.regexp_replace(c, pattern, by)
-    return F.replace(c, F.lit("և"), F.lit("եւ"))
-
-
 def armenian_words(c: Column, least: int = 4, most: int = 7) -> Column:
     """Lower-case runs of Armenian letters, of 4 to 7 letters whatever wider window is asked for."""
     words = F.transform(F.regexp_extract_all(c, F.lit("([Ա-Ֆա-ֆ]+)"), F.lit(1)), F.lower)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexspark.functions import tagexpr, tagging, wikitext
+from lexspark.functions import markup, tagexpr, tagging, wikitext
 from lexspark.functions import text as T
 from lexspark.operators import lexicon, lookup, morph
 from lexspark.operators import relational as R
@@ -194,7 +194,7 @@ def _wiki():
   SELECT doc_id, replace(replace(replace(t, '''''''', ''), '''''', ''), 'և', 'եւ') AS text FROM b""")
 def wikitext_cleanup(spark, d):
     """F11"""
-    return R.spread(V.table(spark, d, "documents").select("doc_id", "text", "lang", "source")).select("doc_id", T.clean_wikitext(_wiki()).alias("text"))
+    return R.spread(V.table(spark, d, "documents").select("doc_id", "text", "lang", "source")).select("doc_id", markup.clean_wikitext(_wiki()).alias("text"))
 
 
 @query(r"SELECT doc_id, list_filter(regexp_split_to_array(text, '[ \t\r\n\f\x0b!\"#$%&''()*+,\-./:;<=>?@\[\]^_`{|}~]+'), lambda w: w <> '') AS words FROM documents")

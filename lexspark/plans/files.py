@@ -49,9 +49,9 @@ def _written(spark, rows: DataFrame, line: Column, name: str, order: Column | No
 # ---- sinks, read back
 
 
-def _classified(spark, d):
-    """Words of lex with the outcome of a look-up, and what validated rows are made of."""
-    words = V.lex(spark, d).select(F.concat("word", F.lit("_NOUN")).alias("token"), "frequency")
+def _classified(spark, d, words: DataFrame | None = None):
+    """Words (token, frequency and others; those of lex) with the outcome of a look-up, and what validated rows are made of."""
+    words = V.lex(spark, d).select(F.concat("word", F.lit("_NOUN")).alias("token"), "frequency") if words is None else words
     entry = F.struct(F.lit("noun").alias("partOfSpeech"), F.array(F.struct(F.concat(F.lit("d "), F.col("word")).alias("definition"))).alias("definitions"))
     return lookup.classify(words, C._snapshot(spark, d)).withColumns({"entries": F.array(entry), "positions": F.array(F.lit("NOUN")), "tags": F.array(F.lit("A"), F.lit("B"))})
 
@@ -76,20 +76,23 @@ def bucket_files(spark, d):
     return out
 
 
-@query(f"""WITH {V.SQL_LEX}, c AS (SELECT word, frequency, {_SQL_OUTCOME} AS outcome FROM lex)
-  SELECT CASE outcome WHEN 'VALIDATED' THEN 'words-VALIDATED.csv' WHEN 'RETRY' THEN 'Rwords.csv' WHEN 'NONEXISTENT' THEN 'Nwords.csv' ELSE 'words-REJECTED.csv' END AS bucket,
-    CASE outcome WHEN 'VALIDATED' THEN word || ',' || frequency || ',NOUN,A,B' ELSE word || '_NOUN,' || frequency END AS line FROM c""")
+@query(f"""WITH {V.SQL_LEX}, c AS (SELECT word, frequency, {_SQL_OUTCOME} AS outcome FROM lex),
+  b AS (SELECT CASE outcome WHEN 'VALIDATED' THEN 'words-VALIDATED.csv' WHEN 'RETRY' THEN 'Rwords.csv' WHEN 'NONEXISTENT' THEN 'Nwords.csv' ELSE 'words-REJECTED.csv' END AS bucket, frequency % 3 AS run, word,
+    CASE outcome WHEN 'VALIDATED' THEN word || ',' || frequency || ',NOUN,A,B' ELSE word || '_NOUN,' || frequency END AS line FROM c)
+  SELECT bucket, line, row_number() OVER (PARTITION BY bucket ORDER BY run, word) - 1 AS nth FROM b""")
 def bucket_files_cleanse(spark, d):
-    """The buckets of the other tool; a first run is cleaned away, then two runs append"""
+    """The buckets of the other tool; a first run is cleaned away, then three runs append in order"""
     folder = _folder(spark, "buckets")
-    rows = _classified(spark, d).withColumn("outcome", F.when(F.col("outcome") == "RETRY", "HARD").otherwise(F.col("outcome")))
-    writers.write_buckets(rows, folder, "words.csv", "csv")
+    source = _written(spark, V.lex(spark, d), F.concat(F.col("word"), F.lit("_NOUN,"), F.col("frequency").cast("string")), "candidates", F.col("word"))
+    words = readers.dump_candidates(readers.indexed_lines(spark, source)).withColumnRenamed("word", "token")
+    rows = _classified(spark, d, words).withColumn("outcome", F.when(F.col("outcome") == "RETRY", "HARD").otherwise(F.col("outcome")))
+    writers.write_buckets(rows, folder, "words.csv", "csv", order="row_idx")
     writers.clean(spark, folder, "words")
-    for part in (rows.where("frequency < 4"), rows.where("frequency >= 4")):
-        paths = writers.write_buckets(part, folder, "words.csv", "csv")
+    for run in range(3):
+        paths = writers.write_buckets(rows.where(F.col("frequency") % 3 == run), folder, "words.csv", "csv", order="row_idx")
     out = None
     for path in paths.values():
-        lines = readers.indexed_lines(spark, path).select(F.lit(path.rsplit("/", 1)[1]).alias("bucket"), "line")
+        lines = readers.indexed_lines(spark, path).select(F.lit(path.rsplit("/", 1)[1]).alias("bucket"), "line", F.col("row_idx").alias("nth"))
         out = lines if out is None else out.unionByName(lines)
     return out
 
@@ -229,7 +232,7 @@ def tagged_table_files(spark, d):
     paths = [_folder(spark, "main"), _folder(spark, "augment")]
     for path, part in zip(paths, (rows.where("k % 3 = 0").drop("k"), rows.where("k % 3 != 0").select("definition", F.lit(1).alias("odd"), "word", "k"))):
         ordered = part.coalesce(1).sortWithinPartitions(F.col("word").substr(F.lit(2), F.lit(20)).cast("long"))
-        writers.write_table(ordered.drop("k"), path)
+        writers.write_table(ordered.drop("k"), path)  # one file, with line breaks in fields, that is read in splits
     return readers.tagged_tables(spark, *paths)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Sequence
 
 import pandas as pd
@@ -124,17 +125,53 @@ def wiki_pages(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("title", F.col("revision.text._VALUE").alias("text"))
 
 
+#: A start tag whose name ends with "text", and what it holds up to the next tag: characters, comments and CDATA sections.
+_TEXT_ELEMENT = r"""<((?:[\w.-]+:)?[\w.-]*text)(?:\s(?:[^<>"']++|"[^"<]*+"|'[^'<]*+')*+)?+(?<!/)>([^<]*+(?:<!(?:--(?s:.*?)-->|\[CDATA\[(?s:.*?)\]\]>)[^<]*+)*+)"""
+_MARKED = re.compile(r"<!--.*?-->|<!\[CDATA\[(.*?)\]\]>|&#x([0-9A-Fa-f]+);|&#([0-9]+);|&(lt|gt|amp|quot|apos);", re.S)
+_NAMED = {"lt": "<", "gt": ">", "amp": "&", "quot": '"', "apos": "'"}
+
+
+def _marked_text(s: str) -> str:
+    """Comments out, CDATA sections and references spelt out."""
+
+    def spelt(m: re.Match) -> str:
+        if m[4]:
+            return _NAMED[m[4]]
+        return chr(int(m[2], 16)) if m[2] else chr(int(m[3])) if m[3] else m[1] or ""
+
+    return _MARKED.sub(spelt, s)
+
+
+@F.pandas_udf(StringType())
+def _marked_texts(s: pd.Series) -> pd.Series:
+    return s.map(_marked_text, na_action="ignore")
+
+
+def xml_text(c: Column) -> Column:
+    """The characters of an element's content: line ends as line feeds, references by name in the JVM; what has a section, a
+    comment or a numbered reference goes to Python, as Spark has no function for code points beyond Latin-1."""
+    plain = F.regexp_replace(c, "\r\n?", "\n")
+    odd = c.contains("<") | c.contains("&#")
+    named = plain
+    for name in ("lt", "gt", "quot", "apos", "amp"):  # the ampersand last: what it makes is no reference
+        named = F.replace(named, F.lit(f"&{name};"), F.lit(_NAMED[name]))
+    return F.when(odd, _marked_texts(F.when(odd, plain))).otherwise(named)
+
+
 def element_texts(spark: SparkSession, path: str) -> DataFrame:
-    """(tag, text): the non-empty text of every element whose name ends with ``text``, whatever its prefix.
+    """(tag, text): the text before the first child of every element whose name ends with ``text``, whatever its prefix, if
+    there is any.
 
-    A first pass over the lines finds the names, of which a format has few; each is read as rows of its own.
+    One scan: records end where a tag is closed, so a large file is many tasks, and an element's text is in one record with
+    its start tag. A comment or CDATA section that holds a closing tag itself is cut by this, and raises an error.
     """
-    names = spark.read.text(path).select(F.explode(F.regexp_extract_all("value", F.lit(r"<((?:[\w.-]+:)?[\w.-]*text)[\s/>]"), F.lit(1))).alias("n")).distinct().collect()
-    out = spark.createDataFrame([], "tag string, text string")
-    for name in sorted(r.n for r in names):
-        rows = spark.read.format("xml").option("rowTag", name).option("ignoreNamespace", True).schema("_VALUE string, _none string").load(path)
-        out = out.unionByName(rows.select(F.lit(name).alias("tag"), F.col("_VALUE").alias("text")).where("text != ''"))
-    return out
+    records = spark.read.option("lineSep", "</").text(path)
+    last = lambda start, end: F.locate(end, F.substring_index("value", start, -1)) == 0
+    cut = F.coalesce((F.col("value").contains("<!--") & last("<!--", "-->")) | (F.col("value").contains("<![CDATA[") & last("<![CDATA[", "]]>")), F.lit(False))
+    whole = F.when(cut, F.raise_error(F.lit("a comment or CDATA section that holds a closing tag")).cast("string")).otherwise(F.col("value"))
+    found = records.where(F.col("value").contains("text")).select(whole.alias("value"))
+    found = found.select(F.explode(F.arrays_zip(F.regexp_extract_all("value", F.lit(_TEXT_ELEMENT), F.lit(1)).alias("tag"), F.regexp_extract_all("value", F.lit(_TEXT_ELEMENT), F.lit(2)).alias("text"))).alias("e"))
+    return found.select("e.tag", xml_text(F.col("e.text")).alias("text")).where("text != ''")
 
 
 def key_values(lines: DataFrame, exact: bool = False) -> DataFrame:
@@ -178,14 +215,54 @@ def morph_tokens(spark: SparkSession, path: str) -> DataFrame:
     return rows.where("sentences is not null").select(F.explode("sentences").alias("s")).select("s.sentence_id", F.explode("s.tokens").alias("t")).select("sentence_id", "t.*")
 
 
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """(record, row_idx): the records of tables with a header each, with numbers from 0 by file name and place; quoted fields
+    may have line breaks, and a large file is many tasks.
+
+    A line goes on with the record before it if the number of quotes before it is odd. Each split counts its quotes; a
+    table of a row for each split tells whether it begins within quotes, and how many records are before it. Blank lines
+    between records go. Lines end with a line feed, with or without a carriage return.
+    """
+    lines = located(spark.read.option("lineSep", "\n").text(path), F.col("value").alias("line")).drop("_t")
+    lines = lines.withColumn("_q", (F.regexp_count("line", F.lit('"')) % 2).cast("long")).withColumn("_blank", F.col("line").isin("", "\r"))
+    split, above = Window.partitionBy("_f", "_s"), Window.partitionBy("_f", "_s").orderBy("_m")
+    upto = above.rowsBetween(Window.unboundedPreceding, -1)
+    odd = F.coalesce(F.sum("_q").over(upto), F.lit(0)) % 2  # as if the split began outside of quotes
+
+    # what each split holds if it begins outside (0) or within (1) quotes; only narrow columns move
+    sides = lines.select("_f", "_s", "_m", "_q", "_blank").withColumn("_odd", odd).groupBy("_f", "_s").agg(F.sum("_q").alias("quotes"), *(F.count_if((F.col("_odd") == i) & ~F.col("_blank")).alias(f"n{i}") for i in (0, 1)))
+    file = Window.partitionBy("_f").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.orderBy("_f", "_s").rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0))
+    splits = sides.withColumn("_in", before("quotes", file) % 2).withColumn("n", F.when(F.col("_in") == 0, F.col("n0")).otherwise(F.col("n1")))
+    splits = splits.withColumn("_above", before("n", file)).withColumn("_head", (F.col("_above") == 0).cast("long"))
+    splits = splits.withColumn("_before", before(F.col("n") - F.least("_head", "n"), every)).select("_f", "_s", "_in", "_above", "_head", "_before")
+    splits = F.broadcast(splits) if lines.rdd.getNumPartitions() <= SPLITS else splits
+
+    # the record of each line: one that begins here, or the last one begun, be it in another split
+    placed = lines.withColumn("_odd", odd).join(splits, ["_f", "_s"])
+    begins = ((F.col("_odd") + F.col("_in")) % 2 == 0) & ~F.col("_blank")
+    placed = placed.withColumn("_on", (F.col("_odd") + F.col("_in")) % 2).withColumn("_nth", F.sum(begins.cast("long")).over(above.rowsBetween(Window.unboundedPreceding, 0)))
+    placed = placed.where((F.col("_on") == 1) | ~F.col("_blank")).where(F.col("_above") + F.col("_nth") > 1)  # a file's first record is its header
+    placed = placed.withColumn("row_idx", F.col("_before") + F.col("_nth") - 1 - F.col("_head"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_s", "_m", "line"))), lambda x: x["line"]), "\n")
+    whole = placed.groupBy("row_idx").agg(joined.alias("record"))
+    return whole.select(F.regexp_replace("record", "\r$", "").alias("record"), "row_idx")
+
+
 def tagged_tables(spark: SparkSession, *paths: str, multi_line: bool = True) -> DataFrame:
-    """(word, tag, definition, source_ord, row_idx) of tables with a header, in the order they are named. Without
-    ``multi_line`` no field has a line break, and a file is split over tasks."""
+    """(word, tag, definition, source_ord, row_idx) of tables with a header, in the order they are named. Fields in quotes
+    may have line breaks; without ``multi_line`` none has, and lines need not be put together."""
     frames = []
     for path in paths:
-        rows = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
-        wanted = [F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in ("word", "tag", "definition")]
-        frames.append(in_file_order(located(rows, *wanted)).drop("source_ord"))
+        table = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
+        wanted = [F.col(c) if c in table.columns else F.lit(None).cast("string").alias(c) for c in ("word", "tag", "definition")]
+        if multi_line:
+            schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in table.columns)
+            fields = csv_records(spark, path).select(F.from_csv("record", F.lit(schema), {"escape": '"'}).alias("f"), "row_idx")
+            frames.append(fields.select("f.*", "row_idx").select(*wanted, "row_idx"))
+        else:
+            frames.append(in_file_order(located(table, *wanted)).drop("source_ord"))
     return R.chained(*frames)
 
 

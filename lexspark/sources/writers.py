@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,12 +36,15 @@ def write_outcomes(classified: DataFrame, path: str, append: bool = False) -> No
 
 def write_lines(rows: DataFrame, line: Column, path: str, order: list[Column] | None = None, by: str | None = None, append: bool = False) -> None:
     """Text lines; ``by`` makes a folder for each value. With an order the files of a folder, by name, are in order: rows
-    are dealt out by ranges, so that a large value is as many files as it needs."""
+    are dealt out by ranges, so that a large value is as many files as it needs. ``append`` adds a run after those that
+    are there: a numbered folder, whose name comes after theirs."""
+    if append:
+        path = claimed_run(rows.sparkSession, path, True)
     out = rows.select(line.alias("value"), *([by] if by else []), *[o.alias(f"_o{i}") for i, o in enumerate(order or [])])
     keys = [c for c in out.columns if c != "value"]
     if keys:
         out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    writer = out.drop(*[c for c in keys if c != by]).write.mode("append" if append else "overwrite")
+    writer = out.drop(*[c for c in keys if c != by]).write.mode("overwrite")
     (writer.partitionBy(by) if by else writer).text(path)
 
 
@@ -57,13 +62,44 @@ def bucket_names(source: str, flavour: str = "jsonl") -> dict[str, str]:
     return {outcome: name.format(base) for outcome, name in BUCKETS[flavour].items()}
 
 
-def write_buckets(rows: DataFrame, folder: str, source: str, flavour: str = "jsonl", append: bool | None = None, validated_to: str | None = None) -> dict[str, str]:
+def _files(spark: SparkSession, path: str):
+    """(the path, its file system) for Hadoop's calls."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def claimed_run(spark: SparkSession, path: str, append: bool) -> str:
+    """The folder of the next run below ``path``, which only the caller has: ``run=000000`` and so on, so that the order of
+    names is that of runs. Without ``append`` what is there goes first.
+
+    A number is claimed by a hidden file that is created only if it is not there, so two writers never share a run.
+    """
+    where, files = _files(spark, path)
+    if not append:
+        files.delete(where, True)
+    files.mkdirs(where)
+    taken = [re.sub(r"\D", "", f.getPath().getName()) for f in files.listStatus(where) if re.match(r"run=|_claim-", f.getPath().getName())]
+    nth = 1 + max(map(int, taken), default=-1)
+    while not files.createNewFile(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_claim-{nth:06d}")):
+        nth += 1
+    return f"{path}/run={nth:06d}"
+
+
+#: Rows of an ordered file of a bucket.
+PIECE = 100_000
+
+
+def write_buckets(rows: DataFrame, folder: str, source: str, flavour: str = "jsonl", append: bool | None = None, validated_to: str | None = None, order: str | None = None) -> dict[str, str]:
     """Writes a bucket for each outcome and returns their paths by outcome.
 
     ``rows`` has (outcome, token, frequency) and what validated rows are made of: (word, entries) for JSON lines, (word,
     positions, tags) for lines with commas. Other buckets have ``token,frequency``. The JSON flavour replaces what is
     there unless told to append; the other one appends unless told not to. ``validated_to`` is another place for the
     validated rows.
+
+    One write makes all buckets, so a look-up runs once; then each becomes the next run of its path by one rename, and a
+    run that fails is never seen. With ``order``, a column of row numbers, a run's files are in that order by name: a file
+    holds ``PIECE`` numbers, so rows are dealt out by them without looking at the rows before.
     """
     append = flavour == "csv" if append is None else append
     if flavour == "jsonl":
@@ -73,10 +109,24 @@ def write_buckets(rows: DataFrame, folder: str, source: str, flavour: str = "jso
     paths = {outcome: f"{folder}/{name}" for outcome, name in bucket_names(source, flavour).items()}
     if validated_to:
         paths["VALIDATED"] = validated_to if "/" in validated_to else f"{folder}/{validated_to}"
-    kept = R.checkpointed(rows)  # a look-up runs once, whatever the number of buckets
+    line = F.when(F.col("outcome") == "VALIDATED", validated).otherwise(F.concat_ws(",", "token", F.col("frequency").cast("string")))
+    # an outcome without a bucket is a null, whose part goes; a filter would ask for the outcomes twice
+    out = rows.select(line.alias("value"), F.when(F.col("outcome").isin(*paths), F.col("outcome")).alias("outcome"), *([F.col(order).alias("_at")] if order else []))
+    keys = ["outcome"]
+    if order:
+        keys = ["outcome", "piece"]
+        out = out.withColumn("piece", F.lpad(F.floor(F.col("_at") / PIECE).cast("string"), 13, "0"))
+        out = out.repartition("piece").sortWithinPartitions("outcome", "piece", "_at").drop("_at")
+    spark = rows.sparkSession
+    written = f"{folder}/_writing-{uuid.uuid4().hex}"
+    out.write.partitionBy(*keys).text(written)
+    made = spark._jvm.org.apache.hadoop.fs.Path(written)
     for outcome, path in paths.items():
-        line = validated if outcome == "VALIDATED" else F.concat_ws(",", "token", F.col("frequency").cast("string"))
-        write_lines(kept.where(F.col("outcome") == outcome), line, path, append=append)
+        target, files = _files(spark, claimed_run(spark, path, append))
+        part = spark._jvm.org.apache.hadoop.fs.Path(f"{written}/outcome={outcome}")
+        if not (files.rename(part, target) if files.exists(part) else files.mkdirs(target)):
+            raise OSError(f"{target} cannot be made")
+    files.delete(made, True)
     return paths
 
 

@@ -6,6 +6,7 @@ from urllib.parse import quote
 
 from pyspark.sql import functions as F
 
+from lexspark.functions import markup
 from lexspark.functions import text as T
 
 
@@ -84,7 +85,7 @@ def test_wikitext(spark):
         "և": "եւ",
         "<ref/>gone</ref>z": " z",
     }
-    assert column(spark, list(cases), T.clean_wikitext) == list(cases.values())
+    assert column(spark, list(cases), markup.clean_wikitext) == list(cases.values())
     assert column(spark, ["Տուն տունեւ ab տո երկարաբառություն"], T.armenian_words) == [["տուն", "տունեւ"]]
 
 

@@ -155,6 +155,17 @@ def trace(text: str, rules: Rules = Rules()) -> list[tuple[str, str]]:
     return out
 
 
+def traced(pages: DataFrame, words: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """(title, nth, step, text): ``trace`` of the pages (title, text) whose title is among ``words`` (title)."""
+
+    @F.pandas_udf("array<struct<step:string,text:string>>")
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: [{"step": a, "text": b} for a, b in trace(t or "", rules)])
+
+    found = pages.join(words.select("title").distinct(), "title", "left_semi")
+    return found.select("title", F.posexplode(run("text")).alias("nth", "s")).select("title", "nth", "s.step", "s.text")
+
+
 SECTIONS = "sections array<struct<ord:int,key:string,mapped:boolean,tag:string,desc:string>>, keys array<string>"
 
 

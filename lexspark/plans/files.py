@@ -195,14 +195,24 @@ def morph_file(spark, d):
     return files.select(F.explode(F.split(F.decode("content", "UTF-8"), "\n")).alias("line")).where("line != ''")
 
 
-_LISTING = [f"{'קטגוריה:' if i % 6 == 0 else ''}{'שלום'[: 2 + i % 3]}{['ים', 'ות', '־א', '', ' ב'][i % 5]}" for i in range(60)]
+_LETTERS, _ENDINGS = "אבגדהוזחטי", ["ים", "ות", "־א", "", " ב", "."]
+_SQL_LISTED = f"CASE WHEN c_custkey % 6 = 0 THEN 'קטגוריה:' ELSE '' END || translate(c_custkey::VARCHAR, '0123456789', '{_LETTERS}') || {_sql_pick(_ENDINGS, 'c_custkey')}"
+#: Members of a page of the listing.
+_PAGE = 1000
 
 
-@query(f"""WITH t AS (SELECT unnest({_sql_list(_LISTING)}) AS title) SELECT title FROM t
-  WHERE NOT starts_with(title, 'קטגוריה:') AND length(title) BETWEEN 4 AND 6 AND NOT regexp_matches(title, '[,.״ ־׳]')""")
+@query(f"WITH t AS (SELECT {_SQL_LISTED} AS title FROM customer) SELECT title FROM t WHERE NOT starts_with(title, 'קטגוריה:') AND length(title) BETWEEN 4 AND 6 AND NOT regexp_matches(title, '[,.״ ־׳]')")
 def category_list(spark, d):
-    """A listing that comes in pages, filtered, written one title to a line and read"""
-    ask = lambda at: (_LISTING[int(at or 0) : int(at or 0) + 7], str(int(at or 0) + 7) if int(at or 0) + 7 < len(_LISTING) else None)
+    """A listing of customers that comes in pages, each of which tells where the next one begins; filtered, written
+    one title to a line and read"""
+    k = F.col("c_custkey")
+    title = F.concat(F.when(k % 6 == 0, "קטגוריה:").otherwise(""), F.translate(k.cast("string"), "0123456789", _LETTERS), _pick(_ENDINGS, k))
+    members = V.table(spark, d, "customer").select(k, title.alias("title"))
+
+    def ask(at: str | None) -> tuple[list[str], str | None]:
+        page = members.where(k > int(at or -1)).orderBy(k).limit(_PAGE).collect()
+        return [r.title for r in page], str(page[-1].c_custkey) if len(page) == _PAGE else None
+
     titles = spark.createDataFrame([(t,) for t in live.pages(None, ask)], "title string")
     path = _written(spark, morph.lemma_filter(titles), F.col("title"), "titles")
     return readers.indexed_lines(spark, path).select(F.col("line").alias("title"))
@@ -236,19 +246,42 @@ def tagged_table_files(spark, d):
     return readers.tagged_tables(spark, *paths)
 
 
-_CONFIG = {"map": "# keys\n-hy-ած-  ADJ # x\nX 5 7\n\nONE\n", "weights": "NOUN 12\nA B 3\nVERB\t10\n#N 1\n", "names": "Ածական,ած\n#x,y\n Թվական , թվ\na,b,c\n,z\n", "skip": " a, b\n,c c,\n", "boost": "A b,c\nD", "boost table": "Word,n\nA,1\nB,2\n"}
+#: Lines of each kind of configuration file; %s is an order's key. A list ends its lines with a comma, which separates.
+_CONFIG = {
+    "map": ["-hy-%s-  ADJ # x", "X%s 5 7", "", "# keys", "ONE%s", "\tY%s#z", "Z%s  N%s"],
+    "weights": ["NOUN%s 12", "A%s B 3", "VERB%s\t10", "#N%s 1", " P%s  7 "],
+    "names": ["Ածական%s,ած", "#x%s,y", " Թվ%s , թվ", "a,b%s,c", ",z%s"],
+    "skip": [" a%s, b c%s ,", ",", "d%s,,", " , e%s,"],
+    "boost": ["A%s b%s,c%s", "", "D%s"],
+    "boost table": ["E%s,1", "f%s ,2", ",3"],
+}
+
+
+def _config_line(kind: str, n: Column) -> Column:
+    return F.replace(_pick(_CONFIG[kind], n), F.lit("%s"), n.cast("string"))
 
 
-@query("""SELECT * FROM (VALUES ('map', '-hy-ած-', 'ADJ'), ('map', 'X', '7'), ('weights', 'NOUN', '12'), ('weights', 'VERB', '10'), ('names', 'Ածական', 'ած'), ('names', 'Թվական', 'թվ'),
-  ('skip', 'a', NULL), ('skip', 'b', NULL), ('skip', 'c c', NULL), ('boost', 'a', NULL), ('boost', 'b', NULL), ('boost', 'c', NULL), ('boost', 'd', NULL), ('boost table', 'a', NULL), ('boost table', 'b', NULL)) AS t(kind, key, value)""")
+@query("""WITH k AS (SELECT o_orderkey::VARCHAR AS k, o_orderkey % 7 AS m, o_orderkey % 5 AS f, o_orderkey % 4 AS q, o_orderkey % 3 AS t FROM orders),
+  c AS (SELECT 'map' AS kind, CASE m WHEN 0 THEN '-hy-' || k || '-' WHEN 1 THEN 'X' || k WHEN 6 THEN 'Z' || k END AS key, CASE m WHEN 0 THEN 'ADJ' WHEN 1 THEN '7' WHEN 6 THEN 'N' || k END AS value FROM k
+  UNION ALL SELECT 'weights', CASE f WHEN 0 THEN 'NOUN' WHEN 2 THEN 'VERB' WHEN 4 THEN 'P' END || k, CASE f WHEN 0 THEN '12' WHEN 2 THEN '10' WHEN 4 THEN '7' END FROM k
+  UNION ALL SELECT 'names', CASE f WHEN 0 THEN 'Ածական' WHEN 2 THEN 'Թվ' END || k, CASE f WHEN 0 THEN 'ած' WHEN 2 THEN 'թվ' END FROM k
+  UNION ALL SELECT 'skip', CASE q WHEN 0 THEN 'a' WHEN 2 THEN 'd' WHEN 3 THEN 'e' END || k, NULL FROM k UNION ALL SELECT 'skip', CASE q WHEN 0 THEN 'b c' || k END, NULL FROM k
+  UNION ALL SELECT 'boost', unnest(CASE t WHEN 0 THEN ['a' || k, 'b' || k, 'c' || k] WHEN 2 THEN ['d' || k] ELSE [] END), NULL FROM k
+  UNION ALL SELECT 'boost table', CASE t WHEN 0 THEN 'e' WHEN 1 THEN 'f' END || k, NULL FROM k)
+  SELECT kind, key, value FROM c WHERE key IS NOT NULL""")
 def config_files(spark, d):
-    """S12 S13 S14 S15 S16"""
-    paths = {name: _written(spark, spark.createDataFrame([(text,)], "line string").coalesce(1), F.col("line"), name.replace(" ", "-")) for name, text in _CONFIG.items()}
-    lines = {name: readers.indexed_lines(spark, path) for name, path in paths.items()}
+    """Files of keys and values, names, comma lists and boosted words, a line for each order"""
+    k = F.col("k")
+    rows = _orders(spark, d)
+    paths = {kind: _written(spark, rows, _config_line(kind, k), kind.replace(" ", "-"), k) for kind in _CONFIG if kind != "boost table"}
+    table = rows.select(F.lit(1).alias("at"), "k", _config_line("boost table", k).alias("line")).unionByName(spark.createDataFrame([(0, 0, "word,n")], "at int, k long, line string"))
+    paths["boost table"] = _folder(spark, "boost-table")
+    table.coalesce(1).sortWithinPartitions("at", "k").select("line").write.text(paths["boost table"])  # the header is in its first line
+    lines = {kind: readers.indexed_lines(spark, path) for kind, path in paths.items()}
     lists = {"skip": readers.comma_list(spark, paths["skip"]), "boost": readers.boost_words(spark, paths["boost"]), "boost table": readers.boost_words(spark, paths["boost table"])}
     out = [("map", readers.key_values(lines["map"])), ("weights", readers.key_values(lines["weights"], exact=True)), ("names", readers.name_values(lines["names"]))]
-    out += [(name, rows.select(F.col("word").alias("key"), F.lit(None).cast("string").alias("value"))) for name, rows in lists.items()]
-    every = [rows.select(F.lit(name).alias("kind"), "key", "value") for name, rows in out]
+    out += [(kind, rows.select(F.col("word").alias("key"), F.lit(None).cast("string").alias("value"))) for kind, rows in lists.items()]
+    every = [rows.select(F.lit(kind).alias("kind"), "key", "value") for kind, rows in out]
     return R.chained(*every).drop("source_ord")
 
 
@@ -357,12 +390,19 @@ def page_rules_skipped(spark, d):
     return _first_section(wikitext.classify_pages(_ruled_pages(spark, d), wikitext.Rules(skip_steps=wikitext.word_list("pp0, pp1,pp2"))))
 
 
-@query("""SELECT * FROM (VALUES (0, 'input', '=== Գոյական ===' || chr(10) || '* ա' || chr(10) || '==Ստուգաբանություն=='), (1, 'pp0', '{{-hy-գո-}}' || chr(10) || '* ա' || chr(10) || '==Ստուգաբանություն=='),
-  (2, 'pp1', '==Ստուգաբանություն==' || chr(10) || '{{-hy-գո-}}' || chr(10) || '* ա'), (3, 'pp2', '==Ստուգաբանություն==' || chr(10) || '{{-hy-գո-}}' || chr(10) || '# ա'), (4, 'pp3', '==Ստուգաբանություն==' || chr(10) || '{{-hy-գո-}}' || chr(10) || '# ա')) AS t(nth, step, text)""")
+#: A page whose text every step but the last changes, and one that none does.
+_TRACED = ["=== Գոյական ===\n* %s\n==Ստուգաբանություն==", "{{-hy-գո-}}\n# %s"]
+_AFTER = [("input", "=== Գոյական ===\n* %s\n==Ստուգաբանություն=="), ("pp0", "{{-hy-գո-}}\n* %s\n==Ստուգաբանություն=="), ("pp1", "==Ստուգաբանություն==\n{{-hy-գո-}}\n* %s"), ("pp2", "==Ստուգաբանություն==\n{{-hy-գո-}}\n# %s"), ("pp3", "==Ստուգաբանություն==\n{{-hy-գո-}}\n# %s")]
+
+
+@query(f"""WITH s AS (SELECT unnest(range(5)) AS nth) SELECT 'w' || o_orderkey AS title, nth, {_sql_list([s for s, _ in _AFTER])}[nth + 1] AS step,
+  replace(CASE o_orderkey % 2 WHEN 0 THEN {_sql_list([t for _, t in _AFTER])}[nth + 1] ELSE {_sql_list(_TRACED)}[2] END, '%s', o_orderkey::VARCHAR) AS text FROM orders, s WHERE o_orderkey % 10 < 4""")
 def page_trace(spark, d):
-    """A page's text after each step"""
-    steps = wikitext.trace("=== Գոյական ===\n* ա\n==Ստուգաբանություն==")
-    return spark.createDataFrame([(i, *s) for i, s in enumerate(steps)], "nth int, step string, text string")
+    """The texts of pages after each step, for the words that are asked for"""
+    k = F.col("k")
+    pages = _orders(spark, d).select(F.concat(F.lit("w"), k.cast("string")).alias("title"), F.replace(_pick(_TRACED, k), F.lit("%s"), k.cast("string")).alias("text"))
+    asked = _orders(spark, d).where("k % 10 < 4").select(F.concat(F.lit("w"), k.cast("string")).alias("title"))
+    return wikitext.traced(pages, asked)
 
 
 # ---- tags

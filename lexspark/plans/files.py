@@ -514,10 +514,10 @@ def asked_snapshot(spark, d):
 
 @query("SELECT o_orderkey AS k, CASE WHEN o_orderkey % 20 = 7 THEN '' ELSE 'lemma w' || (o_orderkey % 20) || '|N' END AS analyses FROM orders")
 def external_analyses(spark, d):
-    """A program runs once for each distinct word; its lines are joined"""
+    """The distinct words stream through a program in each task; its lines for each are joined"""
     words = _orders(spark, d).select("k", F.when(F.col("k") % 20 == 7, "--version-x").otherwise(F.concat(F.lit("w"), (F.col("k") % 20).cast("string"))).alias("word"))
-    template = ["sh", "-c", 'case "$1" in w*) printf "lemma %s\\n\\n N \\n" "$1";; esac', "-", "{word}"]
-    return live.joined_analyses(live.analysed(words, template)).select("k", "analyses")
+    program = ["sh", "-c", 'while read -r w; do case "$w" in w*) printf "lemma %s\\n\\n N \\n" "$w";; esac; echo .; done']
+    return live.joined_analyses(live.analysed_lines(words, program, timeout=30, end=".")).select("k", "analyses")
 
 
 @query("SELECT (row_number() OVER (ORDER BY o_orderkey) - 1) // 500 AS batch, 'w' || o_orderkey || '!' AS line FROM orders")

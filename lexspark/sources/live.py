@@ -8,7 +8,9 @@ asked by one task, whose connections the fetcher may keep.
 from __future__ import annotations
 
 import json
+import os
 import random
+import select
 import subprocess
 import time
 from collections.abc import Callable, Iterator
@@ -128,6 +130,72 @@ def analysed(words: DataFrame, template: list[str], timeout: float = 2.0, word:
     return words.join(words.select(word).distinct().mapInPandas(run, f"{word} string, analyses array<string>"), word, "left")
 
 
+class LineWorker:
+    """A program that reads a word a line and answers each with lines up to an ``end`` line. It is started when it is first
+    needed, and again after a word that takes longer than ``timeout`` seconds or that it dies of; such words have no lines."""
+
+    def __init__(self, command: list[str], timeout: float = 2.0, end: str = ""):
+        self.command, self.timeout, self.end = command, timeout, end
+        self.process: subprocess.Popen | None = None
+        self.started, self.held = 0, b""
+
+    def close(self) -> None:
+        if self.process:
+            self.process.kill()
+            self.process.stdin.close()
+            self.process.stdout.close()
+            self.process.wait()
+        self.process, self.held = None, b""
+
+    def _line(self, deadline: float) -> str:
+        """The next line, or an error if there is none in time."""
+        while b"\n" not in self.held:
+            out = self.process.stdout.fileno()
+            if not select.select([out], [], [], max(0.0, deadline - time.monotonic()))[0]:
+                raise TimeoutError
+            got = os.read(out, 1 << 16)
+            if not got:
+                raise EOFError
+            self.held += got
+        line, self.held = self.held.split(b"\n", 1)
+        return line.decode("utf-8", "replace")
+
+    def ask(self, word: str) -> list[str]:
+        """The non-empty, stripped lines for a word; a word with a line break is not asked."""
+        if "\n" in word or "\r" in word:
+            return []
+        if not self.process:
+            self.process = subprocess.Popen(self.command, stdin=subprocess.PIPE, stdout=subprocess.PIPE, stderr=subprocess.DEVNULL, bufsize=0)
+            self.started += 1
+        deadline, out = time.monotonic() + self.timeout, []
+        try:
+            self.process.stdin.write(word.encode() + b"\n")
+            while (line := self._line(deadline)) != self.end:
+                if line.strip():
+                    out.append(line.strip())
+        except (TimeoutError, EOFError, OSError):
+            self.close()  # what it still says belongs to this word
+            return []
+        return out
+
+
+def analysed_lines(words: DataFrame, command: list[str], timeout: float = 2.0, word: str = "word", end: str = "", tasks: int | None = None) -> DataFrame:
+    """``words`` with ``analyses``, the lines of a ``LineWorker`` for each distinct word: a process for each task, through which
+    its words stream, and one more for each word that fails. A null word has none."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        worker = LineWorker(command, timeout, end)
+        try:
+            for batch in batches:
+                yield pd.DataFrame({word: batch[word], "analyses": [worker.ask(w) for w in batch[word]]})
+        finally:
+            worker.close()
+
+    asked = words.select(word).where(F.col(word).isNotNull()).distinct()
+    asked = asked.repartition(tasks, word) if tasks else asked
+    return words.join(asked.mapInPandas(run, f"{word} string, analyses array<string>"), word, "left")
+
+
 def analysed_batches(words: DataFrame, template: list[str], batch: str = "batch", word: str = "word", timeout: float = 60.0) -> DataFrame:
     """(batch, line): what a command prints for the words of a batch, which it reads one to a line with a blank line
     behind each. Batches are of a fixed size, so a group is small."""

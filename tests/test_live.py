@@ -67,6 +67,47 @@ def test_snapshot_and_analyser(spark):
     assert live.run_command([sys.executable, "-c", "import time; time.sleep(30)"], "x", 0.2) == []
 
 
+WORKER = """
+import sys, time
+open(sys.argv[1], "a").write("started\\n")
+for line in sys.stdin:
+    w = line.rstrip("\\n")
+    if w == "slow":
+        time.sleep(60)
+    if w == "dies":
+        sys.exit(1)
+    print(f" {w}1 \\n\\n{w}2\\n." if w != "none" else ".", flush=True)
+"""
+
+
+def test_words_stream_through_a_process_a_task(spark, tmp_path):
+    words = spark.createDataFrame([(f"w{i % 500}", i) for i in range(1000)] + [(None, -1), ("none", -2), ("two\nlines", -3)], "word string, n int")
+    log = tmp_path / "log"
+    out = live.analysed_lines(words, [sys.executable, "-c", WORKER, str(log)], 30, end=".", tasks=3).collect()
+    got = {r.n: r.analyses for r in out}
+    assert all(got[i] == [f"w{i % 500}1", f"w{i % 500}2"] for i in range(1000)) and got[-1] is None and got[-2] == [] and got[-3] == []
+    assert len(log.read_text().split()) <= 3
+
+
+def test_a_word_that_takes_too_long_or_kills_the_program_has_no_lines(tmp_path):
+    log = tmp_path / "log"
+    worker = live.LineWorker([sys.executable, "-c", WORKER, str(log)], 5, ".")
+    assert worker.ask("a") == ["a1", "a2"]
+    worker.timeout = 0.3
+    assert worker.ask("slow") == []
+    worker.timeout = 5
+    assert [worker.ask(w) for w in ("b", "dies", "c", "d")] == [["b1", "b2"], [], ["c1", "c2"], ["d1", "d2"]]
+    assert worker.started == 3
+    worker.close()
+    gone = live.LineWorker(["/nowhere/program"])
+    try:
+        gone.ask("a")
+    except OSError:
+        pass
+    else:
+        raise AssertionError("a program that is not there must not pass for one without answers")
+
+
 def test_pages():
     book = {None: (["a", "b"], "2"), "2": (["c"], None)}
     assert list(live.pages(None, book.__getitem__)) == ["a", "b", "c"]

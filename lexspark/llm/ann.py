@@ -30,6 +30,9 @@ SAMPLE, PART_SAMPLE, HELD_OUT = 8192, 4096, 256
 LEAF, PARTS = 512, 128
 #: Lengths of vectors that get a network, the most frequent ones; vectors of another length are one leaf for each length.
 LENGTHS = 8
+#: Lengths beyond this many times the average are all the same to a network; entries beyond ``LARGEST`` are refused, as
+#: inner products of such vectors overflow.
+LONGEST, LARGEST = 1e3, 1e150
 #: Vectors, and their bytes, that a task holds at a time; a larger leaf is split into blocks.
 BLOCK, BLOCK_BYTES = 16_384, 1 << 26
 _QUERIES = 256
@@ -90,17 +93,31 @@ def balanced_cut(x: np.ndarray, graph: np.ndarray, parts: int, rounds: int = 12,
     return labels
 
 
+def _norms(x: np.ndarray) -> np.ndarray:
+    """The length of each vector, whatever its size: squares of entries neither overflow nor vanish."""
+    most = np.abs(x).max(axis=1, initial=np.finfo(float).tiny)
+    return most * np.linalg.norm(x / most[:, None], axis=1)
+
+
 @dataclass
 class Router:
-    """A network with one hidden layer; its size depends on the dimension and the number of parts only."""
+    """A network with one hidden layer; its size depends on the dimension and the number of parts only.
+
+    It takes vectors times ``scale``, which brings those that it is fitted on to length 1 on average; what is longer
+    than ``LONGEST`` times that is shortened. Weights are single precision, as they travel to every task.
+    """
 
     w1: np.ndarray
     b1: np.ndarray
     w2: np.ndarray
     b2: np.ndarray
+    scale: float = 1.0
 
-    def logits(self, x: np.ndarray) -> np.ndarray:
-        return np.maximum(x @ self.w1 + self.b1, 0) @ self.w2 + self.b2
+    def logits(self, x: np.ndarray, unit: bool = False) -> np.ndarray:
+        """Of each vector; with ``unit`` as if its length were 1 on the network's scale."""
+        x = x / _norms(x)[:, None] if unit else x * self.scale
+        x = (x / np.maximum(1, _norms(x) / LONGEST)[:, None]).astype(np.float32)
+        return (np.maximum(x @ self.w1 + self.b1, 0) @ self.w2 + self.b2).astype(np.float64)
 
     @staticmethod
     def fit(x: np.ndarray, target: np.ndarray, hidden: int = 128, epochs: int = 30, seed: int = 1) -> Router:
@@ -125,7 +142,7 @@ class Router:
                     one[i] = 0.9 * one[i] + 0.1 * g
                     two[i] = 0.999 * two[i] + 0.001 * g * g
                     ps[i] -= rate * (one[i] / (1 - 0.9**t)) / (np.sqrt(two[i] / (1 - 0.999**t)) + 1e-8)
-        return Router(*ps)
+        return Router(*(p.astype(np.float32) for p in ps))
 
 
 def fit_router(sample: np.ndarray, parts: int) -> Router | None:
@@ -133,13 +150,17 @@ def fit_router(sample: np.ndarray, parts: int) -> Router | None:
     parts = max(1, min(parts, len(sample) // 64))
     if parts == 1:
         return None
-    unit = sample / max(float(np.linalg.norm(sample, axis=1).mean()), 1e-30)
+    scale = min(1 / float(_norms(sample).mean()), 1e300)
+    unit = sample * scale
+    unit /= np.maximum(1, _norms(unit) / LONGEST)[:, None]
     graph = neighbour_graph(unit, 10)
     labels = balanced_cut(unit, graph, parts)
     target = np.zeros((len(unit), parts))
     np.add.at(target, (np.repeat(np.arange(len(unit)), graph.shape[1]), labels[graph].ravel()), 1)
     target[np.arange(len(unit)), labels] += 2
-    return Router.fit(sample, target / target.sum(axis=1, keepdims=True))
+    router = Router.fit(unit, target / target.sum(axis=1, keepdims=True))
+    router.scale = scale
+    return router
 
 
 def _log_softmax(z: np.ndarray) -> np.ndarray:
@@ -179,12 +200,13 @@ class Tree:
         return (out + self.base).astype(np.int32)
 
     def _ranked(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each vector its leaves, most probable first, and the probability of those before each."""
+        """For each query its leaves, most probable first, and the probability of those before each. A query's length
+        changes nothing about what is nearest to it, so all are asked at length 1."""
         if self.first is None:
             return np.zeros((len(x), 1), dtype=np.int64), np.zeros((len(x), 1))
-        z, at = _log_softmax(self.first.logits(x)), self.offsets()
+        z, at = _log_softmax(self.first.logits(x, True)), self.offsets()
         if self.below:
-            z = np.concatenate([z[:, p : p + 1] + (_log_softmax(self.below[p].logits(x)) if p in self.below else 0) for p in range(len(at) - 1)], axis=1)
+            z = np.concatenate([z[:, p : p + 1] + (_log_softmax(self.below[p].logits(x, True)) if p in self.below else 0) for p in range(len(at) - 1)], axis=1)
         order = np.argsort(-z, axis=1, kind="stable")
         share = np.exp(np.take_along_axis(z, order, axis=1))
         return order, np.cumsum(share, axis=1) - share
@@ -431,7 +453,7 @@ def _settle(index: DataFrame, trees: dict[int, Tree], held: dict[int, tuple[np.n
 def build(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.93, sample: int = SAMPLE, leaf: int = LEAF, block: int = BLOCK) -> tuple[Scratch, DataFrame, DataFrame, DataFrame, dict[int, Tree]]:
     """(scratch, members, index, blocks, trees): the fitted index of ``nearest``."""
     scratch = Scratch(vectors.sparkSession, "ann")
-    rows = vectors.where(valid("embedding") & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(F.col("embedding").cast("array<double>"), lambda x: x + 0.0).alias("embedding"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
+    rows = vectors.where(valid("embedding") & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(F.col("embedding").cast("array<double>"), lambda x: F.when(F.abs(x) <= LARGEST, x + 0.0).otherwise(F.raise_error(f"an entry is beyond {LARGEST}").cast("double"))).alias("embedding"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
     rows = rows.withColumns({"h1": F.xxhash64("embedding"), "h2": F.xxhash64(F.lit(3), "embedding")})
     members = scratch.write(rows.groupBy("h1", "h2", "vec_id").agg(F.max("is_query").alias("is_query")), "members")
     nth = F.row_number().over(Window.partitionBy("h1", "h2").orderBy("vec_id"))
@@ -464,7 +486,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0
 
     A row is an id and a vector; rows that repeat both count once. An id that stands on several vectors is as many
     rows: each is a query and a candidate of its own, also for the other, and ``query_class`` (a hash of the query's
-    vector) tells their lists apart. Vectors are compared with those of the same length. Vectors null, empty, zero, or
+    vector) tells their lists apart. Vectors are compared with those of the same length (number of entries). Norms may be
+    of any size: networks work on scaled vectors, scores are on the original ones; entries beyond ``LARGEST`` raise an
+    error, as their products overflow, and products that vanish are equal scores of 0. Vectors null, empty, zero, or
     with a null or non-finite component take no part, nor do rows without an id. Other columns are ignored. An empty
     table gives an empty result.
     """

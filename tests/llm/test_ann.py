@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from lexspark.llm import ann, queries
@@ -122,3 +123,32 @@ def test_balanced_cut():
     assert np.bincount(labels, minlength=7).max() <= math.ceil(1.05 * 1000 / 7) + 1
     inside = (labels[graph] == labels[:, None]).mean()
     assert inside > 1.5 / 7
+
+
+@pytest.mark.parametrize("norm", [1e-100, 1e-6, 1e-3, 1.0, 1e4, 1e100])
+def test_vectors_of_any_norm_are_routed(spark, norm):
+    x = np.array(clustered(4000, 3), dtype=np.float64)
+    x *= norm / np.linalg.norm(x, axis=1).mean()
+    table = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
+    *_, index, blocks, trees = ann.build(table, F.col("vec_id") % 20 == 0, 20, leaf=128)
+    sizes = {r.leaf: r["count"] for r in index.groupBy("leaf").count().collect()}
+    assert max(sizes.values()) <= 4 * 128
+    leaves, n = trees[24].probes(x[::20])
+    scanned = sum(sizes.get(leaf, 0) for leaf in leaves.tolist()) / len(n)
+    assert scanned <= 1000  # a quarter of the rows
+    assert recall(list(enumerate(x.tolist())), found(ann.nearest(table, F.col("vec_id") % 20 == 0, 20, leaf=128))) >= 0.9
+
+
+def test_queries_and_candidates_of_mixed_norms(spark):
+    x = np.array(clustered(4000, 4), dtype=np.float64)
+    x[::20] *= 1e-7 / 5  # the queries; as candidates they are far from every other one
+    x[1::97] *= 1e5
+    rows = list(enumerate(x.tolist()))
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert recall(rows, found(ann.nearest(table, F.col("vec_id") % 20 == 0, 20, leaf=128))) >= 0.9
+
+
+def test_entries_whose_products_overflow_are_refused(spark):
+    table = spark.createDataFrame([(20 * i, [1e160, float(i)]) for i in range(4)], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="beyond 1e"):
+        ann.nearest(table, F.col("vec_id") % 20 == 0).collect()

@@ -25,8 +25,13 @@ from lexspark.operators.relational import spread
 ROWS, BANDS = 5, 40
 #: Followers that are compared with one copy of their leader; a leader with more gets several copies.
 FOLLOWERS = 512
-#: Members of a leader's company, and queries to them, that are compared in a group of rows.
+#: Members of a leader's company, and queries to them, whose texts are compared in a group of rows.
 MEMBERS = 256
+#: Members, and queries, whose sketches are compared in a group, and coordinates of these sketches, of a byte each.
+SKETCHED, COORDINATES = 2048, 1024
+#: Deviations below the expected agreement at the threshold up to which a pair's texts are compared: of pairs at the
+#: threshold a share of 1e-9 agrees less.
+DEVIATIONS = 6
 #: Rows of ids up to which a counted table is broadcast.
 BROADCAST_ROWS = 500_000
 #: Bytes of text that are hashed together.
@@ -218,25 +223,95 @@ def _block_comparer(size: int, num: int, den: int):
     return run
 
 
+def least_agreement(num: int, den: int, coordinates: int = COORDINATES) -> int:
+    """How many coordinates of two sketches have to agree for their sets to be compared."""
+    p = num / den
+    return max(0, int(np.floor(coordinates * p - DEVIATIONS * np.sqrt(coordinates * p * (1 - p)))))
+
+
+def _member_sketcher(size: int):
+    """(rep, set_key, text) become (rep, n, sketch): the size of the set and a byte for each coordinate."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            reps, keys, out = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
+            sets = (items for texts in _chunks(batch.column(2).to_pylist()) for items in shingle_sets(texts, size))
+            for rep, key, items in zip(reps, keys, sets):
+                if set_key(items) == key:  # else another row under the same id
+                    out.append((rep, len(items), (_mix(fast_sketch(items, COORDINATES)) >> np.uint64(56)).astype(np.uint8).tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([r for r, _, _ in out], pa.int64()), pa.array([n for _, n, _ in out], pa.int64()), pa.array([x for _, _, x in out], pa.binary())], ["rep", "n", "sketch"])
+
+    return run
+
+
+def _sketch_comparer(num: int, den: int):
+    """Rows come by (lead, block), its members before the queries. Yields the rows whose texts have to be compared, in smaller
+    blocks: of different components, with sizes that allow the threshold, and sketches that agree enough."""
+    least, names = least_agreement(num, den), ["lead", "block", "query", "rep", "comp"]
+
+    def told(at: tuple[int, int], found: dict[tuple[int, int, int], int]) -> pa.RecordBatch:
+        lead, block = at
+        rows = [(lead, (block << 12) + sub, query, rep, comp) for (sub, query, rep), comp in found.items()]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int32() if i == 2 else pa.int64()) for i in range(5)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, index, found, nth = None, [], None, {}, 0
+        for batch in batches:
+            lead, block, query, rep, comp, n = (batch.column(i).to_numpy() for i in range(6))
+            sketch = np.frombuffer(b"".join(batch.column(6).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, COORDINATES)
+            for i in range(batch.num_rows):
+                if (lead[i], block[i]) != at:
+                    if found:
+                        yield told(at, found)
+                    at, held, index, found, nth = (int(lead[i]), int(block[i])), [], None, {}, 0
+                if not query[i]:
+                    held.append((rep[i], comp[i], n[i], sketch[i]))
+                    continue
+                if not held:
+                    continue
+                if index is None:
+                    index = *(np.array([h[j] for h in held]) for j in range(3)), np.stack([h[3] for h in held])
+                reps, comps, sizes, matrix = index
+                right = (comps != comp[i]) & (den * np.minimum(sizes, n[i]) >= num * np.maximum(sizes, n[i]))
+                near = np.flatnonzero(right)
+                near = near[np.count_nonzero(matrix[near] == sketch[i], axis=1) >= least]
+                for j in near.tolist():
+                    sub = (j // MEMBERS << 6) + nth // MEMBERS
+                    found[sub, 0, int(reps[j])] = int(comps[j])
+                    found[sub, 1, int(rep[i])] = int(comp[i])
+                nth += 1
+        if found:
+            yield told(at, found)
+
+    return run
+
+
 def _across(company: DataFrame, candidates: DataFrame, scratch: Scratch, size: int, num: int, den: int) -> DataFrame:
     """Links between different components within a leader's company; ``company`` is (rep, lead, comp), a written table.
 
     The members outside the largest component are compared with all members, block by block: a query set against the
-    rows of its company, without a row for each pair. Blocks of members meet blocks of queries, so that no group of
-    rows grows with the company.
+    rows of its company, without a row for each pair. Sketches of a kilobyte decide first: in a company of documents
+    that resemble one another but are below the threshold, as pages of one template, hardly any text travels. Blocks of
+    members meet blocks of queries, so that no group of rows grows with the company.
     """
     counts = company.groupBy("lead", "comp").agg(F.count(F.lit(1)).alias("n"))
     mixed = counts.groupBy("lead").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.sum("n").alias("members"), F.max("n").alias("largest"), F.count(F.lit(1)).alias("comps")).where("comps > 1 and members > 2")
-    mixed = scratch.write(mixed.select("lead", "main", "members", F.ceil(F.col("members") / MEMBERS).alias("blocks"), F.ceil((F.col("members") - F.col("largest")) / MEMBERS).alias("parts")), "mixed")
+    mixed = scratch.write(mixed.select("lead", "main", "members", F.ceil(F.col("members") / SKETCHED).alias("blocks"), F.ceil((F.col("members") - F.col("largest")) / SKETCHED).alias("parts")), "mixed")
     held = scratch.write(hot_join(company, mixed, ["lead"], "members"), "held")
     other = lambda n: F.explode(F.expr(f"sequence(0L, {n} - 1)"))
     members = held.select("lead", F.expr("pmod(xxhash64(rep), blocks)").alias("block"), other("parts").alias("part"), F.lit(0).alias("query"), "rep", "comp")
     queries = held.where("comp != main").select("lead", other("blocks").alias("block"), F.expr("pmod(xxhash64(rep, 1), parts)").alias("part"), F.lit(1).alias("query"), "rep", "comp")
     told = scratch.write(members.unionByName(queries).withColumn("block", F.col("block") * F.lit(1 << 24) + F.col("part")).drop("part"), "told")
-    dealt = candidates.select(F.col("doc_id").alias("rep"), "set_key", "text").join(small(told, BROADCAST_ROWS), "rep")
+    texts = candidates.select(F.col("doc_id").alias("rep"), "set_key", "text")
+    sketched = texts.join(small(scratch.write(held.select("rep").distinct(), "asked"), BROADCAST_ROWS), "rep", "left_semi").mapInArrow(_member_sketcher(size), "rep long, n long, sketch binary")
+    sketched = scratch.write(sketched, "member-sketches")
+    met = sketched.join(small(told, BROADCAST_ROWS), "rep").select("lead", "block", "query", "rep", "comp", "n", "sketch").repartition("lead", "block").sortWithinPartitions("lead", "block", "query")
+    near = scratch.write(met.mapInArrow(_sketch_comparer(num, den), "lead long, block long, query int, rep long, comp long"), "near")
+    scratch.drop(mixed, held, told, sketched)
+    dealt = texts.join(small(near, BROADCAST_ROWS), "rep")
     dealt = dealt.select("lead", "block", "query", "rep", "comp", "set_key", "text").repartition("lead", "block").sortWithinPartitions("lead", "block", "query")
     links = scratch.write(dealt.mapInArrow(_block_comparer(size, num, den), "a long, b long"), "links")
-    scratch.drop(mixed, held, told)
+    scratch.drop(near)
     return links
 
 
@@ -253,7 +328,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
 
     Equal sets are one class and are compared once. Members of a bucket are compared with its leader first. Members
     that this leaves in different components are then compared with all of the leader's company, in blocks, so no
-    candidate pair is left out and no bucket is expanded into pairs.
+    candidate pair is left out and no bucket is expanded into pairs. There a pair's texts are only compared if sketches
+    of 1024 coordinates agree up to six deviations below what the threshold lets expect, which a linked pair fails with
+    probability 1e-9.
 
     Sets are of 64-bit hashes of shingles; the check of a link compares these.
 

@@ -103,3 +103,55 @@ def test_components(spark):
     hot = connected_components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "test"), least=8)
     assert {r.node: r.component for r in hot.collect()} == got
     assert connected_components(spark.createDataFrame([], "a long, b long"), Scratch(spark, "test")).collect() == []
+
+
+def template(n, seed=1):
+    """Pages of one template: a common part and words of their own; any two are of similarity 0.64 (shingles of two words)."""
+    rng = random.Random(seed)
+    common = [f"c{i}" for i in range(100)]
+    return [(i, " ".join(common + [f"x{i}y{rng.randrange(10**6)}" for _ in range(28)])) for i in range(n)]
+
+
+def test_texts_of_a_template_travel_in_proportion(spark, monkeypatch):
+    sent, write = {}, Scratch.write
+
+    def counted(self, df, name, *more):
+        out = write(self, df, name, *more)
+        if name == "near":
+            sent[rows] = out.count()
+        return out
+
+    monkeypatch.setattr(minhash.Scratch, "write", counted)
+    for rows in (500, 1000, 2000):
+        docs = spark.createDataFrame(template(rows), "doc_id long, text string").repartition(4)
+        assert all(r.kept for r in minhash.near_duplicates(docs, size=2).collect())
+    assert sent[1000] <= 2.5 * max(sent[500], 100) and sent[2000] <= 2.5 * max(sent[1000], 100)
+
+
+def test_links_within_a_template_are_found(spark):
+    """Pairs that are alike among many that are not, in one company: they are in no leader's first comparison alone."""
+    rows = template(150, 2)
+    for i in range(20):
+        w = rows[i][1].split()
+        rows.append((1000 + i, " ".join(w[:110] + [f"z{i}"] + w[111:])))
+    check(spark, rows)
+
+
+def test_sketches_of_linked_pairs_agree_enough():
+    rng = np.random.default_rng(1)
+    least = minhash.least_agreement(80, 100)
+    assert 700 < least < 819
+    byte = lambda s: minhash._mix(minhash.fast_sketch(s, minhash.COORDINATES)) >> np.uint64(56)
+    for union in (5, 10, 50, 300, 3000):
+        low, far = [], []
+        for _ in range(200 if union < 3000 else 40):
+            items = rng.integers(0, 1 << 63, union, dtype=np.uint64)
+            side, common = union // 10, union - 2 * (union // 10)  # similarity 0.8, or more for the smallest
+            a, b = np.sort(items[: side + common]), np.sort(items[side:])
+            low.append(int((byte(a) == byte(b)).sum()))
+            cut = union * 18 // 100
+            c, d = np.sort(items[: union - cut]), np.sort(items[cut:])
+            far.append(int((byte(c) == byte(d)).sum()))
+        assert min(low) >= least
+        if union >= 50:  # similarity 0.64
+            assert max(far) < least

@@ -28,8 +28,8 @@ QUANTILE = 0.998
 LEAST_REPEATS = 0.2
 #: One in so many trusted documents is held out of training.
 HELD_OUT = 5
-#: Bytes of text in a block, on average.
-BLOCK_BYTES = 32 << 20
+#: Bytes of text in a block, on average, and the most tasks that blocks are dealt to.
+BLOCK_BYTES, TASKS = 32 << 20, 16_384
 #: Languages up to which a table of them is broadcast, once it was counted.
 LANGUAGES = 100_000
 #: Steps of log-perplexity that quantiles are counted in.
@@ -305,8 +305,11 @@ def perplexities(docs: DataFrame, trusted: DataFrame, order: int = ORDER, block_
     told = told.select(block(F.col("doc_id")), F.lit(0).alias("kind"), "doc_id", F.lit("").alias("lang"), F.lit(False).alias("held"), none("string").alias("text"), none("double").alias("log"))
     rows = docs.select(block(F.coalesce(ids, F.xxhash64(text))), F.lit(2).alias("kind"), ids.alias("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), held.alias("held"), text.alias("text"), none("double").alias("log"))
 
+    tasks = min(blocks, TASKS)
+
     def dealt(frame: DataFrame) -> DataFrame:
-        return frame.repartitionById(blocks, F.col("block").cast("int")).sortWithinPartitions("block", "kind")  # a task a block
+        # a task a block; beyond TASKS blocks a task has several, one behind the other, and still holds one at a time
+        return frame.repartitionById(tasks, F.pmod("block", F.lit(tasks)).cast("int")).sortWithinPartitions("block", "kind")
 
     grams = scratch.write(dealt(told.unionByName(rows)).mapInArrow(_counter(order), "block long, lang string, gram string, c long"), "block-grams")
     logs = gram_logs(grams.select("lang", "gram", "c"), order, scratch)
@@ -339,12 +342,14 @@ def thresholds(scores: DataFrame, quantile: float = QUANTILE, column: str = "log
 
 
 def classify(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, order: int = ORDER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, lang, n_chars, perplexity, threshold, repeats, most_repeats, accepted) of each row of ``docs`` (doc_id, text, lang).
-
-    Accepted are rows whose perplexity is at most the threshold of their language and whose share of repeated word pairs
-    is at most ``most_repeats``, the quantile over all languages (LEAST_REPEATS at least); rows of a language without
-    trusted or held-out documents as well, as nothing speaks against them. A null language is the empty one, a null
-    text is empty, and empty texts are accepted (there is nothing to judge). Rows that repeat get equal results.
+    """(doc_id, lang, n_chars, perplexity, threshold, accepted, repeats, most_repeats, repetitive) of each row of ``docs``
+    (doc_id, text, lang).
+
+    Accepted are rows whose perplexity is at most the threshold of their language; rows of a language without trusted or
+    held-out documents as well, as nothing speaks against them. A null language is the empty one, a null text is empty,
+    and empty texts are accepted (there is nothing to judge). Apart from that, ``repetitive`` tells whether the share of
+    repeated word pairs is above ``most_repeats``, the quantile over all languages' held-out documents (LEAST_REPEATS at
+    least): a text of few characters' sequences that repeats itself does not perplex a model of characters. Rows that repeat get equal results.
     Labels for ids that are not there, or for the null id, have no effect. Further columns are ignored; an empty table
     gives an empty result.
     """
@@ -352,13 +357,14 @@ def classify(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, or
     limits = F.broadcast(thresholds(scores, quantile)) if scores.select("lang").distinct().count() <= LANGUAGES else thresholds(scores, quantile)
     most = thresholds(scores.withColumn("lang", F.lit("")), quantile, "repeats").agg(F.greatest(F.lit(LEAST_REPEATS), F.max("threshold")).alias("most_repeats"))
     judged = scores.join(limits, "lang", "left").crossJoin(F.broadcast(most))
-    fits = (F.col("log_perplexity") <= F.col("threshold")) & (F.col("repeats") <= F.col("most_repeats"))
-    accepted = F.when(F.col("log_perplexity").isNull() | F.col("threshold").isNull() | (F.col("n_chars") == 0), True).otherwise(fits)
-    return judged.select("doc_id", "lang", "n_chars", F.exp("log_perplexity").alias("perplexity"), F.exp("threshold").alias("threshold"), "repeats", "most_repeats", accepted.alias("accepted"))
+    unjudged = F.col("log_perplexity").isNull() | F.col("threshold").isNull() | (F.col("n_chars") == 0)
+    accepted = F.when(unjudged, True).otherwise(F.col("log_perplexity") <= F.col("threshold"))
+    repetitive = F.coalesce(F.col("repeats") > F.col("most_repeats"), F.lit(False))
+    return judged.select("doc_id", "lang", "n_chars", F.exp("log_perplexity").alias("perplexity"), F.exp("threshold").alias("threshold"), accepted.alias("accepted"), "repeats", "most_repeats", repetitive.alias("repetitive"))
 
 
 def keep_accepted(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE) -> DataFrame:
-    """``docs`` without the documents that ``classify`` rejects. Rows without an id stay, as nothing can name them."""
+    """``docs`` without the documents that ``classify`` does not accept. Rows without an id stay, as nothing can name them."""
     scratch = Scratch(docs.sparkSession, "quality-drop")
     gone = scratch.write(classify(docs, trusted, quantile).where("not accepted and doc_id is not null").select("doc_id").distinct(), "gone")
     return docs.join(small(gone, 500_000), "doc_id", "left_anti").select(*docs.columns)

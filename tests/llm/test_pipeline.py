@@ -55,20 +55,13 @@ def quality_brute(rows, trusted, held):
         means[r["doc_id"]] = models[r["lang"]].mean(r["text"]) if models[r["lang"]] else None
     judges = [r for r in rows if r["doc_id"] in trusted & held and means[r["doc_id"]] is not None]
     limits = limits_brute({lang: [means[r["doc_id"]] for r in judges if r["lang"] == lang] for lang in {r["lang"] for r in judges}})
-    most = max(quality.LEAST_REPEATS, *limits_brute({"": [repeats(r["text"]) for r in judges]}).values())
     for r in rows:
         mean, limit = means[r["doc_id"]], limits.get(r["lang"])
-        if limit is None or mean is None or not r["text"] or mean <= limit and repeats(r["text"]) <= most:
+        if limit is None or mean is None or not r["text"] or mean <= limit:
             kept.append(r)
     return kept
 
 
-def repeats(text):
-    words = (text or "").split()
-    pairs = [*zip(words, words[1:])]
-    return sum(p in pairs[:i] for i, p in enumerate(pairs)) / len(pairs) if pairs else 0.0
-
-
 def limits_brute(groups):
     """The quantile of each group; not above its median plus the quantile of all distances, if it is its largest value."""
     nth = lambda values, q: values[math.ceil(len(values) * q) - 1]

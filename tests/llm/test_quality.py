@@ -108,15 +108,34 @@ def test_repetition(spark):
     prose = lambda n: " ".join("".join(rng.choices("abcde", k=rng.randrange(2, 6))) for _ in range(n))
     docs = [(i, prose(80), "x") for i in range(400)] + [(1000, "abcd " * 200, "x"), (1001, "ab cde " * 200, "x"), (1002, prose(80), "x"), (1003, "ab " * 200, "unseen")]
     out = quality.classify(spark.createDataFrame(docs, "doc_id long, text string, lang string"), spark.range(400).toDF("doc_id"))
-    got = {r.doc_id: r.accepted for r in out.where("doc_id >= 1000").collect()}
-    assert got == {1000: False, 1001: False, 1002: True, 1003: True}
+    got = {r.doc_id: r.repetitive for r in out.where("doc_id >= 1000").collect()}
+    assert got == {1000: True, 1001: True, 1002: False, 1003: True}
+
+
+def test_repetition_does_not_decide(spark):
+    """What is accepted follows from the perplexity and its language's threshold alone."""
+    docs = [(i, f"some words of text number {i} and more", "x") for i in range(60)] + [(100, "some words " * 300, "x"), (101, "zq#" * 50, "x")]
+    out = quality.classify(spark.createDataFrame(docs, "doc_id long, text string, lang string"), spark.range(60).toDF("doc_id")).collect()
+    assert all(r.accepted == (r.perplexity <= r.threshold) for r in out)
+    assert {r.doc_id: r.repetitive for r in out if r.doc_id >= 100} == {100: True, 101: False}
+
+
+def test_blocks_share_a_bounded_number_of_tasks(spark, monkeypatch):
+    rng = random.Random(6)
+    docs = [(i, " ".join("".join(rng.choices("abcde", k=4)) for _ in range(40)), "xy"[i % 2]) for i in range(300)]
+    frame, trusted = spark.createDataFrame(docs, "doc_id long, text string, lang string"), spark.range(200).toDF("doc_id")
+    one = lambda: sorted(map(tuple, quality.perplexities(frame, trusted, block_bytes=2000).collect()))
+    want, sizes, deal = one(), [], type(frame).repartitionById
+    monkeypatch.setattr(quality, "TASKS", 3)
+    monkeypatch.setattr(type(frame), "repartitionById", lambda self, n, c: (sizes.append(n), deal(self, n, c))[1])
+    assert one() == want and sizes == [3, 3]
 
 
 def test_junk_of_repeated_words(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     out = quality.classify(docs, labels.where("quality = 1 and doc_id % 2 = 0").select("doc_id")).join(labels.where("quality = 0").select("doc_id"), "doc_id").join(docs.select("doc_id", "text"), "doc_id")
-    rows = [(r.text.split(), r.accepted) for r in out.select("text", "accepted").collect()]
+    rows = [(r.text.split(), r.accepted and not r.repetitive) for r in out.select("text", "accepted", "repetitive").collect()]
     repeated = [a for w, a in rows if len(w) > 20 and len(set(w)) < 0.15 * len(w)]
     assert len(repeated) > 100 and sum(repeated) <= 0.05 * len(repeated)
 

@@ -142,7 +142,11 @@ def main(args: list[str]) -> int:
         print(f"unknown command: {args[0]}", file=sys.stderr)
         cmd_help()
         return 2
-    command(*args[1:])
+    try:
+        command(*args[1:])
+    finally:
+        if args and SparkSession.getActiveSession():
+            R.forget(_spark())
     return 0
 
 

@@ -6,7 +6,9 @@ unless the answer was an object; an empty array means that it had nothing in the
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -120,3 +122,49 @@ def retry_until_stable(words: DataFrame, attempt: Callable[[DataFrame, int], Dat
     for more in done[1:]:
         out = out.unionByName(more)
     return out
+
+
+def retry_stream(words: DataFrame, attempt: Callable[[DataFrame, int], DataFrame], folder: str, most_rounds: int = 100) -> DataFrame:
+    """``retry_until_stable`` as a stream that can be stopped at any time: called again with the same ``folder``, which has
+    to outlive the program, it goes on with the round that was not finished.
+
+    The words of a round are files that the stream takes as one batch; what the batch leaves for RETRY or NONEXISTENT
+    becomes the files of the next one. A round that is written is never asked again: the stream's own record tells which
+    files a batch has, and each step is a rename to a name that is then left alone.
+    """
+    spark, schema = words.sparkSession, words.schema
+    rounds = lambda kind, n: f"{folder}/{kind}/round={n:06d}"
+    path = lambda name: spark._jvm.org.apache.hadoop.fs.Path(name)
+    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def put(frame: DataFrame, target: str) -> None:
+        if files.exists(path(target)):
+            return
+        made = f"{folder}/_writing-{uuid.uuid4().hex}"
+        frame.write.parquet(made)
+        files.mkdirs(path(target).getParent())
+        if not files.rename(path(made), path(target)):
+            raise OSError(f"{target} cannot be made")
+
+    def missing(n: int) -> DataFrame:
+        return spark.read.parquet(rounds("done", n)).where(F.col("outcome") == NONEXISTENT).select("word")
+
+    def step(batch: DataFrame, number: int) -> None:
+        n = number + 1
+        if not files.exists(path(rounds("done", n))):
+            put(attempt(batch.select(*words.columns), n).withColumn("round", F.lit(n)), rounds("done", n))
+        got = spark.read.parquet(rounds("done", n))
+        stable = n > 1 and R.same_rows(missing(n - 1), missing(n))
+        if n == most_rounds or stable or got.where(F.col("outcome") == RETRY).isEmpty():
+            files.createNewFile(path(f"{folder}/_finished-{n:06d}"))
+        else:
+            put(got.where(F.col("outcome").isin(RETRY, NONEXISTENT)).select(*words.columns), rounds("todo", n + 1))
+
+    put(words, rounds("todo", 1))
+    while not (ended := files.globStatus(path(f"{folder}/_finished-*"))):
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/todo/round=*")
+        stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    last = int(ended[0].getPath().getName().rsplit("-", 1)[1])
+    out = [spark.read.parquet(rounds("done", n)) for n in range(1, last + 1)]
+    kept = [got.where(~F.col("outcome").isin(RETRY, NONEXISTENT)) for got in out[:-1]]
+    return reduce(DataFrame.unionByName, [*kept, out[-1]])

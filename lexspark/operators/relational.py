@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import tempfile
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Rows of a piece of an ordered table, on average, and the most pieces: a table of these has a row a piece.
 CHUNK, PIECES = 100_000, 4096
+#: Groups of tasks whose quantiles are merged apart.
+GROUPS = 64
 
 
 def spread(frame: DataFrame) -> DataFrame:
@@ -52,19 +55,48 @@ def shared_folder(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
+_kept: list[str] = []
+
+
 def checkpointed(frame: DataFrame) -> DataFrame:
-    """``frame``, computed now and kept in the shared folder."""
-    shared_folder(frame.sparkSession)
-    return frame.checkpoint()
+    """``frame``, computed now and kept in the shared folder as columns: later steps read those that they use. ``forget``
+    deletes what was kept."""
+    spark = frame.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/kept-{uuid.uuid4().hex}"
+    _kept.append(path)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def forget(spark: SparkSession) -> int:
+    """Deletes all tables that this program has kept, and says how many: for when results are written, as frames read
+    them until then."""
+    gone, conf = 0, spark._jsc.hadoopConfiguration()
+    while _kept:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_kept.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone
+
+
+def _pooled_cuts(groups: Sequence[tuple[int, Sequence[int]]], pieces: int) -> list[int]:
+    """Where values that are known by evenly spaced quantiles of groups, of so many values each, fall into equal pieces."""
+    at = np.concatenate([np.asarray(cuts, dtype=np.int64) for _, cuts in groups])
+    share = np.concatenate([np.full(len(cuts), n / len(cuts)) for n, cuts in groups])
+    order = np.argsort(at, kind="stable")
+    upto = np.cumsum(share[order])
+    wanted = upto[-1] * np.arange(1, pieces) / pieces
+    return sorted(set(at[order][np.searchsorted(upto, wanted)].tolist()))
 
 
 def in_pieces(rows: DataFrame, order: str) -> DataFrame:
     """``rows`` with ``_piece``: numbers of ranges of ``order``, a long, that hold about as many rows, however its values
-    are spread. Reads that column once; quantiles reach the driver."""
+    are spread. Reads that column once. Quantiles are merged in groups of tasks, so no task merges those of all others;
+    the groups' quantiles, at most ``PIECES`` of each, reach the driver."""
     grid = F.lit(np.arange(1, PIECES) / PIECES)
-    n, cuts = rows.agg(F.count(F.lit(1)), F.percentile_approx(order, grid, F.lit(2 * PIECES))).first()
-    pieces = min(PIECES, -(-(n or 0) // CHUNK))
-    at = sorted({cuts[i * PIECES // pieces - 1] for i in range(1, pieces)}) if pieces > 1 else []
+    group = F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("g")
+    told = rows.where(F.col(order).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(order, grid, F.lit(2 * PIECES)).alias("cuts")).collect()
+    pieces = min(PIECES, -(-sum(r.n for r in told) // CHUNK))
+    at = _pooled_cuts([(r.n, r.cuts) for r in told], pieces) if pieces > 1 else []
     if not at:
         return rows.withColumn("_piece", F.lit(0))
     # cuts in groups: a row is compared with one cut of each group, and with those of its own group

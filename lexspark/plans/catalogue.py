@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -420,7 +421,7 @@ def retry_fixpoint(spark, d):
     """Words answer in the round that their key names; the second round's missing words are the first's"""
     words = V.table(spark, d, "orders").select(F.col("o_orderkey").alias("word"))
     attempt = lambda w, n: w.withColumn("outcome", F.when(F.col("word") % 7 == 0, "NONEXISTENT").when(F.col("word") % 4 < n, "VALIDATED").otherwise("RETRY"))
-    return lookup.retry_until_stable(words, attempt).select("word", "outcome")
+    return lookup.retry_stream(words, attempt, f"{R.shared_folder(spark)}/retry-{uuid.uuid4().hex}").select("word", "outcome")
 
 
 # ---- tags

@@ -133,6 +133,53 @@ def test_retry_loop(spark):
     assert rounds == [20, 14, 11, 8, 5, 2] and out[0] == ("VALIDATED", 1) and out[19] == ("VALIDATED", 6) and len(out) == 20
 
 
+def test_retry_stream_goes_on_where_it_was_stopped(spark, tmp_path):
+    words = spark.createDataFrame([(i, "x") for i in range(20)], "word long, more string")
+    rounds, broken = [], [3]
+
+    def attempt(frame, n):
+        rounds.append((n, frame.count()))
+        if n in broken:
+            broken.remove(n)
+            raise RuntimeError("stopped half-way")
+        return frame.withColumn("outcome", F.when(F.col("word") < 3 + 3 * n, "VALIDATED").when(F.col("word") % 2 == n % 2, "NONEXISTENT").otherwise("RETRY"))
+
+    with pytest.raises(Exception, match="stopped half-way"):
+        lookup.retry_stream(words, attempt, str(tmp_path / "s"))
+    assert rounds == [(1, 20), (2, 14), (3, 11)]
+    out = {r.word: (r.outcome, r["round"]) for r in lookup.retry_stream(words, attempt, str(tmp_path / "s")).collect()}
+    assert rounds[3:] == [(3, 11), (4, 8), (5, 5), (6, 2)]
+    assert out == {r.word: (r.outcome, r["round"]) for r in lookup.retry_until_stable(words, attempt).collect()}
+    asked = len(rounds)
+    assert lookup.retry_stream(words, attempt, str(tmp_path / "s")).count() == 20 and len(rounds) == asked
+
+
+def test_retry_stream_stops_when_nothing_changes(spark, tmp_path):
+    words = spark.range(10).toDF("word")
+    attempt = lambda frame, n: frame.withColumn("outcome", F.when(F.col("word") < 4, "NONEXISTENT").when((F.col("word") == 9) & (F.lit(n) < 3), "RETRY").otherwise("VALIDATED"))
+    got = {r.word: (r.outcome, r["round"]) for r in lookup.retry_stream(words, attempt, str(tmp_path / "s")).collect()}
+    assert got == {r.word: (r.outcome, r["round"]) for r in lookup.retry_until_stable(words, attempt).collect()}
+    assert lookup.retry_stream(words.limit(0), attempt, str(tmp_path / "e")).count() == 0
+
+
+def test_pieces_are_even_whatever_tasks_hold(spark, monkeypatch):
+    monkeypatch.setattr(R, "CHUNK", 500)
+    for rows in (spark.range(0, 20_000, 1, 8), spark.range(20_000).repartition(8), spark.range(20_000).select((F.col("id") * F.col("id")).alias("id")).coalesce(1)):
+        sizes = [r["count"] for r in R.in_pieces(rows, "id").groupBy("_piece").count().collect()]
+        assert len(sizes) == 40 and max(sizes) <= 700
+
+
+def test_kept_tables_are_columns_and_can_be_forgotten(spark, monkeypatch):
+    R.forget(spark)
+    monkeypatch.setattr(R, "CHUNK", 100)
+    rows = spark.range(1000).select("id", F.lit("wide").alias("text"))
+    out = R.running(rows, "id", {"before": (F.lit(1).cast("long"), "sum")})
+    plan = out.select("before")._jdf.queryExecution().executedPlan().toString()
+    assert "parquet" in plan.lower() and "text" not in "".join(x for x in plan.splitlines() if "ReadSchema" in x or "FileScan" in x)
+    assert [r.before for r in out.orderBy("id").collect()] == list(range(1000))
+    assert R.forget(spark) == 1 and R.forget(spark) == 0
+
+
 def test_classify(spark):
     snapshot = spark.createDataFrame([("foo", 200, ["e"]), ("Foo", 200, ["E"]), ("bar", 404, None), ("Bar", 200, ["B"]), ("baz", 200, []), ("Baz", 404, None), ("qux", 200, None), ("no", 404, None), ("No", 404, None)], "title string, status int, entries array<string>")
     tokens = spark.createDataFrame([("Foo_NOUN",), ("bar",), ("baz",), ("qux",), ("no_x",), ("no",), ("gone",)], "token string")

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 from lexspark.functions import tagging
 from lexspark.functions import text as T
@@ -83,16 +83,32 @@ def ngram_top(table: DataFrame, year: int = 2019, n: int = 50_000, suffixes: Seq
     return rows.where(right).select("term", F.col("y.term_frequency").alias("term_frequency")).orderBy(F.desc("term_frequency"), "term").limit(n)
 
 
+def variant_as(v: Column, kind: DataType) -> Column:
+    """A variant as a type of structs, arrays and strings, each part on its own: what is of another kind is null, and what
+    stands beside it is kept."""
+    if isinstance(kind, StructType):
+        fields = [variant_as(F.try_variant_get(v, f"$.{f.name}", "variant"), f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(F.schema_of_variant(v).startswith("OBJECT"), F.struct(*fields))
+    if isinstance(kind, ArrayType):
+        return F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: variant_as(x, kind.elementType))
+    return F.try_variant_get(v, "$", kind.simpleString())
+
+
 def validated_records(lines: DataFrame) -> DataFrame:
-    """(word, frequency, entries) of JSON lines. Broken lines, words that are blank and entries that are no list go.
+    """(word, frequency, entries) of JSON lines. Broken lines, words that are blank and entries that are no list go; an item
+    of the list that is no object is a null, and a field of another kind is, too.
 
-    A frequency may be a number (cut to an integer) or a string of digits; anything else is 0.
+    A frequency may be a number (cut to an integer) or a string of digits; anything else is 0. A line is parsed once, into
+    a variant that all fields are taken from.
     """
-    schema = f"struct<word:string,frequency:string,entries:array<{tagging.ENTRY}>>"
-    rows = lines.where(T.strip(F.col("line")) != "").select(F.from_json("line", schema, {"mode": "PERMISSIVE"}).alias("r"), F.get_json_object("line", "$.entries").alias("e")).select("r.*", "e")
-    rows = rows.withColumn("word", T.strip(F.coalesce("word", F.lit("")))).where((F.col("word") != "") & F.col("e").startswith("["))
+    entries = StructType.fromDDL(f"entries array<{tagging.ENTRY}>")["entries"].dataType
+    got = lambda name, kind: F.try_variant_get("v", f"$.{name}", kind)
+    # exploded, as Spark would put the parser into each condition on a field otherwise
+    rows = lines.where(T.strip(F.col("line")) != "").select(F.explode(F.array(F.try_parse_json("line"))).alias("v"))
+    rows = rows.select(T.strip(F.coalesce(got("word", "string"), F.lit(""))).alias("word"), got("frequency", "string").alias("frequency"), got("entries", "array<variant>").alias("items"))
+    rows = rows.where((F.col("word") != "") & F.col("items").isNotNull())
     number = F.coalesce(T.parse_int(F.col("frequency")), F.when(F.col("frequency").rlike(r"^-?[0-9]+\.[0-9]+$"), F.col("frequency").try_cast("double").cast("bigint")), F.lit(0).cast("bigint"))
-    return rows.select("word", number.alias("frequency"), F.coalesce("entries", F.array().cast(f"array<{tagging.ENTRY}>")).alias("entries"))
+    return rows.select("word", number.alias("frequency"), F.transform("items", lambda x: variant_as(x, entries.elementType)).alias("entries"))
 
 
 @F.pandas_udf(ArrayType(StringType()))

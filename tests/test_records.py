@@ -149,3 +149,28 @@ def test_empty_buckets_can_be_read_and_runs_are_never_shared(spark, tmp_path):
     paths = writers.write_buckets(buckets(spark, 0, 1), str(tmp_path), "x.csv", "csv")
     assert {o: spark.read.text(p).count() for o, p in paths.items()} == {"VALIDATED": 1, "HARD": 0, "NONEXISTENT": 0, "REJECTED": 0}
     assert [writers.claimed_run(spark, f"{tmp_path}/r", True)[-6:] for _ in range(3)] == ["000000", "000001", "000002"]
+
+
+# ---- JSON records
+
+
+def test_good_parts_of_records_are_kept(spark):
+    lines = [
+        '{"word": " a ", "frequency": 2.9, "entries": [5, "x", {"partOfSpeech": "n", "definitions": [7, {"definition": "d", "examples": ["e", 1], "labels": "no list"}]}, null]}',
+        '{"word": "b", "frequency": "7", "entries": [{"definitions": {"definition": "no list"}, "language": "x", "more": 1}]}',
+        '{"word": "c", "entries": {}}',
+        '{"word": ["d"], "entries": []}',
+        '[{"word": "e", "entries": []}]',
+        '{"word": "f", "frequency": true, "entries": []}',
+        '{"word": "g", "entries": [',
+        "",
+    ]
+    rows = readers.validated_records(spark.createDataFrame([(x,) for x in lines], "line string"))
+    got = {r.word: r for r in rows.collect()}
+    assert {w: r.frequency for w, r in got.items() if not w.startswith("[")} == {"a": 2, "b": 7, "f": 0}
+    a = got["a"].entries
+    assert a[0] is None and a[1] is None and a[3] is None and a[2].partOfSpeech == "n" and a[2].definitions[0] is None
+    assert a[2].definitions[1].definition == "d" and a[2].definitions[1].examples == ["e", "1"] and a[2].definitions[1].labels is None
+    assert got["b"].entries[0].language == "x" and got["b"].entries[0].definitions is None
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parse_json") + plan.count("parseJson") <= 1

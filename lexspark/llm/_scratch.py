@@ -61,7 +61,7 @@ class Scratch:
         self.spark = spark
         self.root = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
         _roots.append(self.root)
-        self.count = 0
+        self.count, self.tables = 0, []
 
     def path(self, name: str) -> str:
         self.count += 1
@@ -87,12 +87,25 @@ class Scratch:
         path, table = self.path(name), f"{name}_{uuid.uuid4().hex}"
         buckets = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         writer = df.write.option("compression", "zstd").option("path", path).bucketBy(buckets, *by).sortBy(*by)
+        self.tables.append(table)
         with setting(self.spark, CLEANUP, "true"), merging(self.spark):
             (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
         out = self.spark.table(table)
         out._scratch_path, out._scratch_table = path, table
         return out
 
+    @contextmanager
+    def guarded(self) -> Iterator[None]:
+        """A block that leaves neither names in the catalog nor files behind if it fails."""
+        try:
+            yield
+        except BaseException:
+            for table in self.tables:
+                self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            root = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+            root.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(root, True)
+            raise
+
     def drop(self, *tables: DataFrame) -> None:
         """Deletes tables that no pending result reads any more."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 import re
 from collections.abc import Sequence
 
@@ -111,15 +110,21 @@ def validated_records(lines: DataFrame) -> DataFrame:
     return rows.select("word", number.alias("frequency"), F.transform("items", lambda x: variant_as(x, entries.elementType)).alias("entries"))
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def csv_fields(s: pd.Series) -> pd.Series:
-    """The fields of a line by the usual rules of quotes; Spark's reader wants a fixed number of columns."""
-    return s.map(lambda line: next(csv.reader([line]), []) if line is not None else [])
+#: A field behind a comma: in quotes with what follows them, in quotes that are not closed, or plain.
+_FIELD = r',(?:"([^"]*+(?:""[^"]*+)*+)"([^,]*+)|"([^"]*+(?:""[^"]*+)*+)$|([^,]*+))'
+
+
+def csv_fields(line: Column) -> Column:
+    """The fields of a line by the usual rules of quotes, as many as there are: a quote opens only a field that it begins, is
+    doubled within, and what is not closed goes on to the end. Of a field's four parts all but one or two are empty."""
+    parts = [F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_FIELD), F.lit(i)).alias(f"p{i}") for i in range(1, 5)]
+    single = lambda c: F.replace(c, F.lit('""'), F.lit('"'))
+    return F.transform(F.arrays_zip(*parts), lambda p: F.concat(single(p["p1"]), p["p2"], single(p["p3"]), p["p4"]))
 
 
 def ragged_fields(line: Column) -> Column:
-    """Fields of a line of any number; lines without a quote are split by the JVM."""
-    return F.when(line.contains('"'), csv_fields(F.when(line.contains('"'), line))).otherwise(F.split(line, ",", -1))
+    """Fields of a line of any number; lines without a quote are split at commas."""
+    return F.when(line.contains('"'), csv_fields(line)).otherwise(F.split(line, ",", -1))
 
 
 def tagged_rows(lines: DataFrame, header: bool = True) -> DataFrame:

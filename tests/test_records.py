@@ -174,3 +174,15 @@ def test_good_parts_of_records_are_kept(spark):
     assert got["b"].entries[0].language == "x" and got["b"].entries[0].definitions is None
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parse_json") + plan.count("parseJson") <= 1
+
+
+# ---- lines of any number of fields
+
+
+def test_fields_equal_the_csv_module(spark):
+    pick = random.Random(9)
+    lines = ["".join(pick.choices(['"', '""', ",", "a", "é", " ", "'", "b"], k=pick.randrange(1, 14))) for _ in range(3000)]
+    lines += ['"', '""', '"""', '"a', 'a"b,c"d', '"a"b"c,d', ',"",', '"' + "x" * 20000, "," * 3000]
+    rows = spark.createDataFrame(list(enumerate(lines)), "i int, line string").repartition(4)
+    got = {r.i: r.f for r in rows.select("i", readers.ragged_fields(F.col("line")).alias("f")).collect()}
+    assert got == {i: next(csv.reader([x])) for i, x in enumerate(lines)}

@@ -203,7 +203,7 @@ class Mix:
         every = permuted.unionByName(short).join(self.plan, "src").withColumn("at", F.col("pass") * F.col("blocks") + F.col("rank"))
         length = F.least(F.lit(block).cast("long"), F.col("source_size") - F.col("block") * block)
         taken = F.when(F.col("pass") < F.col("passes"), length).otherwise(F.least(length, F.col("rest") - F.col("rank") * block))
-        return every.select("src", "pass", "block", "at", taken.alias("n")).join(own, ["src", "at"]).where("n > 0").drop("at")
+        return every.select("src", "pass", "block", "at", taken.alias("n")).hint("merge").join(own, ["src", "at"]).where("n > 0").drop("at")
 
     def _cut(self) -> DataFrame:
         """(row, src, block, into, begin, words): documents cut at blocks; ``into`` is the place in the block, ``begin`` that in the
@@ -221,7 +221,7 @@ class Mix:
         """
         blocks = self.drawn.withColumn("mix", F.xxhash64(F.lit(self.seed), F.lit("place"), "src", "pass", "block"))
         blocks = ranked(blocks, ["shard"], "mix", "place", self.drawn.count())
-        out = self._cut().join(blocks, ["src", "block"]).withColumn("n_words", F.least("words", F.col("n") - F.col("into"))).where("n_words > 0")
+        out = self._cut().hint("merge").join(blocks, ["src", "block"]).withColumn("n_words", F.least("words", F.col("n") - F.col("into"))).where("n_words > 0")
         out = out.withColumn("part", F.row_number().over(Window.partitionBy("shard", "place").orderBy("into")) - 1)
         named = self.sources.select("src", "source", F.col("n_docs").alias("_n"))
         return hot_join(self.scratch.write(out, "pieces"), named, ["src"], "_n").select("shard", "place", "part", "doc_id", "source", "pass", F.col("begin").alias("from_word"), "n_words")
@@ -229,7 +229,8 @@ class Mix:
     def taken(self) -> DataFrame:
         """(doc_id, size, source_size, target, taken) of every document: the words that all draws of its blocks take, repeats
         counted."""
-        words = self._cut().join(self.drawn, ["src", "block"]).withColumn("n_words", F.least("words", F.col("n") - F.col("into"))).where("n_words > 0")
+        # tables of blocks and rows grow with the words; as files they are small, and Spark would broadcast them
+        words = self._cut().hint("merge").join(self.drawn, ["src", "block"]).withColumn("n_words", F.least("words", F.col("n") - F.col("into"))).where("n_words > 0")
         sums = words.groupBy("row").agg(F.sum("n_words").alias("taken"))
-        out = self.documents.join(sums, "row", "left")
+        out = self.documents.hint("merge").join(sums, "row", "left")
         return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))

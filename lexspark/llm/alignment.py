@@ -8,17 +8,20 @@ as ends, and no group is expanded into pairs.
 
 A unit is a segment of a text rather than a whole text: there are places where both tokenizers cut whatever stands
 around them, so texts are cut there, each distinct segment is tokenized and aligned once, and documents get the results
-of their segments by a join. ``_check_pieces`` refuses vocabularies that do not allow this.
+of their segments by a join: documents are dealt to lanes, and a lane's segments come to it. ``_check_pieces`` refuses vocabularies that do not allow this.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,12 +31,14 @@ from lexspark.operators.relational import spread
 
 #: Segments begin at a space or line feed after a letter, a number or an ASCII mark: byte-level words never go on there,
 #: and no piece has a space or line feed after anything else.
-CUT = r"(?<=[\p{L}\p{N}!-~])(?=[ \n])"
+CUT = r"(?=[ \n])(?<=[\p{L}\p{N}!-~])"
 #: Bytes of text in a lane, the rows that share one table of segments, and the most lanes there are.
-LANE_BYTES, LANES = 4 << 20, 16_384
-#: Settings of the joins: rows that are already dealt by unit are joined on unit and end as they lie.
+LANE_BYTES, LANES = 16 << 20, 16_384
+#: Words of documents, or of one long one, that a task handles together.
+WORDS = 1 << 18
+#: Rows that are already dealt by unit are joined on unit and end as they lie.
 COLOCATED = "spark.sql.requireAllClusterKeysForCoPartition"
-#: Keys that a task groups in memory before it sorts; a lane has fewer documents than this.
+#: Segments that a task groups in memory before it sorts them.
 GROUPED = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
 
 
@@ -103,7 +108,9 @@ def _encoder(a: bytes, b: bytes):
             # of a lone space the model makes nothing, but in a text it is a piece
             lone = model.piece_to_id("▁")
             right = [([lone] if x == " " else y) if s else y[1:] for x, y, s in zip(texts, right, spaced)]
-            whole = [b"".join([a_bytes[i] for i in l]) == (e := x.encode()) == b"".join([b_bytes[i] for i in r]) for x, l, r in zip(texts, left, right)]
+            coded = [x.encode() for x in texts]
+            said = [[b"".join([entries[i] for i in ids]) for ids in side] for side, entries in ((left, a_bytes), (right, b_bytes))]
+            whole = [x == y == z for x, y, z in zip(coded, *said)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(left, ids), pa.array(right, ids), pa.array(whole)], ["segment", "lanes", "a", "b", "whole"])
 
     return run
@@ -130,24 +137,157 @@ def aligned(units: DataFrame, a_lengths: DataFrame, b_lengths: DataFrame) -> Dat
     return ends.select("unit", "end", "a", "b", F.last("a", True).over(back).alias("link_a"), F.last("b", True).over(back).alias("link_b"), F.count_if(both).over(back).alias("part"))
 
 
-def unit_digests(rows: DataFrame) -> DataFrame:
+def _pair_type(a_entries: int, b_entries: int) -> str:
+    """The type of a pair of ids as one number, ``a * b_entries + b``."""
+    return "int" if a_entries * b_entries < 1 << 31 else "bigint"
+
+
+def unit_digests(rows: DataFrame, a_entries: int, b_entries: int) -> DataFrame:
     """(unit, n_a, n_b, n_groups, n_links, groups, links) of ``aligned`` rows; groups is "a1,a2|b1;" and so on, links an array
-    of (link_a, link_b)."""
-    cut = F.col("a").isNotNull() & F.col("b").isNotNull()
-    piece = lambda side, nth, mark: F.when(F.col(side).isNotNull(), F.struct((-F.col("part")).alias("p"), F.lit(nth).alias("s"), F.col("end"), F.concat(F.col(side).cast("string"), F.when(cut, mark).otherwise(",")).alias("t")))
-    found = rows.groupBy("unit").agg(
-        F.count("a").alias("n_a"),
-        F.count("b").alias("n_b"),
-        F.count_if(cut).alias("n_groups"),
-        F.count(F.lit(1)).alias("n_links"),
-        F.collect_list(piece("a", 0, "|")).alias("_a"),
-        F.collect_list(piece("b", 1, ";")).alias("_b"),
-        F.collect_list(F.struct("link_a", "link_b")).alias("links"),
-    )
-    return found.withColumn("groups", F.array_join(F.transform(F.array_sort(F.concat("_a", "_b")), lambda x: x["t"]), "")).drop("_a", "_b")
-
-
-def align_documents(docs: DataFrame, byte_level_path: str, piece_path: str) -> DataFrame:
+    of pairs, each the number ``link_a * b_entries + link_b``."""
+    kind = _pair_type(a_entries, b_entries)
+    pair = (F.col("link_a").cast("long") * b_entries + F.col("link_b")).cast(kind)
+    ordered = rows.select("unit", "end", "a", "b", "part", pair.alias("pair")).sortWithinPartitions("unit", F.desc("end"))
+
+    def digest(table: pa.Table) -> pa.RecordBatch:
+        cuts = _cuts(table.column("unit").to_numpy())
+        starts, stops = cuts[:-1], cuts[1:]
+        count = lambda c: pa.array(np.add.reduceat(pc.is_valid(table.column(c)).to_numpy().astype(np.int64), starts))
+        a, b = (table.column(c).cast(pa.string()).to_pylist() for c in ("a", "b"))
+        strings = []
+        for start, stop in zip(starts.tolist(), stops.tolist()):
+            out, left, right = [], [], []
+            for i in range(stop - 1, start - 1, -1):  # rows run from the last end back; a part ends where tokens of both do
+                x, y = a[i], b[i]
+                if x is not None:
+                    left.append(x)
+                    if y is not None:
+                        right.append(y)
+                        out += [",".join(left), "|", ",".join(right), ";"]
+                        left, right = [], []
+                else:
+                    right.append(y)
+            strings.append("".join(out))
+        links = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), table.column("pair").combine_chunks())
+        first = lambda c, at: table.column(c).take(pa.array(at)).combine_chunks()
+        columns = [first("unit", starts), count("a"), count("b"), first("part", stops - 1).cast(pa.int64()), pa.array(stops - starts), pa.array(strings, pa.string()), links]
+        return pa.RecordBatch.from_arrays(columns, ["unit", "n_a", "n_b", "n_groups", "n_links", "groups", "links"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # rows of a unit that may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            unit = batch.column(0).to_numpy()
+            if unit[0] == unit[-1] and held and held[-1].column(0)[-1].as_py() == unit[0]:
+                held.append(batch)
+                continue
+            at = 1 + int(np.flatnonzero(unit[:-1] != unit[-1])[-1]) if unit[0] != unit[-1] else 0
+            done = pa.Table.from_batches([*held, batch.slice(0, at)])
+            held = [batch.slice(at)]
+            if done.num_rows:
+                yield digest(done)
+        if held:
+            yield digest(pa.Table.from_batches(held))
+
+    return ordered.mapInArrow(run, f"unit long, n_a long, n_b long, n_groups long, n_links long, groups string, links array<{kind}>")
+
+
+def _cuts(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin, and the number of values."""
+    return np.concatenate([[0], np.flatnonzero(values[1:] != values[:-1]) + 1, [len(values)]])
+
+
+def _segment_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lane, segment): the distinct segments of each lane of a batch."""
+    for batch in batches:
+        lanes = batch.column(0).to_numpy()
+        cuts = _cuts(lanes).tolist()
+        for start, stop in zip(cuts[:-1], cuts[1:]) if len(lanes) else ():
+            found = pc.unique(batch.column(1).slice(start, stop - start).flatten())
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), lanes[start], dtype=np.int32)), found], ["lane", "segment"])
+
+
+def _chunks(rows: pa.Table, segments: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, number of rows, words of each, the place of each word in ``segments``), some rows at a time."""
+    lists = rows.column("words").combine_chunks()
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+    ends, start = np.cumsum(sizes), 0
+    while start < len(sizes):
+        before = ends[start] - sizes[start]
+        stop = max(start + 1, int(np.searchsorted(ends, before + WORDS, "right")))
+        words = lists.slice(start, stop - start).flatten()
+        yield start, stop - start, sizes[start:stop], pc.index_in(words, value_set=segments).to_numpy()
+        start = stop
+
+
+def _lane_pairs(rows: pa.Table, known: pa.Table) -> pa.Table:
+    """(pair, n_docs): in how many documents of a lane each pair of ids is linked."""
+    _loaded.clear()  # a worker that made tokens needs no tokenizers any more
+    segments, lists = known.column("segment").combine_chunks(), known.column("links").combine_chunks()
+    whole, n_links = known.column("whole").to_numpy(), pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+    pairs, codes = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+    codes, starts = codes.astype(np.int32), np.cumsum(n_links) - n_links
+    counts = np.zeros(len(pairs), dtype=np.int64)
+    for _, n, sizes, at in _chunks(rows, segments):
+        doc = np.repeat(np.arange(n, dtype=np.int64), sizes)
+        right = np.ones(n, dtype=bool)
+        right[doc[~whole[at]]] = False
+        doc, at = np.divmod(np.unique(doc * len(segments) + at), max(1, len(segments)))
+        doc, at = doc[right[doc]], at[right[doc]]
+        upto = np.cumsum(n_links[at])
+        # a document's links are counted together, and some documents at a time
+        a = 0
+        while a < len(doc):
+            b = int(np.searchsorted(upto, (upto[a - 1] if a else 0) + WORDS, "right"))
+            b = int(np.searchsorted(doc, doc[b], "left")) if b < len(doc) else b
+            b = b if b > a else int(np.searchsorted(doc, doc[a], "right"))
+            size = n_links[at[a:b]]
+            places = np.repeat(starts[at[a:b]] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            linked = np.unique(np.repeat(doc[a:b] - doc[a], size) * len(pairs) + codes[places])
+            counts += np.bincount(linked % len(pairs), minlength=len(pairs))
+            a = b
+    held = counts > 0
+    pa.default_memory_pool().release_unused()
+    return pa.table({"pair": pa.array(pairs[held]), "n_docs": pa.array(counts[held], pa.int64())})
+
+
+NUMBERS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+
+
+def _lane_documents(hashed: bool):
+    """The results of a lane's documents: sums and joined groups of their segments, in order; with ``hashed`` the SHA-256 of the
+    groups (of none the empty string) instead of them."""
+
+    def run(rows: pa.Table, known: pa.Table) -> pa.Table:
+        _loaded.clear()
+        segments, groups = known.column("segment").combine_chunks(), known.column("groups").combine_chunks().cast(pa.large_string())
+        whole = known.column("whole").to_numpy()
+        # a group's ids are one more than the commas of either side, and its links as many as the ids less one
+        n_a, n_best, count_sum = (pc.fill_null(known.column(c), 0).to_numpy() for c in ("n_a", "n_best", "count_sum"))
+        n_groups = pc.fill_null(pc.count_substring(groups, ";"), 0).to_numpy()
+        n_ids = pc.fill_null(pc.count_substring(groups, ","), 0).to_numpy() + 2 * n_groups
+        numbers = [n_a, n_ids - n_a, n_groups, n_ids - n_groups, n_best, count_sum]
+        sums, strings, none = np.zeros((rows.num_rows, len(NUMBERS)), dtype=np.int64), [], pa.scalar("", pa.large_string())
+        for first, n, sizes, at in _chunks(rows, segments):
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            right = sizes > 0
+            right[np.repeat(np.arange(n), sizes)[~whole[at]]] = False
+            some = np.flatnonzero(sizes > 0)
+            for i, values in enumerate(numbers if len(some) else []):
+                sums[first + some, i] = np.add.reduceat(values[at], ends[some])
+            sums[first : first + n][~right] = 0
+            joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pc.fill_null(groups.take(pa.array(at)), "")), none)
+            joined = pc.ascii_rtrim(pc.if_else(pa.array(right), joined, none), ";")
+            strings.append(pa.array([hashlib.sha256(x.as_buffer()).hexdigest() if len(x.as_buffer()) else "" for x in joined]) if hashed else joined.cast(pa.string()))
+        text = pa.chunked_array(strings, pa.string())
+        pa.default_memory_pool().release_unused()
+        return pa.table({"doc_id": rows.column("doc_id"), **{c: sums[:, i] for i, c in enumerate(NUMBERS)}, "groups": text})
+
+    return run
+
+
+def align_documents(docs: DataFrame, byte_level_path: str, piece_path: str, hashed: bool = False) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups) of each row of ``docs`` (doc_id, text).
 
     The byte-level tokenizer (A) encodes a space and the text, the piece model (B) the text, before which it puts the
@@ -157,66 +297,60 @@ def align_documents(docs: DataFrame, byte_level_path: str, piece_path: str) -> D
     count is the highest of their A id, ties included, and ``count_sum`` sums the counts of all links.
 
     Null and empty texts, and texts whose joined bytes of A or B differ from a space and the text (as U+2581 makes them),
-    have no tokens: zeros and empty groups. Rows that repeat are documents of their own; a null id passes. Other columns are
+    have no tokens: zeros and empty groups. With ``hashed`` the groups are hashed where they are made. Rows that repeat are documents of their own; a null id passes. Other columns are
     ignored; an empty table gives an empty result. A vocabulary that does not allow cuts before spaces is refused.
     """
+    scratch = Scratch(docs.sparkSession, "alignment")
+    with scratch.guarded():
+        return _align(docs, byte_level_path, piece_path, hashed, scratch)
+
+
+def _align(docs: DataFrame, byte_level_path: str, piece_path: str, hashed: bool, scratch: Scratch) -> DataFrame:
     spark = docs.sparkSession
-    scratch = Scratch(spark, "alignment")
     with open(byte_level_path, "rb") as f, open(piece_path, "rb") as g:  # on the driver
         a_file, b_file = f.read(), g.read()
     packed = zlib.compress(a_file, 9), zlib.compress(b_file, 9)
-    vocabulary = lambda entries: spark.createDataFrame([(i, len(x)) for i, x in enumerate(entries)], "id int, bytes int")
-    a_lengths, b_lengths = vocabulary(_byte_level_json(a_file.decode("utf-8"))), vocabulary(_pieces(b_file))
+    a_bytes, b_bytes = _byte_level_json(a_file.decode("utf-8")), _pieces(b_file)
+    a_lengths, b_lengths = (spark.createDataFrame([(i, len(x)) for i, x in enumerate(entries)], "id int, bytes int") for entries in (a_bytes, b_bytes))
+    kind = _pair_type(len(a_bytes), len(b_bytes))
 
     # lanes of rows, each with the distinct segments that it needs
     text = F.col("text").cast("string")
     total = docs.agg(F.sum(F.octet_length(text)).alias("n")).first().n or 0
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     lanes = max(1, min(LANES, max(width, -(-total // LANE_BYTES))))
-    words = F.when(F.octet_length(text) > 0, F.split(F.concat(F.lit(" "), text), CUT, -1))
-    rows = spread(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("row", F.monotonically_increasing_id())
-    rows = rows.withColumn("lane", F.pmod(F.xxhash64("row"), F.lit(lanes)).cast("int")).repartition(lanes, "lane").select("lane", "row", "doc_id", words.alias("words"))
-    rows = scratch.write_sorted(rows, "rows", ["lane"], buckets=lanes)
-    ids = scratch.write(rows.select("row", "doc_id"), "ids")
-    occurrences = rows.select("lane", "row", F.explode("words").alias("segment"))
-    needed = occurrences.select("lane", "segment").distinct()
-    segments = needed.groupBy("segment").agg(F.collect_list("lane").alias("lanes"))
+    words = F.when(F.octet_length("text") > 0, F.split(F.concat(F.lit(" "), "text"), CUT, -1))
+    rows = spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))).withColumn("lane", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(lanes)).cast("int"))
+    rows = scratch.write_sorted(rows.repartition(lanes, "lane").select("lane", "doc_id", words.alias("words")), "rows", ["lane"], buckets=lanes)
+    needed = rows.select("lane", "words").where("words is not null").mapInArrow(_segment_lists, "lane int, segment string")
+    segments = needed.repartition("segment").groupBy("segment").agg(F.collect_set("lane").alias("lanes"))  # few repeat in a task
     coded = segments.mapInArrow(_encoder(*packed), "segment string, lanes array<int>, a array<int>, b array<int>, whole boolean").withColumn("unit", F.monotonically_increasing_id())
-    coded = scratch.write(coded, "segments")
-    with setting(spark, COLOCATED, "false"), setting(spark, GROUPED, str(1 << 20)):
+    with setting(spark, GROUPED, str(1 << 20)):
+        coded = scratch.write(coded, "segments")
+    with setting(spark, COLOCATED, "false"):
         dealt = coded.where("whole").select("unit", "a", "b").repartition("unit")
-        digests = scratch.write(unit_digests(aligned(dealt, a_lengths, b_lengths)), "digests")
-
-        # a document with a segment whose bytes differ has no tokens at all
-        broken = coded.where("not whole").select(F.explode("lanes").alias("lane"), "segment")
-        kept = occurrences
-        if not broken.isEmpty():
-            odd = scratch.write(occurrences.join(broken, ["lane", "segment"]).select("row").distinct(), "odd")
-            kept = occurrences.join(odd, "row", "left_anti")
-
-        # in how many documents a pair is linked
-        linked = coded.join(digests, "unit").select(F.explode("lanes").alias("lane"), "segment", "links").repartition(lanes, "lane")
-        held = kept.select("lane", "row", "segment").distinct().join(linked.hint("shuffle_hash"), ["lane", "segment"])
-        pairs = held.select("lane", "row", F.inline("links")).distinct().groupBy("link_a", "link_b").agg(F.count(F.lit(1)).alias("n_docs"))
-        best = F.col("n_docs") == F.max("n_docs").over(Window.partitionBy("link_a"))  # a vocabulary's entries at most
-        pairs = scratch.write(pairs.withColumn("best", best.cast("long")), "pairs")
-        scored = digests.select("unit", F.inline("links")).join(pairs, ["link_a", "link_b"]).groupBy("unit").agg(F.sum("best").alias("n_best"), F.sum("n_docs").alias("count_sum"))
-
-        # the results of a document's segments, in their order
-        numbers = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
-        known = coded.join(digests.drop("links").join(scored, "unit"), "unit").select(F.explode("lanes").alias("lane"), "segment", *numbers, "groups").repartition(lanes, "lane")
-        placed = rows.select("lane", "row", F.posexplode("words").alias("pos", "segment")).join(known.hint("shuffle_hash"), ["lane", "segment"])
-        if kept is not occurrences:
-            placed = placed.join(odd, "row", "left_anti")
-        strings = F.transform(F.array_sort(F.collect_list(F.struct("pos", "groups"))), lambda x: x["groups"])
-        found = placed.groupBy("lane", "row").agg(*[F.sum(c).alias(c) for c in numbers], strings.alias("strings"))
-        found = scratch.write(found.select("row", *numbers, F.rtrim(F.array_join("strings", ""), F.lit(";")).alias("groups")), "documents")
-    scratch.drop(rows, coded, digests, pairs)
-    out = ids.join(found, "row", "left")
-    return out.select("doc_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers], F.coalesce("groups", F.lit("")).alias("groups"))
+        digests = scratch.write(unit_digests(aligned(dealt, a_lengths, b_lengths), len(a_bytes), len(b_bytes)), "digests")
+
+    def by_lane(results: DataFrame):
+        """Rows and the results of their lane's segments; a segment whose bytes differ has no results."""
+        sent = results.select(F.explode("lanes").alias("lane"), *[c for c in results.columns if c != "lanes"])
+        return rows.groupBy("lane").cogroup(sent.repartition(lanes, "lane").groupBy("lane"))
+
+    # in how many documents a pair is linked, and what that makes for each segment
+    known = coded.select("unit", "segment", "lanes", "whole")
+    linked = known.join(digests.select("unit", "links"), "unit", "left").drop("unit")
+    counted = by_lane(linked).applyInArrow(_lane_pairs, f"pair {kind}, n_docs long").groupBy("pair").agg(F.sum("n_docs").alias("n_docs"))
+    best = F.col("n_docs") == F.max("n_docs").over(Window.partitionBy(F.floor(F.col("pair") / len(b_bytes))))  # a vocabulary's entries at most
+    pairs = scratch.write(counted.withColumn("best", best.cast("long")), "pairs")
+    scored = digests.select("unit", F.explode("links").alias("pair")).join(pairs, "pair").groupBy("unit").agg(F.sum("best").alias("n_best"), F.sum("n_docs").alias("count_sum"))
+    scored = scratch.write(known.join(digests.select("unit", "n_a", "groups").join(scored, "unit"), "unit", "left").drop("unit"), "scored")
+    scratch.drop(coded, digests, pairs)
+    found = by_lane(scored).applyInArrow(_lane_documents(hashed), f"doc_id long, {', '.join(f'{c} long' for c in NUMBERS)}, groups string")
+    found = scratch.write(found, "documents")
+    scratch.drop(rows, scored)
+    return found
 
 
 def alignment_digests(docs: DataFrame, byte_level_path: str, piece_path: str) -> DataFrame:
     """``align_documents`` with the SHA-256 of the groups instead of them; the digest of no groups is the empty string."""
-    out = align_documents(docs, byte_level_path, piece_path)
-    return out.withColumn("groups_sha256", F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))).drop("groups")
+    return align_documents(docs, byte_level_path, piece_path, hashed=True).withColumnRenamed("groups", "groups_sha256")

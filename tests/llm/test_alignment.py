@@ -1,7 +1,10 @@
 import hashlib
 import json
+import os
+import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,7 +108,7 @@ def test_links_of_a_group_are_as_many_as_its_ends(spark):
     lengths = spark.createDataFrame([(0, 3), (1, 2)], "id int, bytes int")
     units = spark.createDataFrame([(5, [1] + [0] * 999 + [1], [1] * 1499 + [0])], "unit long, a array<int>, b array<int>")
     out = alignment.aligned(units, lengths, lengths)
-    digest = alignment.unit_digests(out).first()
+    digest = alignment.unit_digests(out, 2, 2).first()
     starts = lambda ids: {sum((3, 2)[i] for i in ids[:k]) for k in range(len(ids))}
     a, b = starts([1] + [0] * 999 + [1]), starts([1] * 1499 + [0])
     assert digest.n_links == len(a | b) == out.count()
@@ -118,3 +121,36 @@ def test_pieces_across_spaces_are_refused():
 
     with pytest.raises(ValueError):
         alignment._check_pieces(Odd(), ["a", "▁a", "a▁b"])
+
+
+def test_lanes_in_small_steps_give_the_same(monkeypatch):
+    pick = random.Random(4)
+    links = [[pick.randrange(9) for _ in range(pick.randrange(1, 6))] for _ in range(30)] + [None]
+    words = [None if pick.random() < 0.1 else [f"s{pick.randrange(31)}" for _ in range(pick.randrange(0, 40))] for _ in range(50)]
+    rows = pa.table({"lane": [1] * 50, "doc_id": list(range(50)), "words": pa.array(words, pa.list_(pa.string()))})
+    known = {"lane": [1] * 31, "segment": [f"s{i}" for i in range(31)], "whole": [i < 30 for i in range(31)]}
+    pairs = pa.table(known | {"links": pa.array(links, pa.list_(pa.int32()))})
+    numbers = pa.table(known | {c: pa.array([i * k if i < 30 else None for i in range(31)], pa.int64()) for c, k in (("n_a", 0), ("n_best", 4), ("count_sum", 5))} | {"groups": pa.array([f"{i}|{i};" if i < 30 else None for i in range(31)])})
+    right = [w if w and "s30" not in w else [] for w in words]
+    count = Counter(p for w in right for p in {p for x in w for p in links[int(x[1:])]})
+    for together in (1 << 20, 7, 1):
+        monkeypatch.setattr(alignment, "WORDS", together)
+        got = alignment._lane_pairs(rows, pairs)
+        assert dict(zip(got["pair"].to_pylist(), got["n_docs"].to_pylist())) == count
+        got = alignment._lane_documents(False)(rows, numbers)
+        assert got["groups"].to_pylist() == [";".join(f"{x[1:]}|{x[1:]}" for x in w) for w in right]
+        assert got["n_best"].to_pylist() == [sum(4 * int(x[1:]) for x in w) for w in right]
+
+
+def test_a_failure_leaves_nothing_behind(spark, monkeypatch):
+    docs, before, roots = spark.createDataFrame([(1, "a b")], "doc_id long, text string"), spark.catalog.listTables(), []
+    make = alignment.Scratch.__init__
+    monkeypatch.setattr(alignment.Scratch, "__init__", lambda self, *a: (make(self, *a), roots.append(self.root))[0])
+
+    def broken(*_):
+        raise RuntimeError("on the way")
+
+    monkeypatch.setattr(alignment, "aligned", broken)
+    with pytest.raises(RuntimeError):
+        alignment.align_documents(docs, A, B)
+    assert spark.catalog.listTables() == before and not os.path.exists(roots[0])

@@ -8,7 +8,8 @@ as ends, and no group is expanded into pairs.
 
 A unit is a segment of a text rather than a whole text: there are places where both tokenizers cut whatever stands
 around them, so texts are cut there, each distinct segment is tokenized and aligned once, and documents get the results
-of their segments by a join: documents are dealt to lanes, and a lane's segments come to it. ``_check_pieces`` refuses vocabularies that do not allow this.
+of their segments by a join: documents are dealt to lanes, and a lane's segments come to it. ``_check_pieces`` refuses
+vocabularies that do not allow this.
 """
 
 from __future__ import annotations
@@ -32,8 +33,9 @@ from lexspark.operators.relational import spread
 #: Segments begin at a space or line feed after a letter, a number or an ASCII mark: byte-level words never go on there,
 #: and no piece has a space or line feed after anything else.
 CUT = r"(?=[ \n])(?<=[\p{L}\p{N}!-~])"
-#: Bytes of text in a lane, the rows that share one table of segments, and the most lanes there are.
-LANE_BYTES, LANES = 16 << 20, 16_384
+#: Bytes of text in a lane, the rows that share one table of segments and that a task holds, and the most tasks that lanes
+#: are dealt to.
+LANE_BYTES, TASKS = 16 << 20, 16_384
 #: Words of documents, or of one long one, that a task handles together.
 WORDS = 1 << 18
 #: Rows that are already dealt by unit are joined on unit and end as they lie.
@@ -297,8 +299,9 @@ def align_documents(docs: DataFrame, byte_level_path: str, piece_path: str, hash
     count is the highest of their A id, ties included, and ``count_sum`` sums the counts of all links.
 
     Null and empty texts, and texts whose joined bytes of A or B differ from a space and the text (as U+2581 makes them),
-    have no tokens: zeros and empty groups. With ``hashed`` the groups are hashed where they are made. Rows that repeat are documents of their own; a null id passes. Other columns are
-    ignored; an empty table gives an empty result. A vocabulary that does not allow cuts before spaces is refused.
+    have no tokens: zeros and empty groups. With ``hashed`` the groups are hashed where they are made. Rows that repeat are
+    documents of their own; a null id passes. Other columns are ignored; an empty table gives an empty result. A vocabulary
+    that does not allow cuts before spaces is refused. A document is in one lane as a whole, however long.
     """
     scratch = Scratch(docs.sparkSession, "alignment")
     with scratch.guarded():
@@ -318,10 +321,11 @@ def _align(docs: DataFrame, byte_level_path: str, piece_path: str, hashed: bool,
     text = F.col("text").cast("string")
     total = docs.agg(F.sum(F.octet_length(text)).alias("n")).first().n or 0
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    lanes = max(1, min(LANES, max(width, -(-total // LANE_BYTES))))
+    lanes = max(1, width, -(-total // LANE_BYTES))
+    tasks = min(lanes, TASKS)
     words = F.when(F.octet_length("text") > 0, F.split(F.concat(F.lit(" "), "text"), CUT, -1))
     rows = spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))).withColumn("lane", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(lanes)).cast("int"))
-    rows = scratch.write_sorted(rows.repartition(lanes, "lane").select("lane", "doc_id", words.alias("words")), "rows", ["lane"], buckets=lanes)
+    rows = scratch.write_sorted(rows.repartition(tasks, "lane").select("lane", "doc_id", words.alias("words")), "rows", ["lane"], buckets=tasks)
     needed = rows.select("lane", "words").where("words is not null").mapInArrow(_segment_lists, "lane int, segment string")
     segments = needed.repartition("segment").groupBy("segment").agg(F.collect_set("lane").alias("lanes"))  # few repeat in a task
     coded = segments.mapInArrow(_encoder(*packed), "segment string, lanes array<int>, a array<int>, b array<int>, whole boolean").withColumn("unit", F.monotonically_increasing_id())
@@ -334,13 +338,13 @@ def _align(docs: DataFrame, byte_level_path: str, piece_path: str, hashed: bool,
     def by_lane(results: DataFrame):
         """Rows and the results of their lane's segments; a segment whose bytes differ has no results."""
         sent = results.select(F.explode("lanes").alias("lane"), *[c for c in results.columns if c != "lanes"])
-        return rows.groupBy("lane").cogroup(sent.repartition(lanes, "lane").groupBy("lane"))
+        return rows.groupBy("lane").cogroup(sent.repartition(tasks, "lane").groupBy("lane"))
 
     # in how many documents a pair is linked, and what that makes for each segment
     known = coded.select("unit", "segment", "lanes", "whole")
     linked = known.join(digests.select("unit", "links"), "unit", "left").drop("unit")
     counted = by_lane(linked).applyInArrow(_lane_pairs, f"pair {kind}, n_docs long").groupBy("pair").agg(F.sum("n_docs").alias("n_docs"))
-    best = F.col("n_docs") == F.max("n_docs").over(Window.partitionBy(F.floor(F.col("pair") / len(b_bytes))))  # a vocabulary's entries at most
+    best = F.col("n_docs") == F.max("n_docs").over(Window.partitionBy(F.expr(f"pair div {len(b_bytes)}")))  # a vocabulary's entries at most
     pairs = scratch.write(counted.withColumn("best", best.cast("long")), "pairs")
     scored = digests.select("unit", F.explode("links").alias("pair")).join(pairs, "pair").groupBy("unit").agg(F.sum("best").alias("n_best"), F.sum("n_docs").alias("count_sum"))
     scored = scratch.write(known.join(digests.select("unit", "n_a", "groups").join(scored, "unit"), "unit", "left").drop("unit"), "scored")

@@ -154,3 +154,11 @@ def test_a_failure_leaves_nothing_behind(spark, monkeypatch):
     with pytest.raises(RuntimeError):
         alignment.align_documents(docs, A, B)
     assert spark.catalog.listTables() == before and not os.path.exists(roots[0])
+
+
+def test_many_lanes_in_few_tasks_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(alignment, "LANE_BYTES", 60)
+    monkeypatch.setattr(alignment, "TASKS", 2)
+    docs = spark.createDataFrame(list(enumerate(ODD)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: tuple(r)[1:] for r in alignment.align_documents(docs, A, B).collect()}
+    assert got == dict(enumerate(plain(ODD)))

@@ -35,7 +35,7 @@ from lexspark.operators.relational import spread
 CUT = r"(?=[ \n])(?<=[\p{L}\p{N}!-~])"
 #: Bytes of text in a lane, the rows that share one table of segments and that a task holds, and the most tasks that lanes
 #: are dealt to.
-LANE_BYTES, TASKS = 16 << 20, 16_384
+LANE_BYTES, TASKS = 12 << 20, 16_384
 #: Words of documents, or of one long one, that a task handles together.
 WORDS = 1 << 18
 #: Rows that are already dealt by unit are joined on unit and end as they lie.

@@ -285,13 +285,22 @@ def config_files(spark, d):
     return R.chained(*every).drop("source_ord")
 
 
+#: Pages of a file of the dump, on average.
+_DUMPED = 50_000
+
+
 def _dump(spark, d) -> str:
-    """Pages as a compressed dump of several files."""
+    """Pages as a compressed dump of several files, as many as keep them small: lines are sorted into their files, which no
+    task holds."""
     k = F.col("k").cast("string")
     page = F.concat(F.lit("<page><title>t &amp; "), k, F.lit('</title><revision><comment>c</comment><text xml:space="preserve">{{-hy-գո-}} &lt;b&gt; '), k, F.lit("</text></revision>"), F.when(F.col("k") % 3 == 0, F.concat(F.lit("<alttext>alt "), k, F.lit("</alttext>"))).otherwise(""), F.lit("<context/></page>"))
-    path = _folder(spark, "dump")
-    files = _orders(spark, d).groupBy((F.col("k") % 4).alias("file")).agg(F.concat(F.lit("<mediawiki>"), F.array_join(F.collect_list(page), "\n"), F.lit("</mediawiki>")).alias("value"))
-    files.write.option("compression", "bzip2").partitionBy("file").text(path)
+    path, rows = _folder(spark, "dump"), _orders(spark, d).where("k is not null")
+    files = max(4, -(-rows.count() // _DUMPED))
+    pages = rows.select(F.pmod(F.xxhash64("k"), F.lit(files)).alias("file"), F.lit(1).alias("at"), page.alias("value"))
+    ends = F.array(F.struct(F.lit(0).alias("at"), F.lit("<mediawiki>").alias("value")), F.struct(F.lit(2).alias("at"), F.lit("</mediawiki>").alias("value")))
+    lines = pages.unionByName(spark.range(files).select(F.col("id").alias("file"), F.inline(ends)))
+    lines = lines.repartition(files, "file").sortWithinPartitions("file", "at").drop("at")
+    lines.write.option("compression", "bzip2").partitionBy("file").text(path)
     return path
 
 

@@ -175,3 +175,15 @@ def test_commands(spark, tmp_path, capsys):
     main(["clean", str(tmp_path), "c"])
     assert not (tmp_path / "R2c.csv").exists() and not (tmp_path / "c-VALIDATED.jsonl").exists() and (tmp_path / "c.csv").exists()
     assert main(["no such"]) == 2
+
+
+def test_dump_of_many_files(spark, monkeypatch):
+    from lexspark.plans import files
+
+    monkeypatch.setattr(files, "_DUMPED", 100)
+    n = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
+    path = files._dump(spark, "/root/testdata/sf0.001")
+    whole = [r.value for r in spark.read.text(path, wholetext=True).collect()]
+    assert len(whole) == -(-n // 100) and max(s.count("<page>") for s in whole) < 200
+    assert all(s.startswith("<mediawiki>\n<page>") and s.endswith("</page>\n</mediawiki>\n") for s in whole)
+    assert readers.wiki_pages(spark, path).count() == n

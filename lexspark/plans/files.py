@@ -5,7 +5,10 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterator
+from itertools import chain, islice
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -201,19 +204,30 @@ _SQL_LISTED = f"CASE WHEN c_custkey % 6 = 0 THEN 'קטגוריה:' ELSE '' END |
 _PAGE = 1000
 
 
+def _listing(batches: Iterator[pd.DataFrame]) -> live.Ask:
+    """A listing of rows (k, title), which come in order: pages of ``_PAGE`` members, of which only the one that is asked for
+    is held."""
+    rows = chain.from_iterable(zip(b["k"], b["title"]) for b in batches)
+    ahead = list(islice(rows, 1))
+
+    def ask(at: str | None) -> tuple[list[str], str | None]:
+        if at is not None and at != str(ahead[0][0]):
+            raise ValueError(f"no page begins at {at}")
+        page = [*ahead, *islice(rows, _PAGE - len(ahead))]
+        ahead[:] = islice(rows, 1)
+        return [title for _, title in page], str(ahead[0][0]) if ahead else None
+
+    return ask
+
+
 @query(f"WITH t AS (SELECT {_SQL_LISTED} AS title FROM customer) SELECT title FROM t WHERE NOT starts_with(title, 'קטגוריה:') AND length(title) BETWEEN 4 AND 6 AND NOT regexp_matches(title, '[,.״ ־׳]')")
 def category_list(spark, d):
-    """A listing of customers that comes in pages, each of which tells where the next one begins; filtered, written
-    one title to a line and read"""
+    """A listing of customers that comes in pages, each of which tells where the next one begins, in ranges of
+    keys; filtered, written one title to a line and read"""
     k = F.col("c_custkey")
     title = F.concat(F.when(k % 6 == 0, "קטגוריה:").otherwise(""), F.translate(k.cast("string"), "0123456789", _LETTERS), _pick(_ENDINGS, k))
-    members = V.table(spark, d, "customer").select(k, title.alias("title"))
-
-    def ask(at: str | None) -> tuple[list[str], str | None]:
-        page = members.where(k > int(at or -1)).orderBy(k).limit(_PAGE).collect()
-        return [r.title for r in page], str(page[-1].c_custkey) if len(page) == _PAGE else None
-
-    titles = spark.createDataFrame([(t,) for t in live.pages(None, ask)], "title string")
+    members = V.table(spark, d, "customer").where(k >= 0).select(k.alias("k"), title.alias("title"))
+    titles = live.listed(members.repartitionByRange("k").sortWithinPartitions("k"), _listing)
     path = _written(spark, morph.lemma_filter(titles), F.col("title"), "titles")
     return readers.indexed_lines(spark, path).select(F.col("line").alias("title"))
 

@@ -15,6 +15,7 @@ import subprocess
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 
 Answer = tuple[int, str | None]
 Fetcher = Callable[[str], Answer]
+#: From where a page begins to its members and where the next one begins.
+Ask = Callable[[str | None], tuple[list[str], str | None]]
 RETRYABLE = frozenset({429, 500, 502, 503, 504})
 
 
@@ -100,7 +103,7 @@ def snapshot(titles: DataFrame, ask: Callable[[str], Answer], per_second: float
     return titles.select("title").distinct().repartition(tasks, "title").mapInPandas(run, "title string, status int, payload string")
 
 
-def pages(first: str | None, ask: Callable[[str | None], tuple[list[str], str | None]], pause: Callable[[], None] = lambda: None) -> Iterator[str]:
+def pages(first: str | None, ask: Ask, pause: Callable[[], None] = lambda: None) -> Iterator[str]:
     """The members of a listing that comes page by page; ``ask`` gives a page and where the next one begins."""
     at = first
     while True:
@@ -111,6 +114,18 @@ def pages(first: str | None, ask: Callable[[str | None], tuple[list[str], str |
         pause()
 
 
+def listed(rows: DataFrame, service: Callable[[Iterator[pd.DataFrame]], Ask], size: int = 10_000) -> DataFrame:
+    """(title): the members of a listing in as many ranges as ``rows`` has tasks, each followed page by page in its task from
+    its beginning on. ``service`` makes of a task's rows what its pages are asked of; no member passes through the driver."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        members = pages(None, service(batches))
+        while held := list(islice(members, size)):
+            yield pd.DataFrame({"title": held})
+
+    return rows.mapInPandas(run, "title string")
+
+
 def run_command(template: list[str], word: str, timeout: float = 2.0) -> list[str]:
     """The non-empty, stripped lines that a command prints for a word; none if it takes too long."""
     try:

@@ -141,3 +141,19 @@ def test_commands(spark, tmp_path, capsys):
     cli.main(["dictionaries", str(tmp_path / "c.csv"), str(tmp_path / "dict"), "2"])
     assert [r.value for r in spark.read.text(str(tmp_path / "dict/len=4")).collect()] == ["fish 9,N,e", "bird 3,N,d"]
     assert cli.main(["nothing"]) == 2 and cli.main([]) == 0 and "parse SOURCE TARGET" in capsys.readouterr().out
+
+
+def test_listing_in_tasks(spark, monkeypatch):
+    import pandas as pd
+    from lexspark.plans import catalogue, files
+
+    ask = files._listing(iter([pd.DataFrame({"k": range(1001), "title": map(str, range(1001))}), pd.DataFrame({"k": [5000], "title": ["x"]})]))
+    assert ask(None)[1] == "1000" and ask("1000") == (["1000", "x"], None)
+    assert list(live.pages(None, files._listing(iter([])))) == []
+    # as many pages as there are, but no job for each
+    monkeypatch.setattr(files, "_PAGE", 2)
+    spark.sparkContext.setJobGroup("listing", "")
+    rows = catalogue.queries()["category_list"](spark, "/root/testdata/sf0.001").collect()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("listing")
+    spark.sparkContext.setJobGroup("", "")
+    assert rows and len(jobs) < 20

@@ -18,14 +18,26 @@ CHUNK, PIECES = 100_000, 4096
 GROUPS = 64
 
 
-def spread(frame: DataFrame) -> DataFrame:
-    """``frame``, dealt out evenly if it is a plain scan of fewer splits than there are cores, as a table of one small file
-    is: for steps that take much longer for a row than its shuffle. Such an input is small; others stay as they are."""
+def spread(frame: DataFrame, rows: int | None = None) -> DataFrame:
+    """``frame``, dealt out evenly if it is a plain scan that would keep few cores busy: for steps that take much longer for a
+    row than its shuffle. That is one of fewer splits than there are cores, as of a small file, or one where a split has
+    more than twice a core's share of the rows, as of a file of few row groups: the other splits of such a file are empty.
+    With ``rows``, for narrow tables, no task gets many more than so many rows. Others stay as they are."""
     execution = frame._jdf.queryExecution()
     if frame.isStreaming or execution.executedPlan().nodeName().startswith("AdaptiveSparkPlan"):
         return frame
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores) if execution.toRdd().getNumPartitions() < cores else frame
+    cores, splits = frame.sparkSession.sparkContext.defaultParallelism, execution.toRdd().getNumPartitions()
+    if splits < cores and rows is None:
+        return frame.repartition(cores)
+    told = frame.groupBy(F.spark_partition_id().alias("split")).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.max("n").alias("most")).first()
+    even = splits >= cores and (told.most or 0) <= (-(-2 * told.n // cores) if rows is None else rows)
+    if even:
+        return frame
+    # by numbers of rows, as Spark sorts all rows of a split before it deals them out in turn
+    tasks = max(cores, splits if rows is None else -(-told.n // rows))
+    dealt = frame.withColumn("_nth", F.monotonically_increasing_id()).repartition(tasks, "_nth").drop("_nth")
+    # exploded, as Spark would work out conditions on what is made of the rows before they are dealt out otherwise
+    return dealt if rows is None else dealt.select(F.inline(F.array(F.struct("*"))))
 
 
 def dedupe_first(rows: DataFrame, key: Column | str, order: Sequence[str], eligible: Column | None = None) -> DataFrame:

@@ -450,7 +450,7 @@ def _entry_rows(spark, d):
     none = F.lit(None).cast("string")
     pos = F.element_at(F.array(F.lit("noun"), F.lit("Verb"), F.lit(None).cast("string")), (F.floor(k / 3) % 3 + 1).cast("int"))
     entry = F.struct(pos.alias("partOfSpeech"), F.lit("English").alias("language"), none.alias("etymology_text"), none.alias("etymology"), none.alias("description"), F.when(k % 9 == 0, "r").alias("romanization"), F.array(definition).alias("definitions"))
-    return R.spread(V.table(spark, d, "orders").select("o_orderkey")).select(k.alias("k"), F.concat(F.lit("w"), k.cast("string")).alias("word"), k.alias("frequency"), F.array(entry).alias("entries"))
+    return R.spread(V.table(spark, d, "orders").select("o_orderkey"), R.CHUNK).select(k.alias("k"), F.concat(F.lit("w"), k.cast("string")).alias("word"), k.alias("frequency"), F.array(entry).alias("entries"))
 
 
 _SQL_RAW = "['" + "', '".join(p.replace("'", "''") for p in _PHRASES) + f"'][o_orderkey % {len(_PHRASES)} + 1]"
@@ -488,7 +488,7 @@ def _pages(spark, d):
     title = F.concat(F.translate((k + 10000).cast("string"), "0123456789", "աբգդեզէըթժ"), F.when(k % 10 == 9, "x").otherwise(""))
     text = F.when(k % 10 == 0, "#redirect [[x]]").when(k % 10 == 1, "no sections").when(k % 10 == 2, "{{-hy-ածխ-}}\n# x").when(k % 10 == 3, "{{-hy-գո-}}\n# {{only}}").when(k % 10 == 4, F.lit(None).cast("string"))
     full = F.replace(F.lit(_PAGE), F.lit("%s"), k.cast("string"))
-    return R.spread(V.table(spark, d, "orders").select("o_orderkey")).select(title.alias("title"), F.coalesce(text, F.when(k % 10 != 4, full)).alias("text"))
+    return R.spread(V.table(spark, d, "orders").select("o_orderkey"), R.CHUNK).select(title.alias("title"), F.coalesce(text, F.when(k % 10 != 4, full)).alias("text"))
 
 
 _SQL_TITLE = "translate(CAST(o_orderkey + 10000 AS VARCHAR), '0123456789', 'աբգդեզէըթժ')"

@@ -202,3 +202,26 @@ def test_observed(spark):
     frame, seen = lookup.observed(spark.createDataFrame([("RETRY",), ("VALIDATED",), ("RETRY",)], "outcome string"))
     frame.collect()
     assert seen.get == {"processed": 3, "validated": 1, "rejected": 0, "nonexistent": 0, "retry": 2}
+
+
+def test_spread(spark, tmp_path):
+    import duckdb
+
+    cores = spark.sparkContext.defaultParallelism
+    path, n = str(tmp_path / "t.parquet"), 400_000
+    # one row group: of all its splits one has the rows
+    duckdb.sql(f"COPY (SELECT i, md5(i::VARCHAR) AS s FROM range({n}) r(i)) TO '{path}' (FORMAT parquet, ROW_GROUP_SIZE {n})")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        frame = spark.read.parquet(path)
+        assert frame.rdd.getNumPartitions() >= cores
+        sizes = lambda f: [r["count"] for r in f.groupBy(F.spark_partition_id()).count().collect()]
+        assert sizes(frame) == [n]
+        out = R.spread(frame)
+        assert max(sizes(out)) <= 2 * n / cores and out.exceptAll(frame).isEmpty() and out.count() == n
+        narrow = R.spread(frame.select("i"), 10_000)
+        assert max(sizes(narrow)) < 12_000 and narrow.distinct().count() == n
+        assert R.spread(out) is out
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert R.spread(spark.range(0, 10, 1, cores), 100).count() == R.spread(spark.range(0)).count() + 10

@@ -288,9 +288,10 @@ def config_files(spark, d):
     k = F.col("k")
     rows = _orders(spark, d)
     paths = {kind: _written(spark, rows, _config_line(kind, k), kind.replace(" ", "-"), k) for kind in _CONFIG if kind != "boost table"}
-    table = rows.select(F.lit(1).alias("at"), "k", _config_line("boost table", k).alias("line")).unionByName(spark.createDataFrame([(0, 0, "word,n")], "at int, k long, line string"))
+    # tables with a header each; fields keep their blanks
+    fields = F.split(_config_line("boost table", k), ",")
     paths["boost table"] = _folder(spark, "boost-table")
-    table.coalesce(1).sortWithinPartitions("at", "k").select("line").write.text(paths["boost table"])  # the header is in its first line
+    rows.select(fields[0].alias("word"), fields[1].alias("n")).write.options(header=True, ignoreTrailingWhiteSpace=False, ignoreLeadingWhiteSpace=False).csv(paths["boost table"])
     lines = {kind: readers.indexed_lines(spark, path) for kind, path in paths.items()}
     lists = {"skip": readers.comma_list(spark, paths["skip"]), "boost": readers.boost_words(spark, paths["boost"]), "boost table": readers.boost_words(spark, paths["boost table"])}
     out = [("map", readers.key_values(lines["map"])), ("weights", readers.key_values(lines["weights"], exact=True)), ("names", readers.name_values(lines["names"]))]

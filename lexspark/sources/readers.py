@@ -209,18 +209,19 @@ def name_values(lines: DataFrame) -> DataFrame:
 
 
 def comma_list(spark: SparkSession, path: str) -> DataFrame:
-    """(word): a whole file split at commas only; line ends are blanks."""
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.explode(F.split("value", ",", -1)).alias("word")).select(T.strip(F.col("word")).alias("word")).where("word != ''")
+    """(word): files split at commas only; line ends are blanks. A record is what stands between commas, so that a large file
+    is many tasks."""
+    words = spark.read.option("lineSep", ",").text(path)
+    return words.select(T.strip(F.col("value")).alias("word")).where("word != ''")
 
 
 def boost_words(spark: SparkSession, path: str) -> DataFrame:
-    """(word), lower case: the column ``word`` of a table if the first line names it, else words between blanks or commas."""
+    """(word), lower case: the column ``word`` of tables if the first line names it, else words between blanks or commas."""
     first = spark.read.text(path).limit(1).collect()
     if first and "word" in first[0].value.strip().split(",", 1)[0].lower():
         rows = spark.read.option("header", True).csv(path).select("word")
     else:
-        rows = spark.read.text(path, wholetext=True).select(F.explode(F.split("value", r"[\s,]+")).alias("word"))
+        rows = spark.read.text(path).select(F.explode(F.split("value", r"[\s,]+")).alias("word"))
     return rows.select(F.lower(T.strip(F.col("word"))).alias("word")).where("word != ''").distinct()
 
 

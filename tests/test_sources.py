@@ -187,3 +187,15 @@ def test_dump_of_many_files(spark, monkeypatch):
     assert len(whole) == -(-n // 100) and max(s.count("<page>") for s in whole) < 200
     assert all(s.startswith("<mediawiki>\n<page>") and s.endswith("</page>\n</mediawiki>\n") for s in whole)
     assert readers.wiki_pages(spark, path).count() == n
+
+
+def test_lists_in_splits(spark, tmp_path):
+    text = ",".join(f" w{i}\n x" if i % 3 else f"\r\n\tw{i}  " for i in range(2000)) + ",,\n"
+    listed, words = put(tmp_path / "l", text), put(tmp_path / "w", text.replace(" x", " X\n"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        for rows, expected in ((readers.comma_list(spark, listed), [w.strip() for w in text.split(",") if w.strip()]), (readers.boost_words(spark, words), {*text.replace(",", " ").split()})):
+            assert sorted(r.word for r in rows.collect()) == sorted(expected)
+        assert readers.comma_list(spark, listed).rdd.getNumPartitions() > 8
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -47,3 +47,19 @@ def test_columns(spark):
     rows = spark.createDataFrame([(0, None), (1, ""), (2, "plain և"), (3, "a<!-- x -->b [[c|d]] {{t}} '''e''' [http://x y z]"), (4, "<ref>r</ref>և")], "k int, t string")
     got = {r.k: r.c for r in rows.select("k", markup.clean_wikitext(rows.t).alias("c")).collect()}
     assert got == {0: None, 1: "", 2: "plain եւ", 3: "a b d   e y z", 4: " եւ"}
+
+
+def test_texts_in_slices():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    # Arrow in and out: of a batch of 30 MB in two-byte characters only a slice is Python's at a time
+    texts = pa.array([None if i % 100 == 7 else f"<b>{'տ' * 5000} {i}</b> [[a|b]] և" for i in range(3000)])
+    tracemalloc.start()
+    out = markup._cleaned.func(texts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 10_000_000 and out.null_count == 30
+    assert out[8].as_py() == markup.clean_markup(texts[8].as_py()) and out[7].as_py() is None and len(out) == 3000
+    assert markup._cleaned.func(pa.array([], pa.string())).to_pylist() == []
